@@ -41,11 +41,15 @@ def first_profile(profiles: DataFrame, order: list[str] | None = None) -> DataFr
     return one_per_key(profiles, ["CUSTOMER_ID"], lead)
 
 
-def customer_side(customers: DataFrame, profiles: DataFrame, middle: DataFrame) -> DataFrame:
+def customer_side(
+    customers: DataFrame, profiles: DataFrame, middle: DataFrame, about: DataFrame | None = None
+) -> DataFrame:
     """What a transaction needs to know about its customer, one row per customer."""
     home = customers.select("CUSTOMER_ID", "HOME_REGION", "x_customer_id", "y_customer_id")
-    travel = first_profile(profiles.select("CUSTOMER_ID", "TRAVEL_REGIONS"))
-    return with_centroid(home.join(travel, "CUSTOMER_ID", "left"), "HOME_REGION", middle, "__home")
+    side = home.join(first_profile(profiles.select("CUSTOMER_ID", "TRAVEL_REGIONS")), "CUSTOMER_ID", "left")
+    if about is not None:
+        side = side.join(about, "CUSTOMER_ID", "left")
+    return with_centroid(side, "HOME_REGION", middle, "__home")
 
 
 def terminal_side(terminals: DataFrame, middle: DataFrame) -> DataFrame:
@@ -63,16 +67,23 @@ def time_offsets(start: str) -> dict[str, Column]:
 
 
 def enrich(
-    tx: DataFrame, customers: DataFrame, terminals: DataFrame, profiles: DataFrame, middle: DataFrame, start: str,
+    tx: DataFrame,
+    customers: DataFrame,
+    terminals: DataFrame,
+    profiles: DataFrame,
+    middle: DataFrame,
+    start: str,
+    about_customer: DataFrame | None = None,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """The thirteen transaction columns. Two joins touch the transactions, one per dimension.
 
     Region centroids and travel lists are attached to the dimensions first, which are smaller; the
-    region distance is then plain arithmetic. Transactions without a partner keep nulls. `keep` names
-    helper columns to leave in the result.
+    region distance is then plain arithmetic. Transactions without a partner keep nulls. More facts
+    about customers, one row each, can come along in the same join; `keep` names columns of theirs or
+    of the transactions to leave in the result.
     """
-    joined = tx.join(customer_side(customers, profiles, middle), "CUSTOMER_ID", "left").join(
+    joined = tx.join(customer_side(customers, profiles, middle, about_customer), "CUSTOMER_ID", "left").join(
         terminal_side(terminals, middle), "TERMINAL_ID", "left"
     )
     out = joined.withColumns({

@@ -26,9 +26,9 @@ def idempotent_append(target: DataFrame, incoming: DataFrame, key: str = "TRANSA
     return target.unionByName(unseen(incoming, target, key).select(*target.columns))
 
 
-def point_in_time(tx: DataFrame, dim: DataFrame, key: str, slice_unit: str = "day") -> DataFrame:
+def point_in_time(tx: DataFrame, dim: DataFrame, key: str, slice_seconds: int = 86_400) -> DataFrame:
     """Transactions with the dimension version valid when they happened."""
-    return asof_join(tx, dim, [key], "TX_DATETIME", slice_unit=slice_unit)
+    return asof_join(tx, dim, [key], "TX_DATETIME", slice_seconds=slice_seconds)
 
 
 def star_spend(tx: DataFrame, customers: DataFrame, terminals: DataFrame) -> DataFrame:

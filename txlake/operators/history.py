@@ -9,12 +9,21 @@ slices, however many rows it has.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txlake.registry import Entity, entity
 
 
+def _slice(micros: Column, width: int) -> Column:
+    """Start of the time slice of a moment, both in microseconds."""
+    return micros - F.pmod(micros, F.lit(width))
+
+
+def _micros(time: str) -> Column:
+    return F.unix_micros(F.col(time).cast("timestamp"))
+
+
 def asof_join(
     facts: DataFrame,
     versions: DataFrame,
@@ -22,7 +31,7 @@ def asof_join(
     fact_time: str,
     start: str = "effective_date",
     end: str = "end_date",
-    slice_unit: str = "day",
+    slice_seconds: int = 86_400,
 ) -> DataFrame:
     """Facts with the version valid at their time: start <= t < end, nulls where there is none.
 
@@ -30,44 +39,34 @@ def asof_join(
     join, which compares each fact with every version of its key, facts and versions are put in one
     time order and each fact takes the last version before it.
     """
+    width = slice_seconds * 1_000_000
     attributes = [c for c in versions.columns if c not in keys]
-    held = F.struct(*attributes)
-    rank_of_fact, rank_of_version = F.lit(1), F.lit(0)
-    timeline_versions = versions.dropna(subset=[*keys, start]).select(
-        *keys, F.col(start).alias("__t"), rank_of_version.alias("__kind"), held.alias("__v"),
-        F.lit(None).cast(facts.select(F.struct("*").alias("f")).schema["f"].dataType).alias("__f"),
+    opened = versions.dropna(subset=[*keys, start]).select(
+        *keys, _micros(start).alias("__t"), F.lit(0).alias("__kind"), F.struct(*attributes).alias("__v")
     )
-    timeline_facts = facts.select(
-        *keys, F.col(fact_time).alias("__t"), rank_of_fact.alias("__kind"),
-        F.lit(None).cast(timeline_versions.schema["__v"].dataType).alias("__v"), F.struct("*").alias("__f"),
-    )
-    timeline = timeline_versions.unionByName(timeline_facts).withColumn("__slice", F.date_trunc(slice_unit, "__t"))
+    asked = facts.select(*keys, _micros(fact_time).alias("__t"), F.lit(1).alias("__kind"), F.struct("*").alias("__f"))
+    timeline = opened.unionByName(asked, allowMissingColumns=True).withColumn("__slice", _slice(F.col("__t"), width))
 
     in_slice = Window.partitionBy(*keys, "__slice").orderBy("__t", "__kind").rowsBetween(Window.unboundedPreceding, 0)
     local = timeline.withColumn("__v", F.last("__v", ignorenulls=True).over(in_slice)).filter("__kind = 1")
 
     # For each slice with facts, the last version started in the slices before.
-    opened = (
-        timeline_versions.groupBy(*keys, F.date_trunc(slice_unit, "__t").alias("__slice"))
-        .agg(F.max_by("__v", "__t").alias("__last"))
-    )
-    asked = facts.select(*keys, F.date_trunc(slice_unit, fact_time).alias("__slice")).distinct()
+    sliced = _slice(F.col("__t"), width).alias("__slice")
+    openings = opened.groupBy(*keys, sliced).agg(F.max_by("__v", "__t").alias("__last"))
     earlier = Window.partitionBy(*keys).orderBy("__slice").rangeBetween(Window.unboundedPreceding, -1)
     carried = (
-        opened.unionByName(asked, allowMissingColumns=True)
-        .withColumn("__slice", F.unix_micros(F.col("__slice").cast("timestamp")))
+        openings.unionByName(asked.select(*keys, sliced).distinct(), allowMissingColumns=True)
         .withColumn("__carried", F.last("__last", ignorenulls=True).over(earlier))
         .filter(F.col("__last").isNull())
-        .select(*keys, F.timestamp_micros("__slice").cast("timestamp_ntz").alias("__slice"), "__carried")
+        .select(*keys, "__slice", "__carried")
     )
 
+    version = F.coalesce("__v", "__carried")
+    until = F.unix_micros(version.getField(end).cast("timestamp"))
     met = local.join(carried, [*keys, "__slice"], "left").select(
-        "__f", "__t", F.coalesce("__v", "__carried").alias("__v")
-    )
-    valid = F.col(f"__v.{end}").isNull() | (F.col("__t") < F.col(f"__v.{end}"))
-    return met.select("__f.*", F.when(valid, F.col("__v")).alias("__v")).select(
-        *facts.columns, *[F.col(f"__v.{c}").alias(c) for c in attributes]
+        "__f", F.when(until.isNull() | (F.col("__t") < until), version).alias("__v")
     )
+    return met.select("__f.*", *[F.col(f"__v.{c}").alias(c) for c in attributes])
 
 
 def rebuild(log: DataFrame, kind: str | Entity, slice_unit: str = "day") -> DataFrame:
@@ -136,8 +135,7 @@ def trailing_count(
     span = width * slices_per_span
     if span != span_seconds * 1_000_000:
         raise ValueError("the span must be a whole number of slices")
-    micros = F.unix_micros(F.col(time).cast("timestamp"))
-    slice_of = lambda us: us - F.pmod(us, F.lit(width))
+    micros = _micros(time)
     places = F.array(
         F.struct(F.lit(0).cast("bigint").alias("ahead"), F.lit(True).alias("own")),
         F.struct(F.lit(span).cast("bigint").alias("ahead"), F.lit(False).alias("own")),
@@ -147,7 +145,7 @@ def trailing_count(
         .select(*keys, "__f", "__us", F.inline(places))
         # The moved copy only marks a time; it carries no payload.
         .withColumns({"__at": F.col("__us") + F.col("ahead"), "__f": F.when(F.col("own"), F.col("__f"))})
-        .withColumn("__slice", slice_of(F.col("__at")))
+        .withColumn("__slice", _slice(F.col("__at"), width))
     )
     whole = Window.partitionBy(*keys, "__slice")
     up_to_here = whole.orderBy("__at").rangeBetween(Window.unboundedPreceding, 0)
@@ -158,10 +156,11 @@ def trailing_count(
         "__tail": F.count_if(moved).over(whole) - F.count_if(moved).over(before_here),
     }).filter("own")
 
-    per_slice = df.groupBy(*keys, slice_of(micros).alias("__slice")).agg(F.count("*").alias("n"))
+    per_slice = df.groupBy(*keys, _slice(micros, width).alias("__slice")).agg(F.count("*").alias("n"))
     between = Window.partitionBy(*keys).orderBy("__slice").rangeBetween(-(slices_per_span - 1) * width, -width)
     full = per_slice.select(*keys, "__slice", F.coalesce(F.sum("n").over(between), F.lit(0)).alias("__full"))
-    return local.join(full, [*keys, "__slice"]).select(
+    on = [local[c].eqNullSafe(full[c]) for c in (*keys, "__slice")]
+    return local.join(full, on).select(
         "__f.*", (F.col("__own") + F.col("__full") + F.col("__tail")).cast("bigint").alias(name)
     )
 
@@ -172,13 +171,13 @@ def sessions(df: DataFrame, keys: list[str], time: str, gap_seconds: int, amount
     Rows within one gap-wide slice always belong together, so the slices are summed first (combined
     on the map side) and only the summaries are ordered per key.
     """
-    micros = F.unix_micros(F.col(time).cast("timestamp"))
+    micros = _micros(time)
     gap = gap_seconds * 1_000_000
-    slices = df.groupBy(*keys, (micros - F.pmod(micros, F.lit(gap))).alias("__slice")).agg(
+    slices = df.groupBy(*keys, _slice(micros, gap).alias("__slice")).agg(
         F.min(time).alias("first"), F.max(time).alias("last"), F.count("*").alias("n"), F.sum(amount).alias("total"),
     )
     ordered = Window.partitionBy(*keys).orderBy("__slice")
-    idle = F.unix_micros(F.col("first").cast("timestamp")) - F.unix_micros(F.lag("last").over(ordered).cast("timestamp"))
+    idle = _micros("first") - F.unix_micros(F.lag("last").over(ordered).cast("timestamp"))
     starts = slices.withColumn("__starts", F.coalesce(idle > gap, F.lit(True)).cast("bigint"))
     numbered = starts.withColumn("__session", F.sum("__starts").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
     return (

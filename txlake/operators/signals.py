@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txlake.operators.enrich import behavior_profile
@@ -26,12 +28,15 @@ def high_amount(tx: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def geo(enriched: DataFrame, travel: DataFrame) -> DataFrame:
+def geo_risk() -> Column:
     """New region, or farther from home than the customer usually travels."""
     far = F.col("DISTANCE_FROM_HOME_KM") > F.col("AVG_TRAVEL_DISTANCE_KM")
-    return enriched.join(travel, "CUSTOMER_ID", "left").withColumn(
-        "IS_GEO_RISK", F.coalesce(F.col("IS_NEW_REGION") | far, F.lit(False))
-    )
+    return F.coalesce(F.col("IS_NEW_REGION") | far, F.lit(False))
+
+
+def geo(enriched: DataFrame) -> DataFrame:
+    """Enriched transactions that kept AVG_TRAVEL_DISTANCE_KM, with the geographic signal."""
+    return enriched.withColumn("IS_GEO_RISK", geo_risk())
 
 
 def burst(tx: DataFrame, rows: int = BURST_ROWS, seconds: int = BURST_SECONDS) -> DataFrame:
@@ -40,23 +45,25 @@ def burst(tx: DataFrame, rows: int = BURST_ROWS, seconds: int = BURST_SECONDS) -
     return counted.withColumn("IS_BURST", F.col("N_RECENT") >= rows)
 
 
-def score(enriched: DataFrame, customers: DataFrame, travel: DataFrame) -> DataFrame:
-    """Number of signals raised per transaction, 0 to 3.
+def usual(customers: DataFrame, travel: DataFrame) -> DataFrame:
+    """What is usual for a customer: profile mean and travel distance, one row each."""
+    return customers.select("CUSTOMER_ID", F.col("mean_amount").alias("USUAL_AMOUNT")).join(travel, "CUSTOMER_ID", "left")
+
 
-    The profile mean and travel distance are joined as one row per customer, so the transactions are
-    joined once and then counted per time slice.
+SCORE_INPUTS = ("IS_BURST", "USUAL_AMOUNT", "AVG_TRAVEL_DISTANCE_KM")
+
+
+def score(enriched: DataFrame) -> DataFrame:
+    """Number of signals raised per transaction, 0 to 3, from enriched transactions that kept SCORE_INPUTS.
+
+    The trailing count belongs before the enrichment: it then reads three columns of the transactions
+    and not the result of the joins.
     """
-    usual = customers.select("CUSTOMER_ID", F.col("mean_amount").alias("__profile")).join(travel, "CUSTOMER_ID", "left")
-    high = F.col("TX_AMOUNT") > HIGH_AMOUNT_FACTOR * F.col("__profile")
-    strange = F.col("IS_NEW_REGION") | (F.col("DISTANCE_FROM_HOME_KM") > F.col("AVG_TRAVEL_DISTANCE_KM"))
-    flagged = enriched.join(usual, "CUSTOMER_ID", "left").select(
-        "TRANSACTION_ID", "CUSTOMER_ID", "TX_DATETIME",
-        F.coalesce(high, F.lit(False)).alias("IS_HIGH_AMOUNT"),
-        F.coalesce(strange, F.lit(False)).alias("IS_GEO_RISK"),
-    )
-    flags = ("IS_HIGH_AMOUNT", "IS_GEO_RISK", "IS_BURST")
-    total = sum((F.col(f).cast("int") for f in flags), F.lit(0))
-    return burst(flagged).select("TRANSACTION_ID", "CUSTOMER_ID", *flags, total.alias("score"))
+    high = F.coalesce(F.col("TX_AMOUNT") > HIGH_AMOUNT_FACTOR * F.col("USUAL_AMOUNT"), F.lit(False))
+    flags = {"IS_HIGH_AMOUNT": high, "IS_GEO_RISK": geo_risk(), "IS_BURST": F.col("IS_BURST")}
+    flagged = enriched.select("TRANSACTION_ID", "CUSTOMER_ID", *[c.alias(n) for n, c in flags.items()])
+    total = reduce(Column.__add__, [F.col(n).cast("int") for n in flags])
+    return flagged.withColumn("score", total)
 
 
 def top_customers(scored: DataFrame, n: int = 20) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +9,7 @@ from txlake.operators import scd2
 from txlake.registry import ENTITIES, PROFILE_BUCKETS, Entity, entity
 
 STATUS_SCHEMA = "entity STRING, records BIGINT, status STRING"
+COMMIT_SCHEMA = "batch_id STRING, seq BIGINT"
 
 
 # ---- Catalog ----
@@ -99,16 +99,14 @@ class DimensionTable:
         self.entity = entity(kind)
         self.data = f"{root}/{self.entity.table}/data"
         self.log = f"{root}/{self.entity.table}/commits"
+        # Creates the empty log; nothing happens where there is one.
+        spark.createDataFrame([], COMMIT_SCHEMA).write.mode("ignore").parquet(self.log)
 
-    def commits(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema("batch_id STRING, seq BIGINT").parquet(self.log)
-        except AnalysisException:
-            return None
+    def commits(self) -> DataFrame:
+        return self.spark.read.schema(COMMIT_SCHEMA).parquet(self.log)
 
     def _live(self) -> tuple[str, int] | None:
-        done = self.commits()
-        row = done.orderBy(F.desc("seq")).first() if done is not None else None
+        row = self.commits().orderBy(F.desc("seq")).first()
         return (row["batch_id"], row["seq"]) if row else None
 
     def _files(self) -> DataFrame:

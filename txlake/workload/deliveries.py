@@ -41,9 +41,10 @@ def middle(fx: Frames) -> DataFrame:
     return enrich.centroids(fx["geo"], "region", "x", "y")
 
 
-def enriched(fx: Frames) -> DataFrame:
+def enriched(fx: Frames, tx: DataFrame | None = None, **options) -> DataFrame:
+    rows = fx["tx"] if tx is None else tx
     return enrich.enrich(
-        fx["tx"], fx["customers_v1"], fx["terminals_v1"], fx["travel_profiles"], middle(fx), START
+        rows, fx["customers_v1"], fx["terminals_v1"], fx["travel_profiles"], middle(fx), START, **options
     )
 
 

@@ -105,14 +105,6 @@ def _(fx):
     return table.read()
 
 
-def _catalog(fx) -> str:
-    """Catalog tables of a new database, loaded with one batch."""
-    database = f"txlake_{uuid.uuid4().hex}"
-    for _ in range(2):
-        tables.create_tables(fx.spark, database, workspace(fx.spark, "catalog") if _ == 0 else "unused")
-    return database
-
-
 @query(
     "table_catalog_columns",
     " UNION ALL ".join(
@@ -136,7 +128,7 @@ def _(fx):
         types = {f.name: f.dataType.simpleString() for f in table.schema}
         filled = table.agg(*[F.count(c).alias(c) for c in e.columns]).unpivot([], e.columns, "column_name", "n_filled")
         kinds = F.create_map(*[F.lit(x) for c in e.columns for x in (c, types[c])])
-        parts.append(filled.select(F.lit(e.table).alias("table_name"), "column_name", kinds["column_name"].alias("data_type"), "n_filled"))
+        parts.append(filled.select(F.lit(e.table).alias("table_name"), "column_name", kinds[F.col("column_name")].alias("data_type"), "n_filled"))
     return quality.union_all(parts)
 
 

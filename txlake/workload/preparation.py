@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from txlake.operators import prepare as p
-from txlake.workload.deliveries import AS_OF, BATCH, LOADED
+from txlake.workload.deliveries import AS_OF, BATCH
 from txlake.workload.oracle_frames import C_COLS, TOKENS, stamp
 from txlake.workload.registry import query
 
@@ -39,8 +39,8 @@ def _(fx):
 @query(
     "normalize_timestamps",
     f"""
-SELECT TRANSACTION_ID, CASE TERMINAL_ID WHEN '1' THEN at - INTERVAL 2 HOUR WHEN '2' THEN at + INTERVAL 330 MINUTE ELSE at END AS TX_DATETIME
-FROM (SELECT *, CASE WHEN TX_DATETIME NOT IN {TOKENS} THEN TRY_CAST(TX_DATETIME AS TIMESTAMP) END AS at FROM {{tx_raw}})""",
+SELECT TRANSACTION_ID, CASE TERMINAL_ID WHEN '1' THEN told - INTERVAL 2 HOUR WHEN '2' THEN told + INTERVAL 330 MINUTE ELSE told END AS TX_DATETIME
+FROM (SELECT *, CASE WHEN TX_DATETIME NOT IN {TOKENS} THEN TRY_CAST(TX_DATETIME AS TIMESTAMP) END AS told FROM {{tx_raw}})""",
 )
 def _(fx):
     """Text times with offsets, with a T, and unreadable ones."""

@@ -8,7 +8,7 @@ from txlake.functions.geo import haversine_km, lower_clamp
 from txlake.operators import enrich, facts, history, quality, signals
 from txlake.operators.prepare import coerce_columns, prepare, time_literal
 from txlake.registry import ENTITIES
-from txlake.workload.deliveries import AS_OF, BATCH, START, enriched, merged, middle, stored, travel_km
+from txlake.workload.deliveries import AS_OF, BATCH, START, enriched, merged, middle, travel_km
 from txlake.workload.oracle_frames import haversine, stamp
 from txlake.workload.registry import query
 
@@ -126,12 +126,13 @@ def _(fx):
 
 @query(
     "customer_behavior_profile",
-    "SELECT CUSTOMER_ID, round(avg(TX_AMOUNT), 6) AS mean_amount, round(stddev_samp(TX_AMOUNT), 6) AS std_amount, "
+    "SELECT CUSTOMER_ID, round(avg(TX_AMOUNT), 9) AS mean_amount, round(stddev_samp(TX_AMOUNT), 6) AS std_amount, "
     "round(count(*) / CAST(count(DISTINCT CAST(TX_DATETIME AS DATE)) AS DOUBLE), 6) AS mean_nb_tx_per_day FROM {tx} GROUP BY 1",
 )
 def _(fx):
     profile = enrich.behavior_profile(fx["tx"])
-    return profile.select("CUSTOMER_ID", *[F.round(c, 6).alias(c) for c in ("mean_amount", "std_amount", "mean_nb_tx_per_day")])
+    digits = {"mean_amount": 9, "std_amount": 6, "mean_nb_tx_per_day": 6}
+    return profile.select("CUSTOMER_ID", *[F.round(c, n).alias(c) for c, n in digits.items()])
 
 
 # ---- Facts ----
@@ -256,7 +257,8 @@ SELECT e.TRANSACTION_ID, e.IS_NEW_REGION, e.DISTANCE_FROM_HOME_KM, k.AVG_TRAVEL_
 FROM {enriched} e LEFT JOIN {travel_km} k ON e.CUSTOMER_ID = k.CUSTOMER_ID""",
 )
 def _(fx):
-    return signals.geo(enriched(fx), travel_km(fx)).select(
+    rows = enriched(fx, about_customer=travel_km(fx), keep=("AVG_TRAVEL_DISTANCE_KM",))
+    return signals.geo(rows).select(
         "TRANSACTION_ID", "IS_NEW_REGION", "DISTANCE_FROM_HOME_KM", "AVG_TRAVEL_DISTANCE_KM", "IS_GEO_RISK"
     )
 
@@ -271,7 +273,8 @@ def _(fx):
 
 
 def _scored(fx):
-    return signals.score(enriched(fx), fx["customers_v1"], travel_km(fx))
+    usual = signals.usual(fx["customers_v1"], travel_km(fx))
+    return signals.score(enriched(fx, signals.burst(fx["tx"]), about_customer=usual, keep=signals.SCORE_INPUTS))
 
 
 _SCORE = "CAST(IS_HIGH_AMOUNT AS INTEGER) + CAST(IS_GEO_RISK AS INTEGER) + CAST(IS_BURST AS INTEGER)"
