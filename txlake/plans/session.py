@@ -35,6 +35,7 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
