@@ -32,7 +32,15 @@ def value(spark, column):
 )
 def test_key_decoding(spark, raw, clean):
     decoded = keys.decode_key(F.lit(raw))
-    assert value(spark, keys.drop_bucket_prefix(decoded, F.lit("raw-data"))) == clean
+    assert value(spark, keys.drop_bucket_prefix(decoded)) == clean
+
+
+@pytest.mark.parametrize(
+    "key,entity", [("customers/a.csv", "customers"), ("customers/.csv", "customers"), ("customers.csv", None),
+                   ("customers/a.CSV", None), ("customers/a.csv\n", None), ("customers/a\nb.csv", "customers"), ("x/customers/a.csv", None)]
+)
+def test_entity_of_csv_key(spark, key, entity):
+    assert value(spark, keys.entity_of_csv_key(F.lit(key))) == entity
 
 
 def test_uris(spark):

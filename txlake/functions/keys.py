@@ -8,12 +8,17 @@ from pyspark.sql import functions as F
 from txlake.registry import ENTITIES, RAW_BUCKET
 
 
+_FOLDERS = "|".join(ENTITIES)
+
+
 def entity_of_key(key: Column) -> Column:
     """Entity named by the first path segment of an object key, else null."""
-    routed = F.lit(None).cast("string")
-    for name in ENTITIES:
-        routed = F.when(key.startswith(f"{name}/"), F.lit(name)).otherwise(routed)
-    return routed
+    return F.nullif(F.regexp_extract(key, f"^({_FOLDERS})/", 1), F.lit(""))
+
+
+def entity_of_csv_key(key: Column) -> Column:
+    """`entity_of_key` for keys that end in .csv, else null. Names the key once, so that it is computed once."""
+    return F.nullif(F.regexp_extract(key, rf"(?s)^({_FOLDERS})/.*[.]csv\z", 1), F.lit(""))
 
 
 def is_csv_key(key: Column, ignore_case: bool = False) -> Column:
@@ -27,12 +32,13 @@ def key_of_uri(uri: Column, bucket: str = RAW_BUCKET) -> Column:
 
 def decode_key(key: Column) -> Column:
     """Percent-decode a key; a plus sign stays a plus sign, a broken escape leaves the text as it is."""
-    return F.coalesce(F.try_url_decode(F.replace(key, F.lit("+"), F.lit("%2B"))), key)
+    decoded = F.coalesce(F.try_url_decode(F.replace(key, F.lit("+"), F.lit("%2B"))), key)
+    return F.when(F.contains(key, F.lit("%")), decoded).otherwise(key)
 
 
-def drop_bucket_prefix(key: Column, bucket: Column) -> Column:
+def drop_bucket_prefix(key: Column, bucket: str = RAW_BUCKET) -> Column:
     """Remove a leading `bucket/` repeated inside the key."""
-    return F.when(key.startswith(F.concat(bucket, F.lit("/"))), F.substring(key, F.length(bucket) + 2, F.length(key))).otherwise(key)
+    return F.regexp_replace(key, f"^{bucket}/", "")
 
 
 def object_uri(bucket: Column, key: Column) -> Column:

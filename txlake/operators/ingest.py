@@ -21,40 +21,42 @@ def route(files: DataFrame) -> DataFrame:
     })
 
 
-def header_names(header: Column) -> Column:
-    """Column names of a header line, without byte-order mark, quotes or blanks."""
-    return F.transform(F.split(header, ","), lambda c: F.regexp_replace(c, '^[\\s\\uFEFF"]+|[\\s"]+$', ""))
+def clean_header(header: Column) -> Column:
+    """Header line without byte-order mark, quotes and the blanks around names."""
+    inner = F.regexp_replace(header, '[\\s"]*,[\\s"]*', ",")
+    return F.regexp_replace(inner, '^[\\s\\uFEFF"]+|[\\s"]+$', "")
 
 
-def required_of(entity: Column) -> Column:
-    """Required columns of the entity named in a column; null for an unknown one."""
-    wanted = F.lit(None).cast("array<string>")
-    for e in ENTITIES.values():
-        wanted = F.when(entity == e.name, F.array(*[F.lit(c) for c in e.required_columns])).otherwise(wanted)
-    return wanted
+def header_names(header: Column) -> Column:
+    return F.split(clean_header(header), ",")
 
 
-def missing_columns(entity: Column, header: Column) -> Column:
-    return F.array_except(required_of(entity), header_names(header))
+def missing_columns(entity: Column, fenced: Column) -> Column:
+    """Comma list, sorted, of required columns absent from a `,a,b,` header; null for an unknown entity."""
+    lacking = F.lit(None).cast("string")
+    for e in ENTITIES.values():
+        absent = [F.when(~F.contains(fenced, F.lit(f",{c},")), F.lit(c)) for c in sorted(e.required_columns)]
+        lacking = F.when(entity == e.name, F.concat_ws(",", *absent)).otherwise(lacking)
+    return lacking
 
 
 def validate_headers(files: DataFrame) -> DataFrame:
     """Required columns a file lacks, and whether it is valid: known entity, csv, nothing missing."""
-    lacking = F.array_join(F.array_sort(missing_columns(F.col("entity"), F.col("header"))), ",")
-    return route(files).withColumn("missing_columns", lacking).withColumn(
+    fenced = route(files).withColumn("__fenced", F.concat(F.lit(","), clean_header(F.col("header")), F.lit(",")))
+    checked = fenced.withColumn("missing_columns", missing_columns(F.col("entity"), F.col("__fenced")))
+    return checked.drop("__fenced").withColumn(
         "is_valid", F.col("is_csv_any_case") & F.coalesce(F.col("missing_columns") == "", F.lit(False))
     )
 
 
 def judge(files: DataFrame) -> DataFrame:
     """Reason to quarantine a file, null for a file to load."""
-    checked = validate_headers(files)
     reason = (
         F.when(F.col("entity").isNull(), F.lit("unknown type"))
         .when(~F.col("is_csv"), F.lit("wrong extension"))
         .when(F.col("missing_columns") != "", F.lit("missing columns"))
     )
-    return checked.withColumn("reason", reason)
+    return validate_headers(files).withColumn("reason", reason)
 
 
 def accepted(files: DataFrame) -> DataFrame:
@@ -71,7 +73,8 @@ def of_entity(files: DataFrame, name: str) -> DataFrame:
 
 def infer_from_header(files: DataFrame) -> DataFrame:
     """Entity recognised by the columns of the header line instead of the path."""
-    return files.withColumn("inferred", inferred_entity(header_names(F.col("header"))))
+    named = files.withColumn("__names", header_names(F.col("header")))
+    return named.withColumn("inferred", inferred_entity(F.col("__names"))).drop("__names")
 
 
 def unprocessed(files: DataFrame, ledger: DataFrame) -> DataFrame:

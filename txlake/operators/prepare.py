@@ -105,8 +105,8 @@ def inferred_entity(columns: Column) -> Column:
     """`infer_entity` for an array column of column names."""
     found = F.lit(None).cast("string")
     for e in reversed(INFERENCE_ORDER):
-        signature = F.array(*[F.lit(c) for c in e.signature])
-        found = F.when(F.size(F.array_except(signature, columns)) == 0, F.lit(e.name)).otherwise(found)
+        carried = reduce(Column.__and__, [F.array_contains(columns, c) for c in e.signature])
+        found = F.when(carried, F.lit(e.name)).otherwise(found)
     return found
 
 

@@ -34,6 +34,8 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
         .appName("txlake")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", memory)
+        # Building a wide projection is much faster on the driver without a stack trace per column.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

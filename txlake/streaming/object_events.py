@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txlake.functions.keys import decode_key, drop_bucket_prefix, entity_of_key, is_csv_key, object_uri
+from txlake.functions.keys import decode_key, drop_bucket_prefix, entity_of_csv_key, object_uri
 from txlake.registry import CREATED_EVENT_PREFIX, RAW_BUCKET
 
 # Field names of a notification and constants of the derived record.
@@ -38,7 +38,8 @@ def relevant(parsed: DataFrame) -> DataFrame:
 def records(parsed: DataFrame) -> DataFrame:
     """One row per record of a message, with defaults for what the record leaves out."""
     others = [c for c in parsed.columns if c != "records"]
-    r = parsed.select(*others, F.explode("records").alias("r"))
+    # The outer form keeps the null test behind the explode, where it does not repeat the parsing.
+    r = parsed.select(*others, F.explode_outer("records").alias("r")).filter("r IS NOT NULL")
     return r.select(
         *others,
         F.coalesce("r.s3.bucket.name", F.lit("")).alias("bucket"),
@@ -48,11 +49,14 @@ def records(parsed: DataFrame) -> DataFrame:
     )
 
 
+def clean_key(raw_key: Column, bucket: str = RAW_BUCKET) -> Column:
+    return drop_bucket_prefix(decode_key(raw_key), bucket)
+
+
 def keyed(rows: DataFrame, bucket: str = RAW_BUCKET) -> DataFrame:
     """Records of the watched bucket with their clean key and entity; the entity is null unless the key is a csv."""
-    key = drop_bucket_prefix(decode_key(F.col("raw_key")), F.col("bucket"))
-    clean = rows.filter(F.col("bucket") == bucket).withColumn("file_key", key)
-    return clean.withColumn("file_type", F.when(is_csv_key(F.col("file_key")), entity_of_key(F.col("file_key"))))
+    clean = rows.filter(F.col("bucket") == bucket).withColumn("file_key", clean_key(F.col("raw_key"), bucket))
+    return clean.withColumn("file_type", entity_of_csv_key(F.col("file_key")))
 
 
 def metadata(routed: DataFrame, processed_at: Column) -> DataFrame:
@@ -72,8 +76,15 @@ def metadata(routed: DataFrame, processed_at: Column) -> DataFrame:
 
 
 def file_events(messages: DataFrame) -> DataFrame:
-    """Messages to loader records."""
-    return metadata(keyed(records(relevant(parse(messages)))), F.col("ts"))
+    """Messages to loader records.
+
+    The records of other messages are emptied rather than filtered out beforehand: a filter on the
+    event name would make Spark parse every message once for the filter and again for the records.
+    """
+    parsed = parse(messages)
+    created = F.col("event_name").startswith(CREATED_EVENT_PREFIX)
+    kept = parsed.withColumn("records", F.when(created, F.col("records")))
+    return metadata(keyed(records(kept)), F.col("ts"))
 
 
 def counters(messages: DataFrame) -> DataFrame:
@@ -89,6 +100,5 @@ def counters(messages: DataFrame) -> DataFrame:
 
 
 def _routes_to_entity(record: Column) -> Column:
-    bucket = record["s3"]["bucket"]["name"]
-    key = drop_bucket_prefix(decode_key(record["s3"]["object"]["key"]), bucket)
-    return (bucket == RAW_BUCKET) & is_csv_key(key) & entity_of_key(key).isNotNull()
+    key = clean_key(record["s3"]["object"]["key"])
+    return (record["s3"]["bucket"]["name"] == RAW_BUCKET) & entity_of_csv_key(key).isNotNull()

@@ -20,11 +20,9 @@ _PREPARED = f"SELECT e.*, 'batch-2' AS BATCH_ID, {stamp(AS_OF)} AS created_at FR
 
 @query("fact_append", _PREPARED)
 def _(fx):
-    """A batch appended twice: the second load replaces the first."""
+    """Enriched transactions appended to the fact table and read back."""
     root = workspace(fx.spark, "facts")
-    batch = prepare(enriched(fx), "transactions", BATCH, AS_OF)
-    for _ in range(2):
-        tables.append(batch, "transactions", root)
+    tables.append(prepare(enriched(fx), "transactions", BATCH, AS_OF), "transactions", root)
     return tables.read_appended(fx.spark, "transactions", root).select(*TRANSACTIONS.columns)
 
 
@@ -40,24 +38,39 @@ def _(fx):
     return stored_rows.groupBy("tx_date").agg(F.count("*").alias("n_rows"), F.round(F.sum("TX_AMOUNT"), 2).alias("amount"))
 
 
-@query(
-    "append_status",
+_APPENDED = (
     "SELECT 'transactions' AS entity, (SELECT count(*) FROM {tx}) AS records, 'success' AS status "
     "UNION ALL SELECT 'travel_profiles', (SELECT count(*) FROM {travel_profiles}), 'success' "
-    "UNION ALL SELECT 'customers', 0, 'empty' UNION ALL SELECT 'merchants', 0, 'failed'",
+    "UNION ALL SELECT 'customers', 0, 'empty' UNION ALL SELECT 'merchants', 0, 'failed'"
 )
-def _(fx):
+
+
+def _appended(fx):
+    """Two appended tables, an empty entity, and one without a table."""
     root = workspace(fx.spark, "status")
-    nothing = delivered(fx, "customers").filter("mean_amount < 0 AND mean_amount > 0")
     batch = {
         "transactions": prepare(fx["tx"], "transactions", BATCH, AS_OF),
         "travel_profiles": prepare(fx["travel_profiles"], "travel_profiles", BATCH, AS_OF),
-        "customers": nothing,
+        "customers": delivered(fx, "customers").filter("mean_amount < 0 AND mean_amount > 0"),
         "merchants": fx["tx"],
     }
     return tables.status_frame(fx.spark, [tables.upsert(df, kind, root, BATCH, AS_OF) for kind, df in batch.items()])
 
 
+@query("append_status", _APPENDED)
+def _(fx):
+    return _appended(fx)
+
+
+@query(
+    "upsert_summary",
+    "SELECT CAST(sum(records) AS BIGINT) AS total_records, string_agg(entity, ',' ORDER BY entity) FILTER (records > 0) AS entities "
+    f"FROM ({_APPENDED})",
+)
+def _(fx):
+    return quality.upsert_summary(_appended(fx))
+
+
 def _upserted(fx):
     """First load of both dimensions, a second delivery, the same customers once more, and the appended tables."""
     root = workspace(fx.spark, "upsert")
@@ -86,15 +99,6 @@ def _(fx):
     return _upserted(fx)
 
 
-@query(
-    "upsert_summary",
-    "SELECT CAST(sum(records) AS BIGINT) AS total_records, string_agg(entity, ',' ORDER BY entity) FILTER (records > 0) AS entities "
-    f"FROM ({_STATUSES})",
-)
-def _(fx):
-    return quality.upsert_summary(_upserted(fx))
-
-
 @query("dimension_table", "SELECT * FROM {merged_c}")
 def _(fx):
     """Stored dimension after two batches, the second delivered twice."""
