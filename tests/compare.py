@@ -20,7 +20,8 @@ def open_duckdb(sf_dir: str):
 
 def _norm(value):
     if isinstance(value, float):
-        return None if math.isnan(value) else float(f"{value:.10g}")
+        # Exact, but for the sign of zero.
+        return None if math.isnan(value) else value + 0.0
     return value
 
 

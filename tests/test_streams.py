@@ -69,6 +69,17 @@ def test_repeats_are_dropped_across_batches(spark, landed):
     assert spark.read.parquet(f"{base}/out").count() == events.count()
 
 
+def test_unseen_ids_survive_a_repeated_batch(spark, landed):
+    """Old events that come after newer ones are kept, copies are not, and a lost commit changes nothing."""
+    base = workspace(spark, "unseen")
+    events = spark.read.schema(SCHEMAS["events"]).parquet(landed)
+    for part in (events.filter("event_id >= 500"), events, events.filter("event_id < 10")):
+        part.coalesce(1).write.mode("append").parquet(f"{base}/in")
+        for checkpoint in ("a", "b"):
+            loads.append_unseen(stream(spark, f"{base}/in"), f"{base}/out", f"{base}/{checkpoint}", "event_id", "ts")
+    same(spark.read.schema(SCHEMAS["events"]).parquet(f"{base}/out").select(*events.columns), events)
+
+
 def test_transactions_keep_late_rows(spark, landed):
     base = workspace(spark, "late")
     tx = stream(spark, landed).selectExpr(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txlake.operators.ingest import header_names
+from txlake.plans.session import shared_folder
 from txlake.registry import Entity, entity
 
 
@@ -29,14 +30,26 @@ def headers(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def scan(spark: SparkSession, path: str, kind: str | Entity, width: int = 64) -> DataFrame:
+# Up to this many header rows, a few hundred bytes each, are sent to all executors.
+BROADCAST_FILES = 100_000
+
+
+def scan(spark: SparkSession, path: str, kind: str | Entity) -> DataFrame:
     """Rows of all readable files under a path as text columns of the registry, plus `file_path`.
 
     Fields are read by position and picked by the name found in the header of their own file, so files
     with reordered, extra or missing columns load together in one scan. A registry column that no header
-    names is null. Files that vanish or cannot be read are left out. `width` bounds the columns per file.
+    names is null. Files that vanish or cannot be read are left out.
+
+    The headers are written once with a checkpoint, which also gives their number. They travel to the
+    rows by broadcast while they are few; beyond that by a shuffle join, where a file that is too large
+    for a task is split by the adaptive plan.
     """
     e = entity(kind)
+    shared_folder(spark)
+    found = headers(spark, path).select("file_path", header_names(F.col("header")).alias("names")).checkpoint()
+    n_files, width = found.agg(F.count("*"), F.coalesce(F.max(F.size("names")), F.lit(1))).first()
+    named = F.broadcast(found) if n_files <= BROADCAST_FILES else found
     places = ", ".join(f"c{i} STRING" for i in range(width))
     rows = (
         spark.read.schema(places)
@@ -49,14 +62,8 @@ def scan(spark: SparkSession, path: str, kind: str | Entity, width: int = 64) ->
         .csv(path)
         .select(F.col("_metadata.file_path").alias("file_path"), F.array(*[f"c{i}" for i in range(width)]).alias("fields"))
     )
-    named = headers(spark, path).select("file_path", header_names(F.col("header")).alias("names"))
     wanted = [
         F.when(F.array_contains("names", n), F.get("fields", F.array_position("names", n).cast("int") - 1)).alias(n)
         for n in e.columns
     ]
     return rows.join(named, "file_path").select("file_path", *wanted)
-
-
-def present_columns(df: DataFrame, names: set[str]) -> DataFrame:
-    """Keep the columns at least one header names, so that the preparation can tell absent from null."""
-    return df.select(*[c for c in df.columns if c in names])

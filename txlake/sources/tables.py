@@ -54,32 +54,36 @@ def insert(df: DataFrame, database: str, kind: str | Entity) -> None:
 # ---- Facts and appended tables ----
 
 
+def with_layout(df: DataFrame, kind: str | Entity) -> tuple[DataFrame, list[str]]:
+    """Rows with the partition columns of an appended table: day or hash bucket, then batch."""
+    e = entity(kind)
+    if e.bucket_by:
+        bucket = F.pmod(F.xxhash64(e.bucket_by), F.lit(PROFILE_BUCKETS)).cast("int")
+        return df.withColumn("customer_bucket", bucket), ["customer_bucket", "BATCH_ID"]
+    return with_day(df, e), [day_column(e), "BATCH_ID"]
+
+
 def append(df: DataFrame, kind: str | Entity, root: str) -> int:
-    """Append prepared rows under `root`, partitioned by day and batch; returns the rows written.
+    """Append prepared rows under `root`, partitioned by day (or key bucket) and batch; returns the rows written.
 
     A batch owns its partitions: loading it again replaces them, so a retry cannot double rows. The
     rebalance gathers a day into few files and splits a day that is too large for one.
     """
-    e = entity(kind)
-    rows = with_day(df, e)
-    parts = [c for c in (day_column(e), "BATCH_ID") if c]
+    rows, parts = with_layout(df, kind)
     seen = Observation()
     rows = rows.observe(seen, F.count(F.lit(1)).alias("n"))
     spread = rows.hint("rebalance", *[F.col(p) for p in parts])
     spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(
-        f"{root}/{e.table}"
+        f"{root}/{entity(kind).table}"
     )
     return seen.get["n"]
 
 
 def read_appended(spark: SparkSession, kind: str | Entity, root: str) -> DataFrame:
     e = entity(kind)
-    return spark.read.schema(read_schema(e)).parquet(f"{root}/{e.table}")
-
-
-def read_schema(e: Entity) -> str:
     fields = [f"{n} {t.simpleString()}" for n, t in e.fields]
-    return ", ".join(fields + ([f"{day_column(e)} date"] if e.day_of else []))
+    fields.append("customer_bucket INT" if e.bucket_by else f"{day_column(e)} DATE")
+    return spark.read.schema(", ".join(fields)).parquet(f"{root}/{e.table}")
 
 
 # ---- Dimensions ----
@@ -148,6 +152,8 @@ class DimensionTable:
             rows.withColumn("effective_day", F.to_date("effective_date"))
             .hint("rebalance", F.col("is_current"), F.col("effective_day"))
             .write.mode("overwrite")
+            # Everything a died attempt left in the folder of this batch has to go.
+            .option("partitionOverwriteMode", "static")
             .partitionBy("is_current", "effective_day")
             .parquet(f"{self.data}/loaded_by={batch_id}")
         )

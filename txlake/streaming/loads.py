@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txlake.operators.prepare import prepare
+from txlake.operators.scd2 import one_per_key
 from txlake.sources.tables import DimensionTable, with_day
 from txlake.streaming.object_events import file_events
 from txlake.streaming.runs import append_available, each_batch, write_epoch
@@ -17,6 +19,28 @@ def append_transactions(stream: DataFrame, target: str, checkpoint: str, batch_i
     append_available(rows, target, checkpoint, ("tx_date",))
 
 
+def append_unseen(stream: DataFrame, target: str, checkpoint: str, key: str, time: str) -> None:
+    """Append each id once, however late its copies come; no row is dropped for its age.
+
+    Copies of a row share its day, so a micro-batch looks for its ids only in the stored days it
+    touches. The list of those days is as short as the calendar.
+    """
+    spark = stream.sparkSession
+    fields = T.StructType([*stream.schema, T.StructField("day", T.DateType()), T.StructField("epoch", T.IntegerType())])
+    others = [c for c in stream.columns if c != key]
+    spark.createDataFrame([], fields).write.mode("ignore").partitionBy("day", "epoch").parquet(target)
+
+    def step(batch: DataFrame, epoch: int) -> None:
+        session = batch.sparkSession
+        rows = one_per_key(batch, [key], others).withColumn("day", F.to_date(time))
+        days = [r["day"] for r in batch.select(F.to_date(time).alias("day")).distinct().collect()]
+        stored = session.read.schema(fields).parquet(target).filter(F.col("day").isin(days) & (F.col("epoch") != epoch))
+        fresh = rows.join(stored.select("day", key), ["day", key], "left_anti").withColumn("epoch", F.lit(epoch))
+        fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "epoch").parquet(target)
+
+    each_batch(stream, step, checkpoint)
+
+
 def queue_files(messages: DataFrame, target: str, checkpoint: str) -> None:
     """Work queue: one entry per file to load, written per micro-batch."""
     write = write_epoch(target)

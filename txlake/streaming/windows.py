@@ -38,12 +38,16 @@ def run_counts(stream: DataFrame, name: str = "counts") -> DataFrame:
 
 
 def drop_repeats(stream: DataFrame, key: str = "event_id", delay: str = "10 minutes") -> DataFrame:
-    """One event per id among those that arrive within the delay of each other."""
+    """One event per id among those that arrive within the delay of each other.
+
+    State is bounded by the delay, at the price that Spark discards events older than it; where every
+    event has to be kept, `loads.append_unseen` looks into the stored days instead.
+    """
     return event_time(stream).withWatermark("ts", delay).dropDuplicatesWithinWatermark([key])
 
 
 def session_counts(stream: DataFrame, key: str, gap: str = "30 minutes", delay: str = "10 minutes") -> DataFrame:
-    """Closed activity sessions of a stream."""
+    """Closed activity sessions of a stream; `history.sessions` is the form for stored rows, without a delay."""
     return (
         event_time(stream)
         .withWatermark("ts", delay)

@@ -88,6 +88,18 @@ def _(fx):
     return fx.spark.read.schema(once.schema).parquet(target)
 
 
+@query("stream_append_unseen", "SELECT event_id, ts, user_id, event_type FROM {events}")
+def _(fx):
+    """Every event arrives twice, its copy in a later micro-batch; each is stored once."""
+    base = workspace(fx.spark, "unseen")
+    events = fx["events"].select("event_id", "ts", "user_id", "event_type")
+    for _ in range(2):
+        events.coalesce(1).write.mode("append").parquet(f"{base}/landing")
+    stream = runs.read_folder(fx.spark, f"{base}/landing", events.schema, files_per_batch=1)
+    loads.append_unseen(stream, f"{base}/data", f"{base}/checkpoint", "event_id", "ts")
+    return fx.spark.read.schema(events.schema).parquet(f"{base}/data").select(*events.columns)
+
+
 @query(
     "stream_tumbling_counts",
     "SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, event_type, count(*) AS n FROM {events} GROUP BY 1, 2",
