@@ -42,7 +42,9 @@ def missing_columns(entity: Column, fenced: Column) -> Column:
 
 def validate_headers(files: DataFrame) -> DataFrame:
     """Required columns a file lacks, and whether it is valid: known entity, csv, nothing missing."""
-    fenced = route(files).withColumn("__fenced", F.concat(F.lit(","), clean_header(F.col("header")), F.lit(",")))
+    # A file without a readable header lacks everything.
+    header = clean_header(F.coalesce("header", F.lit("")))
+    fenced = route(files).withColumn("__fenced", F.concat(F.lit(","), header, F.lit(",")))
     checked = fenced.withColumn("missing_columns", missing_columns(F.col("entity"), F.col("__fenced")))
     return checked.drop("__fenced").withColumn(
         "is_valid", F.col("is_csv_any_case") & F.coalesce(F.col("missing_columns") == "", F.lit(False))

@@ -38,10 +38,11 @@ def current_rows(dim: DataFrame, kind: str | Entity) -> DataFrame:
     return one_per_key(dim.filter("is_current"), list(e.history_key), order)
 
 
-def as_of(dim: DataFrame, when: str) -> DataFrame:
-    """The versions valid at a time."""
-    at = time_literal(when)
-    return dim.filter((F.col("effective_date") <= at) & (F.col("end_date").isNull() | (F.col("end_date") > at)))
+def as_of(dim: DataFrame, *times: str) -> DataFrame:
+    """The versions valid at each of the given times, as column `as_of`; one pass over the table."""
+    moments = F.explode(F.array(*[time_literal(t) for t in times]))
+    valid = (F.col("effective_date") <= F.col("as_of")) & (F.col("end_date").isNull() | (F.col("end_date") > F.col("as_of")))
+    return dim.withColumn("as_of", moments).filter(valid)
 
 
 def _compared(e: Entity, incoming: DataFrame, existing: DataFrame, compare: list[str] | None) -> list[str]:
@@ -210,27 +211,24 @@ def integrity(dim: DataFrame, kind: str | Entity) -> DataFrame:
     keys = list(entity(kind).history_key)
     versions = dim.groupBy(*keys, "version").agg(
         F.count("*").alias("copies"),
-        F.sum(F.col("is_current").cast("bigint")).alias("n_current"),
-        F.min("effective_date").alias("starts"),
+        F.count_if("is_current").alias("n_current"),
         F.max(F.coalesce("end_date", time_literal("9999-12-31 00:00:00"))).alias("ends"),
     )
-    per_key = versions.groupBy(*keys).agg(
-        F.sum("n_current").alias("n_current"),
-        (F.max("version") - F.min("version") + 1 - F.count("*")).alias("gaps"),
-        F.sum(F.col("copies") - 1).alias("copies"),
+    successor = dim.groupBy(*keys, (F.col("version") - 1).alias("version")).agg(F.min("effective_date").alias("next_starts"))
+    per_key = (
+        versions.join(successor, [*keys, "version"], "left")
+        .groupBy(*keys)
+        .agg(
+            F.sum("n_current").alias("n_current"),
+            (F.max("version") - F.min("version") + 1 - F.count("*")).alias("gaps"),
+            F.sum(F.col("copies") - 1).alias("copies"),
+            F.count_if(F.col("ends") > F.col("next_starts")).alias("overlaps"),
+        )
     )
-    key_checks = per_key.agg(
-        F.count_if(F.col("n_current") != 1).alias("not_one_current"),
-        F.count_if(F.col("gaps") != 0).alias("version_gap"),
-        F.count_if(F.col("copies") != 0).alias("repeated_version"),
-    ).select(F.inline(F.array(*[
-        F.struct(F.lit(n).alias("check"), F.col(n).alias("defects"))
-        for n in ("not_one_current", "version_gap", "repeated_version")
-    ])))
-    successor = versions.select(*keys, (F.col("version") - 1).alias("version"), F.col("starts").alias("next_starts"))
-    overlaps = (
-        versions.join(successor, [*keys, "version"])
-        .filter(F.col("ends") > F.col("next_starts"))
-        .agg(F.lit("overlap").alias("check"), F.count("*").alias("defects"))
-    )
-    return key_checks.unionByName(overlaps.select("check", "defects"))
+    checks = {
+        "not_one_current": F.count_if(F.col("n_current") != 1),
+        "version_gap": F.count_if(F.col("gaps") != 0),
+        "repeated_version": F.count_if(F.col("copies") != 0),
+        "overlap": F.coalesce(F.sum("overlaps"), F.lit(0)),
+    }
+    return per_key.agg(*[c.alias(n) for n, c in checks.items()]).unpivot([], list(checks), "check", "defects")

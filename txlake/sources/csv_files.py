@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txlake.functions.keys import decode_key
 from txlake.operators.ingest import header_names
 from txlake.plans.session import shared_folder
 from txlake.registry import Entity, entity
@@ -19,11 +20,20 @@ def write(df: DataFrame, path: str, rows_per_file: int | None = None) -> str:
     return path
 
 
-def headers(spark: SparkSession, path: str) -> DataFrame:
-    """First line of each file. Only the first block of a file is read."""
-    lines = spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).text(path)
+def headers(spark: SparkSession, path: str | list[str], keys: list[str] | None = None) -> DataFrame:
+    """First line of each file under some paths. Only the first block of a file is read.
+
+    With `keys`, only of the files `path/key`; keys without a file are left out. The file name is
+    tested while the files are listed, so the others are not opened.
+    """
+    lines = spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True)
+    rows = lines.option("ignoreMissingFiles", True).text(path)
+    if keys is not None:
+        # Spark shows file names percent-encoded.
+        names = sorted({k.rsplit("/", 1)[-1] for k in keys})
+        rows = rows.filter(decode_key(F.col("_metadata.file_name")).isin(names))
     return (
-        lines.filter("_metadata.file_block_start = 0")
+        rows.filter("_metadata.file_block_start = 0")
         .select(F.col("_metadata.file_path").alias("file_path"), "value", F.monotonically_increasing_id().alias("line"))
         .groupBy("file_path")
         .agg(F.min_by("value", "line").alias("header"))
@@ -34,8 +44,8 @@ def headers(spark: SparkSession, path: str) -> DataFrame:
 BROADCAST_FILES = 100_000
 
 
-def scan(spark: SparkSession, path: str, kind: str | Entity) -> DataFrame:
-    """Rows of all readable files under a path as text columns of the registry, plus `file_path`.
+def scan(spark: SparkSession, path: str | list[str], kind: str | Entity) -> DataFrame:
+    """Rows of all readable files under some paths as text columns of the registry, plus `file_path`.
 
     Fields are read by position and picked by the name found in the header of their own file, so files
     with reordered, extra or missing columns load together in one scan. A registry column that no header

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from txlake.operators.facts import touched_days, unseen
 from txlake.operators.prepare import prepare
-from txlake.operators.scd2 import one_per_key
 from txlake.sources.tables import DimensionTable, with_day
 from txlake.streaming.object_events import file_events
 from txlake.streaming.runs import append_available, each_batch, write_epoch
@@ -31,12 +31,12 @@ def append_unseen(stream: DataFrame, target: str, checkpoint: str, key: str, tim
     spark.createDataFrame([], fields).write.mode("ignore").partitionBy("day", "epoch").parquet(target)
 
     def step(batch: DataFrame, epoch: int) -> None:
-        session = batch.sparkSession
-        rows = one_per_key(batch, [key], others).withColumn("day", F.to_date(time))
-        days = [r["day"] for r in batch.select(F.to_date(time).alias("day")).distinct().collect()]
-        stored = session.read.schema(fields).parquet(target).filter(F.col("day").isin(days) & (F.col("epoch") != epoch))
-        fresh = rows.join(stored.select("day", key), ["day", key], "left_anti").withColumn("epoch", F.lit(epoch))
-        fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "epoch").parquet(target)
+        days = touched_days(batch, F.to_date(time))
+        stored = batch.sparkSession.read.schema(fields).parquet(target).filter(F.col("day").isin(days))
+        # What an earlier attempt of this micro-batch wrote is written again, in its place.
+        fresh = unseen(batch, stored.filter(F.col("epoch") != epoch), key, others)
+        rows = fresh.withColumns({"day": F.to_date(time), "epoch": F.lit(epoch)})
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "epoch").parquet(target)
 
     each_batch(stream, step, checkpoint)
 

@@ -10,13 +10,25 @@ from txlake.plans.session import workspace
 
 
 def read_folder(spark: SparkSession, path: str, schema, pattern: str = "*.parquet", files_per_batch: int | None = None):
-    """Stream of the files of a folder. `spark.readStream.format("kafka")` takes its place where there is a broker."""
+    """Stream of the files of a folder."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path)
 
 
+def read_topic(spark: SparkSession, servers: str, topic: str, start: str = "latest") -> DataFrame:
+    """Stream of the messages of a Kafka topic; needs Spark's Kafka connector on the class path.
+
+    Positions are kept in the checkpoint of the query, so no message is lost between runs.
+    """
+    source = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+    rows = source.option("subscribe", topic).option("startingOffsets", start).load()
+    return rows.selectExpr(
+        "concat(topic, '-', partition, '-', offset) AS event_id", "timestamp AS ts", "CAST(value AS STRING) AS payload"
+    )
+
+
 def append_available(df: DataFrame, target: str, checkpoint: str, partition_by: tuple[str, ...] = ()) -> None:
     """Append the rows of a stream to a folder, each input once."""
     writer = df.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")

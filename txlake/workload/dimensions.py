@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from txlake.operators import facts, history, scd2
 from txlake.registry import CUSTOMERS
 from txlake.workload.deliveries import AS_OF, delivered, delta, merged, shifted_tx, source_columns, stored
@@ -89,12 +87,7 @@ def _(fx):
     ),
 )
 def _(fx):
-    table = merged(fx, "customers")
-    views = [
-        scd2.as_of(table, t).select(F.lit(t).cast("timestamp_ntz").alias("as_of"), "*")
-        for t in ("2024-02-15 00:00:00", "2024-03-02 00:00:00")
-    ]
-    return views[0].unionByName(views[1])
+    return scd2.as_of(merged(fx, "customers"), "2024-02-15 00:00:00", "2024-03-02 00:00:00")
 
 
 @query(

@@ -9,7 +9,7 @@ from txlake.operators import enrich, facts, history, quality, signals
 from txlake.operators.prepare import coerce_columns, prepare, time_literal
 from txlake.registry import ENTITIES
 from txlake.workload.deliveries import AS_OF, BATCH, START, enriched, merged, middle, travel_km
-from txlake.workload.oracle_frames import haversine, stamp
+from txlake.workload.oracle_frames import haversine
 from txlake.workload.registry import query
 
 _CUT = "2024-01-16 00:00:00"
