@@ -53,6 +53,14 @@ def test_interrupted_load_is_invisible_and_repeatable(spark, table):
     assert state(table) == [(1, "a", 1, False), (1, "b", 2, True)]
 
 
+def test_batch_ids_may_hold_any_text(spark, table):
+    for i, name in enumerate(("2024/03:01 x", "a%b=c")):
+        rows = batch(spark, [(1, f"c{i}", "r")], name, DAY1)
+        assert table.load(rows, name, DAY1, COMPARE)[1] == "success"
+        assert table.load(rows, name, DAY1, COMPARE)[1] == "already_loaded"
+    assert state(table) == [(1, "c0", 1, False), (1, "c1", 2, True)]
+
+
 def test_current_read_is_pruned(spark, table):
     table.load(batch(spark, [(1, "a", "r")], "b1", DAY1), "b1", DAY1)
     plan = table.current().filter("CITY = 'a'")._jdf.queryExecution().executedPlan().toString()

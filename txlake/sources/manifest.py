@@ -44,7 +44,8 @@ def build(files: DataFrame, generated_at: str, files_per_document: int = FILES_P
 
 
 def write(manifests: DataFrame, path: str) -> str:
-    manifests.select("document").write.mode("overwrite").text(path)
+    """One document per file."""
+    manifests.select("document").write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
     return path
 
 

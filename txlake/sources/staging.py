@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from urllib.parse import quote
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ log = logging.getLogger(__name__)
 
 
 def stage_path(root: str, batch_id: str, kind: str) -> str:
-    return f"{root}/temp/parquet/{batch_id}/{kind}"
+    return f"{root}/temp/parquet/{quote(batch_id, safe='')}/{kind}"
 
 
 def write_one(df: DataFrame, root: str, batch_id: str, kind: str) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,8 +73,8 @@ def append(df: DataFrame, kind: str | Entity, root: str) -> int:
     """
     rows, parts = with_layout(df, kind)
     seen = Observation()
-    rows = rows.observe(seen, F.count(F.lit(1)).alias("n"))
-    spread = rows.hint("rebalance", *[F.col(p) for p in parts])
+    # Counted behind the shuffle, in the stage that writes: a stage that runs again cannot count twice.
+    spread = rows.hint("rebalance", *[F.col(p) for p in parts]).observe(seen, F.count(F.lit(1)).alias("n"))
     spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(
         f"{root}/{entity(kind).table}"
     )
@@ -147,15 +149,17 @@ class DimensionTable:
         else:
             rows = scd2.merge_current(incoming, self.current(), self.entity, at, compare, mark=True)
         seen = Observation()
-        rows = rows.observe(seen, F.count_if(scd2.TOUCHED).alias("n")).drop(scd2.TOUCHED)
         (
             rows.withColumn("effective_day", F.to_date("effective_date"))
             .hint("rebalance", F.col("is_current"), F.col("effective_day"))
+            .observe(seen, F.count_if(scd2.TOUCHED).alias("n"))
+            .drop(scd2.TOUCHED)
             .write.mode("overwrite")
             # Everything a died attempt left in the folder of this batch has to go.
             .option("partitionOverwriteMode", "static")
             .partitionBy("is_current", "effective_day")
-            .parquet(f"{self.data}/loaded_by={batch_id}")
+            # Spark undoes the escapes when it reads the partition value.
+            .parquet(f"{self.data}/loaded_by={quote(batch_id, safe='')}")
         )
         written = seen.get["n"]
         if written == 0:
@@ -176,12 +180,14 @@ def upsert(
     """Load prepared rows the way their entity asks for: merge for dimensions with history, else append."""
     if kind not in ENTITIES:
         return kind, 0, "failed"
+    e = ENTITIES[kind]
+    if not e.has_history:
+        # Writing nothing is cheaper than computing the rows once to see whether there are any.
+        written = append(df, e, root)
+        return kind, written, "success" if written else "empty"
     if df.isEmpty():
         return kind, 0, "empty"
-    e = ENTITIES[kind]
-    if e.has_history:
-        return (kind, *DimensionTable(df.sparkSession, e, root).load(df, batch_id, at, compare))
-    return kind, append(df, e, root), "success"
+    return (kind, *DimensionTable(df.sparkSession, e, root).load(df, batch_id, at, compare))
 
 
 def status_frame(spark: SparkSession, statuses: list[tuple[str, int, str]]) -> DataFrame:

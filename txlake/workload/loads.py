@@ -6,11 +6,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from txlake.operators import quality
+from txlake import jobs
+from txlake.operators import ingest, quality
 from txlake.operators.prepare import prepare
 from txlake.plans.session import workspace
 from txlake.registry import ENTITIES, TRANSACTIONS
-from txlake.sources import tables
+from txlake.sources import csv_files, ledger, manifest, tables
 from txlake.workload.deliveries import AS_OF, BATCH, FIRST_BATCH, LOADED, delivered, enriched, source_columns, stored
 from txlake.workload.oracle_frames import stamp
 from txlake.workload.registry import query
@@ -99,6 +100,53 @@ def _(fx):
     return _upserted(fx)
 
 
+def _landing(fx) -> str:
+    """Landing folder of one batch: CSV files of all entities and a manifest that lists them."""
+    root = workspace(fx.spark, "landing")
+    for kind in ("customers", "terminals"):
+        csv_files.write(fx[f"{kind}_v2"], f"{root}/{kind}", rows_per_file=5000)
+    csv_files.write(
+        fx["travel_profiles"].select("CUSTOMER_ID", "TRAVEL_REGIONS", F.lit(None).cast("double").alias("AVG_TRAVEL_DISTANCE_KM")),
+        f"{root}/travel_profiles", rows_per_file=5000,
+    )
+    csv_files.write(fx["tx"], f"{root}/transactions", rows_per_file=5000)
+    parts = F.regexp_extract("file_path", "(([^/]+)/[^/]+)$", 1), F.regexp_extract("file_path", "(([^/]+)/[^/]+)$", 2)
+    listed = csv_files.headers(fx.spark, root).select(
+        F.concat(F.lit("s3://raw-data/"), parts[0]).alias("s3_path"), parts[0].alias("file_key"), parts[1].alias("folder"),
+        F.lit(None).cast("bigint").alias("rows_n"), F.lit(BATCH).alias("batch_id"), F.lit(None).cast("bigint").alias("batch_num"),
+    )
+    manifest.write(manifest.build(listed, AS_OF), f"{root}/metadata")
+    return root
+
+
+_LOADED = (
+    "SELECT 'customers' AS entity, count(*) AS records, 'success' AS status FROM {latest_c} "
+    "UNION ALL SELECT 'terminals', count(*), 'success' FROM {latest_t} "
+    "UNION ALL SELECT 'transactions', count(*), 'success' FROM {tx} "
+    "UNION ALL SELECT 'travel_profiles', count(*), 'success' FROM {travel_profiles}"
+)
+
+
+@query("load_batch", _LOADED)
+def _(fx):
+    """A landed batch of all four entities loaded into empty tables."""
+    return jobs.load_batch(fx.spark, _landing(fx), workspace(fx.spark, "lake"), BATCH, AS_OF)
+
+
+@query(
+    "ledger_entries",
+    "SELECT file_key, entity, CASE WHEN reason IS NULL THEN 'loaded' ELSE 'rejected' END AS status, reason FROM {reasoned} "
+    "WHERE reason IS NOT NULL OR entity <> 'terminals'",
+)
+def _(fx):
+    """Ledger of a run in which the terminals failed: their files stay open, all others are settled."""
+    lake = workspace(fx.spark, "ledger")
+    statuses = [(k, 1, "failed" if k == "terminals" else "success") for k in ENTITIES]
+    entries = ledger.finished(ingest.judge(fx["landing_files"]), tables.status_frame(fx.spark, statuses))
+    ledger.record(entries, lake, BATCH, 0)
+    return ledger.read(fx.spark, lake).drop("batch_id", "run")
+
+
 @query("dimension_table", "SELECT * FROM {merged_c}")
 def _(fx):
     """Stored dimension after two batches, the second delivered twice."""
