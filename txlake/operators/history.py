@@ -42,31 +42,31 @@ def asof_join(
     width = slice_seconds * 1_000_000
     attributes = [c for c in versions.columns if c not in keys]
     opened = versions.dropna(subset=[*keys, start]).select(
-        *keys, _micros(start).alias("__t"), F.lit(0).alias("__kind"), F.struct(*attributes).alias("__v")
+        *keys, _micros(start).alias("__t"), F.lit(1).alias("__kind"), F.struct(*attributes).alias("__v")
     )
-    asked = facts.select(*keys, _micros(fact_time).alias("__t"), F.lit(1).alias("__kind"), F.struct("*").alias("__f"))
+    asked = facts.select(*keys, _micros(fact_time).alias("__t"), F.lit(2).alias("__kind"), F.struct("*").alias("__f"))
     timeline = opened.unionByName(asked, allowMissingColumns=True).withColumn("__slice", _slice(F.col("__t"), width))
 
-    in_slice = Window.partitionBy(*keys, "__slice").orderBy("__t", "__kind").rowsBetween(Window.unboundedPreceding, 0)
-    local = timeline.withColumn("__v", F.last("__v", ignorenulls=True).over(in_slice)).filter("__kind = 1")
-
-    # For each slice with facts, the last version started in the slices before.
+    # For each slice with facts, the last version started in the slices before, put at its beginning.
     sliced = _slice(F.col("__t"), width).alias("__slice")
     openings = opened.groupBy(*keys, sliced).agg(F.max_by("__v", "__t").alias("__last"))
     earlier = Window.partitionBy(*keys).orderBy("__slice").rangeBetween(Window.unboundedPreceding, -1)
     carried = (
         openings.unionByName(asked.select(*keys, sliced).distinct(), allowMissingColumns=True)
-        .withColumn("__carried", F.last("__last", ignorenulls=True).over(earlier))
-        .filter(F.col("__last").isNull())
-        .select(*keys, "__slice", "__carried")
+        .withColumn("__v", F.last("__last", ignorenulls=True).over(earlier))
+        .filter(F.col("__last").isNull() & F.col("__v").isNotNull())
+        .select(*keys, "__slice", F.col("__slice").alias("__t"), F.lit(0).alias("__kind"), "__v")
     )
 
-    version = F.coalesce("__v", "__carried")
-    until = F.unix_micros(version.getField(end).cast("timestamp"))
-    met = local.join(carried, [*keys, "__slice"], "left").select(
-        "__f", F.when(until.isNull() | (F.col("__t") < until), version).alias("__v")
+    in_slice = Window.partitionBy(*keys, "__slice").orderBy("__t", "__kind").rowsBetween(Window.unboundedPreceding, 0)
+    met = (
+        timeline.unionByName(carried, allowMissingColumns=True)
+        .withColumn("__v", F.last("__v", ignorenulls=True).over(in_slice))
+        .filter("__kind = 2")
     )
-    return met.select("__f.*", *[F.col(f"__v.{c}").alias(c) for c in attributes])
+    until = F.unix_micros(F.col(f"__v.{end}").cast("timestamp"))
+    valid = F.when(until.isNull() | (F.col("__t") < until), F.col("__v"))
+    return met.select("__f", valid.alias("__v")).select("__f.*", *[F.col(f"__v.{c}").alias(c) for c in attributes])
 
 
 def rebuild(log: DataFrame, kind: str | Entity, slice_unit: str = "day") -> DataFrame:
@@ -135,34 +135,34 @@ def trailing_count(
     span = width * slices_per_span
     if span != span_seconds * 1_000_000:
         raise ValueError("the span must be a whole number of slices")
-    micros = _micros(time)
     places = F.array(
         F.struct(F.lit(0).cast("bigint").alias("ahead"), F.lit(True).alias("own")),
         F.struct(F.lit(span).cast("bigint").alias("ahead"), F.lit(False).alias("own")),
     )
     placed = (
-        df.select(*keys, F.struct("*").alias("__f"), micros.alias("__us"))
+        df.select(*keys, F.struct("*").alias("__f"), _micros(time).alias("__us"))
         .select(*keys, "__f", "__us", F.inline(places))
         # The moved copy only marks a time; it carries no payload.
-        .withColumns({"__at": F.col("__us") + F.col("ahead"), "__f": F.when(F.col("own"), F.col("__f"))})
+        .select(*keys, "own", F.when(F.col("own"), F.col("__f")).alias("__f"), (F.col("__us") + F.col("ahead")).alias("__at"))
         .withColumn("__slice", _slice(F.col("__at"), width))
     )
+
+    # Rows in the full slices between, as one more row of each slice that has rows of its own.
+    per_slice = df.groupBy(*keys, _slice(_micros(time), width).alias("__slice")).agg(F.count("*").alias("n"))
+    between = Window.partitionBy(*keys).orderBy("__slice").rangeBetween(-(slices_per_span - 1) * width, -width)
+    full = per_slice.select(*keys, "__slice", F.coalesce(F.sum("n").over(between), F.lit(0)).alias("__full"))
+
     whole = Window.partitionBy(*keys, "__slice")
     up_to_here = whole.orderBy("__at").rangeBetween(Window.unboundedPreceding, 0)
     before_here = whole.orderBy("__at").rangeBetween(Window.unboundedPreceding, -1)
     moved = ~F.col("own")
-    local = placed.withColumns({
+    counted = placed.unionByName(full, allowMissingColumns=True).withColumns({
         "__own": F.count_if("own").over(up_to_here),
         "__tail": F.count_if(moved).over(whole) - F.count_if(moved).over(before_here),
-    }).filter("own")
-
-    per_slice = df.groupBy(*keys, _slice(micros, width).alias("__slice")).agg(F.count("*").alias("n"))
-    between = Window.partitionBy(*keys).orderBy("__slice").rangeBetween(-(slices_per_span - 1) * width, -width)
-    full = per_slice.select(*keys, "__slice", F.coalesce(F.sum("n").over(between), F.lit(0)).alias("__full"))
-    on = [local[c].eqNullSafe(full[c]) for c in (*keys, "__slice")]
-    return local.join(full, on).select(
-        "__f.*", (F.col("__own") + F.col("__full") + F.col("__tail")).cast("bigint").alias(name)
-    )
+        "__between": F.max("__full").over(whole),
+    })
+    total = F.col("__own") + F.col("__between") + F.col("__tail")
+    return counted.filter("own").select("__f", total.cast("bigint").alias(name)).select("__f.*", name)
 
 
 def sessions(df: DataFrame, keys: list[str], time: str, gap_seconds: int, amount: str) -> DataFrame:
