@@ -13,7 +13,8 @@ _FOLDERS = "|".join(ENTITIES)
 
 def entity_of_key(key: Column) -> Column:
     """Entity named by the first path segment of an object key, else null."""
-    return F.nullif(F.regexp_extract(key, f"^({_FOLDERS})/", 1), F.lit(""))
+    folders = F.create_map(*[F.lit(x) for name in ENTITIES for x in (f"{name}/", name)])
+    return F.element_at(folders, F.substring(key, F.lit(1), F.instr(key, "/")))
 
 
 def entity_of_csv_key(key: Column) -> Column:

@@ -24,29 +24,34 @@ def route(files: DataFrame) -> DataFrame:
 def clean_header(header: Column) -> Column:
     """Header line without byte-order mark, quotes and the blanks around names."""
     inner = F.regexp_replace(header, '[\\s"]*,[\\s"]*', ",")
-    return F.regexp_replace(inner, '^[\\s\\uFEFF"]+|[\\s"]+$', "")
+    cleaned = F.regexp_replace(inner, '^[\\s\\uFEFF"]+|[\\s"]+$', "")
+    return F.when(header.rlike('[\\s\\uFEFF"]'), cleaned).otherwise(header)
 
 
 def header_names(header: Column) -> Column:
     return F.split(clean_header(header), ",")
 
 
-def missing_columns(entity: Column, fenced: Column) -> Column:
-    """Comma list, sorted, of required columns absent from a `,a,b,` header; null for an unknown entity."""
-    lacking = F.lit(None).cast("string")
-    for e in ENTITIES.values():
-        absent = [F.when(~F.contains(fenced, F.lit(f",{c},")), F.lit(c)) for c in sorted(e.required_columns)]
-        lacking = F.when(entity == e.name, F.concat_ws(",", *absent)).otherwise(lacking)
-    return lacking
+def required_of(entity: Column) -> Column:
+    """Required columns of the entity named in a column; null for an unknown one."""
+    known = [x for e in ENTITIES.values() for x in (F.lit(e.name), F.array(*[F.lit(c) for c in sorted(e.required_columns)]))]
+    return F.element_at(F.create_map(*known), entity)
+
+
+def missing_columns(entity: Column, header: Column) -> Column:
+    """Comma list, sorted, of required columns a header lacks; null for an unknown entity.
+
+    A file without a readable header lacks everything. Both inputs are named once, because a filter on
+    the result repeats their computation as often as they are named.
+    """
+    names = header_names(F.coalesce(header, F.lit("")))
+    return F.array_join(F.array_except(required_of(entity), names), ",")
 
 
 def validate_headers(files: DataFrame) -> DataFrame:
     """Required columns a file lacks, and whether it is valid: known entity, csv, nothing missing."""
-    # A file without a readable header lacks everything.
-    header = clean_header(F.coalesce("header", F.lit("")))
-    fenced = route(files).withColumn("__fenced", F.concat(F.lit(","), header, F.lit(",")))
-    checked = fenced.withColumn("missing_columns", missing_columns(F.col("entity"), F.col("__fenced")))
-    return checked.drop("__fenced").withColumn(
+    checked = route(files).withColumn("missing_columns", missing_columns(F.col("entity"), F.col("header")))
+    return checked.withColumn(
         "is_valid", F.col("is_csv_any_case") & F.coalesce(F.col("missing_columns") == "", F.lit(False))
     )
 
