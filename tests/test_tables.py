@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from txlake.operators import facts
 from txlake.operators.prepare import prepare
 from txlake.plans.session import workspace
 from txlake.sources import tables
@@ -80,6 +81,17 @@ def test_fact_batch_replaces_itself_only(spark):
     assert "tx_date" in plan.split("PartitionFilters")[1][:60] and "GreaterThan(TX_AMOUNT,5.0)" in plan
 
 
+def test_loads_of_nothing(spark):
+    """Empty when planned, or only when the rows have been computed."""
+    root = workspace(spark, "nothing")
+    schema = "TRANSACTION_ID STRING, TX_DATETIME STRING, CUSTOMER_ID BIGINT, TERMINAL_ID BIGINT, TX_AMOUNT DOUBLE"
+    some = prepare(spark.createDataFrame([("a", "2024-01-01 00:00:00", 1, 1, 1.0)], schema), "transactions", "b", DAY1)
+    for rows in (facts.unseen(some, some), some.limit(0), spark.createDataFrame([], some.schema)):
+        assert tables.upsert(rows, "transactions", root, "b", DAY1) == ("transactions", 0, "empty")
+    dim = DimensionTable(spark, "terminals", root)
+    assert dim.load(batch(spark, [(1, "a", "r")], "b", DAY1).limit(0), "b", DAY1) == (0, "empty")
+
+
 def test_catalog_tables_are_created_once(spark):
     where = workspace(spark, "catalog")
     names = tables.create_tables(spark, "t_catalog", where)
