@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.compare import difference
 from txlake.fixtures import Frames
-from txlake.operators import facts, history
+from txlake.operators import facts, history, scd2
 from txlake.workload import ORACLES, QUERIES
 
 
@@ -78,3 +78,21 @@ def test_only_needed_columns_are_read(spark, sf_dir):
     plan = QUERIES["signal_burst"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in plan
     assert "props" not in plan
+
+
+def test_delta_shuffles_each_side_once(spark, no_broadcast, tmp_path):
+    """Latest per key, restriction to delivered keys and the comparison share one partitioning by key."""
+    columns = "TERMINAL_ID BIGINT, CITY STRING, REGION STRING, version BIGINT, effective_date TIMESTAMP_NTZ, is_current BOOLEAN"
+    row = (1, "a", "r", 1, None, True)
+    for name in ("dim", "batch"):
+        spark.createDataFrame([row], columns).write.parquet(str(tmp_path / name))
+    dim, batch = (spark.read.schema(columns).parquet(str(tmp_path / n)) for n in ("dim", "batch"))
+    plan = scd2.delta(batch, dim, "terminals", "2024-01-01 00:00:00")._jdf.queryExecution().executedPlan().toString()
+    # The dimension once; the delivery once for its rows and once for its bare keys.
+    assert plan.count("Exchange ") == 3 and plan.count("Exchange hashpartitioning(TERMINAL_ID") == 3
+    assert "PushedFilters: [IsNotNull(is_current), EqualTo(is_current,true)" in plan
+
+
+def test_trailing_count_shuffles_rows_once(spark, sf_dir):
+    plan = QUERIES["signal_burst"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning(CUSTOMER_ID#") == 3

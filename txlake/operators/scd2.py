@@ -38,6 +38,17 @@ def current_rows(dim: DataFrame, kind: str | Entity) -> DataFrame:
     return one_per_key(dim.filter("is_current"), list(e.history_key), order)
 
 
+def current_of_delivered(incoming: DataFrame, dim: DataFrame, kind: str | Entity) -> DataFrame:
+    """Current rows of the delivered keys only.
+
+    A delivery is usually much smaller than the dimension: its keys, sent to the scan, keep the rest of
+    the dimension out of the shuffle. Where they are too many to send, both sides meet by key, which is
+    the partitioning the following steps need anyway.
+    """
+    keys = list(entity(kind).history_key)
+    return current_rows(dim.join(_distinct_keys(incoming, keys), keys, "left_semi"), kind)
+
+
 def as_of(dim: DataFrame, *times: str) -> DataFrame:
     """The versions valid at each of the given times, as column `as_of`; one pass over the table."""
     moments = F.explode(F.array(*[time_literal(t) for t in times]))
@@ -80,7 +91,7 @@ def classify(incoming: DataFrame, existing: DataFrame, kind: str | Entity, compa
     """Per delivered key: new, changed or unchanged, and the changed columns as a comma list."""
     e = entity(kind)
     names = _compared(e, incoming, existing, compare)
-    pairs = _paired(latest_delivered(incoming, e), current_rows(existing, e), e, names, "left")
+    pairs = _paired(latest_delivered(incoming, e), current_of_delivered(incoming, existing, e), e, names, "left")
     changed = F.when(F.col("cur").isNotNull(), F.array_join("changed_fields", ","))
     return pairs.select(
         *e.history_key,
@@ -134,7 +145,7 @@ def delta(
     """Rows to write for a delivery: new keys, and for changed keys the closed copy and the next version."""
     e = entity(kind)
     names = _compared(e, incoming, existing, compare)
-    pairs = _paired(latest_delivered(incoming, e), current_rows(existing, e), e, names, "left")
+    pairs = _paired(latest_delivered(incoming, e), current_of_delivered(incoming, existing, e), e, names, "left")
     first, closed, following = _version_rows(e, incoming, existing, at)
     rows = F.when(F.col("cur").isNull(), F.array(first)).when(
         F.size("changed_fields") > 0, F.array(closed, following)
