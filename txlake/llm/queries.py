@@ -7,8 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlake.llm import exact_dedup, line_dedup
-from txlake.llm.text import documents
+from txlake.llm import exact_dedup, language_id, line_dedup, secret_scan
+from txlake.llm.text import documents, fold, whole_text
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from four folds of five and predicts all."""
+    docs = documents(spark, sf_dir)
+    model = language_id.train(docs.filter(fold() != 0))
+    found = docs.select("doc_id", (fold() == 0).alias("held_out"), language_id.predict(F.col("text"), model).alias("p"))
+    return found.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"))
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,9 +28,20 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(documents(spark, sf_dir))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = documents(spark, sf_dir).select("doc_id", secret_scan.find_secrets(whole_text()).alias("spans"))
+    base = [rule.kind for rule in secret_scan.BASE_RULES]
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base]
+    of_base = F.filter("spans", lambda s: s["kind"].isin(base))
+    return found.select(
+        "doc_id", *counts, F.sha2(secret_scan.as_text(of_base), 256).alias("base_sha256"),
+        secret_scan.as_text(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op4_line_dedup, op6_exact_dedup)
+    for f in (op3_language_id, op4_line_dedup, op6_exact_dedup, op7_secret_scan)
 }
 
 ORACLES: dict[str, str] = {
