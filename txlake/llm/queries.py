@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlake.llm import exact_dedup, language_id, line_dedup, secret_scan
+from txlake.llm import bag_minhash, exact_dedup, language_id, line_dedup, secret_scan
 from txlake.llm.text import documents, fold, whole_text
 
 
@@ -39,9 +39,13 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bag_minhash.near_duplicate_classes(documents(spark, sf_dir)).select("doc_id", "class_id", "class_size", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op3_language_id, op4_line_dedup, op6_exact_dedup, op7_secret_scan)
+    for f in (op3_language_id, op4_line_dedup, op6_exact_dedup, op7_secret_scan, op10_bag_minhash)
 }
 
 ORACLES: dict[str, str] = {
