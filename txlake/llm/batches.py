@@ -63,14 +63,15 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[:n], _INVERSES[:n]
 
 
-def words(block: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, row) of every word of the block in order; A-Z count as a-z."""
+def placed_words(block: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, row, begin, end) of every word of the block in order, places in bytes; A-Z count as a-z."""
     inside = _IS_WORD[block]
     before = np.empty_like(inside)
-    before[0], before[1:] = False, inside[:-1]
+    before[:1], before[1:] = False, inside[:-1]
     begin = np.flatnonzero(inside & ~before)
     if not len(begin):
-        return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
+        none = np.empty(0, dtype=np.int64)
+        return np.empty(0, dtype=np.uint64), none, none, none
     # The block ends with a separator, so every word has an end.
     end = np.flatnonzero(~inside & before)
     power, inverse = _powers(len(block))
@@ -78,4 +79,16 @@ def words(block: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     head = np.where(begin > 0, total[np.maximum(begin, 1) - 1], np.uint64(0))
     hashes = (total[end - 1] - head) * inverse[begin]
     rows = np.searchsorted(starts, begin, side="right") - 1
-    return mix(hashes + (end - begin).astype(np.uint64) * _BASE), rows
+    return mix(hashes + (end - begin).astype(np.uint64) * _BASE), rows, begin, end
+
+
+def words(block: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, row) of every word of the block in order; A-Z count as a-z."""
+    return placed_words(block, starts)[:2]
+
+
+def run_hashes(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hash of values[first:last] for each pair, equal for equal runs wherever they stand."""
+    power, inverse = _powers(len(values) + 1)
+    total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(power[: len(values)] * values)])
+    return mix((total[last] - total[first]) * inverse[first] + (last - first).astype(np.uint64) * _BASE)
