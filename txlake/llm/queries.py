@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlake.llm import bag_minhash, exact_dedup, language_id, line_dedup, secret_scan, sentence_spans
+from txlake.llm import bag_minhash, exact_dedup, flat_graph, language_id, line_dedup, secret_scan, sentence_spans
 from txlake.llm.text import documents, fold, whole_text
 
 
@@ -43,13 +43,17 @@ def op8_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_spans.remove_repeated_spans(documents(spark, sf_dir))
 
 
+def op9_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flat_graph.near_duplicate_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bag_minhash.near_duplicate_classes(documents(spark, sf_dir)).select("doc_id", "class_id", "class_size", "kept")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op3_language_id, op4_line_dedup, op6_exact_dedup, op7_secret_scan, op8_sentence_spans, op10_bag_minhash)
+    for f in (op3_language_id, op4_line_dedup, op6_exact_dedup, op7_secret_scan, op8_sentence_spans, op9_flat_graph, op10_bag_minhash)
 }
 
 ORACLES: dict[str, str] = {
