@@ -63,8 +63,10 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[:n], _INVERSES[:n]
 
 
-def placed_words(block: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, row, begin, end) of every word of the block in order, places in bytes; A-Z count as a-z."""
+def placed_words(
+    block: np.ndarray, starts: np.ndarray, fold: bool = True
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, row, begin, end) of every word of the block in order, places in bytes; with `fold`, A-Z count as a-z."""
     inside = _IS_WORD[block]
     before = np.empty_like(inside)
     before[:1], before[1:] = False, inside[:-1]
@@ -75,7 +77,8 @@ def placed_words(block: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.
     # The block ends with a separator, so every word has an end.
     end = np.flatnonzero(~inside & before)
     power, inverse = _powers(len(block))
-    total = np.cumsum(power * (_LOWER[block].astype(np.uint64) + np.uint64(1)))
+    letters = _LOWER[block] if fold else block
+    total = np.cumsum(power * (letters.astype(np.uint64) + np.uint64(1)))
     head = np.where(begin > 0, total[np.maximum(begin, 1) - 1], np.uint64(0))
     hashes = (total[end - 1] - head) * inverse[begin]
     rows = np.searchsorted(starts, begin, side="right") - 1

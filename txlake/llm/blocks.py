@@ -7,7 +7,7 @@ often it occurs in a block, and a frequent key is one entry per block.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -17,11 +17,18 @@ from pyspark.sql import functions as F
 PACKED = "bucket int, block int, body binary"
 
 
+def count_blocks(docs: DataFrame, block_bytes: int, least_bytes: int = 256 << 10) -> tuple[int, int, int]:
+    """(blocks, rows, bytes of text): one block for every `block_bytes`; of a small corpus, one for every
+    `least_bytes`, up to the number of shuffle partitions."""
+    rows, size = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(1, -(-size // block_bytes), min(partitions, -(-size // least_bytes)))
+    return n, rows, size
+
+
 def deal(docs: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
-    """The rows with `block`, a hash of id and text, and the number of blocks: one for every `block_bytes` of text, and no
-    fewer than shuffle partitions. `docs` has the columns doc_id and text."""
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // block_bytes))
+    """The rows with `block`, a hash of id and text, and the number of blocks. `docs` has the columns doc_id and text."""
+    n, _, _ = count_blocks(docs, block_bytes)
     block = F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(n)).cast("int")
     return docs.withColumn("block", block), n
 
@@ -79,8 +86,3 @@ def replies(table: pa.Table, bucket_of: np.ndarray, types: list[str]) -> list[np
         whole[order] = np.concatenate([p[i] for p in parts]) if parts else np.empty(0, dtype=kind)
         out.append(whole)
     return out
-
-
-def together(parts: Iterable[pa.Table], schema: pa.Schema) -> pa.Table:
-    parts = list(parts)
-    return pa.concat_tables(parts) if parts else schema.empty_table()

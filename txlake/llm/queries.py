@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlake.llm import bag_minhash, exact_dedup, flat_graph, language_id, line_dedup, secret_scan, sentence_spans
+from txlake.llm import bag_minhash, exact_dedup, flat_graph, language_id, line_dedup, packing, secret_scan, sentence_spans
 from txlake.llm.text import documents, fold, whole_text
 
 
@@ -24,6 +25,13 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(documents(spark, sf_dir))
 
@@ -53,7 +61,7 @@ def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op3_language_id, op4_line_dedup, op6_exact_dedup, op7_secret_scan, op8_sentence_spans, op9_flat_graph, op10_bag_minhash)
+    for f in (op3_language_id, op4_line_dedup, op5_packing, op6_exact_dedup, op7_secret_scan, op8_sentence_spans, op9_flat_graph, op10_bag_minhash)
 }
 
 ORACLES: dict[str, str] = {
