@@ -8,10 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlake.llm import bag_minhash, exact_dedup, flat_graph, language_id, line_dedup, packing, secret_scan, sentence_spans
+from txlake.llm import bag_minhash, exact_dedup, flat_graph, language_id, line_dedup, packing, secret_scan, sentence_spans, sentencepiece_lattice
 from txlake.llm.text import documents, fold, whole_text
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encodes all texts and decodes the ids again."""
+    model = sentencepiece_lattice.load(public_tokenizers.path("piece_bpe_32k.model"))
+    encoded = sentencepiece_lattice.encode(documents(spark, sf_dir), model)
+    back = sentencepiece_lattice.decode(F.col("ids"), model)
+    return encoded.select(
+        "doc_id", "n_ids", F.crc32("ids").alias("ids_crc32"), (back == F.col("text")).alias("round_trip")
+    )
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learns from four folds of five and predicts all."""
     docs = documents(spark, sf_dir)
@@ -61,7 +71,7 @@ def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op3_language_id, op4_line_dedup, op5_packing, op6_exact_dedup, op7_secret_scan, op8_sentence_spans, op9_flat_graph, op10_bag_minhash)
+    for f in (op2_sentencepiece, op3_language_id, op4_line_dedup, op5_packing, op6_exact_dedup, op7_secret_scan, op8_sentence_spans, op9_flat_graph, op10_bag_minhash)
 }
 
 ORACLES: dict[str, str] = {
