@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txlake.llm import bag_minhash, exact_dedup, flat_graph, language_id, line_dedup, packing, secret_scan, sentence_spans, sentencepiece_lattice
@@ -49,10 +49,13 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = documents(spark, sf_dir).select("doc_id", secret_scan.find_secrets(whole_text()).alias("spans"))
     base = [rule.kind for rule in secret_scan.BASE_RULES]
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     of_base = F.filter("spans", lambda s: s["kind"].isin(base))
     return found.select(
-        "doc_id", *counts, F.sha2(secret_scan.as_text(of_base), 256).alias("base_sha256"),
+        "doc_id", *[count(kind) for kind in base], F.sha2(secret_scan.as_text(of_base), 256).alias("base_sha256"),
         secret_scan.as_text(F.col("spans")).alias("spans"),
     )
 
