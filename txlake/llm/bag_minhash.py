@@ -15,8 +15,8 @@ from txlake.plans.session import shared_folder
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SECOND = np.uint64(0xD1B54A32D192ED03)
-# Hubs of a bucket in the second round; each later round takes four times as many.
-HUBS = 8
+# Bags and shingles of a block of bags that are compared with each other.
+TASK_BAGS, TASK_UNITS = 600, 400_000
 
 
 def _multiple(x: np.uint64, n: int) -> np.uint64:
@@ -159,21 +159,61 @@ def _verified(pairs: DataFrame, bags: DataFrame, similarity: float) -> DataFrame
     return both.filter(overlap >= similarity * union).select("u", "v")
 
 
+def _compare(table: pa.Table, similarity: float) -> pa.Table:
+    """Edges that connect the similar bags of a task: those of one block, or of one block with those of another."""
+    table = table.combine_chunks()
+    lists = table.column("units").combine_chunks()
+    flat, number = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+    edges = lists.offsets.to_numpy().astype(np.int64)
+    edges = edges - edges[0]
+    size, block = np.diff(edges), table.column("block").to_numpy()
+    names, parent = table.column("bag").to_pylist(), list(range(len(size)))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    known: dict[bytes, int] = {}
+    for i, part in enumerate(table.column("part").to_pylist()):
+        parent[root(i)] = root(known.setdefault(part, i))
+    first = block == block.min()
+    across = not first.all()
+    found = []
+    mark = np.zeros(len(flat), dtype=bool)
+    for i in np.flatnonzero(first):
+        own = number[edges[i] : edges[i + 1]]
+        mark[own] = True
+        overlap = np.add.reduceat(mark[number], edges[:-1], dtype=np.int64)
+        mark[own] = False
+        near = overlap >= similarity * (size + size[i] - overlap)
+        if across:
+            near &= ~first
+        for j in np.flatnonzero(near).tolist():
+            a, b = root(int(i)), root(j)
+            if a != b:
+                parent[a] = b
+                found.append((names[i], names[j]))
+    return pa.table({
+        "u": pa.array([u for u, _ in found], pa.binary()), "v": pa.array([v for _, v in found], pa.binary()),
+    })
+
+
 def similar_bags(signed: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
     """Edges (u, v) between different bags: enough to connect all bags that share a band and are similar.
 
-    Within a bucket of a band, members are compared with hubs. The first hub is the member with the largest
-    buckets, as the text from which the others were made is; members linked to it need no comparison with
-    each other. Later rounds compare what is still apart with more hubs, until each pair of a bucket is linked,
-    connected or found too different; no bucket is cut off.
+    First the members of each bucket of a band are compared with its hub, the member with the largest buckets, as
+    the text from which the others were made is. What the hub links needs no comparison among itself.
+    Buckets that are still apart are joined where they share bags, and all bags of such a group are compared in
+    tasks of bounded size: one for each block of the group and each pair of blocks. No bucket is cut off.
     """
-    spark = signed.sparkSession
     apart = signed.filter(F.col("bag").isNotNull()).groupBy("bag").agg(
         F.min(F.struct("doc_id", "row")).alias("at"), F.first("size").alias("size"), F.first("bands").alias("bands")
     ).select("bag", "at", "size", F.explode("bands").alias("bucket"))
     full = apart.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
     members = apart.join(full, "bucket").checkpoint()
-    rank = members.groupBy("bag").agg(F.sum("n").alias("rank"), F.first("at").alias("at"), F.first("size").alias("size"))
+    rank = members.groupBy("bag").agg(F.sum("n").alias("rank"), F.first("at").alias("at"))
     chosen = rank.select("bag", F.col("at.doc_id").alias("doc_id"), F.col("at.row").alias("row"))
     # Of rows that repeat id and text, each gives the same bag.
     bags = (
@@ -183,46 +223,42 @@ def similar_bags(signed: DataFrame, texts: DataFrame, size: int, similarity: flo
         .dropDuplicates(["bag"])
         .checkpoint()
     )
-    todo = members.select("bucket", "bag", "size").join(rank.select("bag", "rank"), "bag").select(
-        "bucket", "bag", "size", "rank", F.col("bag").alias("part")
+    ranked = members.select("bucket", "bag", "size").join(rank.select("bag", "rank"), "bag")
+    hubs = ranked.groupBy("bucket").agg(F.max(F.struct("rank", "bag", "size")).alias("hub")).select(
+        "bucket", F.col("hub.bag").alias("v"), F.col("hub.size").alias("v_size")
+    )
+    led = ranked.join(hubs, "bucket").filter(F.col("bag") != F.col("v")).select(
+        "bucket", F.col("bag").alias("u"), "size", "v", "v_size"
     ).checkpoint()
-    edges = spark.createDataFrame([], "u binary, v binary")
-    tested = edges
-    hubs_wanted = 1
-    while True:
-        top = todo.groupBy("bucket").agg(F.max(F.struct("rank", "bag", "size", "part")).alias("top"), F.count("*").alias("n"))
-        marked = todo.join(top, "bucket")
-        is_hub = F.col("bag") == F.col("top.bag")
-        if hubs_wanted > 1:
-            is_hub = is_hub | (F.pmod(F.xxhash64("bag", F.lit(hubs_wanted)), F.col("n")) < hubs_wanted)
-        marked = marked.select("bucket", "bag", "size", "rank", "part", is_hub.alias("hub"))
-        hubs = marked.filter("hub").select(
-            "bucket", F.col("bag").alias("v"), F.col("size").alias("v_size"), F.col("part").alias("v_part")
-        )
-        similar_size = F.least("size", "v_size") >= similarity * F.greatest("size", "v_size")
-        # Of two hubs, the pair is taken once.
-        once = ~F.col("hub") | (F.col("bag") < F.col("v"))
-        pairs = (
-            marked.join(hubs, "bucket")
-            .filter((F.col("bag") != F.col("v")) & (F.col("part") != F.col("v_part")) & similar_size & once)
-            .select(F.col("bag").alias("u"), "v").distinct()
-            .join(tested.select(F.col("u").alias("tu"), F.col("v").alias("tv")),
-                  (F.col("u") == F.col("tu")) & (F.col("v") == F.col("tv")), "left_anti")
-            .checkpoint()
-        )
-        edges = edges.union(_verified(pairs, bags, similarity)).checkpoint()
-        tested = tested.union(pairs)
-        parts = components(edges)
-        rest = marked.filter(~F.col("hub")).select("bucket", "bag", "size", "rank").join(
-            parts.select(F.col("node").alias("bag"), "component"), "bag", "left"
-        ).withColumn("part", F.coalesce("component", "bag")).drop("component")
-        open_ = rest.groupBy("bucket").agg(F.min("part").alias("a"), F.max("part").alias("b")).filter(
-            F.col("a") != F.col("b")
-        ).select("bucket")
-        todo = rest.join(open_, "bucket").checkpoint()
-        if todo.isEmpty():
-            return edges
-        hubs_wanted = HUBS if hubs_wanted == 1 else 4 * hubs_wanted
+    similar_size = F.least("size", "v_size") >= similarity * F.greatest("size", "v_size")
+    direct = _verified(led.filter(similar_size).select("u", "v").distinct(), bags, similarity).checkpoint()
+
+    parts = components(direct).select(F.col("node").alias("bag"), "component")
+    rest = led.select("bucket", F.col("u").alias("bag")).join(parts, "bag", "left").select(
+        "bucket", "bag", F.coalesce("component", "bag").alias("part")
+    )
+    open_ = rest.groupBy("bucket").agg(F.min("part").alias("a"), F.max("part").alias("b"), F.min("bag").alias("least")).filter(
+        F.col("a") != F.col("b")
+    ).select("bucket", "least")
+    still = rest.join(open_, "bucket").checkpoint()
+    chains = components(still.select(F.col("bag").alias("u"), F.col("least").alias("v")))
+    weighed = (
+        still.select("bag", "part").distinct()
+        .join(chains.select(F.col("node").alias("bag"), F.col("component").alias("chain")), "bag")
+        .join(bags, "bag").withColumn("n", F.size("units").cast("long")).checkpoint()
+    )
+    weights = weighed.groupBy("chain").agg(
+        F.ceil(F.greatest(F.count("*") / TASK_BAGS, F.sum("n") / TASK_UNITS)).cast("int").alias("blocks")
+    )
+    block = F.pmod(F.xxhash64("bag"), F.col("blocks")).cast("int")
+    tasks = weighed.join(weights, "chain").withColumn("block", block).select(
+        "bag", "part", "units", "block", F.explode(F.transform(
+            F.sequence(F.lit(0), F.col("blocks") - 1),
+            lambda o: F.xxhash64("chain", F.least(o, F.col("block")), F.greatest(o, F.col("block"))),
+        )).alias("task")
+    )
+    left = tasks.groupBy("task").applyInArrow(lambda t: _compare(t, similarity), "u binary, v binary")
+    return direct.union(left)
 
 
 def near_duplicate_classes(
@@ -241,8 +277,7 @@ def near_duplicate_classes(
     of the smallest id, then of the smallest text hash; rows that repeat id and text share their flag. Other
     columns are not read, whatever their names.
     """
-    spark = docs.sparkSession
-    shared_folder(spark)
+    shared_folder(docs.sparkSession)
     texts = docs.select(
         F.col(doc_id).alias("doc_id"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("row"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),

@@ -11,7 +11,7 @@ from txlake.llm.text import WHITE
 
 # Stands between texts; no UTF-8 text holds this byte.
 SEPARATOR = 0xFF
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
