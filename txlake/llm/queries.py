@@ -8,10 +8,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlake.llm import bag_minhash, exact_dedup, flat_graph, language_id, line_dedup, packing, secret_scan, sentence_spans, sentencepiece_lattice
+from txlake.llm import bag_minhash, exact_dedup, flat_graph, hpylm, language_id, line_dedup, packing, secret_scan, sentence_spans, sentencepiece_lattice
 from txlake.llm.text import documents, fold, whole_text
 
 
+def op1_hpylm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from four folds of five and scores all."""
+    scores = hpylm.score(documents(spark, sf_dir), fold() != 1)
+    return scores.select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes all texts and decodes the ids again."""
     model = sentencepiece_lattice.load(public_tokenizers.path("piece_bpe_32k.model"))
@@ -74,7 +82,7 @@ def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_sentencepiece, op3_language_id, op4_line_dedup, op5_packing, op6_exact_dedup, op7_secret_scan, op8_sentence_spans, op9_flat_graph, op10_bag_minhash)
+    for f in (op1_hpylm, op2_sentencepiece, op3_language_id, op4_line_dedup, op5_packing, op6_exact_dedup, op7_secret_scan, op8_sentence_spans, op9_flat_graph, op10_bag_minhash)
 }
 
 ORACLES: dict[str, str] = {
