@@ -98,7 +98,6 @@ def _leaders(table: pa.Table) -> pa.Table:
     return pa.table({"shard": table.column("shard").slice(0, 1), "leaders": pa.array([x[chosen].ravel().tolist()])})
 
 
-@F.arrow_udf("array<int>")
 def _two_nearest(vectors: pa.Array, leaders: pa.Array) -> pa.Array:
     out = []
     x = _matrix(vectors)
@@ -111,6 +110,7 @@ def _two_nearest(vectors: pa.Array, leaders: pa.Array) -> pa.Array:
 def _shards(nodes: DataFrame) -> DataFrame:
     """(shard, node): clusters of at most SHARD vectors, overlapping in that a vector goes to its two nearest leaders. Shards
     are split until they are small enough or all their vectors are alike."""
+    nearest = F.arrow_udf(_two_nearest, "array<int>")
     members = nodes.select(F.xxhash64("group").alias("shard"), "node", "vector").checkpoint()
     done = []
     while True:
@@ -126,7 +126,7 @@ def _shards(nodes: DataFrame) -> DataFrame:
         led = rest.join(leaders, "shard").withColumn("alike", width < 2).checkpoint()
         done.append(led.filter("alike").select("shard", "node", "n"))
         members = led.filter(~F.col("alike")).select(
-            F.explode(_two_nearest("vector", "leaders")).alias("leader"), "shard", "node", "vector"
+            F.explode(nearest("vector", "leaders")).alias("leader"), "shard", "node", "vector"
         ).select(F.xxhash64("shard", "leader").alias("shard"), "node", "vector").checkpoint()
         if members.isEmpty():
             out = done[0]
