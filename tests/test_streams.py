@@ -50,16 +50,60 @@ def test_restart_reads_only_new_files(spark, landed):
     for part in (first, second):
         part.write.mode("append").parquet(source)
         runs.append_available(stream(spark, source, None), target, checkpoint)
-    same(spark.read.schema(SCHEMAS["events"]).parquet(target), events)
+    same(runs.read_written(spark, target, SCHEMAS["events"]), events)
 
 
 def test_repeated_epoch_replaces_itself(spark):
     target = workspace(spark, "epochs")
     step = runs.write_epoch(target)
     for _ in range(2):
-        step(spark.range(10), 0)
-    step(spark.range(5), 1)
-    assert spark.read.parquet(target).count() == 15
+        step(spark.range(10), "a", 0)
+    step(spark.range(5), "a", 1)
+    step(spark.range(7), "b", 0)
+    assert spark.read.parquet(target).count() == 22
+
+
+def test_a_new_checkpoint_neither_deletes_nor_skips(spark):
+    """Two streams with different inputs fill the same targets."""
+    base = workspace(spark, "two-streams")
+    schema = "event_id BIGINT, ts TIMESTAMP_NTZ"
+    t0 = datetime(2024, 1, 1)
+    inputs = {"a": [(1, t0), (2, t0), (None, t0)], "b": [(3, t0), (4, None), (4, None), (1, t0 + timedelta(days=3))]}
+    for name, rows in inputs.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{base}/{name}")
+        for _ in range(2):
+            source = runs.read_folder(spark, f"{base}/{name}", schema)
+            loads.append_unseen(source, f"{base}/out", f"{base}/checkpoint-{name}", "event_id", "ts")
+        runs.append_available(runs.read_folder(spark, f"{base}/{name}", schema), f"{base}/all", f"{base}/cp-all-{name}")
+    assert sorted(r.event_id for r in runs.read_written(spark, f"{base}/out", schema).collect()) == [1, 2, 3, 4]
+    assert spark.read.parquet(loads.quarantine_folder(f"{base}/out")).count() == 1
+    assert spark.read.parquet(f"{base}/all").count() == 7
+
+
+def test_counts_resume_and_add_up_over_streams(spark, landed):
+    base = workspace(spark, "resume")
+    events = spark.read.schema(SCHEMAS["events"]).parquet(landed)
+    for part in (events.filter("event_id % 2 = 0"), events.filter("event_id % 2 = 1")):
+        part.write.mode("append").parquet(f"{base}/in")
+        got = windows.run_counts(stream(spark, f"{base}/in", None), base=f"{base}/counts")
+    same(got, windows.tumbling_counts(events))
+
+
+def test_effective_time_of_each_micro_batch(spark):
+    base = workspace(spark, "times")
+    table = DimensionTable(spark, "terminals", base)
+    schema = "TERMINAL_ID BIGINT, CITY STRING, REGION STRING, changed TIMESTAMP_NTZ"
+    for i, city in enumerate("abc"):
+        row = spark.createDataFrame([(1, city, "r", datetime(2024, 1 + i, 1)), (None, "x", "r", datetime(2024, 1, 1))], schema)
+        row.coalesce(1).write.parquet(f"{base}/in{i}")
+        source = runs.read_folder(spark, f"{base}/in{i}", schema)
+        loads.merge_dimension(source, table, f"{base}/cp{i}", "s", loads.latest_time("changed"), ["CITY", "REGION"])
+    chain = [(r.CITY, str(r.effective_date)[:7], str(r.end_date)[:7]) for r in table.read().orderBy("version").collect()]
+    assert chain == [("a", "2024-01", "2024-02"), ("b", "2024-02", "2024-03"), ("c", "2024-03", "None")]
+    assert spark.read.parquet(loads.quarantine_folder(table.data)).count() == 3
+    with pytest.raises(ValueError, match="before"):
+        table.load(prepare(spark.createDataFrame([(1, "d", "r")], "TERMINAL_ID BIGINT, CITY STRING, REGION STRING"),
+                           "terminals", "late", AT), "late", "2023-01-01 00:00:00")
 
 
 def test_repeats_are_dropped_across_batches(spark, landed):
@@ -81,7 +125,7 @@ def test_unseen_ids_survive_a_repeated_batch(spark, landed):
         part.coalesce(1).write.mode("append").parquet(f"{base}/in")
         for checkpoint in ("a", "b"):
             loads.append_unseen(stream(spark, f"{base}/in"), f"{base}/out", f"{base}/{checkpoint}", "event_id", "ts")
-    same(spark.read.schema(SCHEMAS["events"]).parquet(f"{base}/out").select(*events.columns), events)
+    same(runs.read_written(spark, f"{base}/out", SCHEMAS["events"]).select(*events.columns), events)
 
 
 def test_transactions_keep_late_rows(spark, landed):
@@ -100,7 +144,7 @@ def test_closed_sessions_equal_the_batch(spark, landed):
     base = workspace(spark, "sessions")
     got_stream = windows.session_counts(stream(spark, landed), "user_id")
     runs.append_available(got_stream, f"{base}/out", f"{base}/checkpoint")
-    got = spark.read.schema(got_stream.schema).parquet(f"{base}/out")
+    got = runs.read_written(spark, f"{base}/out", got_stream.schema)
     want = windows.session_counts(spark.read.schema(SCHEMAS["events"]).parquet(landed), "user_id")
     assert got.exceptAll(want).isEmpty()
     assert want.count() - got.count() < want.count() * 0.05
@@ -156,6 +200,8 @@ def test_late_rows_across_groups(spark):
     for b, t in rows:
         want[b] = top is not None and t < top - timedelta(hours=1)
         top = max(top, t) if top else t
+    unknown = spark.createDataFrame([(None, t0)], df.schema)
+    assert [r["is_late"] for r in windows.late_rows(df.union(unknown), "b", "t", 3600).filter("b IS NULL").collect()] == [False]
     for group in (1, 7, 1000):
         got = {r["b"]: r["is_late"] for r in windows.late_rows(df, "b", "t", 3600, group).collect()}
         assert got == want

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from txlake.operators import scd2
+from txlake.operators.prepare import time_literal
 from txlake.registry import ENTITIES, PROFILE_BUCKETS, Entity, entity
 
 STATUS_SCHEMA = "entity STRING, records BIGINT, status STRING"
@@ -144,6 +145,10 @@ class DimensionTable:
         live = self._live()
         if live and not self.commits().filter(F.col("batch_id") == batch_id).isEmpty():
             return 0, "already_loaded"
+        if live is not None:
+            newest = self.current().agg(F.max("effective_date").cast("string").alias("t"), F.max("effective_date") > time_literal(at)).first()
+            if newest[1]:
+                raise ValueError(f"load time {at} lies before the stored start {newest.t}")
         if live is None:
             rows = scd2.first_load(incoming, self.entity, at).withColumn(scd2.TOUCHED, F.lit(True))
         else:

@@ -2,62 +2,100 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txlake.operators.facts import touched_days, unseen
-from txlake.operators.prepare import prepare
+from txlake.operators.facts import unseen
+from txlake.operators.prepare import REJECT, conform
 from txlake.sources.tables import DimensionTable, with_day
 from txlake.streaming.object_events import file_events
-from txlake.streaming.runs import append_available, each_batch, write_epoch
+from txlake.streaming.runs import Step, each_batch, write_epoch
+
+
+def quarantine_folder(target: str) -> str:
+    """Where a stream puts the rows that `target` does not take, with the reason."""
+    return f"{target.rstrip('/')}_quarantine"
+
+
+def _split(accepted: Step, rejected: Step) -> Step:
+    """Step for conformed rows: those without and those with a reason to reject, computed once."""
+
+    def step(batch: DataFrame, stream: str, epoch: int) -> None:
+        held = batch.persist()
+        try:
+            rejected(held.filter(F.col(REJECT).isNotNull()), stream, epoch)
+            accepted(held.filter(F.col(REJECT).isNull()).drop(REJECT), stream, epoch)
+        finally:
+            held.unpersist()
+
+    return step
 
 
 def append_transactions(stream: DataFrame, target: str, checkpoint: str, batch_id: str, at: str) -> None:
-    """Prepared transactions appended by day. Late rows are kept: there is no watermark."""
-    rows = with_day(prepare(stream, "transactions", batch_id, at), "transactions")
-    append_available(rows, target, checkpoint, ("tx_date",))
+    """Conformed transactions appended by day. Late rows are kept: there is no watermark. Rows without identity go
+    to the quarantine."""
+    rows = with_day(conform(stream, "transactions", batch_id, at), "transactions")
+    each_batch(rows, _split(write_epoch(target, ("tx_date",)), write_epoch(quarantine_folder(target))), checkpoint)
 
 
 def append_unseen(stream: DataFrame, target: str, checkpoint: str, key: str, time: str) -> None:
-    """Append each id once, however late its copies come; no row is dropped for its age.
+    """Append each id once, however late its copies come and whatever their time; no row is dropped for its age.
 
-    Copies of a row share its day, so a micro-batch looks for its ids only in the stored days it
-    touches. The list of those days is as short as the calendar.
+    A micro-batch looks for its ids among all stored ids, which are read as one column. Rows without id go to
+    the quarantine.
     """
     spark = stream.sparkSession
-    fields = T.StructType([*stream.schema, T.StructField("day", T.DateType()), T.StructField("epoch", T.IntegerType())])
+    added = [T.StructField("day", T.DateType()), T.StructField("stream", T.StringType()), T.StructField("epoch", T.LongType())]
+    fields = T.StructType([*stream.schema, *added])
     others = [c for c in stream.columns if c != key]
-    spark.createDataFrame([], fields).write.mode("ignore").partitionBy("day", "epoch").parquet(target)
+    spark.createDataFrame([], fields).write.mode("ignore").partitionBy("stream", "epoch", "day").parquet(target)
 
-    def step(batch: DataFrame, epoch: int) -> None:
-        days = touched_days(batch, F.to_date(time))
-        stored = batch.sparkSession.read.schema(fields).parquet(target).filter(F.col("day").isin(days))
+    def append(batch: DataFrame, stream_id: str, epoch: int) -> None:
+        stored = batch.sparkSession.read.schema(fields).parquet(target)
         # What an earlier attempt of this micro-batch wrote is written again, in its place.
-        fresh = unseen(batch, stored.filter(F.col("epoch") != epoch), key, others)
-        rows = fresh.withColumns({"day": F.to_date(time), "epoch": F.lit(epoch)})
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "epoch").parquet(target)
+        others_wrote = stored.filter((F.col("stream") != stream_id) | (F.col("epoch") != epoch))
+        fresh = unseen(batch, others_wrote, key, others).withColumn("day", F.to_date(time))
+        write_epoch(target, ("day",))(fresh, stream_id, epoch)
 
-    each_batch(stream, step, checkpoint)
+    checked = stream.withColumn(REJECT, F.when(F.col(key).isNull(), F.lit(key)))
+    each_batch(checked, _split(append, write_epoch(quarantine_folder(target))), checkpoint)
 
 
 def queue_files(messages: DataFrame, target: str, checkpoint: str) -> None:
     """Work queue: one entry per file to load, written per micro-batch."""
-    write = write_epoch(target)
-
-    def step(batch: DataFrame, epoch: int) -> None:
-        write(batch.withColumn("status", F.lit("queued")), epoch)
-
-    each_batch(file_events(messages), step, checkpoint)
+    each_batch(file_events(messages).withColumn("status", F.lit("queued")), write_epoch(target), checkpoint)
 
 
 def merge_dimension(
-    stream: DataFrame, table: DimensionTable, checkpoint: str, name: str, at: str, compare: list[str] | None = None
+    stream: DataFrame, table: DimensionTable, checkpoint: str, name: str, at: str | Callable[[DataFrame], str],
+    compare: list[str] | None = None, quarantine: str | None = None,
 ) -> None:
-    """Merge every micro-batch into a dimension; the batch id holds the epoch, so a replay is a no-op."""
+    """Merge every micro-batch into a dimension; the batch id holds stream and epoch, so a replay is a no-op.
+
+    `at` is the time from which the merged versions are valid: one text, or a function that reads it from the rows of a
+    micro-batch, as `latest_time` does. Rows without identity go to the quarantine.
+    """
+
+    def step(batch: DataFrame, stream_id: str, epoch: int) -> None:
+        batch_id = f"{name}-{stream_id}-{epoch}"
+        moment = at if isinstance(at, str) else at(batch)
+
+        def merge(rows: DataFrame, *_) -> None:
+            table.load(rows, batch_id, moment, compare)
 
-    def step(batch: DataFrame, epoch: int) -> None:
-        batch_id = f"{name}-{epoch}"
-        table.load(prepare(batch, table.entity, batch_id, at), batch_id, at, compare)
+        rejected = write_epoch(quarantine or quarantine_folder(table.data))
+        _split(merge, rejected)(conform(batch, table.entity, batch_id, moment), stream_id, epoch)
 
     each_batch(stream, step, checkpoint)
+
+
+def latest_time(column: str) -> Callable[[DataFrame], str]:
+    """Effective time of a micro-batch: the greatest time in it. An empty micro-batch changes nothing, so any time will do."""
+
+    def read(batch: DataFrame) -> str:
+        return str(batch.agg(F.max(column)).first()[0] or "1970-01-01 00:00:00")
+
+    return read

@@ -29,29 +29,40 @@ def read_topic(spark: SparkSession, servers: str, topic: str, start: str = "late
     )
 
 
+# A micro-batch is named by its stream and its epoch. Spark keeps the stream's id in the checkpoint, so a restart has the
+# same id, and a stream with a new checkpoint, whose epochs begin again at 0, another one.
+Step = Callable[[DataFrame, str, int], None]
+
+
 def append_available(df: DataFrame, target: str, checkpoint: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Append the rows of a stream to a folder, each input once."""
-    writer = df.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    _finish(writer.trigger(availableNow=True).start(target))
+    """Append the rows of a stream to a folder, each input once; several streams may share the folder."""
+    each_batch(df, write_epoch(target, partition_by), checkpoint)
+
 
+def each_batch(df: DataFrame, step: Step, checkpoint: str, mode: str = "append") -> None:
+    """Call `step(rows, stream id, epoch)` for every micro-batch. It may be called again for a batch, so it must be repeatable."""
 
-def each_batch(df: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
-    """Call `step` for every micro-batch. It may be called again for a batch, so it must be repeatable."""
-    writer = df.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).outputMode(mode)
+    def named(batch: DataFrame, epoch: int) -> None:
+        step(batch, batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId"), epoch)
+
+    writer = df.writeStream.foreachBatch(named).option("checkpointLocation", checkpoint).outputMode(mode)
     _finish(writer.trigger(availableNow=True).start())
 
 
-def write_epoch(target: str) -> Callable[[DataFrame, int], None]:
+def write_epoch(target: str, partition_by: tuple[str, ...] = ()) -> Step:
     """Step that writes a micro-batch to its own partition; a repeated batch replaces what it wrote."""
 
-    def step(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/epoch={epoch}")
+    def step(batch: DataFrame, stream: str, epoch: int) -> None:
+        batch.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{target}/stream={stream}/epoch={epoch}")
 
     return step
 
 
+def read_written(spark: SparkSession, target: str, schema) -> DataFrame:
+    """What the streams of a folder wrote, without the names of the micro-batches."""
+    return spark.read.schema(schema).parquet(target).drop("stream", "epoch")
+
+
 def _finish(query) -> None:
     try:
         query.awaitTermination()

@@ -25,14 +25,19 @@ def tumbling_counts(stream: DataFrame, interval: str = STATS_INTERVAL) -> DataFr
 
 
 def latest_counts(spark: SparkSession, target: str) -> DataFrame:
-    """Last value written for each interval and type."""
-    rows = spark.read.schema("window_start TIMESTAMP_NTZ, event_type STRING, n BIGINT, epoch INT").parquet(target)
-    return rows.groupBy("window_start", "event_type").agg(F.max_by("n", "epoch").alias("n"))
+    """Last value that each stream wrote for an interval and type, added up over the streams."""
+    fields = "window_start TIMESTAMP_NTZ, event_type STRING, n BIGINT, stream STRING, epoch BIGINT"
+    rows = spark.read.schema(fields).parquet(target)
+    last = rows.groupBy("stream", "window_start", "event_type").agg(F.max_by("n", "epoch").alias("n"))
+    return last.groupBy("window_start", "event_type").agg(F.sum("n").alias("n"))
 
 
-def run_counts(stream: DataFrame, name: str = "counts") -> DataFrame:
-    """Counts of all that is available: changed groups are appended per micro-batch, readers take the last."""
-    target, checkpoint = folders(stream.sparkSession, name)
+def run_counts(stream: DataFrame, name: str = "counts", base: str | None = None) -> DataFrame:
+    """Counts of all that is available: changed groups are appended per micro-batch, readers take the last.
+
+    With the same `base` folder a later call goes on where the one before stopped.
+    """
+    target, checkpoint = (f"{base}/data", f"{base}/checkpoint") if base else folders(stream.sparkSession, name)
     each_batch(tumbling_counts(stream), write_epoch(target), checkpoint, mode="update")
     return latest_counts(stream.sparkSession, target)
 
@@ -61,7 +66,8 @@ def session_counts(stream: DataFrame, key: str, gap: str = "30 minutes", delay:
 
 
 def late_rows(df: DataFrame, batch: str, time: str, delay_seconds: int, group: int = 1000) -> DataFrame:
-    """Marks rows older than the greatest time of all earlier micro-batches less the delay. No row is dropped.
+    """Marks rows older than the greatest time of all earlier micro-batches less the delay. No row is dropped; a row
+    without a micro-batch is not late.
 
     The running maximum needs one value per micro-batch. It is taken in two steps, inside groups of
     batches and over the groups, so neither step orders all batches in one task.
@@ -75,6 +81,6 @@ def late_rows(df: DataFrame, batch: str, time: str, delay_seconds: int, group: i
         batch, F.greatest("__inside", "__before").alias("__seen")
     )
     limit = F.col("__seen") - F.make_dt_interval(secs=F.lit(delay_seconds))
-    return df.join(limits, batch).select(
+    return df.join(limits, batch, "left").select(
         *df.columns, F.coalesce(F.col(time) < limit, F.lit(False)).alias("is_late")
     )

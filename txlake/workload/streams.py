@@ -67,15 +67,17 @@ def _(fx):
     target, checkpoint = runs.folders(fx.spark, "object-events")
     found = object_events.file_events(_stream_of(fx, "notifications"))
     runs.append_available(found, target, checkpoint)
-    return fx.spark.read.schema(found.schema).parquet(target)
+    return runs.read_written(fx.spark, target, found.schema)
 
 
 @query("stream_work_queue", "SELECT event_id, file_key, file_type, 'queued' AS status FROM {loader_records}")
 def _(fx):
+    """Two streams, each with a checkpoint of its own, fill one queue."""
     target, checkpoint = runs.folders(fx.spark, "work-queue")
-    loads.queue_files(_stream_of(fx, "notifications"), target, checkpoint)
-    rows = fx.spark.read.schema("event_id BIGINT, file_key STRING, file_type STRING, status STRING, epoch INT").parquet(target)
-    return rows.drop("epoch")
+    for part in (0, 1):
+        messages = _stream_of(fx, "notifications").filter(F.col("event_id") % 2 == part)
+        loads.queue_files(messages, target, f"{checkpoint}-{part}")
+    return runs.read_written(fx.spark, target, "event_id BIGINT, file_key STRING, file_type STRING, status STRING")
 
 
 @query("stream_dedup", "SELECT event_id, ts, user_id, event_type FROM {events}")
@@ -85,19 +87,21 @@ def _(fx):
     twice = _event_stream(fx).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
     once = windows.drop_repeats(twice).select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type")
     runs.append_available(once, target, checkpoint)
-    return fx.spark.read.schema(once.schema).parquet(target)
+    return runs.read_written(fx.spark, target, once.schema)
 
 
 @query("stream_append_unseen", "SELECT event_id, ts, user_id, event_type FROM {events}")
 def _(fx):
-    """Every event arrives twice, its copy in a later micro-batch; each is stored once."""
+    """A second stream, with a checkpoint of its own, brings new events and repeats stored ids with another time."""
     base = workspace(fx.spark, "unseen")
     events = fx["events"].select("event_id", "ts", "user_id", "event_type")
-    for _ in range(2):
-        events.coalesce(1).write.mode("append").parquet(f"{base}/landing")
-    stream = runs.read_folder(fx.spark, f"{base}/landing", events.schema, files_per_batch=1)
-    loads.append_unseen(stream, f"{base}/data", f"{base}/checkpoint", "event_id", "ts")
-    return fx.spark.read.schema(events.schema).parquet(f"{base}/data").select(*events.columns)
+    is_even = F.col("event_id") % 2 == 0
+    later = F.when(is_even, F.col("ts") + F.make_dt_interval(days=F.lit(1))).otherwise(F.col("ts"))
+    for name, landed in (("first", events.filter(is_even)), ("second", events.withColumn("ts", later))):
+        landed.write.parquet(f"{base}/{name}")
+        stream = runs.read_folder(fx.spark, f"{base}/{name}", events.schema)
+        loads.append_unseen(stream, f"{base}/data", f"{base}/checkpoint-{name}", "event_id", "ts")
+    return runs.read_written(fx.spark, f"{base}/data", events.schema).select(*events.columns)
 
 
 @query(
@@ -116,21 +120,38 @@ def _(fx):
     target, checkpoint = runs.folders(fx.spark, "fact-stream")
     loads.append_transactions(_stream_of(fx, "tx"), target, checkpoint, BATCH, AS_OF)
     columns = "TRANSACTION_ID STRING, TX_DATETIME TIMESTAMP_NTZ, CUSTOMER_ID BIGINT, TERMINAL_ID BIGINT, TX_AMOUNT DOUBLE"
-    rows = fx.spark.read.schema(f"{columns}, BATCH_ID STRING, created_at TIMESTAMP_NTZ, tx_date DATE").parquet(target)
+    rows = runs.read_written(fx.spark, target, f"{columns}, BATCH_ID STRING, created_at TIMESTAMP_NTZ, tx_date DATE")
     return rows.drop("tx_date")
 
 
+@query(
+    "stream_quarantine",
+    "SELECT TRANSACTION_ID, TX_DATETIME, 'CUSTOMER_ID' AS reject_reason FROM {tx} WHERE CUSTOMER_ID % 10 = 0",
+)
+def _(fx):
+    """Transactions without customer, kept apart by two streams on the same table."""
+    target, checkpoint = runs.folders(fx.spark, "fact-rejects")
+    customer = F.when(F.col("CUSTOMER_ID") % 10 != 0, F.col("CUSTOMER_ID"))
+    for part in (0, 1):
+        rows = _stream_of(fx, "tx").filter(F.pmod(F.xxhash64("TRANSACTION_ID"), F.lit(2)) == part)
+        loads.append_transactions(rows.withColumn("CUSTOMER_ID", customer), target, f"{checkpoint}-{part}", BATCH, AS_OF)
+    fields = "TRANSACTION_ID STRING, TX_DATETIME TIMESTAMP_NTZ, reject_reason STRING"
+    return runs.read_written(fx.spark, loads.quarantine_folder(target), fields)
+
+
 @query("stream_scd2_merge", "SELECT * REPLACE (replace(BATCH_ID, 'batch-2', 'customers-0') AS BATCH_ID) FROM {merged_c}")
 def _(fx):
-    """The second delivery lands as files and is merged by a stream."""
+    """The second delivery lands in two folders and is merged by two streams, each with a checkpoint of its own."""
     base = workspace(fx.spark, "scd2-stream")
     table = DimensionTable(fx.spark, "customers", base)
     table.load(stored(fx, "customers"), FIRST_BATCH, LOADED)
     landed = fx["customers_v2"]
-    landed.write.parquet(f"{base}/landing")
-    stream = runs.read_folder(fx.spark, f"{base}/landing", landed.schema)
-    loads.merge_dimension(stream, table, f"{base}/checkpoint", "customers", AS_OF, source_columns(fx, "customers"))
-    return table.read()
+    for part in (0, 1):
+        landed.filter(F.col("CUSTOMER_ID") % 2 == part).write.parquet(f"{base}/landing-{part}")
+        stream = runs.read_folder(fx.spark, f"{base}/landing-{part}", landed.schema)
+        loads.merge_dimension(stream, table, f"{base}/checkpoint-{part}", "customers", AS_OF, source_columns(fx, "customers"))
+    # The id of a stream is new in every run.
+    return table.read().withColumn("BATCH_ID", F.regexp_replace("BATCH_ID", "^customers-.*-", "customers-"))
 
 
 @query(
