@@ -9,9 +9,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txlake.registry import BOOL, DOUBLE, LONG, NULL_TOKENS, STRING, TIME
+from txlake.registry import BOOL, DOUBLE, LONG, NULL_WORDS, STRING, TIME
 
-_TOKENS = ", ".join(f"'{t}'" for t in NULL_TOKENS)
+_TOKENS = ", ".join(f"'{t}'" for t in NULL_WORDS)
 
 
 def blank_to_null(text: str) -> str:
@@ -32,9 +32,12 @@ def to_long(value: str) -> str:
 
 
 def to_utc(value: str, source: T.DataType) -> str:
-    """Zone-free UTC time. Text goes through an instant first, because a direct cast ignores its offset."""
+    """Zone-free UTC time. Text goes through an instant first, because a direct cast ignores its offset; text without
+    a date is no time, because Spark would take the day from the clock."""
     if isinstance(source, T.TimestampNTZType):
         return value
+    if isinstance(source, T.StringType):
+        value = f"CASE WHEN NOT {value} RLIKE '^\\\\s*T?[0-9]{{1,2}}(:|$)' THEN {value} END"
     return f"try_cast(try_cast({value} AS TIMESTAMP) AS TIMESTAMP_NTZ)"
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from txlake.functions.geo import haversine_km, in_list
 from txlake.operators.prepare import time_literal
 from txlake.operators.scd2 import one_per_key
+from txlake.registry import TRANSACTIONS
 
 
 def centroids(places: DataFrame, region: str, lon: str, lat: str) -> DataFrame:
@@ -41,19 +42,32 @@ def first_profile(profiles: DataFrame, order: list[str] | None = None) -> DataFr
     return one_per_key(profiles, ["CUSTOMER_ID"], lead)
 
 
+def latest_regions(profiles: DataFrame) -> DataFrame:
+    """Travel list of each customer's latest profile; profiles are appended with every batch."""
+    loaded = [c for c in ("created_at",) if c in profiles.columns]
+    return first_profile(profiles.select("CUSTOMER_ID", *loaded, "TRAVEL_REGIONS")).select("CUSTOMER_ID", "TRAVEL_REGIONS")
+
+
+def one_each(dim: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """One row per key of a dimension: the current one, the latest where several are marked current."""
+    rows = dim.filter("is_current") if "is_current" in dim.columns else dim
+    order = [c for c in ("version", "effective_date") if c in dim.columns]
+    return one_per_key(rows.select(key, *order, *columns), [key], [*order, *columns]).select(key, *columns)
+
+
 def customer_side(
     customers: DataFrame, profiles: DataFrame, middle: DataFrame, about: DataFrame | None = None
 ) -> DataFrame:
     """What a transaction needs to know about its customer, one row per customer."""
-    home = customers.select("CUSTOMER_ID", "HOME_REGION", "x_customer_id", "y_customer_id")
-    side = home.join(first_profile(profiles.select("CUSTOMER_ID", "TRAVEL_REGIONS")), "CUSTOMER_ID", "left")
+    home = one_each(customers, "CUSTOMER_ID", ["HOME_REGION", "x_customer_id", "y_customer_id"])
+    side = home.join(latest_regions(profiles), "CUSTOMER_ID", "left")
     if about is not None:
         side = side.join(about, "CUSTOMER_ID", "left")
     return with_centroid(side, "HOME_REGION", middle, "__home")
 
 
 def terminal_side(terminals: DataFrame, middle: DataFrame) -> DataFrame:
-    place = terminals.select("TERMINAL_ID", "CITY", "REGION", "x_terminal_id", "y_terminal_id")
+    place = one_each(terminals, "TERMINAL_ID", ["CITY", "REGION", "x_terminal_id", "y_terminal_id"])
     return with_centroid(place, "REGION", middle, "__term")
 
 
@@ -97,11 +111,8 @@ def enrich(
         "IS_NEW_REGION": ~in_list(F.col("REGION"), F.col("TRAVEL_REGIONS")),
         "CUSTOMER_TRAVEL_REGIONS": F.col("TRAVEL_REGIONS"),
     })
-    return out.select(
-        "TRANSACTION_ID", "TX_DATETIME", "CUSTOMER_ID", "TERMINAL_ID", "TX_AMOUNT", "TX_TIME_SECONDS", "TX_TIME_DAYS",
-        "DISTANCE_FROM_HOME_KM", "TERMINAL_CITY", "TERMINAL_REGION", "AVG_REGION_DISTANCE_KM", "IS_NEW_REGION",
-        "CUSTOMER_TRAVEL_REGIONS", *keep,
-    )
+    lineage = ("BATCH_ID", "created_at")
+    return out.select(*[c for c in TRANSACTIONS.columns if c not in lineage], *keep)
 
 
 def travel_regions(profiles: DataFrame) -> DataFrame:
@@ -110,9 +121,9 @@ def travel_regions(profiles: DataFrame) -> DataFrame:
 
 
 def travel_distance(customers: DataFrame, profiles: DataFrame, middle: DataFrame) -> DataFrame:
-    """Mean distance from the home region to the listed regions, two decimals."""
-    homes = customers.select("CUSTOMER_ID", "HOME_REGION")
-    listed = travel_regions(profiles).join(homes, "CUSTOMER_ID")
+    """Mean distance from the home region to the regions of the latest profile, two decimals."""
+    homes = one_each(customers, "CUSTOMER_ID", ["HOME_REGION"])
+    listed = travel_regions(latest_regions(profiles)).join(homes, "CUSTOMER_ID")
     both = with_centroid(with_centroid(listed, "HOME_REGION", middle, "__home"), "region", middle, "__goal")
     return both.groupBy("CUSTOMER_ID").agg(
         F.round(F.avg(centroid_distance("__home", "__goal")), 2).alias("AVG_TRAVEL_DISTANCE_KM")

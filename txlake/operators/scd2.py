@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txlake.operators.prepare import time_literal
@@ -213,27 +213,39 @@ def merge(
     return history.unionByName(merge_current(incoming, existing.filter("is_current"), e, at, compare))
 
 
+# Versions of a key that one window takes together.
+VERSION_SLICE = 1000
+
+
 def integrity(dim: DataFrame, kind: str | Entity) -> DataFrame:
     """Counts of broken history rules; all zero for a sound dimension.
 
-    Overlaps are found by joining each version to its successor on (key, version), which is an
-    equality on a nearly unique key, so no per-key window is needed.
+    An interval overlaps when it ends behind the start of the key's next version, whatever number that has, and is
+    inverted when it ends before its own start. Versions of a key are followed in slices of numbers; the first start of the next
+    slice that has any is carried over, so that no task holds all versions of a key.
     """
     keys = list(entity(kind).history_key)
     versions = dim.groupBy(*keys, "version").agg(
         F.count("*").alias("copies"),
         F.count_if("is_current").alias("n_current"),
         F.max(F.coalesce("end_date", time_literal("9999-12-31 00:00:00"))).alias("ends"),
-    )
-    successor = dim.groupBy(*keys, (F.col("version") - 1).alias("version")).agg(F.min("effective_date").alias("next_starts"))
+        F.min("effective_date").alias("starts"),
+        F.count_if(F.col("end_date") < F.col("effective_date")).alias("inverted"),
+    ).withColumn("__slice", F.floor(F.col("version") / VERSION_SLICE))
+    by_slice, in_slice = Window.partitionBy(*keys).orderBy("__slice"), Window.partitionBy(*keys, "__slice").orderBy("version")
+    opening = versions.groupBy(*keys, "__slice").agg(F.min_by("starts", "version").alias("opens"))
+    carried = opening.select(*keys, "__slice", F.lead("opens").over(by_slice).alias("carried"))
     per_key = (
-        versions.join(successor, [*keys, "version"], "left")
+        versions.withColumn("next_starts", F.lead("starts").over(in_slice))
+        .join(carried, [*keys, "__slice"])
+        .withColumn("next_starts", F.coalesce("next_starts", "carried"))
         .groupBy(*keys)
         .agg(
             F.sum("n_current").alias("n_current"),
             (F.max("version") - F.min("version") + 1 - F.count("*")).alias("gaps"),
             F.sum(F.col("copies") - 1).alias("copies"),
             F.count_if(F.col("ends") > F.col("next_starts")).alias("overlaps"),
+            F.sum("inverted").alias("inverted"),
         )
     )
     checks = {
@@ -241,5 +253,6 @@ def integrity(dim: DataFrame, kind: str | Entity) -> DataFrame:
         "version_gap": F.count_if(F.col("gaps") != 0),
         "repeated_version": F.count_if(F.col("copies") != 0),
         "overlap": F.coalesce(F.sum("overlaps"), F.lit(0)),
+        "inverted": F.coalesce(F.sum("inverted"), F.lit(0)),
     }
     return per_key.agg(*[c.alias(n) for n, c in checks.items()]).unpivot([], list(checks), "check", "defects")

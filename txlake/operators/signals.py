@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from functools import reduce
+from math import gcd
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txlake.operators.enrich import behavior_profile
+from txlake.operators.enrich import behavior_profile, one_each
 from txlake.operators.history import trailing_count
 
 HIGH_AMOUNT_FACTOR = 3.0
@@ -19,7 +20,7 @@ BURST_SECONDS = 6 * 3600
 def high_amount(tx: DataFrame, customers: DataFrame) -> DataFrame:
     """Amount against the customer's profile mean and against the customer's own transactions."""
     own = behavior_profile(tx).select("CUSTOMER_ID", F.col("mean_amount").alias("__avg"), F.col("std_amount").alias("__std"))
-    base = customers.select("CUSTOMER_ID", F.col("mean_amount").alias("__profile"))
+    base = one_each(customers, "CUSTOMER_ID", ["mean_amount"]).withColumnRenamed("mean_amount", "__profile")
     known = own.join(base, "CUSTOMER_ID", "left")
     return tx.join(known, "CUSTOMER_ID", "left").select(
         *tx.columns,
@@ -47,7 +48,8 @@ def burst(tx: DataFrame, rows: int = BURST_ROWS, seconds: int = BURST_SECONDS) -
 
 def usual(customers: DataFrame, travel: DataFrame) -> DataFrame:
     """What is usual for a customer: profile mean and travel distance, one row each."""
-    return customers.select("CUSTOMER_ID", F.col("mean_amount").alias("USUAL_AMOUNT")).join(travel, "CUSTOMER_ID", "left")
+    amounts = one_each(customers, "CUSTOMER_ID", ["mean_amount"]).withColumnRenamed("mean_amount", "USUAL_AMOUNT")
+    return amounts.join(travel, "CUSTOMER_ID", "left")
 
 
 SCORE_INPUTS = ("IS_BURST", "USUAL_AMOUNT", "AVG_TRAVEL_DISTANCE_KM")
@@ -80,12 +82,23 @@ def region_risk(enriched: DataFrame) -> DataFrame:
     )
 
 
+_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86_400, "week": 604_800}
+
+
+def seconds_of(interval: str) -> int:
+    """`15 minutes` and the like in seconds."""
+    number, unit = interval.split()
+    return int(number) * _SECONDS[unit.rstrip("s")]
+
+
 def sliding_spend(tx: DataFrame, span: str = "1 hour", step: str = "15 minutes") -> DataFrame:
     """Spend per customer in overlapping windows.
 
-    Rows are summed per step first (map-side); only those sums are spread over the windows that cover them.
+    Rows are summed first per pane, the longest stretch that windows of any length hold or lack as a whole (map-side); only
+    those sums are spread over the windows that cover them.
     """
-    pane = tx.groupBy("CUSTOMER_ID", F.window(F.col("TX_DATETIME").cast("timestamp"), step).alias("w")).agg(
+    width = f"{gcd(seconds_of(span), seconds_of(step))} seconds"
+    pane = tx.groupBy("CUSTOMER_ID", F.window(F.col("TX_DATETIME").cast("timestamp"), width).alias("w")).agg(
         F.count("*").alias("n"), F.sum("TX_AMOUNT").alias("amount")
     )
     covered = pane.select("CUSTOMER_ID", "n", "amount", F.window(F.col("w.start"), span, step).alias("w"))

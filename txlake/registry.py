@@ -161,8 +161,11 @@ CREATED_EVENT_PREFIX = "s3:ObjectCreated:"
 STATS_INTERVAL = "300 seconds"
 ROWS_PER_BATCH_FILE = 5000
 ENRICHMENT_COLUMNS = ("TERMINAL_CITY", "TERMINAL_REGION", "CUSTOMER_TRAVEL_REGIONS")
-# Texts read as null in delimited files.
-NULL_TOKENS = ("", "NA", "N/A", "NaN", "nan", "NULL", "null", "None")
+# Words that the usual CSV readers take for a missing value.
+NULL_WORDS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL",
+    "NaN", "None", "n/a", "nan", "null",
+)
 # ---- End of fixed values ----
 
 

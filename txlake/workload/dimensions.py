@@ -90,20 +90,40 @@ def _(fx):
     return scd2.as_of(merged(fx, "customers"), "2024-02-15 00:00:00", "2024-03-02 00:00:00")
 
 
+# Defects put into the merged customers, in the words of both engines.
+_DEFECTS = (
+    "version + CASE WHEN CUSTOMER_ID % 10 IN (2, 7) AND is_current THEN 5 ELSE 0 END AS version",
+    "CASE WHEN CUSTOMER_ID % 10 IN (3, 7) AND version > 1 THEN effective_date - INTERVAL '400' DAY ELSE effective_date END"
+    " AS effective_date",
+    "CASE WHEN CUSTOMER_ID % 10 = 4 AND NOT is_current THEN effective_date - INTERVAL '1' DAY ELSE end_date END AS end_date",
+    "is_current OR CUSTOMER_ID % 10 = 5 AS is_current",
+)
+_DEFECTIVE = ", ".join(_DEFECTS)
+
+
 @query(
     "scd2_integrity",
-    """
-SELECT 'not_one_current' AS "check", (SELECT count(*) FROM (SELECT CUSTOMER_ID FROM {merged_c} GROUP BY 1
+    f"""
+SELECT * FROM (WITH d AS (
+  SELECT CUSTOMER_ID, {_DEFECTIVE} FROM {{merged_c}}
+  UNION ALL SELECT CUSTOMER_ID, version, effective_date, end_date, is_current FROM {{merged_c}} WHERE CUSTOMER_ID % 10 = 6),
+v AS (SELECT CUSTOMER_ID, version, count(*) FILTER (is_current) AS n_current, min(effective_date) AS starts,
+             max(coalesce(end_date, TIMESTAMP '9999-12-31')) AS ends FROM d GROUP BY 1, 2),
+n AS (SELECT *, lead(starts) OVER (PARTITION BY CUSTOMER_ID ORDER BY version) AS nxt FROM v)
+SELECT 'not_one_current' AS "check", (SELECT count(*) FROM (SELECT CUSTOMER_ID FROM d GROUP BY 1
        HAVING count(*) FILTER (is_current) <> 1)) AS defects
-UNION ALL SELECT 'version_gap', (SELECT count(*) FROM (SELECT CUSTOMER_ID FROM {merged_c} GROUP BY 1
+UNION ALL SELECT 'version_gap', (SELECT count(*) FROM (SELECT CUSTOMER_ID FROM d GROUP BY 1
        HAVING max(version) - min(version) + 1 <> count(DISTINCT version)))
-UNION ALL SELECT 'repeated_version', (SELECT count(DISTINCT CUSTOMER_ID) FROM (SELECT CUSTOMER_ID FROM {merged_c}
+UNION ALL SELECT 'repeated_version', (SELECT count(DISTINCT CUSTOMER_ID) FROM (SELECT CUSTOMER_ID FROM d
        GROUP BY CUSTOMER_ID, version HAVING count(*) > 1))
-UNION ALL SELECT 'overlap', (SELECT count(*) FROM (SELECT end_date, lead(effective_date) OVER (PARTITION BY CUSTOMER_ID
-       ORDER BY version) AS nxt FROM {merged_c}) WHERE nxt IS NOT NULL AND (end_date IS NULL OR end_date > nxt))""",
+UNION ALL SELECT 'overlap', (SELECT count(*) FROM n WHERE ends > nxt)
+UNION ALL SELECT 'inverted', (SELECT count(*) FROM d WHERE end_date < effective_date))""",
 )
 def _(fx):
-    return scd2.integrity(merged(fx, "customers"), "customers")
+    """A dimension with gaps, overlaps across them, inverted intervals, two current rows and repeated versions."""
+    rows = merged(fx, "customers")
+    repeated = rows.filter("CUSTOMER_ID % 10 = 6").select("CUSTOMER_ID", "version", "effective_date", "end_date", "is_current")
+    return scd2.integrity(rows.selectExpr("CUSTOMER_ID", *_DEFECTS).unionByName(repeated), "customers")
 
 
 @query(
