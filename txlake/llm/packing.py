@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from txlake.llm import blocks, vocabulary
 from txlake.llm.text import WHITE
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 K1, B = 1.2, 0.75
 QUERY_WORDS = 16
 # Words longer than this decide in which shard a document is.
@@ -159,7 +159,9 @@ def pack_documents(
         flat = np.full(int(sizes.sum()), end_id, dtype="<u4")
         inside = np.ones(len(flat), dtype=bool)
         inside[first + body] = False
-        flat[inside] = vocabulary.gather(ids, begin[found.number], length[found.number])
+        inner = np.empty(int(body.sum()), dtype="<u4")
+        vocabulary.gather_into(inner, ids, begin[found.number], length[found.number])
+        flat[inside] = inner
         pieces = np.array(fill_windows(index, sizes, window), dtype=np.int64)
         at = first[pieces[:, 0]] + pieces[:, 1]
         block = int(table.column("block")[0].as_py())

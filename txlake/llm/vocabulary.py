@@ -114,6 +114,15 @@ def gather(flat: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarra
     return flat[shift + np.arange(total)]
 
 
+def gather_into(out: np.ndarray, flat: np.ndarray, begin: np.ndarray, length: np.ndarray, step: int = 1 << 17) -> None:
+    """`gather` into an array, some pairs at a time, so that the places need little memory."""
+    at = 0
+    for i in range(0, len(begin), step):
+        part = gather(flat, begin[i : i + step], length[i : i + step])
+        out[at : at + len(part)] = part
+        at += len(part)
+
+
 def answers(table: pa.Table, found: BlockWords, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(rows of the corpus, ids of all words, first, length): answers to a block in the order of its words."""
     order = np.argsort(found.buckets(n), kind="stable")
