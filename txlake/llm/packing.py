@@ -128,7 +128,7 @@ def pack_documents(
     def ask(table: pa.Table) -> pa.Table:
         found = vocabulary.BlockWords.read(table.column("text"), fold)
         word, _, _ = found.postings(len(table))
-        return vocabulary.ask(table.column("block")[0].as_py(), found, np.bincount(word, minlength=len(found.words)), n)
+        return vocabulary.ask(table.column("block")[0].as_py(), found, np.bincount(word, minlength=len(found.hashes)), n)
 
     def encode(words: list[str]) -> list[list[int]]:
         from tokenizers import Tokenizer

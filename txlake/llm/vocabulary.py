@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -15,32 +16,41 @@ from txlake.llm.batches import placed_words, text_blocks
 
 @dataclass
 class BlockWords:
-    """Words of the texts of a block: the distinct ones, and for each occurrence the row and the number of its word."""
+    """Words of the texts of a block: the hashes of the distinct ones in order, and for each occurrence its row and
+    the number of its word; where one occurrence of each distinct word stands in `data`."""
 
     rows: np.ndarray
     number: np.ndarray
     hashes: np.ndarray
-    words: list[bytes]
+    data: np.ndarray
+    begin: np.ndarray
+    length: np.ndarray
 
     @classmethod
     def read(cls, texts: pa.ChunkedArray, fold: bool) -> BlockWords:
-        parts, hashes, rows, sizes = [], [], [], [0]
+        parts = [[np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.uint8)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]]
+        shift = 0
         for first, block, starts in text_blocks(texts.combine_chunks()):
             found, row, begin, end = placed_words(block, starts, fold)
-            parts.append((block, begin, end))
-            hashes.append(found)
-            rows.append(row + first)
-            sizes.append(len(found))
-        if not parts:
-            return cls(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), [])
-        distinct, first_at, number = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
-        edges = np.cumsum(sizes)
-        words = []
-        for at, part in zip(first_at.tolist(), (np.searchsorted(edges, first_at, side="right") - 1).tolist(), strict=True):
-            block, begin, end = parts[part]
-            i = at - edges[part]
-            words.append(block[begin[i] : end[i]].tobytes())
-        return cls(np.concatenate(rows), number, distinct, words)
+            for part, more in zip(parts, (found, row + first, block, begin + shift, end - begin), strict=True):
+                part.append(more)
+            shift += len(block)
+        hashes, rows, data, begin, length = (np.concatenate(p) for p in parts)
+        code, distinct = pd.factorize(hashes)
+        order = np.argsort(distinct)
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order))
+        number = rank[code]
+        one = np.empty(len(order), dtype=np.int64)
+        one[number] = np.arange(len(number))
+        return cls(rows, number, distinct[order], data, begin[one], length[one])
+
+    def spelled(self, words: np.ndarray) -> bytes:
+        """The words, by number, between spaces."""
+        size = self.length[words] + 1
+        out = gather(self.data, self.begin[words], size)
+        out[np.cumsum(size) - 1] = 32
+        return out[:-1].tobytes()
 
     def buckets(self, n: int) -> np.ndarray:
         return (self.hashes % np.uint64(n)).astype(np.int64)
@@ -62,7 +72,7 @@ def ask(block: int, found: BlockWords, holders: np.ndarray, n: int) -> pa.Table:
     for b in used:
         mine = order[edges[b] : edges[b + 1]]
         head = np.array([len(mine), *holders[mine]], dtype=np.uint32).tobytes()
-        bodies.append(head + b" ".join(found.words[i] for i in mine))
+        bodies.append(head + found.spelled(mine))
     return pa.table({
         "bucket": pa.array(used, pa.int32()), "block": pa.array(np.full(len(used), block), pa.int32()),
         "body": pa.array(bodies, pa.binary()),
@@ -73,35 +83,30 @@ def encode_words(questions: DataFrame, encode: Callable[[list[str]], list[list[i
     """Answers for each word: rows of the corpus that hold it, and its ids."""
 
     def of_bucket(table: pa.Table) -> pa.Table:
-        asked, known, words, holders = [], {}, [], []
-        for body in table.column("body").to_pylist():
-            n = int(np.frombuffer(body, np.uint32, 1)[0])
-            mine = body[4 * n + 4 :].split(b" ")
-            numbers = np.empty(n, dtype=np.int64)
-            for i, word in enumerate(mine):
-                # Words that differ in the case of A-Z only have the same ids and one count.
-                key = word.lower() if fold else word
-                at = known.get(key)
-                if at is None:
-                    at = known[key] = len(words)
-                    words.append(word)
-                    holders.append(0)
-                numbers[i] = at
-            total = np.frombuffer(body, np.uint32, n, 4)
-            for at, more in zip(numbers.tolist(), total.tolist(), strict=True):
-                holders[at] += more
-            asked.append(numbers)
+        bodies = table.column("body").to_pylist()
+        sizes = [int(np.frombuffer(body, np.uint32, 1)[0]) for body in bodies]
+        spelled = b" ".join(body[4 * n + 4 :] for body, n in zip(bodies, sizes, strict=True)) + b" "
+        data = np.frombuffer(spelled, np.uint8)
+        # Words that differ in the case of A-Z only have the same ids and one count.
+        hashes, _, begin, end = placed_words(data, np.array([0, len(data)]), fold)
+        number, distinct = pd.factorize(hashes)
+        one = np.empty(len(distinct), dtype=np.int64)
+        one[number] = np.arange(len(number))
+        asking = np.concatenate([np.frombuffer(body, np.uint32, n, 4) for body, n in zip(bodies, sizes, strict=True)])
+        holders = np.bincount(number, asking.astype(np.float64), minlength=len(distinct))
+        words = [spelled[a:z] for a, z in zip(begin[one].tolist(), end[one].tolist(), strict=True)]
+        asked = np.split(number, np.cumsum(sizes)[:-1])
         ids = encode([w.decode() for w in words])
         length = np.array([len(x) for x in ids], dtype=np.int64)
         flat = np.array([i for x in ids for i in x], dtype=np.uint32)
-        begin = np.cumsum(length) - length
-        count = np.array(holders, dtype=np.uint64).clip(max=0xFFFFFFFF).astype(np.uint32)
-        bodies = []
+        first = np.cumsum(length) - length
+        count = holders.clip(max=0xFFFFFFFF).astype(np.uint32)
+        out = []
         for numbers in asked:
             body = [np.array([len(numbers)], np.uint32), count[numbers], length[numbers].astype(np.uint32)]
-            bodies.append(b"".join(x.tobytes() for x in body) + gather(flat, begin[numbers], length[numbers]).tobytes())
+            out.append(b"".join(x.tobytes() for x in body) + gather(flat, first[numbers], length[numbers]).tobytes())
         return pa.table({
-            "bucket": table.column("bucket"), "block": table.column("block"), "body": pa.array(bodies, pa.binary()),
+            "bucket": table.column("bucket"), "block": table.column("block"), "body": pa.array(out, pa.binary()),
         })
 
     return questions.groupBy("bucket").applyInArrow(of_bucket, blocks.PACKED)
