@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 
 from txlake.llm.text import WHITE
@@ -90,6 +91,15 @@ def words(block: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return placed_words(block, starts)[:2]
 
 
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values in order, and the number of each value's: np.unique by a hash table."""
+    code, found = pd.factorize(values)
+    order = np.argsort(found)
+    rank = np.empty(len(order), dtype=np.int64)
+    rank[order] = np.arange(len(order))
+    return found[order], rank[code]
+
+
 def run_hashes(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Hash of values[first:last] for each pair, equal for equal runs wherever they stand."""
     power, inverse = _powers(len(values) + 1)

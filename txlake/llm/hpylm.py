@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txlake.llm import blocks
-from txlake.llm.batches import text_blocks, words
+from txlake.llm.batches import distinct, text_blocks, words
 from txlake.plans.session import workspace
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 DISCOUNT, STRENGTH = 0.8, 10.0  # of the restaurants of contexts
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 10.0
 BURN, SAMPLES = 2, 3
@@ -121,7 +121,7 @@ class Tokens:
         inside[last] = False
         tokens[inside] = found
         self.rows = np.repeat(np.arange(n), self.n_tokens)
-        self.hashes, self.number = np.unique(tokens, return_inverse=True)
+        self.hashes, self.number = distinct(tokens)
         self.before = np.empty(len(tokens), dtype=np.int64)
         self.before[1:] = self.number[:-1]
         self.before[last[:-1] + 1] = -1
@@ -150,7 +150,7 @@ def _merge_words(table: pa.Table) -> tuple[list[int], list[np.ndarray], np.ndarr
     """Blocks, the places of their words among the bucket's distinct words, hashes, training counts."""
     found = sorted(_bodies(table, TO_WORDS).items())
     parts = [_parse(body, "u8 u4") for _, body in found]
-    hashes, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    hashes, at = distinct(np.concatenate([p[0] for p in parts]))
     count = np.bincount(at, np.concatenate([p[1] for p in parts]).astype(np.float64)).astype(np.int64)
     return [b for b, _ in found], np.split(at, np.cumsum([len(p[0]) for p in parts])[:-1]), hashes, count
 
@@ -167,7 +167,7 @@ class Bigrams:
         before = np.where(tokens.before < 0, d, tokens.before)
         known = (count[tokens.number] > 0) & (self.context_count[before] > 0)
         self.token_pair = np.full(len(before), -1)
-        pairs, at = np.unique(before[known] * d + tokens.number[known], return_inverse=True)
+        pairs, at = distinct(before[known] * d + tokens.number[known])
         self.token_pair[known] = at
         self.token_context = before
         self.context, self.word = np.divmod(pairs, d)
@@ -248,7 +248,7 @@ def score(
         found = rows.filter(F.col("kind") == TOTALS).agg(F.sum("a"), F.sum("b")).first()
         return found[0] or 0, found[1] or 0
 
-    total, distinct = sums(counted)
+    total, vocabulary = sums(counted)
 
     def known_words(tokens: Tokens, table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         bodies = _bodies(table, TO_BLOCK)
@@ -331,7 +331,7 @@ def score(
         real = customers > 0
         whole = np.maximum(1, np.rint(customers[real]))
         tables = np.zeros(len(hashes))
-        base = np.full(len(whole), 1 / (distinct + 1))
+        base = np.full(len(whole), 1 / (vocabulary + 1))
         zeros = np.zeros(len(whole), dtype=np.int64)
         tables[real], _ = seat(whole, base, zeros, np.array([float(n)]), ROOT_DISCOUNT, ROOT_STRENGTH, bucket)
         own = np.where(real, np.maximum(customers, tables) - ROOT_DISCOUNT * tables, 0).astype(np.float32)
@@ -369,7 +369,7 @@ def score(
         for b, part in enumerate(_split(tokens.word_buckets(n), n)):
             if len(part):
                 (own[part],) = _parse(bodies[b], "f4")
-        open_ = (ROOT_STRENGTH + ROOT_DISCOUNT * root_tables) / (distinct + 1)
+        open_ = (ROOT_STRENGTH + ROOT_DISCOUNT * root_tables) / (vocabulary + 1)
         in_root = (own + open_) / (ROOT_STRENGTH + root_customers)
         context = pairs.token_context
         entry = pairs.token_pair
@@ -379,7 +379,7 @@ def score(
         guests = pairs.context_count[context]
         back = (STRENGTH + DISCOUNT * tables[context]) / (STRENGTH + guests)
         chance = np.where(guests > 0, mine / (STRENGTH + guests) + back * in_root[tokens.number], in_root[tokens.number])
-        base = np.log10((count + 0.5) / (total + 0.5 * (distinct + 1)))
+        base = np.log10((count + 0.5) / (total + 0.5 * (vocabulary + 1)))
         rows = len(table)
 
         def add(values: np.ndarray) -> np.ndarray:

@@ -6,12 +6,11 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from txlake.llm import blocks
-from txlake.llm.batches import placed_words, text_blocks
+from txlake.llm.batches import distinct, placed_words, text_blocks
 
 
 @dataclass
@@ -36,14 +35,10 @@ class BlockWords:
                 part.append(more)
             shift += len(block)
         hashes, rows, data, begin, length = (np.concatenate(p) for p in parts)
-        code, distinct = pd.factorize(hashes)
-        order = np.argsort(distinct)
-        rank = np.empty(len(order), dtype=np.int64)
-        rank[order] = np.arange(len(order))
-        number = rank[code]
-        one = np.empty(len(order), dtype=np.int64)
+        known, number = distinct(hashes)
+        one = np.empty(len(known), dtype=np.int64)
         one[number] = np.arange(len(number))
-        return cls(rows, number, distinct[order], data, begin[one], length[one])
+        return cls(rows, number, known, data, begin[one], length[one])
 
     def spelled(self, words: np.ndarray) -> bytes:
         """The words, by number, between spaces."""
@@ -89,11 +84,11 @@ def encode_words(questions: DataFrame, encode: Callable[[list[str]], list[list[i
         data = np.frombuffer(spelled, np.uint8)
         # Words that differ in the case of A-Z only have the same ids and one count.
         hashes, _, begin, end = placed_words(data, np.array([0, len(data)]), fold)
-        number, distinct = pd.factorize(hashes)
-        one = np.empty(len(distinct), dtype=np.int64)
+        known, number = distinct(hashes)
+        one = np.empty(len(known), dtype=np.int64)
         one[number] = np.arange(len(number))
         asking = np.concatenate([np.frombuffer(body, np.uint32, n, 4) for body, n in zip(bodies, sizes, strict=True)])
-        holders = np.bincount(number, asking.astype(np.float64), minlength=len(distinct))
+        holders = np.bincount(number, asking.astype(np.float64), minlength=len(known))
         words = [spelled[a:z] for a, z in zip(begin[one].tolist(), end[one].tolist(), strict=True)]
         asked = np.split(number, np.cumsum(sizes)[:-1])
         ids = encode([w.decode() for w in words])
