@@ -115,7 +115,6 @@ def test_scan_with_many_files_joins_by_shuffle(spark, tmp_path, monkeypatch):
     d = str(tmp_path / "shuffled")
     for i in range(4):
         write(d, f"f{i}.csv", "HOME_CITY,CUSTOMER_ID\nc,1\n" if i % 2 else "CUSTOMER_ID,HOME_CITY\n1,c\n")
-    monkeypatch.setattr(csv_files, "BROADCAST_FILES", 2)
     rows = csv_files.scan(spark, d, "customers").select("CUSTOMER_ID", "HOME_CITY", "HOME_REGION").collect()
     assert [tuple(r) for r in rows] == [("1", "c", None)] * 4
 

@@ -72,18 +72,17 @@ def test_batch(spark, folders):
     assert entries(spark, lake) == {
         "customers/c1.csv": ("loaded", None), "customers/c2.csv": ("loaded", None), "transactions/t 1+x.csv": ("loaded", None),
         "terminals/bad.csv": ("rejected", "missing columns"), "misc/m.csv": ("rejected", "unknown type"),
-        "customers/gone.csv": ("rejected", "missing columns"),
     }
-    # Nothing is left to do.
+    # Nothing is left to do; the file that was not found stays open.
     assert statuses(jobs.load_batch(spark, landing, lake, "b1", DAY1)) == {}
 
-    # A file is added to the batch; the next batch repeats a transaction and changes a customer.
+    # A file is added to the batch; the next batch repeats a transaction, with another day, and changes a customer.
     land(landing, "customers/late.csv", CUSTOMERS + "4,z,r,0,0,1\n")
     land(landing, "transactions/t2.csv", TX + "x3,2024-01-01 09:00:00,1,1,7,False\n")
     list_files(landing, "metadata_2", "b1", ["customers/late.csv", "transactions/t2.csv"])
     assert statuses(jobs.load_batch(spark, landing, lake, "b1", DAY1)) == {"customers": (1, "success"), "transactions": (2, "success")}
     land(landing, "customers/n.csv", CUSTOMERS + "1,q,r,0,0,10\n2,a,r,0,0,\n")
-    land(landing, "transactions/t3.csv", TX + "x3,2024-01-01 09:00:00,1,1,7,False\nx4,2024-01-03 09:00:00,1,1,7,False\n")
+    land(landing, "transactions/t3.csv", TX + "x3,2024-01-05 09:00:00,1,1,7,False\nx4,2024-01-03 09:00:00,1,1,7,False\n")
     list_files(landing, "metadata_3", "b2", ["customers/n.csv", "transactions/t3.csv"])
     assert statuses(jobs.load_batch(spark, landing, lake, "b2", DAY2)) == {"customers": (2, "success"), "transactions": (1, "success")}
     assert customers(spark, lake) == [
@@ -93,6 +92,22 @@ def test_batch(spark, folders):
     assert sorted(r["TRANSACTION_ID"] for r in tx.collect()) == ["x1", "x3", "x4"]
 
 
+def test_late_nested_and_quoted_files(spark, tmp_path):
+    """A nested key, a foreign file of the same name, a listed file that comes later, quoted fields and a row that is too long."""
+    landing, lake = str(tmp_path / "landing"), str(tmp_path / "lake")
+    land(landing, "customers/2024/n.csv", CUSTOMERS + '1,"The ""Big"" City, North","A\nB",1,2,3\n2,a,r,0,0,1,extra\n')
+    land(landing, "old/customers/2024/n.csv", "x,y\n1,2\n")
+    list_files(landing, "metadata_1", "b1", ["customers/2024/n.csv", "customers/later.csv"])
+    assert statuses(jobs.load_batch(spark, landing, lake, "b1", DAY1)) == {"customers": (1, "success")}
+    row = DimensionTable(spark, "customers", lake).read().first()
+    assert (row.HOME_CITY, row.HOME_REGION, row.x_customer_id) == ('The "Big" City, North', "A\nB", 1.0)
+    assert spark.read.parquet(f"{lake}/quarantine/dim_customers").first()["reject_reason"] == "more fields than the header"
+    assert set(entries(spark, lake)) == {"customers/2024/n.csv"}
+    land(landing, "customers/later.csv", CUSTOMERS + "9,z,r,0,0,1\n")
+    assert statuses(jobs.load_batch(spark, landing, lake, "b1", DAY1)) == {"customers": (1, "success")}
+    assert {r.CUSTOMER_ID for r in DimensionTable(spark, "customers", lake).read().collect()} == {1, 9}
+
+
 def test_failed_entity_is_taken_up_again(spark, folders, monkeypatch):
     landing, lake = folders
     real = tables.DimensionTable.load

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from urllib.parse import urlsplit
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from txlake.functions.keys import decode_key
 from txlake.operators import facts, ingest
-from txlake.operators.prepare import REJECT, conform
+from txlake.operators.prepare import FAULT, REJECT, conform
 from txlake.plans.session import configure, shared_folder
 from txlake.registry import ENTITIES, TRANSACTIONS, Entity
 from txlake.sources import csv_files, ledger, manifest, staging, tables
@@ -23,9 +24,14 @@ def judged_files(spark: SparkSession, landing: str, batch_id: str) -> DataFrame:
     manifests = manifest.read(spark, f"{landing}/metadata", one_per_file=True)
     listed = manifest.listed_files(manifests, batch_id).select("file_key").distinct()
     keys = [r["file_key"] for r in ingest.route(listed).filter("entity IS NOT NULL AND is_csv").collect()]
-    file_key = decode_key(F.regexp_extract("file_path", "([^/]+/[^/]+)$", 1))
+    # The key of a file is its whole path below the landing folder.
+    path, root = decode_key(F.col("file_path")), f"{urlsplit(landing).path.rstrip('/')}/"
+    file_key = F.substring(path, F.locate(root, path) + len(root), F.length(path))
     found = csv_files.headers(spark, landing, keys).select(file_key.alias("file_key"), "header")
-    return ingest.judge(listed.join(found, "file_key", "left"))
+    judged = ingest.judge(listed.join(found, "file_key", "left"))
+    expected = F.col("entity").isNotNull() & F.col("is_csv")
+    missing = F.when(expected & F.col("header").isNull(), F.lit(ledger.NOT_FOUND))
+    return judged.withColumn("reason", F.coalesce(missing, "reason"))
 
 
 def stored_transactions(spark: SparkSession, lake: str) -> DataFrame:
@@ -44,7 +50,7 @@ def load_entity(
         return e.name, 0, "empty"
     named = files.select(F.explode(ingest.header_names(F.col("header"))).alias("n")).distinct()
     present = {r["n"] for r in named.filter(F.col("n").isin(e.columns)).collect()}
-    raw = csv_files.scan(spark, [f"{landing}/{k}" for k in keys], e).select(*[c for c in e.columns if c in present])
+    raw = csv_files.scan(spark, [f"{landing}/{k}" for k in keys], e).select(*[c for c in e.columns if c in present], FAULT)
     staged = staging.read_one(spark, staging.write_one(conform(raw, e, batch_id, at), lake, load_id, e.name))
 
     rejected = staged.filter(F.col(REJECT).isNotNull())
@@ -53,8 +59,8 @@ def load_entity(
 
     rows = staged.filter(F.col(REJECT).isNull()).drop(REJECT)
     if e is TRANSACTIONS:
-        days = facts.touched_days(rows, F.to_date(e.day_of))
-        held = stored_transactions(spark, lake).filter(F.col("tx_date").isin(days) & (F.col("BATCH_ID") != batch_id))
+        # An id is stored once, whatever time it comes with: all stored ids are read, as one column.
+        held = stored_transactions(spark, lake).filter(F.col("BATCH_ID") != batch_id)
         rows = facts.unseen(rows, held).select(*e.columns)
     return tables.upsert(rows, e.name, lake, load_id, at, [c for c in e.compared if c in present])
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txlake.operators.history import asof_join
@@ -16,17 +16,8 @@ def dedup(tx: DataFrame, key: str = "TRANSACTION_ID", order: list[str] | None =
     return one_per_key(tx, [key], order or WINNER_ORDER)
 
 
-def touched_days(df: DataFrame, day: Column) -> list:
-    """The calendar days a batch touches; a short list whatever the number of rows."""
-    return [r["day"] for r in df.select(day.alias("day")).distinct().collect()]
-
-
 def unseen(incoming: DataFrame, target: DataFrame, key: str = "TRANSACTION_ID", order: list[str] | None = None) -> DataFrame:
-    """Delivered rows whose id the target does not hold, once each.
-
-    Give a target filtered to the touched days where copies share their time: only those partitions
-    of the table are then read.
-    """
+    """Delivered rows whose id the target does not hold, once each; of the target only the ids are read."""
     return dedup(incoming, key, order).join(target.select(key).distinct(), key, "left_anti")
 
 

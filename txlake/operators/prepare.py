@@ -12,6 +12,8 @@ from txlake.functions.coerce import coerce, to_utc
 from txlake.registry import DEFAULTS, ENTITIES, HISTORY_FIELDS, INFERENCE_ORDER, Entity, entity
 
 REJECT = "reject_reason"
+# Reason a reader gives for a row it could not read properly; such a row is rejected.
+FAULT = "read_fault"
 
 
 def time_literal(text: str) -> Column:
@@ -121,7 +123,11 @@ def conform(df: DataFrame, kind: str | Entity | None, batch_id: str, as_of: str)
     df = coerce_columns(df, e)
     df = add_missing(df, e)
     df = fill_required(df, e)
-    return flag_rejects(prune(df, e), e)
+    if FAULT not in df.columns:
+        return flag_rejects(prune(df, e), e)
+    kept = [*prune(df, e).columns, FAULT]
+    flagged = flag_rejects(df.select(*kept), e)
+    return flagged.withColumn(REJECT, F.coalesce(FAULT, REJECT)).drop(FAULT)
 
 
 def prepare(df: DataFrame, kind: str | Entity | None, batch_id: str, as_of: str) -> DataFrame:

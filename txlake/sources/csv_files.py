@@ -7,13 +7,19 @@ from pyspark.sql import functions as F
 
 from txlake.functions.keys import decode_key
 from txlake.operators.ingest import header_names
+from txlake.operators.prepare import FAULT
 from txlake.plans.session import shared_folder
 from txlake.registry import Entity, entity
 
 
+# A quote inside a quoted field is doubled.
+DIALECT = {"quote": '"', "escape": '"'}
+TOO_LONG = "more fields than the header"
+
+
 def write(df: DataFrame, path: str, rows_per_file: int | None = None) -> str:
     """Header line in every file, at most `rows_per_file` rows each."""
-    writer = df.write.mode("overwrite").option("header", True)
+    writer = df.write.mode("overwrite").options(header=True, **DIALECT)
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer.csv(path)
@@ -21,10 +27,10 @@ def write(df: DataFrame, path: str, rows_per_file: int | None = None) -> str:
 
 
 def headers(spark: SparkSession, path: str | list[str], keys: list[str] | None = None) -> DataFrame:
-    """First line of each file under some paths. Only the first block of a file is read.
+    """First line of each file under some paths; the lines behind it are read and dropped.
 
-    With `keys`, only of the files `path/key`; keys without a file are left out. The file name is
-    tested while the files are listed, so the others are not opened.
+    With `keys`, only of files that have the name of one of them. The file name is tested while the files
+    are listed, so the others are not opened.
     """
     lines = spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True)
     rows = lines.option("ignoreMissingFiles", True).text(path)
@@ -40,33 +46,26 @@ def headers(spark: SparkSession, path: str | list[str], keys: list[str] | None =
     )
 
 
-# Up to this many header rows, a few hundred bytes each, are sent to all executors.
-BROADCAST_FILES = 100_000
-
-
 def scan(spark: SparkSession, path: str | list[str], kind: str | Entity) -> DataFrame:
-    """Rows of all readable files under some paths as text columns of the registry, plus `file_path`.
+    """Rows of all files under some paths as text columns of the registry, plus `file_path` and `read_fault`.
 
     Fields are read by position and picked by the name found in the header of their own file, so files
     with reordered, extra or missing columns load together in one scan. A registry column that no header
-    names is null. Files that vanish or cannot be read are left out.
+    names is null. Quoted fields may hold commas, doubled quotes and line breaks, so a file is read by one task. A row
+    with more fields than its header has `read_fault`; a file that cannot be read fails the scan.
 
-    The headers are written once with a checkpoint, which also gives their number. They travel to the
-    rows by broadcast while they are few; beyond that by a shuffle join, where a file that is too large
-    for a task is split by the adaptive plan.
+    The headers are written once with a checkpoint, which also gives their width, and joined as Spark sees fit.
     """
     e = entity(kind)
     shared_folder(spark)
     found = headers(spark, path).select("file_path", header_names(F.col("header")).alias("names")).checkpoint()
-    n_files, width = found.agg(F.count("*"), F.coalesce(F.max(F.size("names")), F.lit(1))).first()
-    named = F.broadcast(found) if n_files <= BROADCAST_FILES else found
+    # One place more than the widest header shows rows that are too long.
+    width = found.agg(F.coalesce(F.max(F.size("names")), F.lit(1)) + 1).first()[0]
     places = ", ".join(f"c{i} STRING" for i in range(width))
     rows = (
         spark.read.schema(places)
         .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("ignoreMissingFiles", True)
-        .option("ignoreCorruptFiles", True)
+        .options(mode="PERMISSIVE", multiLine=True, **DIALECT)
         .option("pathGlobFilter", "*.csv")
         .option("recursiveFileLookup", True)
         .csv(path)
@@ -76,4 +75,6 @@ def scan(spark: SparkSession, path: str | list[str], kind: str | Entity) -> Data
         F.when(F.array_contains("names", n), F.get("fields", F.array_position("names", n).cast("int") - 1)).alias(n)
         for n in e.columns
     ]
-    return rows.join(named, "file_path").select("file_path", *wanted)
+    beyond = F.exists(F.slice("fields", F.size("names") + 1, F.lit(width)), lambda f: f.isNotNull())
+    fault = F.when(beyond, F.lit(TOO_LONG)).alias(FAULT)
+    return rows.join(found, "file_path").select("file_path", *wanted, fault)

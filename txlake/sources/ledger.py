@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 SCHEMA = "file_key STRING, entity STRING, status STRING, reason STRING, batch_id STRING, run INT"
 
 
+# A listed file that is not there yet; it stays open.
+NOT_FOUND = "not found"
+
+
 def _path(lake: str) -> str:
     return f"{lake}/ledger"
 
@@ -27,8 +31,10 @@ def next_run(spark: SparkSession, lake: str, batch_id: str) -> int:
 def finished(judged: DataFrame, statuses: DataFrame) -> DataFrame:
     """Entries for judged files: rejected ones with their reason, loaded ones of the entities that were loaded.
 
-    Files of an entity whose load failed get no entry, so the next run of the batch takes them up again.
+    Files of an entity whose load failed and files that were not found get no entry, so the next run of the batch takes
+    them up again.
     """
+    judged = judged.filter(~F.col("reason").eqNullSafe(F.lit(NOT_FOUND)))
     loaded = statuses.filter("status <> 'failed'").select("entity", F.lit(True).alias("done"))
     known = judged.join(loaded, "entity", "left").filter(F.col("reason").isNotNull() | F.col("done"))
     status = F.when(F.col("reason").isNotNull(), F.lit("rejected")).otherwise(F.lit("loaded"))

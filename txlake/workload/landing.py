@@ -134,11 +134,16 @@ def _(fx):
     return ingest.number_batches(tx, ["TX_DATETIME", "TRANSACTION_ID"]).drop("TX_DATETIME")
 
 
-@query("csv_entity_scan", "SELECT * EXCLUDE (end_date, is_current) FROM {customers_v1} UNION ALL SELECT * FROM {customers_v2}")
+@query(
+    "csv_entity_scan",
+    "SELECT * EXCLUDE (end_date, is_current) REPLACE (HOME_CITY || ' \"a\", b' || chr(10) || 'c' AS HOME_CITY) FROM {customers_v1} "
+    "UNION ALL SELECT * FROM {customers_v2}",
+)
 def _(fx):
-    """Two CSV deliveries with different column orders, read in one scan and converted."""
+    """Two CSV deliveries with different column orders, one with quotes, commas and line breaks in its cities, read in one scan
+    and converted."""
     root = workspace(fx.spark, "landing")
-    first = fx["customers_v1"].drop("end_date", "is_current")
+    first = fx["customers_v1"].drop("end_date", "is_current").withColumn("HOME_CITY", F.concat("HOME_CITY", F.lit(' "a", b\nc')))
     second = fx["customers_v2"].select(*reversed(fx["customers_v2"].columns))
     csv_files.write(first, f"{root}/customers/a", rows_per_file=5000)
     csv_files.write(second, f"{root}/customers/b", rows_per_file=5000)
