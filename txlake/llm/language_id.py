@@ -7,13 +7,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txlake.llm.batches import mix
 
 UNKNOWN = "und"
-BLOCK_CHARS = 2_000_000
+BLOCK_BYTES = 1 << 19
 FLUSH_GRAMS = 1_000_000
 HASHES = 4
 
@@ -30,19 +31,17 @@ def _is_letter(points: np.ndarray) -> np.ndarray:
     return _LETTERS[np.minimum(points, POINTS)]
 
 
-def _blocks(texts: list[str | None]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def _blocks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, trigrams, rows): trigrams around every letter, as numbers; the row of each.
 
     All that is no letter is a space; the ends of a text are spaces too.
     """
+    ends = np.cumsum(pa.compute.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False))
     first = 0
     while first < len(texts):
-        last, size, part = first, 0, []
-        while last < len(texts) and (last == first or size < BLOCK_CHARS):
-            text = (texts[last] or "").lower()
-            part.append(text)
-            size += len(text) + 1
-            last += 1
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + BLOCK_BYTES, side="right")))
+        part = [(text or "").lower() for text in texts.slice(first, last - first).to_pylist()]
         points = np.frombuffer(("\n" + "\n".join(part) + "\n").encode("utf-32-le", "replace"), dtype=np.uint32)
         letter = _is_letter(points)
         clean = np.where(letter, points, 32).astype(np.uint64)
@@ -66,9 +65,8 @@ def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
     for batch in batches:
         langs = batch.column("lang").dictionary_encode()
-        texts = batch.column("text").to_pylist()
         codes, names = np.asarray(langs.indices), langs.dictionary.to_pylist()
-        for first, last, grams, rows in _blocks(texts):
+        for first, last, grams, rows in _blocks(batch.column("text")):
             of = codes[first:last][rows]
             for code in np.unique(of):
                 part = np.unique(grams[of == code], return_counts=True)
@@ -108,7 +106,7 @@ class LanguageFilter:
             used[i] = np.count_nonzero(word & bit) / size
         return cls(langs, slots, used**HASHES)
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+    def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
         """The language whose share of the text's trigrams, less the share that false positives explain, is
         largest; that share. Of equal languages, the alphabetically first."""
         names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
@@ -159,7 +157,7 @@ def predict(text: Column, model: LanguageFilter) -> Column:
 
     @F.arrow_udf("struct<lang:string,score:double>")
     def language(texts: pa.Array) -> pa.Array:
-        names, scores = model.predict(texts.to_pylist())
+        names, scores = model.predict(texts)
         return pa.StructArray.from_arrays([pa.array(names, type=pa.string()), pa.array(scores)], ["lang", "score"])
 
     return language(text)
