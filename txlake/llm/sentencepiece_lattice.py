@@ -125,11 +125,12 @@ def _viterbi(edges: Column, n: Column, longest: int, unseen: float) -> Column:
     return F.aggregate(F.sequence(F.lit(1), n), F.array(n + 1), back)
 
 
-def encode_words(spark: SparkSession, words: DataFrame, model: PieceModel) -> DataFrame:
+def encode_words(spark: SparkSession, words: DataFrame, model: PieceModel, partitions: int | None = None) -> DataFrame:
     """(wid, ids) of words (wid, word): wid unique, word neither null nor empty, spaces written as SPACE, at most LONG characters.
 
     The lattice is a table: every substring that is no longer than the longest piece is joined to the piece table, whose
-    size is checked; the edges of a word come together, without another shuffle, and are folded.
+    size is checked; the edges of a word come together, without another shuffle, and are folded. `partitions` should leave
+    some ten thousand words to each, whose edges then fit into a task's memory.
     """
     ranks = model.ranks()
     table = pa.table({
@@ -138,8 +139,8 @@ def encode_words(spark: SparkSession, words: DataFrame, model: PieceModel) -> Da
     })
     pieces = F.broadcast(spark.createDataFrame(table))
     longest, width = model.longest, model.longest + 1
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    starts = words.repartition(partitions, "wid").select(
+    tasks = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    starts = words.repartition(tasks, "wid").select(
         "wid", "word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("start")
     )
     room = F.least(F.lit(longest), F.length("word") - F.col("start") + 1)
@@ -343,7 +344,9 @@ def encode(docs: DataFrame, model: PieceModel, doc_id: str = "doc_id", text: str
 
     asked = dealt.groupBy("block").applyInArrow(ask, blocks.PACKED)
     words = asked.groupBy("bucket").applyInArrow(list_words, "wid bigint, word string")
-    encoded = encode_words(spark, words, model).withColumn("bucket", F.shiftright("wid", 32).cast("int"))
+    # A bucket has the distinct words of about as much text as a block.
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    encoded = encode_words(spark, words, model, max(least, 4 * n)).withColumn("bucket", F.shiftright("wid", 32).cast("int"))
     answers = asked.groupBy("bucket").cogroup(encoded.groupBy("bucket")).applyInArrow(reply, blocks.PACKED)
     return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         assemble, f"doc_id {kind}, ids binary, n_ids bigint, text string"
