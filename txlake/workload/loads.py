@@ -161,20 +161,28 @@ def _(fx):
     "table_catalog_columns",
     " UNION ALL ".join(
         f"SELECT '{e.table}' AS table_name, '{n}' AS column_name, '{t.simpleString()}' AS data_type, "
-        f"(SELECT count({n}) FROM {{{source}}}) AS n_filled"
-        for e, source in ((ENTITIES["customers"], "inc_c"), (ENTITIES["terminals"], "inc_t"))
+        f"(SELECT count({n}) FROM {source}) AS n_filled"
+        for kind, source in (
+            ("customers", "{inc_c}"), ("terminals", "{inc_t}"), ("transactions", f"({_PREPARED})"),
+            # The delivery has no distance; the preparation fills it in.
+            ("travel_profiles", "(SELECT CUSTOMER_ID, TRAVEL_REGIONS, 0e0 AS AVG_TRAVEL_DISTANCE_KM, 'b' AS BATCH_ID, 0 AS created_at FROM {travel_profiles})"),
+        )
+        for e in (ENTITIES[kind],)
         for n, t in e.fields
     ),
 )
 def _(fx):
-    """Columns and types of the dimension tables in the catalog, with the number of filled rows after a load."""
+    """Columns and types of the four tables in the catalog, with the number of filled rows after a load."""
     database = f"txlake_{uuid.uuid4().hex}"
     location = workspace(fx.spark, "catalog")
     for _ in range(2):
         tables.create_tables(fx.spark, database, location)
+    prepared = {kind: delivered(fx, kind) for kind in ("customers", "terminals")}
+    prepared["transactions"] = prepare(enriched(fx), "transactions", BATCH, AS_OF)
+    prepared["travel_profiles"] = prepare(fx["travel_profiles"].drop("AVG_TRAVEL_DISTANCE_KM"), "travel_profiles", BATCH, AS_OF)
     parts = []
-    for kind in ("customers", "terminals"):
-        tables.insert(delivered(fx, kind), database, kind)
+    for kind, rows in prepared.items():
+        tables.insert(rows, database, kind)
         e = ENTITIES[kind]
         table = fx.spark.table(f"{database}.{e.table}")
         types = {f.name: f.dataType.simpleString() for f in table.schema}
