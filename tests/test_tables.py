@@ -1,5 +1,7 @@
 """Stored tables: repeated loads, interrupted loads, catalog definitions."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,12 +50,30 @@ def test_interrupted_load_is_invisible_and_repeatable(spark, table):
     junk = batch(spark, [(1, "zzz", "r"), (7, "zzz", "r")], "b2", DAY2).withColumns(
         {"effective_day": F.to_date("effective_date"), "is_current": F.col("TERMINAL_ID") == 7}
     )
-    junk.write.partitionBy("is_current", "effective_day").parquet(f"{table.data}/loaded_by=b2")
+    junk.withColumn("key_bucket", F.lit(3)).write.partitionBy("key_bucket", "is_current", "effective_day").parquet(f"{table.data}/loaded_by=b2")
     assert state(table) == [(1, "a", 1, True)]
     assert table.load(batch(spark, [(1, "b", "r")], "b2", DAY2), "b2", DAY2, COMPARE) == (2, "success")
     assert state(table) == [(1, "a", 1, False), (1, "b", 2, True)]
 
 
+def files_of(table):
+    folder = table.data.removeprefix("file:")
+    return sum(name.endswith(".parquet") for _, _, names in os.walk(folder) for name in names)
+
+
+def test_a_load_rewrites_the_buckets_it_changes(spark, table):
+    many = [(i, "a", "r") for i in range(200)]
+    table.load(batch(spark, many, "b1", DAY1), "b1", DAY1)
+    before = files_of(table)
+    assert before == tables.DIMENSION_BUCKETS
+    assert table.load(batch(spark, many, "b2", DAY2), "b2", DAY2, COMPARE) == (0, "no_changes")
+    assert files_of(table) == before
+    assert table.load(batch(spark, [(5, "b", "r")], "b3", DAY2), "b3", DAY2, COMPARE) == (2, "success")
+    # The closed row, the next version, and the untouched rows of the same bucket, which lie in another day.
+    assert files_of(table) == before + 3
+    assert table.current().count() == 200 and table.history().count() == 1
+
+
 def test_batch_ids_may_hold_any_text(spark, table):
     for i, name in enumerate(("2024/03:01 x", "a%b=c")):
         rows = batch(spark, [(1, f"c{i}", "r")], name, DAY1)
@@ -120,4 +140,4 @@ def test_dispatch(spark):
     rows = batch(spark, [(1, "a", "r")], "b1", DAY1)
     assert tables.upsert(rows, "terminals", root, "b1", DAY1) == ("terminals", 1, "success")
     assert tables.upsert(rows, "merchants", root, "b1", DAY1) == ("merchants", 0, "failed")
-    assert tables.upsert(rows.limit(0), "terminals", root, "b1", DAY1) == ("terminals", 0, "empty")
+    assert tables.upsert(rows.limit(0), "terminals", root, "b2", DAY1) == ("terminals", 0, "empty")

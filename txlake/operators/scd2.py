@@ -164,21 +164,17 @@ def first_load(incoming: DataFrame, kind: str | Entity, at: str) -> DataFrame:
     return rows.selectExpr(*[f"CAST({values[n]} AS {t.simpleString()}) AS {n}" for n, t in e.fields])
 
 
-TOUCHED = "__touched"
-
-
 def merge_current(
     incoming: DataFrame,
     existing_current: DataFrame,
     kind: str | Entity,
     at: str,
     compare: list[str] | None = None,
-    mark: bool = False,
 ) -> DataFrame:
     """Rows after the merge that stem from current rows and the delivery: one full outer join on the key.
 
     Keys absent from the delivery stay as they are. Several current rows of one key fail the job:
-    picking one would lose the others. `mark` adds a flag for the rows the delivery caused.
+    picking one would lose the others.
     """
     e = entity(kind)
     keys = list(e.history_key)
@@ -192,16 +188,13 @@ def merge_current(
     first, closed, following = _version_rows(e, incoming, current, at)
     kept = _row(e, current.columns, "cur", {})
 
-    def out(row: Column, touched: bool) -> Column:
-        return F.struct(row.alias("row"), F.lit(touched).alias(TOUCHED))
-
     rows = (
-        F.when(F.col("inc").isNull(), F.array(out(kept, False)))
-        .when(F.col("cur").isNull(), F.array(out(first, True)))
-        .when(F.size("changed_fields") > 0, F.array(out(closed, True), out(following, True)))
-        .otherwise(F.array(out(kept, False)))
+        F.when(F.col("inc").isNull(), F.array(kept))
+        .when(F.col("cur").isNull(), F.array(first))
+        .when(F.size("changed_fields") > 0, F.array(closed, following))
+        .otherwise(F.array(kept))
     )
-    return pairs.select(F.inline(rows)).select("row.*", *([TOUCHED] if mark else []))
+    return pairs.select(F.inline(rows))
 
 
 def merge(

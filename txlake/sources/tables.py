@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from txlake.operators import scd2
@@ -12,7 +12,9 @@ from txlake.operators.prepare import time_literal
 from txlake.registry import ENTITIES, PROFILE_BUCKETS, Entity, entity
 
 STATUS_SCHEMA = "entity STRING, records BIGINT, status STRING"
-COMMIT_SCHEMA = "batch_id STRING, seq BIGINT"
+COMMIT_SCHEMA = "batch_id STRING, seq BIGINT, key_bucket INT"
+# Parts of a dimension that are rewritten on their own. Fixed for the life of a table.
+DIMENSION_BUCKETS = 16
 
 
 # ---- Catalog ----
@@ -93,12 +95,12 @@ def read_appended(spark: SparkSession, kind: str | Entity, root: str) -> DataFra
 
 
 class DimensionTable:
-    """A type 2 dimension as snapshots of its current rows and an ever-growing history.
+    """A type 2 dimension as snapshots of its current rows and an ever-growing history, both by a bucket of the key.
 
-    `data/loaded_by=<batch>/is_current=true` holds all current rows after that batch,
-    `.../is_current=false` the rows it closed. `commits` names the finished batches and is written
-    last: a load that died leaves files nobody reads, and its retry overwrites them. One batch costs
-    the size of the current rows, not of the history. One writer per table.
+    `data/loaded_by=<batch>/key_bucket=<n>/is_current=true` holds all current rows of a bucket after a batch that
+    changed it, `.../is_current=false` the rows it closed. `commits` names the buckets of finished batches and is written
+    last: a load that died leaves files nobody reads, and its retry overwrites them. One batch rewrites the current
+    rows of the buckets it changes, and nothing where it changes nothing. One writer per table.
     """
 
     def __init__(self, spark: SparkSession, kind: str | Entity, root: str):
@@ -112,67 +114,86 @@ class DimensionTable:
     def commits(self) -> DataFrame:
         return self.spark.read.schema(COMMIT_SCHEMA).parquet(self.log)
 
-    def _live(self) -> tuple[str, int] | None:
-        row = self.commits().orderBy(F.desc("seq")).first()
-        return (row["batch_id"], row["seq"]) if row else None
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.entity.history_key), F.lit(DIMENSION_BUCKETS)).cast("int")
 
     def _files(self) -> DataFrame:
         fields = ", ".join(f"{n} {t.simpleString()}" for n, t in self.entity.fields)
-        return self.spark.read.schema(f"{fields}, loaded_by STRING, effective_day DATE").parquet(self.data)
+        return self.spark.read.schema(f"{fields}, loaded_by STRING, key_bucket INT, effective_day DATE").parquet(self.data)
+
+    def _started(self) -> int:
+        """Number of the last finished batch, 0 before the first."""
+        return self.commits().agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
+
+    def _live(self, buckets: list[int] | None = None) -> DataFrame:
+        rows = self._files().filter("is_current")
+        if buckets is not None:
+            rows = rows.filter(F.col("key_bucket").isin(buckets))
+        # One row per bucket names its last batch.
+        last = self.commits().groupBy("key_bucket").agg(F.max_by("batch_id", "seq").alias("loaded_by"))
+        return rows.join(F.broadcast(last), ["loaded_by", "key_bucket"], "left_semi").select(*self.entity.columns)
 
     def current(self) -> DataFrame | None:
-        """Current rows of the last finished batch; null table before the first."""
-        live = self._live()
-        if live is None:
-            return None
-        rows = self._files().filter(F.col("is_current") & (F.col("loaded_by") == live[0]))
-        return rows.select(*self.entity.columns)
+        """Current rows after the last finished batch; null table before the first."""
+        return self._live() if self._started() else None
 
     def history(self) -> DataFrame | None:
         """Rows closed by finished batches."""
-        if self._live() is None:
+        if not self._started():
             return None
-        finished = self.commits().select(F.col("batch_id").alias("loaded_by"))
-        closed = self._files().filter(~F.col("is_current")).join(finished, "loaded_by", "left_semi")
+        finished = self.commits().select(F.col("batch_id").alias("loaded_by"), "key_bucket").distinct()
+        closed = self._files().filter(~F.col("is_current")).join(finished, ["loaded_by", "key_bucket"], "left_semi")
         return closed.select(*self.entity.columns)
 
     def read(self) -> DataFrame | None:
         current = self.current()
         return None if current is None else current.unionByName(self.history())
 
-    def load(self, incoming: DataFrame, batch_id: str, at: str, compare: list[str] | None = None) -> tuple[int, str]:
-        """Merge a prepared delivery; returns rows written and a status. A finished batch is not repeated."""
-        live = self._live()
-        if live and not self.commits().filter(F.col("batch_id") == batch_id).isEmpty():
-            return 0, "already_loaded"
-        if live is not None:
-            newest = self.current().agg(F.max("effective_date").cast("string").alias("t"), F.max("effective_date") > time_literal(at)).first()
-            if newest[1]:
-                raise ValueError(f"load time {at} lies before the stored start {newest.t}")
-        if live is None:
-            rows = scd2.first_load(incoming, self.entity, at).withColumn(scd2.TOUCHED, F.lit(True))
-        else:
-            rows = scd2.merge_current(incoming, self.current(), self.entity, at, compare, mark=True)
-        seen = Observation()
+    def _changed(self, incoming: DataFrame, current: DataFrame, compare: list[str] | None) -> tuple[int | None, list[int]]:
+        """Rows that a delivery causes (None for an empty one) and the buckets they belong to: one row per bucket and
+        kind of change comes to the driver."""
+        kinds = scd2.classify(incoming, current, self.entity, compare).groupBy(self._bucket().alias("b"), "change_type")
+        found = kinds.agg(F.count("*").alias("n")).collect()
+        rows = sum({"new": 1, "changed": 2}.get(r["change_type"], 0) * r["n"] for r in found)
+        return (rows if found else None), sorted({r["b"] for r in found if r["change_type"] != "unchanged"})
+
+    def _write(self, rows: DataFrame, batch_id: str) -> None:
+        parts = ["key_bucket", "is_current", "effective_day"]
         (
-            rows.withColumn("effective_day", F.to_date("effective_date"))
-            .hint("rebalance", F.col("is_current"), F.col("effective_day"))
-            .observe(seen, F.count_if(scd2.TOUCHED).alias("n"))
-            .drop(scd2.TOUCHED)
+            rows.withColumns({"key_bucket": self._bucket(), "effective_day": F.to_date("effective_date")})
+            .hint("rebalance", *[F.col(p) for p in parts])
             .write.mode("overwrite")
             # Everything a died attempt left in the folder of this batch has to go.
             .option("partitionOverwriteMode", "static")
-            .partitionBy("is_current", "effective_day")
+            .partitionBy(*parts)
             # Spark undoes the escapes when it reads the partition value.
             .parquet(f"{self.data}/loaded_by={quote(batch_id, safe='')}")
         )
-        written = seen.get["n"]
-        if written == 0:
-            return 0, "empty" if live is None else "no_changes"
-        commit = self.spark.range(1).select(
-            F.lit(batch_id).alias("batch_id"), F.lit((live[1] if live else 0) + 1).cast("bigint").alias("seq")
-        )
-        commit.write.mode("append").parquet(self.log)
+
+    def load(self, incoming: DataFrame, batch_id: str, at: str, compare: list[str] | None = None) -> tuple[int, str]:
+        """Merge a prepared delivery; returns rows written and a status. A finished batch is not repeated."""
+        seq = self._started()
+        if seq and not self.commits().filter(F.col("batch_id") == batch_id).isEmpty():
+            return 0, "already_loaded"
+        if seq:
+            current = self._live()
+            newest = current.agg(F.max("effective_date").cast("string").alias("t"), F.max("effective_date") > time_literal(at)).first()
+            if newest[1]:
+                raise ValueError(f"load time {at} lies before the stored start {newest.t}")
+            written, buckets = self._changed(incoming, current, compare)
+            if not written:
+                return 0, "empty" if written is None else "no_changes"
+            delivered = incoming.filter(self._bucket().isin(buckets))
+            self._write(scd2.merge_current(delivered, self._live(buckets), self.entity, at, compare), batch_id)
+        else:
+            seen, buckets = Observation(), list(range(DIMENSION_BUCKETS))
+            rows = scd2.first_load(incoming, self.entity, at)
+            self._write(rows.observe(seen, F.count(F.lit(1)).alias("n")), batch_id)
+            written = seen.get["n"]
+            if not written:
+                return 0, "empty"
+        commit = self.spark.createDataFrame([(batch_id, seq + 1, b) for b in buckets], COMMIT_SCHEMA)
+        commit.coalesce(1).write.mode("append").parquet(self.log)
         return written, "success"
 
 
@@ -190,8 +211,6 @@ def upsert(
         # Writing nothing is cheaper than computing the rows once to see whether there are any.
         written = append(df, e, root)
         return kind, written, "success" if written else "empty"
-    if df.isEmpty():
-        return kind, 0, "empty"
     return (kind, *DimensionTable(df.sparkSession, e, root).load(df, batch_id, at, compare))
 
 
