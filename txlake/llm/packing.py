@@ -2,44 +2,19 @@
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txlake.llm import blocks, vocabulary
-from txlake.llm.text import WHITE
 
 BLOCK_BYTES = 4 << 20
 K1, B = 1.2, 0.75
 QUERY_WORDS = 16
-# Words longer than this decide in which shard a document is.
-RARE_LENGTH = 7
-
-
-def _theme() -> Column:
-    """Smallest hash of the long words of a text: documents that share many of them often share this one."""
-    words = F.split("text", f"[{WHITE}]+")
-    return F.array_min(F.transform(F.filter(words, lambda w: F.length(w) > RARE_LENGTH), lambda w: F.xxhash64(w)))
-
-
-def _shards(docs: DataFrame) -> tuple[DataFrame, int, int, float]:
-    """The rows with `block`, the shard they are packed in; number of shards, of rows, mean bytes.
-
-    A theme that would fill more than half a shard is spread over several by a hash of id and text. At most
-    two such themes exist for each shard, which bounds their list.
-    """
-    n, rows, size = blocks.count_blocks(docs, BLOCK_BYTES)
-    own = F.xxhash64("doc_id", F.xxhash64("text"))
-    themed = docs.withColumn("theme", F.coalesce(_theme(), own))
-    half = max(1, size // n // 2)
-    hot = themed.groupBy("theme").agg(F.sum(F.octet_length("text")).alias("bytes")).filter(F.col("bytes") > half).select(
-        "theme", F.ceil(F.col("bytes") / half).alias("parts")
-    )
-    spread = F.pmod(own, F.coalesce("parts", F.lit(1)))
-    block = F.pmod(F.xxhash64("theme", spread), F.lit(n)).cast("int")
-    dealt = themed.join(F.broadcast(hot), "theme", "left").withColumn("block", block).select(*docs.columns, "block")
-    return dealt, n, rows, size / max(1, rows)
 
 
 class Index:
@@ -118,25 +93,34 @@ def pack_documents(
     Other columns are not read, whatever their names. An empty table gives no rows.
 
     `tokenizer` is a file of the tokenizers library, the same on all executors, whose pre-tokenizer never joins words across
-    white space; with `fold` it must treat A-Z as a-z. Distinct words are encoded once for the corpus. A shard's
-    texts have about BLOCK_BYTES and come together once; its documents are indexed by BM25.
+    white space; with `fold` it must treat A-Z as a-z. Distinct words are encoded once for the corpus. Documents are dealt to
+    shards by a hash, as search engines deal them; a shard's texts have about BLOCK_BYTES and come together once, and neighbours are looked
+    for in the index of the shard.
     """
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = plain.schema["doc_id"].dataType.simpleString()
-    dealt, n, total, mean = _shards(plain)
+    n, total, size = blocks.count_blocks(plain, BLOCK_BYTES)
+    mean = size / max(1, total)
+    shard = F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(n)).cast("int")
+    dealt = plain.withColumn("block", shard)
 
     def ask(table: pa.Table) -> pa.Table:
         found = vocabulary.BlockWords.read(table.column("text"), fold)
         word, _, _ = found.postings(len(table))
         return vocabulary.ask(table.column("block")[0].as_py(), found, np.bincount(word, minlength=len(found.hashes)), n)
 
+    loaded = []
+
     def encode(words: list[str]) -> list[list[int]]:
+        # Spark runs one task per core; threads of the library's own would only cost memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        model = Tokenizer.from_file(tokenizer)
+        if not loaded:
+            loaded.append(Tokenizer.from_file(tokenizer))
         return [
-            e.ids for i in range(0, len(words), 4096)
-            for e in model.encode_batch(words[i : i + 4096], add_special_tokens=False)
+            e.ids for i in range(0, len(words), 1024)
+            for e in loaded[0].encode_batch(words[i : i + 1024], add_special_tokens=False)
         ]
 
     def pack(table: pa.Table, replies: pa.Table) -> pa.Table:
