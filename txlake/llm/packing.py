@@ -101,8 +101,10 @@ def pack_documents(
     kind = plain.schema["doc_id"].dataType.simpleString()
     n, total, size = blocks.count_blocks(plain, BLOCK_BYTES)
     mean = size / max(1, total)
-    shard = F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(n)).cast("int")
-    dealt = plain.withColumn("block", shard)
+    # The order of seeds does not depend on the order in which rows arrive, so a task that runs again packs alike.
+    dealt = plain.withColumn("seed", F.xxhash64("doc_id", F.xxhash64("text"))).withColumn(
+        "block", F.pmod("seed", F.lit(n)).cast("int")
+    )
 
     def ask(table: pa.Table) -> pa.Table:
         found = vocabulary.BlockWords.read(table.column("text"), fold)
@@ -130,6 +132,7 @@ def pack_documents(
         ])
         if not len(table):
             return schema.empty_table()
+        table = table.sort_by("seed")
         rows = len(table)
         found = vocabulary.BlockWords.read(table.column("text"), fold)
         holders, ids, begin, length = vocabulary.answers(replies, found, n)
