@@ -89,12 +89,14 @@ def test_missing_key_column_fails(scenario):
 
 
 def test_several_current_rows(scenario):
-    """The view picks the highest version; the merge refuses to choose."""
+    """View, delta and merge pick the highest version; the merge closes the others, also where nothing was delivered."""
     base, incoming = scenario
     doubled = base.unionByName(base.filter("TERMINAL_ID = 2").withColumn("version", F.lit(5).cast("bigint")))
     assert scd2.current_rows(doubled, "terminals").filter("TERMINAL_ID = 2").first()["version"] == 5
-    with pytest.raises(PySparkException, match="several current rows"):
-        scd2.merge(incoming, doubled, "terminals", DAY2, COMPARE).collect()
+    for delivery, chain in ((incoming, [(1, False), (5, False), (6, True)]), (incoming.limit(0), [(1, False), (5, True)])):
+        after = scd2.merge(delivery, doubled, "terminals", DAY2, COMPARE).filter("TERMINAL_ID = 2").orderBy("version").collect()
+        assert [(r["version"], r["is_current"]) for r in after] == chain
+        assert all((r["end_date"] is None) == r["is_current"] for r in after)
     defects = {r["check"]: r["defects"] for r in scd2.integrity(doubled, "terminals").collect()}
     assert defects["not_one_current"] == 1 and defects["version_gap"] == 1
 

@@ -173,17 +173,21 @@ def merge_current(
 ) -> DataFrame:
     """Rows after the merge that stem from current rows and the delivery: one full outer join on the key.
 
-    Keys absent from the delivery stay as they are. Several current rows of one key fail the job:
-    picking one would lose the others.
+    Keys absent from the delivery stay as they are. Of several current rows of one key, that of `current_rows` counts; the
+    others are closed where it starts, so that none is lost. Copies of one row are one row.
     """
     e = entity(kind)
     keys = list(e.history_key)
     names = _compared(e, incoming, existing_current, compare)
-    rest = [c for c in existing_current.columns if c not in keys]
-    alone = existing_current.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("r"), F.count("*").alias("n"))
-    several = F.raise_error(F.concat(F.lit("several current rows for key "), F.concat_ws(",", *keys)))
-    single = F.when(F.col("n") == 1, F.col("r")).otherwise(several.cast(alone.schema["r"].dataType))
-    current = alone.select(*keys, single.alias("r")).select(*keys, "r.*")
+    lead = [c for c in ("version", "effective_date", *e.compared) if c in existing_current.columns]
+    rest = [*lead, *[c for c in existing_current.columns if c not in keys and c not in lead]]
+    best = existing_current.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("r"), F.count("*").alias("n"))
+    current = best.select(*keys, "r.*").select(*existing_current.columns)
+    # Usually no key is left here, which the adaptive plan sees before it reads the rows again.
+    crowded = best.filter(F.col("n") > 1).select(*keys, F.col("r").alias("__r"))
+    extra = existing_current.join(crowded, keys).filter(~F.struct(*rest).eqNullSafe(F.col("__r"))).withColumns({
+        "is_current": F.lit(False), "end_date": F.greatest("effective_date", F.col("__r.effective_date")),
+    })
     pairs = _paired(latest_delivered(incoming, e), current, e, names, "full")
     first, closed, following = _version_rows(e, incoming, current, at)
     kept = _row(e, current.columns, "cur", {})
@@ -194,7 +198,7 @@ def merge_current(
         .when(F.size("changed_fields") > 0, F.array(closed, following))
         .otherwise(F.array(kept))
     )
-    return pairs.select(F.inline(rows))
+    return pairs.select(F.inline(rows)).unionByName(extra.distinct().select(*[F.col(n).cast(t) for n, t in e.fields]))
 
 
 def merge(
