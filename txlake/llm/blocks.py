@@ -33,6 +33,14 @@ def deal(docs: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
     return docs.withColumn("block", block), n
 
 
+def squeeze(body: bytes) -> bytes:
+    return len(body).to_bytes(4, "little") + pa.Codec("zstd", compression_level=1).compress(body, asbytes=True)
+
+
+def unsqueeze(body: bytes) -> bytes:
+    return pa.decompress(body[4:], int.from_bytes(body[:4], "little"), "zstd").to_pybytes()
+
+
 def pack(block: int, bucket_of: np.ndarray, columns: list[np.ndarray], buckets: int) -> pa.Table:
     """One row per bucket that has keys; a body holds the columns one after the other, in the given order of keys."""
     order = np.argsort(bucket_of, kind="stable")

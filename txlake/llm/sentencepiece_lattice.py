@@ -82,20 +82,36 @@ def _merge(edges: Column, n: Column, longest: int) -> Column:
 
     def rank(borders: Column, i: Column) -> Column:
         start = F.element_at(borders, i)
-        length = F.element_at(borders, i + 2) - start
+        length = F.get(borders, i + 1) - start
         return F.when(length <= longest, F.coalesce(F.element_at(edges, start * width + length)["rank"], F.lit(_UNSEEN))).otherwise(_UNSEEN)
 
-    def join(borders: Column, ranks: Column) -> Column:
-        best = F.array_min(ranks)
-        at = F.array_position(ranks, best).cast("int")
-        merged = F.concat(F.slice(borders, F.lit(1), at), F.slice(borders, at + 2, F.size(borders)))
-        return F.when(best < _UNSEEN, merged).otherwise(borders)
+    def at(state: Column) -> Column:
+        """The state with the best rank and its first place; ranks are those of neighbours that a border divides."""
+        best = F.array_min(state["ranks"])
+        return F.struct(state.alias("s"), best.alias("best"), F.array_position(state["ranks"], best).cast("int").alias("at"))
 
-    def step(borders: Column, _: Column) -> Column:
-        ranks = F.transform(F.sequence(F.lit(1), F.size(borders) - 2), lambda i: rank(borders, i))
-        return F.when(F.size(borders) < 3, borders).otherwise(_let(ranks, lambda r: join(borders, r)))
+    def joined(borders: Column, ranks: Column, i: Column) -> Column:
+        # Only the two ranks beside the joined pieces change.
+        left = F.when(i > 1, F.array(rank(borders, i - 1))).otherwise(F.array().cast("array<int>"))
+        right = F.when(i < F.size(ranks), F.array(rank(borders, i))).otherwise(F.array().cast("array<int>"))
+        kept = F.slice(ranks, F.lit(1), F.greatest(i - 2, F.lit(0))), F.slice(ranks, i + 2, F.size(ranks))
+        return F.struct(borders.alias("borders"), F.concat(kept[0], left, right, kept[1]).alias("ranks"))
 
-    return F.aggregate(F.sequence(F.lit(1), n), F.sequence(F.lit(1), n + 1), step)
+    def merge(found: Column) -> Column:
+        borders, i = found["s"]["borders"], found["at"]
+        fewer = F.concat(F.slice(borders, F.lit(1), i), F.slice(borders, i + 2, F.size(borders)))
+        merged = _let(fewer, lambda borders: joined(borders, found["s"]["ranks"], i))
+        return F.when(found["best"] < _UNSEEN, merged).otherwise(found["s"])
+
+    def begin(borders: Column) -> Column:
+        ranks = F.when(n < 2, F.array().cast("array<int>")).otherwise(
+            F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: rank(borders, i))
+        )
+        return F.struct(borders.alias("borders"), ranks.alias("ranks"))
+
+    first = _let(F.sequence(F.lit(1), n + 1), begin)
+    steps = F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1)))
+    return F.aggregate(steps, first, lambda state, _: _let(at(state), merge), lambda state: state["borders"])
 
 
 def _viterbi(edges: Column, n: Column, longest: int, unseen: float) -> Column:
@@ -283,11 +299,11 @@ def encode(docs: DataFrame, model: PieceModel, doc_id: str = "doc_id", text: str
         return pa.table({
             "bucket": pa.array(sorted(by), pa.int32()),
             "block": pa.array([table.column("block")[0].as_py()] * len(by), pa.int32()),
-            "body": pa.array([" ".join(words[i] for i in by[b]).encode() for b in sorted(by)], pa.binary()),
+            "body": pa.array([blocks.squeeze(" ".join(words[i] for i in by[b]).encode()) for b in sorted(by)], pa.binary()),
         })
 
     def distinct(table: pa.Table) -> list[str]:
-        return sorted({w for body in table.column("body").to_pylist() for w in body.decode().split(" ")})
+        return sorted({w for body in table.column("body").to_pylist() for w in blocks.unsqueeze(body).decode().split(" ")})
 
     def list_words(table: pa.Table) -> pa.Table:
         words = distinct(table)
@@ -309,9 +325,9 @@ def encode(docs: DataFrame, model: PieceModel, doc_id: str = "doc_id", text: str
         first = np.cumsum(length) - length
         bodies = []
         for body in table.column("body").to_pylist():
-            mine = np.array([at[w] for w in body.decode().split(" ")], dtype=np.int64)
+            mine = np.array([at[w] for w in blocks.unsqueeze(body).decode().split(" ")], dtype=np.int64)
             head = np.array([len(mine)], np.uint32).tobytes() + length[mine].astype(np.uint32).tobytes()
-            bodies.append(head + gather(flat, first[mine], length[mine]).tobytes())
+            bodies.append(blocks.squeeze(head + gather(flat, first[mine], length[mine]).tobytes()))
         return pa.table({"bucket": table.column("bucket"), "block": table.column("block"), "body": pa.array(bodies, pa.binary())})
 
     def assemble(table: pa.Table, replies: pa.Table) -> pa.Table:
@@ -323,7 +339,7 @@ def encode(docs: DataFrame, model: PieceModel, doc_id: str = "doc_id", text: str
         length, flat, base = np.zeros(len(words), np.int64), [], 0
         first = np.zeros(len(words), np.int64)
         for bucket, mine in _by_bucket(words, n).items():
-            body = np.frombuffer(bodies[bucket], np.uint32)
+            body = np.frombuffer(blocks.unsqueeze(bodies[bucket]), np.uint32)
             own = body[1 : 1 + len(mine)].astype(np.int64)
             length[mine] = own
             first[mine] = base + np.cumsum(own) - own
