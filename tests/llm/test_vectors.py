@@ -83,6 +83,16 @@ def test_alike_vectors_beyond_a_shard(spark, monkeypatch):
     assert _found(flat_graph.near_duplicate_vectors(spark.createDataFrame(rows, SCHEMA))) == _truth(rows)
 
 
+@pytest.mark.parametrize("others", [(30,), (40, 30), (150, 150)])
+def test_hot_cluster_beside_others(spark, monkeypatch, others):
+    monkeypatch.setattr(flat_graph, "SHARD", 50)
+    rng = np.random.default_rng(3)
+    centres = [c for k, n in enumerate((150, *others)) for c in [np.eye(16)[k] + 0.1] * n]
+    rows = [(i, [float(x) for x in c + 0.01 * rng.normal(size=16)], 1) for i, c in enumerate(centres)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert _found(flat_graph.near_duplicate_vectors(df)) == _truth(rows)
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [

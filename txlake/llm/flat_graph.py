@@ -14,6 +14,7 @@ SHARD = 1500  # vectors of a shard that is not split further
 LEADERS = 16
 LEADER_SAMPLE = 400  # vectors of a shard among which leaders are chosen
 LEADER_COSINE = 0.8  # leaders are less alike than this
+GAIN = 0.75  # a shard is split if its parts hold at most this share of its pairs
 NEAREST, RANDOM, DEGREE, ALPHA = 32, 16, 24, 1.2
 BEAM = 24
 AUDIT = 256  # queries of an audit
@@ -108,8 +109,9 @@ def _two_nearest(vectors: pa.Array, leaders: pa.Array) -> pa.Array:
 
 
 def _shards(nodes: DataFrame) -> DataFrame:
-    """(shard, node): clusters of at most SHARD vectors, overlapping in that a vector goes to its two nearest leaders. Shards
-    are split until they are small enough or all their vectors are alike."""
+    """(shard, node, n): clusters of vectors, overlapping in that a vector goes to its two nearest leaders. Shards of more
+    than SHARD vectors are split unless the squares of their parts' sizes add up to more than GAIN of their own, as when one
+    or two tight clusters fill them. So rows grow at most by a power of the size, and rounds by its logarithm."""
     nearest = F.arrow_udf(_two_nearest, "array<int>")
     members = nodes.select(F.xxhash64("group").alias("shard"), "node", "vector").checkpoint()
     done = []
@@ -122,12 +124,15 @@ def _shards(nodes: DataFrame) -> DataFrame:
         leaders = sample.select("shard", "node", "vector").groupBy("shard").applyInArrow(
             _leaders, "shard bigint, leaders array<double>"
         )
-        width = F.size("leaders") / F.size("vector")
-        led = rest.join(leaders, "shard").withColumn("alike", width < 2).checkpoint()
-        done.append(led.filter("alike").select("shard", "node", "n"))
-        members = led.filter(~F.col("alike")).select(
-            F.explode(nearest("vector", "leaders")).alias("leader"), "shard", "node", "vector"
-        ).select(F.xxhash64("shard", "leader").alias("shard"), "node", "vector").checkpoint()
+        led = rest.join(leaders, "shard").withColumn("nearest", nearest("vector", "leaders")).drop("leaders").checkpoint()
+        parts = led.select("shard", "n", F.explode("nearest").alias("leader")).groupBy("shard", "n", "leader").count()
+        pairs = F.sum(F.col("count").cast("double") * F.col("count"))
+        split = parts.groupBy("shard", "n").agg((pairs <= GAIN * F.col("n") * F.col("n")).alias("split")).drop("n")
+        judged = led.join(split, "shard").checkpoint()
+        done.append(judged.filter(~F.col("split")).select("shard", "node", "n"))
+        members = judged.filter("split").select(F.explode("nearest").alias("leader"), "shard", "node", "vector").select(
+            F.xxhash64("shard", "leader").alias("shard"), "node", "vector"
+        ).checkpoint()
         if members.isEmpty():
             out = done[0]
             for part in done[1:]:
@@ -136,7 +141,7 @@ def _shards(nodes: DataFrame) -> DataFrame:
 
 
 def _tasks(shards: DataFrame) -> DataFrame:
-    """(task, node): a shard, or each pair of blocks of a shard of alike vectors that is too large for one task."""
+    """(task, node): a shard, or each pair of blocks of a shard that is too large for one task."""
     blocks = F.ceil(F.col("n") / SHARD).cast("int")
     block = F.pmod(F.xxhash64("node", F.lit("block")), blocks).cast("int")
     pair = F.transform(
