@@ -212,6 +212,38 @@ def test_seeds_are_followed_by_their_neighbours(spark):
     assert sum(a != b for a, b in zip(order, order[1:], strict=False)) <= 6
 
 
+def _index(texts):
+    """Index of texts as one shard, and the words of each."""
+    words = [Counter(t.split()) for t in texts]
+    known = sorted(set().union(*words))
+    triples = sorted((known.index(w), i, c) for i, count in enumerate(words) for w, c in count.items())
+    word, row, count = (np.array(x) for x in zip(*triples, strict=True))
+    length = np.array([float(len(t)) for t in texts])
+    holders = np.bincount(word, minlength=len(known)).astype(float)
+    return packing.Index(word, row, count, holders, len(texts), length, length.mean()), words
+
+
+def test_every_shared_word_asks():
+    """Beside 40 words of its own, a text shares one word with another and one with all."""
+    rnd = random.Random(4)
+    texts = [" ".join([f"own{i}x{k}" for k in range(40)] + [f"pair{i // 2}"] * 2 + [f"some{rnd.randrange(9)}", "all"]) for i in range(60)]
+    index, words = _index(texts)
+    df = Counter(w for count in words for w in count)
+    mean = sum(map(len, texts)) / len(texts)
+    for i in range(len(texts)):
+        unused = np.arange(len(texts)) != i
+        found = index.neighbours(i, unused).tolist()
+        score = {}
+        for j, count in enumerate(words):
+            norm = packing.K1 * (1 - packing.B + packing.B * len(texts[j]) / mean)
+            score[j] = sum(
+                math.log1p((len(texts) - df[w] + 0.5) / (df[w] + 0.5)) * count[w] * (packing.K1 + 1) / (count[w] + norm)
+                for w in words[i] if w in count
+            )
+        assert sorted(found) == np.flatnonzero(unused).tolist() and found[0] == i ^ 1
+        assert all(score[a] >= score[b] - 1e-9 for a, b in zip(found, found[1:], strict=False))
+
+
 # Scores
 
 def _words(text):

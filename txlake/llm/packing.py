@@ -14,34 +14,44 @@ from txlake.llm import blocks, vocabulary
 
 BLOCK_BYTES = 4 << 20
 K1, B = 1.2, 0.75
-QUERY_WORDS = 16
 
 
 class Index:
-    """BM25 weights of the words of a shard's documents, by word; idf counts the documents of the whole corpus."""
+    """BM25 weights of the words of a shard's documents, by word; idf counts the documents of the whole corpus. Words that
+    many rows hold have their weights for all rows side by side, so that long postings are added without being gathered."""
 
     def __init__(self, word, row, count, holders, total, length, mean) -> None:
         idf = np.log1p((total - holders + 0.5) / (holders + 0.5))
         norm = K1 * (1 - B + B * length / max(mean, 1.0))
         self.weight = idf[word] * count * (K1 + 1) / (count + norm[row])
-        self.row = row
+        self.row, self.rows = row, len(length)
         self.edges = np.searchsorted(word, np.arange(len(holders) + 1))
-        order = np.lexsort((-self.weight, row))
-        first = np.searchsorted(row[order], np.arange(len(length) + 1))
-        self.best = [word[order[first[i] : min(first[i + 1], first[i] + QUERY_WORDS)]] for i in range(len(length))]
+        held = np.diff(self.edges)
+        often = held >= max(2, self.rows // 8)
+        place = np.cumsum(often) - 1
+        at = often[word]
+        self.wide = np.zeros((int(often.sum()), self.rows))
+        self.wide[place[word[at]], row[at]] = self.weight[at]
+        # A word that no other row holds finds nothing.
+        self.often = self._by_row(place[word[at]], row[at])
+        at = (held[word] >= 2) & ~at
+        self.seldom = self._by_row(word[at], row[at])
+
+    def _by_row(self, word: np.ndarray, row: np.ndarray) -> list[np.ndarray]:
+        order = np.argsort(row, kind="stable")
+        return np.split(word[order], np.searchsorted(row[order], np.arange(1, self.rows)))
 
     def neighbours(self, row: int, unused: np.ndarray) -> np.ndarray:
-        """Unused rows that share one of the weightiest words of a row, the best first."""
-        words = self.best[row]
-        if not len(words):
-            return words
-        spans = [slice(self.edges[w], self.edges[w + 1]) for w in words]
-        rows = np.concatenate([self.row[s] for s in spans])
-        free = unused[rows]
-        rows = rows[free]
-        score = np.concatenate([self.weight[s] for s in spans])[free]
-        found, at = np.unique(rows, return_inverse=True)
-        return found[np.lexsort((found, -np.bincount(at, score, minlength=len(found))))]
+        """Unused rows that share a word with a row, the best first; all its words count."""
+        words = self.seldom[row]
+        score = self.wide[self.often[row]].sum(axis=0)
+        if len(words):
+            begin = self.edges[words]
+            length = self.edges[words + 1] - begin
+            rows = vocabulary.gather(self.row, begin, length)
+            score += np.bincount(rows, vocabulary.gather(self.weight, begin, length), minlength=self.rows)
+        found = np.flatnonzero(unused & (score > 0))
+        return found[np.argsort(-score[found], kind="stable")]
 
 
 def fill_windows(index: Index, sizes: np.ndarray, window: int) -> list[tuple[int, int, int, int, int]]:
