@@ -212,6 +212,18 @@ def test_seeds_are_followed_by_their_neighbours(spark):
     assert sum(a != b for a, b in zip(order, order[1:], strict=False)) <= 6
 
 
+def test_neighbours_of_many_shards_meet(spark, monkeypatch):
+    """Pairs of alike texts among words that all hold, and a hot group, over some 20 shards."""
+    monkeypatch.setattr(packing, "BLOCK_BYTES", 16 << 10)
+    rows = [(i, " ".join(f"rare{i // 2}x{k}" for k in range(20)) + " words that all of them hold" * 6) for i in range(800)]
+    rows += [(1000 + i, "words that all of them hold " * 12) for i in range(400)]
+    found = packing.pack_documents(spark.createDataFrame(rows, "doc_id int, text string"), WORD_BPE).collect()
+    shards = {r.doc_id: r.sequence_id >> 32 for r in found}
+    assert set(shards) == {i for i, _ in rows} and len(set(shards.values())) > 15
+    assert sum(shards[i] == shards[i + 1] for i in range(0, 800, 2)) >= 380
+    assert max(Counter(shards.values()).values()) < 300
+
+
 def _index(texts):
     """Index of texts as one shard, and the words of each."""
     words = [Counter(t.split()) for t in texts]

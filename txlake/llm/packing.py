@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txlake.llm import blocks, vocabulary
+from txlake.llm.batches import distinct, mix
 
 BLOCK_BYTES = 4 << 20
 K1, B = 1.2, 0.75
+PARTS = 4  # so many groups of documents under one key fill a shard
 
 
 class Index:
@@ -54,6 +56,40 @@ class Index:
         return found[np.argsort(-score[found], kind="stable")]
 
 
+def shard_of(
+    word: np.ndarray, row: np.ndarray, hashes: np.ndarray, holders: np.ndarray, seed: np.ndarray, total: int, n: int
+) -> np.ndarray:
+    """Shard of each row, by one of its words: rows whose words are alike often get the same.
+
+    The word is the first in a random order of the corpus's words in which rare words tend to be early, among those that 2
+    to `total` / (PARTS n) documents hold. A row without such words takes its rarest that others hold, whose documents are
+    spread by their seeds over as many shards as that count asks for; a row that shares no word goes by its seed.
+    """
+    most = max(2.0, total / (PARTS * n))
+    held = holders.astype(np.float64)
+    idf = np.log1p((total - held + 0.5) / (held + 0.5))
+    early = -np.log((hashes.astype(np.float64) + 1) / 2.0**64) / idf
+    rank = np.where(held < 2, np.inf, np.where(held <= most, early, 1e9 + held))[word]
+    order = np.lexsort((hashes[word], rank, row))
+    first = order[np.flatnonzero(np.diff(row[order], prepend=-1))]
+    first = first[np.isfinite(rank[first])]
+    place = seed.astype(np.int64).view(np.uint64).copy()
+    own, key = row[first], word[first]
+    parts = np.ceil(held[key] / most).astype(np.uint64)
+    place[own] = hashes[key] + place[own] % parts
+    return (mix(place) % np.uint64(n)).astype(np.int32)
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """The lowest bytes of all numbers, then the next ones, so that high bytes compress to nothing."""
+    return numbers.view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
+
+
+def _whole(body: bytes, kind: str, begin: int, n: int) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(body, np.uint8, n * size, begin).reshape(size, n).T).view(kind).ravel()
+
+
 def fill_windows(index: Index, sizes: np.ndarray, window: int) -> list[tuple[int, int, int, int, int]]:
     """(row, start, length, sequence, offset): each seed's window takes its best unused neighbours until it is
     full. A document that does not fit is cut; what is left begins the next window and is its seed. Only the last window is short."""
@@ -103,9 +139,9 @@ def pack_documents(
     Other columns are not read, whatever their names. An empty table gives no rows.
 
     `tokenizer` is a file of the tokenizers library, the same on all executors, whose pre-tokenizer never joins words across
-    white space; with `fold` it must treat A-Z as a-z. Distinct words are encoded once for the corpus. Documents are dealt to
-    shards by a hash, as search engines deal them; a shard's texts have about BLOCK_BYTES and come together once, and neighbours are looked
-    for in the index of the shard.
+    white space; with `fold` it must treat A-Z as a-z. Distinct words are encoded once for the corpus, asked for by blocks of
+    about BLOCK_BYTES. Then documents, as ids and the words that others hold too, are dealt to as many shards by one of these words
+    (`shard_of`), and neighbours are looked for in the index of the shard; those in other shards are not found.
     """
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = plain.schema["doc_id"].dataType.simpleString()
@@ -135,43 +171,86 @@ def pack_documents(
             for e in loaded[0].encode_batch(words[i : i + 1024], add_special_tokens=False)
         ]
 
-    def pack(table: pa.Table, replies: pa.Table) -> pa.Table:
+    def place(table: pa.Table, replies: pa.Table) -> pa.Table:
+        """Documents with their shards; a body holds the words that other documents hold too, and the ids."""
         schema = pa.schema([
-            table.schema.field("doc_id"), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
-            ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()),
+            table.schema.field("doc_id"), ("seed", pa.int64()), ("octets", pa.int64()), ("shard", pa.int32()),
+            ("n_words", pa.int32()), ("body", pa.binary()),
         ])
         if not len(table):
             return schema.empty_table()
-        table = table.sort_by("seed")
         rows = len(table)
         found = vocabulary.BlockWords.read(table.column("text"), fold)
         holders, ids, begin, length = vocabulary.answers(replies, found, n)
         word, row, count = found.postings(rows)
-        octets = np.asarray(pa.compute.binary_length(table.column("text")), dtype=np.float64)
-        index = Index(word, row, count, holders.astype(np.float64), total, octets, mean)
+        seed = table.column("seed").to_numpy()
+        shard = shard_of(word, row, found.hashes, holders, seed, total, n)
+        shared = holders[word] >= 2
+        word, row, count = word[shared], row[shared], count[shared]
+        order = np.argsort(row, kind="stable")
+        edges = np.searchsorted(row[order], np.arange(rows + 1))
+        hashes = found.hashes[word[order]].astype("<u8")
+        count, held = count[order].astype("<u4"), holders[word[order]].astype("<u4")
+        # Occurrences stand in the order of rows.
+        size = np.bincount(found.rows, length[found.number], minlength=rows).astype(np.int64)
+        ends = np.concatenate([[0], np.cumsum(size)])
+        flat = np.empty(int(ends[-1]), dtype="<u4")
+        vocabulary.gather_into(flat, ids, begin[found.number], length[found.number])
+        bodies = [
+            blocks.squeeze(b"".join(map(_planes, (hashes[a:z], count[a:z], held[a:z], flat[i:j]))))
+            for a, z, i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True)
+        ]
+        return pa.table({
+            "doc_id": table.column("doc_id"), "seed": seed,
+            "octets": pa.compute.binary_length(table.column("text")).cast(pa.int64()), "shard": shard,
+            "n_words": np.diff(edges).astype(np.int32), "body": pa.array(bodies, pa.binary()),
+        }, schema=schema)
+
+    def pack(table: pa.Table) -> pa.Table:
+        schema = pa.schema([
+            table.schema.field("doc_id"), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
+            ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()),
+        ])
+        table = table.sort_by("seed")
+        rows = len(table)
+        bodies = [blocks.unsqueeze(b) for b in table.column("body").to_pylist()]
+        words = table.column("n_words").to_pylist()
+
+        def column(kind: str, before: int) -> np.ndarray:
+            return np.concatenate([_whole(b, kind, before * k, k) for b, k in zip(bodies, words, strict=True)])
+
+        hashes, count, held = column("<u8", 0), column("<u4", 8), column("<u4", 12)
+        known, word = distinct(hashes)
+        holders = np.empty(len(known))
+        holders[word] = held
+        row = np.repeat(np.arange(rows), words)
+        order = np.lexsort((row, word))
+        octets = table.column("octets").to_numpy().astype(np.float64)
+        index = Index(word[order], row[order], count[order].astype(np.float64), holders, total, octets, mean)
         # Ids of all documents one behind the other, each with its end.
-        body = np.bincount(found.rows, length[found.number], minlength=rows).astype(np.int64)
-        sizes = body + 1
+        end = np.array([end_id], "<u4")
+        sizes = np.array([(len(b) - 16 * k) // 4 + 1 for b, k in zip(bodies, words, strict=True)], dtype=np.int64)
         first = np.cumsum(sizes) - sizes
-        flat = np.full(int(sizes.sum()), end_id, dtype="<u4")
-        inside = np.ones(len(flat), dtype=bool)
-        inside[first + body] = False
-        inner = np.empty(int(body.sum()), dtype="<u4")
-        vocabulary.gather_into(inner, ids, begin[found.number], length[found.number])
-        flat[inside] = inner
+        flat = np.concatenate([
+            x for b, k, size in zip(bodies, words, sizes.tolist(), strict=True) for x in (_whole(b, "<u4", 16 * k, size - 1), end)
+        ])
+        del bodies
         pieces = np.array(fill_windows(index, sizes, window), dtype=np.int64)
         at = first[pieces[:, 0]] + pieces[:, 1]
-        block = int(table.column("block")[0].as_py())
+        shard = int(table.column("shard")[0].as_py())
         return pa.table({
             "doc_id": table.column("doc_id").take(pa.array(pieces[:, 0])),
             "start": pieces[:, 1], "length": pieces[:, 2],
             "ids": pa.array([flat[a : a + k].tobytes() for a, k in zip(at, pieces[:, 2], strict=True)], pa.binary()),
-            "doc_tokens": sizes[pieces[:, 0]], "sequence_id": (block << 32) + pieces[:, 3], "offset": pieces[:, 4],
+            "doc_tokens": sizes[pieces[:, 0]], "sequence_id": (shard << 32) + pieces[:, 3], "offset": pieces[:, 4],
         }, schema=schema)
 
     asked = dealt.groupBy("block").applyInArrow(ask, blocks.PACKED)
     replies = vocabulary.encode_words(asked, encode, fold)
-    return dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
+    placed = dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
+        place, f"doc_id {kind}, seed bigint, octets bigint, shard int, n_words int, body binary"
+    )
+    return placed.groupBy("shard").applyInArrow(
         pack,
         f"doc_id {kind}, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint",
     )

@@ -67,7 +67,7 @@ def ask(block: int, found: BlockWords, holders: np.ndarray, n: int) -> pa.Table:
     for b in used:
         mine = order[edges[b] : edges[b + 1]]
         head = np.array([len(mine), *holders[mine]], dtype=np.uint32).tobytes()
-        bodies.append(head + found.spelled(mine))
+        bodies.append(blocks.squeeze(head + found.spelled(mine)))
     return pa.table({
         "bucket": pa.array(used, pa.int32()), "block": pa.array(np.full(len(used), block), pa.int32()),
         "body": pa.array(bodies, pa.binary()),
@@ -78,7 +78,7 @@ def encode_words(questions: DataFrame, encode: Callable[[list[str]], list[list[i
     """Answers for each word: rows of the corpus that hold it, and its ids."""
 
     def of_bucket(table: pa.Table) -> pa.Table:
-        bodies = table.column("body").to_pylist()
+        bodies = [blocks.unsqueeze(body) for body in table.column("body").to_pylist()]
         sizes = [int(np.frombuffer(body, np.uint32, 1)[0]) for body in bodies]
         spelled = b" ".join(body[4 * n + 4 :] for body, n in zip(bodies, sizes, strict=True)) + b" "
         data = np.frombuffer(spelled, np.uint8)
@@ -99,7 +99,7 @@ def encode_words(questions: DataFrame, encode: Callable[[list[str]], list[list[i
         out = []
         for numbers in asked:
             body = [np.array([len(numbers)], np.uint32), count[numbers], length[numbers].astype(np.uint32)]
-            out.append(b"".join(x.tobytes() for x in body) + gather(flat, first[numbers], length[numbers]).tobytes())
+            out.append(blocks.squeeze(b"".join(x.tobytes() for x in body) + gather(flat, first[numbers], length[numbers]).tobytes()))
         return pa.table({
             "bucket": table.column("bucket"), "block": table.column("block"), "body": pa.array(out, pa.binary()),
         })
@@ -129,7 +129,7 @@ def answers(table: pa.Table, found: BlockWords, n: int) -> tuple[np.ndarray, np.
     bodies = dict(zip(table.column("bucket").to_pylist(), table.column("body").to_pylist(), strict=True))
     holders, lengths, ids = [], [], []
     for bucket in sorted(bodies):
-        body = np.frombuffer(bodies[bucket], np.uint32)
+        body = np.frombuffer(blocks.unsqueeze(bodies[bucket]), np.uint32)
         k = int(body[0])
         holders.append(body[1 : 1 + k])
         lengths.append(body[1 + k : 1 + 2 * k])
