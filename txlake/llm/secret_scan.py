@@ -20,14 +20,15 @@ SPANS = "array<struct<kind:string,start:bigint,end:bigint>>"
 @dataclass(frozen=True)
 class Rule:
     """A kind of secret. The pattern is bytes-like ASCII and its last part is a repeated class or a literal, so
-    that a match cannot be prolonged past a byte at which it fails. Matches shorter than `length`, or whose
-    group `group` is, are dropped."""
+    that a match cannot be prolonged past a byte at which it fails. With `head` this holds for `head` alone, with which each
+    match begins and which is a match itself: the automaton finds it, the pattern prolongs it. Matches shorter than `length`, or whose group `group` is, are dropped."""
 
     kind: str
     pattern: str
     length: int = 0
     group: int = 0
     any_case: bool = False
+    head: str = ""
 
 
 # Fixed values of the first three kinds.
@@ -36,9 +37,18 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 20),
     Rule("hex", r"[0-9a-f]+", 24),
 )
+# Line breaks of a key may be escaped, its lines indented. Up to the END line all lines of base64 letters belong to it;
+# without END line the long ones do and a short one with padding.
+_BREAK = r"((\r|\n|\\r|\\n)[\x20\t]*)+"
+_FIELDS = rf"[\x20\t]*({_BREAK}[A-Za-z][A-Za-z0-9-]*:[A-Za-z0-9+/=:,\x20-]+)*"
+_OF_KEY = r"(RSA |EC |DSA |OPENSSH |ENCRYPTED )?PRIVATE KEY-----"
+PRIVATE_KEY = (
+    rf"-----BEGIN {_OF_KEY}({_FIELDS}({_BREAK}[A-Za-z0-9+/=]+[\x20\t]*)*{_BREAK}-----END {_OF_KEY}"
+    rf"|{_FIELDS}({_BREAK}[A-Za-z0-9+/]{{16,}}=*[\x20\t]*)+({_BREAK}[A-Za-z0-9+/]+=+)?)?"
+)
 RULES = (
     *BASE_RULES,
-    Rule("private_key", r"-----BEGIN (RSA |EC |DSA |OPENSSH |ENCRYPTED )?PRIVATE KEY-----"),
+    Rule("private_key", PRIVATE_KEY, head=rf"-----BEGIN {_OF_KEY}"),
     Rule("hub_token", r"gh[pousr]_[A-Za-z0-9]+", 40),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 40),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]+", 20),
@@ -131,7 +141,7 @@ def compile_rules(rules: tuple[Rule, ...], backwards: bool = False) -> Automaton
     ends = {}
     for i, rule in enumerate(rules):
         nfa.any_case = rule.any_case
-        ends[nfa.add(_parser.parse(rule.pattern), root)] = 1 << i
+        ends[nfa.add(_parser.parse(rule.head or rule.pattern), root)] = 1 << i
 
     # Bytes that no edge tells apart share a class.
     labels = {label for edges in nfa.edges for label, _ in edges if label is not None}
@@ -224,6 +234,8 @@ class Scanner:
         ]
         self.patterns = [re.compile(r.pattern, re.ASCII | (re.IGNORECASE if r.any_case else 0)) for r in rules]
 
+        self.longer = [re.compile(p.pattern.encode(), p.flags & re.IGNORECASE) for p in self.patterns]
+
     def _begin(self, rule: int, data: np.ndarray, least: int, end: int) -> int:
         """Start of the longest match of the rule that ends before `end` and does not begin before `least`, or -1."""
         automaton = self.backward[rule]
@@ -239,7 +251,7 @@ class Scanner:
     def spans(self, data: np.ndarray) -> list[tuple[int, int, int]]:
         """(start, rule, end) in bytes, by start."""
         accepted = self.forward.accepts[states_after(self.forward, data)]
-        found = []
+        found, whole = [], b""
         for i, rule in enumerate(self.rules):
             hit = (accepted & (1 << i)) != 0
             # A match ends where the automaton stops accepting.
@@ -251,9 +263,14 @@ class Scanner:
                 continue
             least = 0
             for end in ends.tolist():
+                if end <= least:
+                    continue
                 start = self._begin(i, data, least, end)
                 if start < 0:
                     continue
+                if rule.head:
+                    whole = whole or data.tobytes()
+                    end = self.longer[i].match(whole, start).end()
                 least = end
                 text = data[start:end].tobytes().decode("ascii")
                 size = len(self.patterns[i].fullmatch(text).group(rule.group))
