@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlake.llm import bag_minhash, exact_dedup, flat_graph, hpylm, language_id, line_dedup, packing, secret_scan, sentence_spans, sentencepiece_lattice
+from txlake.llm import (
+    bag_minhash, exact_dedup, flat_graph, hpylm, language_id, license_scan, line_dedup, packing, periodic_runs, ranked_search, secret_scan,
+    sentence_spans, sentencepiece_lattice,
+)
 from txlake.llm.text import documents, fold, whole_text
 
 
@@ -80,9 +83,64 @@ def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bag_minhash.near_duplicate_classes(documents(spark, sf_dir)).select("doc_id", "class_id", "class_size", "kept")
 
 
+def _repeating(text: Column, doc_id: Column) -> Column:
+    """Every tenth text, by crc32 of its id, with its words from some place on replaced by a period of theirs; null ids count as the empty text."""
+    words = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    h = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
+
+    def periodic(x: Column) -> Column:
+        n, g = F.size(x["words"]), F.floor(h / 10)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        head = F.slice(x["words"], 1, a)
+        tail = F.transform(F.sequence(F.lit(0), n - a - 1), lambda i: F.get(x["words"], a + i % p))
+        return F.when(n > 0, F.array_join(F.concat(head, tail), " ")).otherwise(F.lit(""))
+
+    # A transform over one element holds the words, so that they are cut once.
+    return F.when(h % 10 == 0, F.transform(F.array(F.struct(words.alias("words"))), periodic)[0]).otherwise(text)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = docs.select("doc_id", periodic_runs.find_runs(_repeating(whole_text(), F.col("doc_id"))).alias("found"))
+    runs = F.col("found.runs")
+    listed = F.transform(runs, lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    longest = F.array_max(F.transform(runs, lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    rows = found.select("doc_id", F.size(runs).cast("long").alias("n_runs"), longest.alias("longest"), F.array_join(listed, "").alias("listed"), "found.collapsed")
+    length, period = F.col("longest.length"), -F.col("longest.period")
+    return rows.select(
+        "doc_id", "n_runs", (-F.col("longest.start")).alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(length * 1000 / period).cast("long").alias("exponent_milli"),
+        F.sha2("listed", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = documents(spark, sf_dir).select("doc_id", license_scan.find_licenses(F.col("text")).alias("found"))
+    base = F.filter("found.notices", lambda p: p["base"])
+
+    def labels(of: Column) -> Column:
+        return F.array_join(F.sort_array(F.array_distinct(of)), ",")
+
+    every = F.concat(F.col("found.notices.label"), F.flatten("found.expressions.labels"))
+    return found.select(
+        "doc_id", "found.n_words", F.size(base).cast("long").alias("n_base"),
+        F.array_min(base["word"]).alias("first_word"), F.array_max(base["word"]).alias("last_word"),
+        labels(base["label"]).alias("base_labels"), labels(every).alias("labels"), license_scan.score(F.col("found")).alias("score"),
+        F.size("found.expressions").cast("long").alias("n_expressions"), F.array_max("found.expressions.strength").alias("strength"),
+    )
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_hpylm, op2_sentencepiece, op3_language_id, op4_line_dedup, op5_packing, op6_exact_dedup, op7_secret_scan, op8_sentence_spans, op9_flat_graph, op10_bag_minhash)
+    for f in (
+        op1_hpylm, op2_sentencepiece, op3_language_id, op4_line_dedup, op5_packing, op6_exact_dedup, op7_secret_scan, op8_sentence_spans,
+        op9_flat_graph, op10_bag_minhash, op11_periodic_runs, op12_license_scan, op13_ranked_search,
+    )
 }
 
 ORACLES: dict[str, str] = {
@@ -119,5 +177,43 @@ ranked AS (
     FROM docs WINDOW best AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)
 )
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM ranked
+""",
+    "op13_ranked_search": r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id,
+           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+),
+total AS (SELECT count(*) AS n, sum(len(terms)) AS terms FROM docs WHERE len(terms) > 0),
+items AS (
+    SELECT row_number() OVER () AS item, item_id,
+           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM benchmark
+),
+asked AS (
+    SELECT item, item_id, term, count(*) AS times FROM (SELECT item, item_id, unnest(terms) AS term FROM items) GROUP BY ALL
+),
+held AS (
+    SELECT row, doc_id, n, term, count(*) AS tf
+    FROM (SELECT row, doc_id, len(terms) AS n, unnest(terms) AS term FROM docs) GROUP BY ALL
+),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * any_value(total.n) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+    FROM held, total GROUP BY term
+),
+parts AS (
+    SELECT row, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * held.n * total.n) // total.terms))) AS part
+    FROM held JOIN weights USING (term), total
+),
+scored AS (
+    SELECT item, item_id, row, doc_id, sum(times * part)::BIGINT AS score
+    FROM asked JOIN parts USING (term) GROUP BY ALL
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS place FROM scored WHERE score > 0
+)
+SELECT item_id, place::INTEGER AS rank, doc_id, score FROM ranked WHERE place <= 10
 """,
 }
