@@ -83,26 +83,23 @@ def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bag_minhash.near_duplicate_classes(documents(spark, sf_dir)).select("doc_id", "class_id", "class_size", "kept")
 
 
-def _repeating(text: Column, doc_id: Column) -> Column:
-    """Every tenth text, by crc32 of its id, with its words from some place on replaced by a period of theirs; null ids count as the empty text."""
-    words = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
-    h = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
-
-    def periodic(x: Column) -> Column:
-        n, g = F.size(x["words"]), F.floor(h / 10)
-        a = (g % n).cast("int")
-        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
-        head = F.slice(x["words"], 1, a)
-        tail = F.transform(F.sequence(F.lit(0), n - a - 1), lambda i: F.get(x["words"], a + i % p))
-        return F.when(n > 0, F.array_join(F.concat(head, tail), " ")).otherwise(F.lit(""))
-
-    # A transform over one element holds the words, so that they are cut once.
-    return F.when(h % 10 == 0, F.transform(F.array(F.struct(words.alias("words"))), periodic)[0]).otherwise(text)
+def _repeating(docs: DataFrame) -> DataFrame:
+    """doc_id and text; every tenth text, by crc32 of its id, has its words from some place on replaced by a period of theirs. A null id counts
+    as the empty text. No lambda functions here: Spark does not find a Python function again whose argument holds one."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    cut = F.when(h % 10 == 0, F.regexp_extract_all(whole_text(), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    words = docs.select("doc_id", whole_text().alias("text"), cut.alias("words"))
+    n, g = F.size("words"), F.floor(h / 10)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    times = F.ceil((n - a) / p).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("words", a + 1, p), times)), 1, n - a)
+    periodic = F.array_join(F.concat(F.slice("words", 1, a), tail), " ")
+    return words.select("doc_id", F.when(n > 0, periodic).otherwise(F.col("text")).alias("text"))
 
 
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    found = docs.select("doc_id", periodic_runs.find_runs(_repeating(whole_text(), F.col("doc_id"))).alias("found"))
+    found = _repeating(documents(spark, sf_dir)).select("doc_id", periodic_runs.find_runs(F.col("text")).alias("found"))
     runs = F.col("found.runs")
     listed = F.transform(runs, lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
     longest = F.array_max(F.transform(runs, lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
