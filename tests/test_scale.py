@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.compare import difference
 from txlake.fixtures import Frames
-from txlake.operators import facts, history, scd2
+from txlake.operators import enrich, facts, history, scd2, signals
 from txlake.workload import ORACLES, QUERIES
 
 
@@ -27,26 +27,80 @@ def test_same_result_without_broadcast(spark, duck, sf_dir, no_broadcast, name):
     assert difference(QUERIES[name](spark, sf_dir), duck, ORACLES[name]) is None
 
 
-def test_hot_join_key_is_split(spark, no_broadcast):
-    """A third of the rows share one customer: the join splits that partition."""
+@pytest.fixture
+def small_partitions(spark):
+    """Thresholds at which small tables are split, and region centres but no dimensions are broadcast."""
     settings = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.autoBroadcastJoinThreshold": "20KB",
     }
+    old = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
-    try:
-        tx = spark.range(0, 60000, 1, 8).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 1 ELSE id END AS k", "uuid() AS payload")
-        dim = spark.range(0, 60000, 1, 8).selectExpr("id AS k", "id * 2 AS v")
-        result = tx.join(dim, "k", "left").agg(
-            F.count("*"), F.sum((F.col("v") == F.col("k") * 2).cast("int")), F.countDistinct("payload")
-        )
-        assert tuple(result.collect()[0]) == (60000, 60000, 60000)
-        assert "skew=true" in result._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k in settings:
-            spark.conf.unset(k)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.fixture
+def lopsided(spark):
+    """A third of the transactions on one customer, a third of them on one terminal; one row per customer and terminal."""
+    n = 60_000
+
+    def rows(*columns):
+        return spark.range(0, n, 1, 8).selectExpr(*columns)
+
+    day = "TIMESTAMP_NTZ '2024-01-01 00:00:00'"
+    tx = rows(
+        "uuid() AS TRANSACTION_ID", f"{day} + make_dt_interval(0, 0, 0, id % 1000) AS TX_DATETIME", "if(id % 3 = 0, 1, id) AS CUSTOMER_ID",
+        "if(id % 3 = 1, 1, id) AS TERMINAL_ID", "CAST(id AS DOUBLE) AS TX_AMOUNT",
+    )
+    customers = rows(
+        "id AS CUSTOMER_ID", "concat('r', id % 16) AS HOME_REGION", "0.0D AS x_customer_id", "0.0D AS y_customer_id", "1.0D AS mean_amount",
+        "1L AS version", "true AS is_current", f"{day} AS effective_date", "CAST(NULL AS TIMESTAMP_NTZ) AS end_date",
+    )
+    terminals = rows(
+        "id AS TERMINAL_ID", "'c' AS CITY", "concat('r', id % 16) AS REGION", "0.0D AS x_terminal_id", "0.0D AS y_terminal_id",
+        "1L AS version", "true AS is_current",
+    )
+    profiles = rows("id AS CUSTOMER_ID", "'r1,r2' AS TRAVEL_REGIONS", f"{day} AS created_at")
+    middle = spark.range(0, 16).selectExpr("concat('r', id) AS region", "CAST(id AS DOUBLE) AS x", "0.0D AS y")
+    return tx, customers, terminals, profiles, middle
+
+
+def final_plan(df):
+    """The plan that ran, and the rows."""
+    rows = df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0], rows
+
+
+@pytest.mark.parametrize("name", ["enrich", "orphans", "high_amount", "point_in_time"])
+def test_hot_customer_is_split(spark, small_partitions, lopsided, name):
+    """The partition of the hot customer, and of the hot terminal, is read by several tasks of the join."""
+    tx, customers, terminals, profiles, middle = lopsided
+    df, joins = {
+        "enrich": lambda: (enrich.enrich(tx, customers, terminals, profiles, middle, "2024-01-01 00:00:00"), 2),
+        "orphans": lambda: (facts.orphans(tx, customers.filter("CUSTOMER_ID <> 1"), terminals), 2),
+        "high_amount": lambda: (signals.high_amount(tx, customers), 1),
+        "point_in_time": lambda: (facts.point_in_time(tx, customers, "CUSTOMER_ID"), 1),
+    }[name]()
+    plan, rows = final_plan(df)
+    assert plan.count("skew=true") == joins
+    assert len(rows) == (20_001 if name == "orphans" else 60_000)
+    if name == "point_in_time":
+        assert all(r.HOME_REGION == f"r{r.CUSTOMER_ID % 16}" for r in rows)
+
+
+def test_asof_join_sorts_no_facts(spark, small_partitions, lopsided):
+    """Windows and sorts work on summaries; the facts go from their scan through one shuffle into a hash join."""
+    tx, customers, *_ = lopsided
+    plan, _ = final_plan(facts.point_in_time(tx, customers, "CUSTOMER_ID"))
+    join = plan.index("ShuffledHashJoin")
+    of_facts = plan[join : plan.index("version", join)] if "version" in plan[join:] else plan[join:]
+    assert "SortMergeJoin" not in plan and plan.count("Window") == 1
+    assert "TRANSACTION_ID" in of_facts and "Sort " not in of_facts and "Window" not in of_facts
 
 
 def hot(spark):

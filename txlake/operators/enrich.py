@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from txlake.functions.geo import haversine_km, in_list
 from txlake.operators.prepare import time_literal
 from txlake.operators.scd2 import one_per_key
+from txlake.operators.skew import spread_join
 from txlake.registry import TRANSACTIONS
 
 
@@ -93,13 +94,12 @@ def enrich(
     """The thirteen transaction columns. Two joins touch the transactions, one per dimension.
 
     Region centroids and travel lists are attached to the dimensions first, which are smaller; the
-    region distance is then plain arithmetic. Transactions without a partner keep nulls. More facts
+    region distance is then plain arithmetic. Hot customers and terminals are split. Transactions without a partner keep nulls. More facts
     about customers, one row each, can come along in the same join; `keep` names columns of theirs or
     of the transactions to leave in the result.
     """
-    joined = tx.join(customer_side(customers, profiles, middle, about_customer), "CUSTOMER_ID", "left").join(
-        terminal_side(terminals, middle), "TERMINAL_ID", "left"
-    )
+    of_customer = spread_join(tx, customer_side(customers, profiles, middle, about_customer), "CUSTOMER_ID")
+    joined = spread_join(of_customer, terminal_side(terminals, middle), "TERMINAL_ID")
     out = joined.withColumns({
         **time_offsets(start),
         "DISTANCE_FROM_HOME_KM": haversine_km(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from txlake.operators.history import asof_join
 from txlake.operators.scd2 import one_per_key
+from txlake.operators.skew import spread_join
 
 WINNER_ORDER = ["TX_DATETIME", "TX_AMOUNT", "CUSTOMER_ID", "TERMINAL_ID"]
 
@@ -59,8 +60,7 @@ def orphans(tx: DataFrame, customers: DataFrame, terminals: DataFrame) -> DataFr
         F.when(F.col("__t").isNull(), F.lit("terminal")),
     )
     return (
-        tx.join(known_c, "CUSTOMER_ID", "left")
-        .join(known_t, "TERMINAL_ID", "left")
+        spread_join(spread_join(tx, known_c, "CUSTOMER_ID"), known_t, "TERMINAL_ID")
         .select(*tx.columns, missing.alias("missing"))
         .filter("missing <> ''")
     )

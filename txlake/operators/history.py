@@ -24,6 +24,54 @@ def _micros(time: str) -> Column:
     return F.unix_micros(F.col(time).cast("timestamp"))
 
 
+def version_index(versions: DataFrame, asked: DataFrame, keys: list[str], start: str, width: int) -> DataFrame:
+    """One row per key and asked time slice with the versions that may be valid in it, in order: the last one started in
+    a slice before, and those that start in the slice. `asked` has the keys and `__slice`, each pair once.
+
+    Slices without a version are left out. Of versions that start at one moment the greatest counts.
+    """
+    attributes = [c for c in versions.columns if c not in keys]
+    at = _micros(start)
+    opened = versions.dropna(subset=[*keys, start]).select(
+        *keys, _slice(at, width).alias("__slice"), F.struct(at.alias("t"), F.struct(*attributes).alias("v")).alias("__start")
+    )
+    # collect_list leaves out the nulls of asked slices.
+    per_slice = (
+        opened.unionByName(asked.withColumn("__asked", F.lit(True)), allowMissingColumns=True)
+        .groupBy(*keys, "__slice")
+        .agg(F.sort_array(F.collect_list("__start")).alias("__starts"), F.max("__asked").alias("__asked"))
+    )
+    earlier = Window.partitionBy(*keys).orderBy("__slice").rangeBetween(Window.unboundedPreceding, -1)
+    carried = F.last(F.get("__starts", F.size("__starts") - 1), ignorenulls=True).over(earlier)
+    valid = F.concat(F.when(F.col("__carried").isNotNull(), F.array("__carried")).otherwise(F.array()), "__starts")
+    return (
+        per_slice.withColumn("__carried", carried)
+        .filter(F.col("__asked") & (F.col("__carried").isNotNull() | (F.size("__starts") > 0)))
+        .select(*keys, "__slice", valid.alias("__versions"))
+    )
+
+
+def last_started(versions: Column, at: Column) -> Column:
+    """The last of some versions, in order of their start `t`, that starts up to a moment: a binary search."""
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size(versions) + 1)).cast("int"))
+
+    def halve(bounds: Column, _: Column) -> Column:
+        middle = F.floor((bounds["low"] + bounds["high"]) / 2).cast("int")
+        before = F.get(versions, middle)["t"] <= at
+        open_ = bounds["low"] < bounds["high"]
+        return F.struct(
+            F.when(open_ & before, middle + 1).otherwise(bounds["low"]).alias("low"),
+            F.when(open_ & ~before, middle).otherwise(bounds["high"]).alias("high"),
+        )
+
+    # Between low and high lies the number of versions that start up to the moment.
+    whole = F.struct(F.lit(0).alias("low"), F.size(versions).alias("high"))
+    found = F.get(versions, F.aggregate(steps, whole, halve, lambda bounds: bounds["low"]) - 1)
+    first = F.get(versions, F.lit(0))
+    # Most lists hold one version; comparing it stays within generated code.
+    return F.when(F.size(versions) > 1, found).when(first["t"] <= at, first)
+
+
 def asof_join(
     facts: DataFrame,
     versions: DataFrame,
@@ -35,38 +83,22 @@ def asof_join(
 ) -> DataFrame:
     """Facts with the version valid at their time: start <= t < end, nulls where there is none.
 
-    Versions of a key must not overlap; `scd2.integrity` reports where they do. Instead of a range
-    join, which compares each fact with every version of its key, facts and versions are put in one
-    time order and each fact takes the last version before it.
+    Versions of a key must not overlap; `scd2.integrity` reports where they do. Instead of a range join, which
+    compares each fact with every version of its key, facts are joined by key and time slice with an index that has one row for
+    each key and slice in which facts lie, and look their version up in its short list. Facts are neither sorted nor put in a window:
+    their distinct keys and slices are combined on the map side, then they are shuffled once into a hash join. The index is dealt by key alone
+    until then, so this join shuffles both sides, and the adaptive plan splits a hot key and day.
     """
     width = slice_seconds * 1_000_000
     attributes = [c for c in versions.columns if c not in keys]
-    opened = versions.dropna(subset=[*keys, start]).select(
-        *keys, _micros(start).alias("__t"), F.lit(1).alias("__kind"), F.struct(*attributes).alias("__v")
-    )
-    asked = facts.select(*keys, _micros(fact_time).alias("__t"), F.lit(2).alias("__kind"), F.struct("*").alias("__f"))
-    timeline = opened.unionByName(asked, allowMissingColumns=True).withColumn("__slice", _slice(F.col("__t"), width))
-
-    # For each slice with facts, the last version started in the slices before, put at its beginning.
-    sliced = _slice(F.col("__t"), width).alias("__slice")
-    openings = opened.groupBy(*keys, sliced).agg(F.max_by("__v", "__t").alias("__last"))
-    earlier = Window.partitionBy(*keys).orderBy("__slice").rangeBetween(Window.unboundedPreceding, -1)
-    carried = (
-        openings.unionByName(asked.select(*keys, sliced).distinct(), allowMissingColumns=True)
-        .withColumn("__v", F.last("__last", ignorenulls=True).over(earlier))
-        .filter(F.col("__last").isNull() & F.col("__v").isNotNull())
-        .select(*keys, "__slice", F.col("__slice").alias("__t"), F.lit(0).alias("__kind"), "__v")
-    )
-
-    in_slice = Window.partitionBy(*keys, "__slice").orderBy("__t", "__kind").rowsBetween(Window.unboundedPreceding, 0)
-    met = (
-        timeline.unionByName(carried, allowMissingColumns=True)
-        .withColumn("__v", F.last("__v", ignorenulls=True).over(in_slice))
-        .filter("__kind = 2")
-    )
+    placed = facts.select(*keys, F.struct("*").alias("__f"), _micros(fact_time).alias("__t"))
+    placed = placed.withColumn("__slice", _slice(F.col("__t"), width))
+    index = version_index(versions, placed.select(*keys, "__slice").distinct(), keys, start, width)
+    met = placed.join(index.hint("shuffle_hash"), [*keys, "__slice"], "left")
+    found = met.select("__f", "__t", F.when(F.col("__versions").isNotNull(), last_started(F.col("__versions"), F.col("__t"))["v"]).alias("__v"))
     until = F.unix_micros(F.col(f"__v.{end}").cast("timestamp"))
     valid = F.when(until.isNull() | (F.col("__t") < until), F.col("__v"))
-    return met.select("__f", valid.alias("__v")).select("__f.*", *[F.col(f"__v.{c}").alias(c) for c in attributes])
+    return found.select("__f", valid.alias("__v")).select("__f.*", *[F.col(f"__v.{c}").alias(c) for c in attributes])
 
 
 def rebuild(log: DataFrame, kind: str | Entity, slice_unit: str = "day") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from txlake.operators.enrich import behavior_profile, one_each
 from txlake.operators.history import trailing_count
+from txlake.operators.skew import spread_join
 
 HIGH_AMOUNT_FACTOR = 3.0
 HIGH_Z = 3.0
@@ -22,7 +23,7 @@ def high_amount(tx: DataFrame, customers: DataFrame) -> DataFrame:
     own = behavior_profile(tx).select("CUSTOMER_ID", F.col("mean_amount").alias("__avg"), F.col("std_amount").alias("__std"))
     base = one_each(customers, "CUSTOMER_ID", ["mean_amount"]).withColumnRenamed("mean_amount", "__profile")
     known = own.join(base, "CUSTOMER_ID", "left")
-    return tx.join(known, "CUSTOMER_ID", "left").select(
+    return spread_join(tx, known, "CUSTOMER_ID").select(
         *tx.columns,
         (F.col("TX_AMOUNT") > HIGH_AMOUNT_FACTOR * F.col("__profile")).alias("IS_HIGH_AMOUNT"),
         (F.col("TX_AMOUNT") > F.col("__avg") + HIGH_Z * F.col("__std")).alias("IS_HIGH_Z"),
