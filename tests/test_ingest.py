@@ -2,6 +2,7 @@
 
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -119,6 +120,36 @@ def test_scan_with_many_files_joins_by_shuffle(spark, tmp_path, monkeypatch):
     assert [tuple(r) for r in rows] == [("1", "c", None)] * 4
 
 
+def _records(text):
+    """Rows of RFC 4180 text, by the standard library."""
+    import csv
+    import io
+
+    return [tuple(r) for r in csv.reader(io.StringIO(text, newline="")) if "".join(r).strip()]
+
+
+def test_large_quoted_file_is_read_by_many_tasks(spark, tmp_path):
+    """One file with fields over several lines and byte ranges: every range begins in the state that the ones before leave."""
+    d = str(tmp_path / "customers")
+    rnd = random.Random(1)
+    odd = ["plain", 'say ""hi""', "a, b", "two\nlines", "four\n\n\nlines", "x" * 400, '""']
+    body = "".join(f'{i},"{rnd.choice(odd)}",{rnd.choice(["r", "", chr(34) * 2])}\n' for i in range(3000))
+    body += '3000,"' + "long\n" * 3000 + 'end",r\n' + "3001,c,r\n"
+    write(d, "big.csv", "CUSTOMER_ID,HOME_CITY,HOME_REGION\n" + body)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        lines = csv_files.stage_lines(spark, d, str(tmp_path / "lines"))
+        assert lines.select("block").distinct().count() > 30
+        cut = csv_files.ranges(lines)
+        assert cut.filter("before % 2 = 1 AND size(odd_lines) = 0").count() >= 2  # ranges within one field
+        rows = csv_files.scan(spark, d, "customers").select("CUSTOMER_ID", "HOME_CITY", "HOME_REGION", "read_fault").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    expected = {r[0]: tuple(x or None for x in r[1:]) for r in _records(body)}
+    assert {r[0]: (r[1], r[2]) for r in rows} == expected and len(rows) == 3002
+    assert all(r.read_fault is None for r in rows)
+
+
 def test_headers_are_per_file(spark, tmp_path):
     d = str(tmp_path / "many")
     for i in range(5):

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from txlake import jobs
+from txlake.registry import ENRICHMENT_COLUMNS
 from txlake.sources import ledger, tables
 from txlake.sources.tables import DimensionTable
 
@@ -127,3 +128,47 @@ def test_failed_entity_is_taken_up_again(spark, folders, monkeypatch):
 def test_missing_manifest_loads_nothing(spark, folders):
     landing, lake = folders
     assert statuses(jobs.load_batch(spark, landing, lake, "other", DAY1)) == {}
+
+
+def test_unclosed_quote_rejects_the_file(spark, tmp_path):
+    """A quote that never ends makes a fault of its file; its rows and none of the other files' are lost without a word."""
+    landing, lake = str(tmp_path / "landing"), str(tmp_path / "lake")
+    land(landing, "customers/open.csv", CUSTOMERS + '1,"a,r,0,0,1\n' + "".join(f"{i},a,r,0,0,1\n" for i in range(10, 20)))
+    land(landing, "customers/good.csv", CUSTOMERS + '2,"b\n\n""c""",r,0,0,1\n3,a\n\n')
+    list_files(landing, "metadata_1", "b1", ["customers/open.csv", "customers/good.csv"])
+    assert statuses(jobs.load_batch(spark, landing, lake, "b1", DAY1)) == {"customers": (1, "success")}
+    assert customers(spark, lake) == [(2, 'b\n\n"c"', 1, True, 1.0)]
+    assert entries(spark, lake) == {"customers/open.csv": ("rejected", "unclosed quote"), "customers/good.csv": ("loaded", None)}
+    assert spark.read.parquet(f"{lake}/quarantine/dim_customers").first()["reject_reason"] == "fewer fields than the header"
+
+
+def test_any_failure_leaves_the_others(spark, folders, monkeypatch):
+    """An error of Python, not of Spark, in one entity: the others are loaded, the report tells the reason and the counts."""
+    landing, lake = folders
+
+    def broken(self, *args, **kwargs):
+        raise ValueError("no such day")
+
+    monkeypatch.setattr(tables.DimensionTable, "load", broken)
+    assert statuses(jobs.load_batch(spark, landing, lake, "b1", DAY1)) == {"customers": (0, "failed"), "transactions": (1, "success")}
+    told = {r["entity"]: r for r in jobs.report(spark, lake, "b1").collect()}
+    assert told["customers"]["reason"] == "ValueError: no such day" and told["transactions"]["reason"] is None
+    seen = told["transactions"]
+    # Both copies of a row count as read; the row without a time is rejected.
+    assert (seen["n_rows"], seen["n_rejected"], seen["n_keys"], seen["run"]) == (2, 1, None, 0)
+    assert set(seen["filled"]) == set(ENRICHMENT_COLUMNS) and set(seen["missing"].values()) == {0}
+    assert set(entries(spark, lake)) == {"transactions/t 1+x.csv", "terminals/bad.csv", "misc/m.csv"}
+
+
+def test_text_is_read_once(spark, folders, monkeypatch):
+    """The landed files are opened by one scan; later steps read the staged lines."""
+    from txlake.sources import csv_files
+
+    landing, lake = folders
+    scans, real = [], csv_files._text
+    monkeypatch.setattr(csv_files, "_text", lambda *a: (scans.append(a[2]), real(*a))[1])
+    jobs.load_batch(spark, landing, lake, "b1", DAY1)
+    assert len(scans) == 1 and "misc/m.csv" not in scans[0]
+    jobs.load_batch(spark, landing, lake, "b1", DAY1)
+    # Only the file that was not found is still open; its entity is looked at again.
+    assert all(k.startswith("customers/") for k in scans[1])

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from txlake.functions.search import leading
 from txlake.registry import Entity, entity
 
 
@@ -51,27 +52,6 @@ def version_index(versions: DataFrame, asked: DataFrame, keys: list[str], start:
     )
 
 
-def last_started(versions: Column, at: Column) -> Column:
-    """The last of some versions, in order of their start `t`, that starts up to a moment: a binary search."""
-    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size(versions) + 1)).cast("int"))
-
-    def halve(bounds: Column, _: Column) -> Column:
-        middle = F.floor((bounds["low"] + bounds["high"]) / 2).cast("int")
-        before = F.get(versions, middle)["t"] <= at
-        open_ = bounds["low"] < bounds["high"]
-        return F.struct(
-            F.when(open_ & before, middle + 1).otherwise(bounds["low"]).alias("low"),
-            F.when(open_ & ~before, middle).otherwise(bounds["high"]).alias("high"),
-        )
-
-    # Between low and high lies the number of versions that start up to the moment.
-    whole = F.struct(F.lit(0).alias("low"), F.size(versions).alias("high"))
-    found = F.get(versions, F.aggregate(steps, whole, halve, lambda bounds: bounds["low"]) - 1)
-    first = F.get(versions, F.lit(0))
-    # Most lists hold one version; comparing it stays within generated code.
-    return F.when(F.size(versions) > 1, found).when(first["t"] <= at, first)
-
-
 def asof_join(
     facts: DataFrame,
     versions: DataFrame,
@@ -95,7 +75,8 @@ def asof_join(
     placed = placed.withColumn("__slice", _slice(F.col("__t"), width))
     index = version_index(versions, placed.select(*keys, "__slice").distinct(), keys, start, width)
     met = placed.join(index.hint("shuffle_hash"), [*keys, "__slice"], "left")
-    found = met.select("__f", "__t", F.when(F.col("__versions").isNotNull(), last_started(F.col("__versions"), F.col("__t"))["v"]).alias("__v"))
+    started = leading(F.col("__versions"), lambda v: v["t"] <= F.col("__t"))
+    found = met.select("__f", "__t", F.get("__versions", started - 1)["v"].alias("__v"))
     until = F.unix_micros(F.col(f"__v.{end}").cast("timestamp"))
     valid = F.when(until.isNull() | (F.col("__t") < until), F.col("__v"))
     return found.select("__f", valid.alias("__v")).select("__f.*", *[F.col(f"__v.{c}").alias(c) for c in attributes])

@@ -43,6 +43,10 @@ def finished(judged: DataFrame, statuses: DataFrame) -> DataFrame:
 
 def record(entries: DataFrame, lake: str, batch_id: str, run: int) -> None:
     """Write the entries of one run; written again they replace themselves."""
-    rows = entries.withColumns({"batch_id": F.lit(batch_id), "run": F.lit(run)})
+    replace(entries.withColumns({"batch_id": F.lit(batch_id), "run": F.lit(run)}), _path(lake))
+
+
+def replace(rows: DataFrame, path: str) -> None:
+    """Write rows in place of those of the same batch and run."""
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("batch_id", "run").parquet(_path(lake))
+    writer.partitionBy("batch_id", "run").parquet(path)

@@ -133,6 +133,20 @@ def _(fx):
     return jobs.load_batch(fx.spark, _landing(fx), workspace(fx.spark, "lake"), BATCH, AS_OF)
 
 
+@query(
+    "load_report",
+    "SELECT 'customers' AS entity, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_rejected, count(DISTINCT CUSTOMER_ID) AS n_keys FROM {customers_v2} "
+    "UNION ALL SELECT 'terminals', count(*), 0, count(DISTINCT TERMINAL_ID) FROM {terminals_v2} "
+    "UNION ALL SELECT 'transactions', count(*), 0, NULL FROM {tx} "
+    "UNION ALL SELECT 'travel_profiles', count(*), 0, count(DISTINCT CUSTOMER_ID) FROM {travel_profiles}",
+)
+def _(fx):
+    """Quality counts that the load of a landed batch leaves behind."""
+    lake = workspace(fx.spark, "lake")
+    jobs.load_batch(fx.spark, _landing(fx), lake, BATCH, AS_OF)
+    return jobs.report(fx.spark, lake, BATCH).select("entity", "n_rows", "n_rejected", "n_keys")
+
+
 @query(
     "ledger_entries",
     "SELECT file_key, entity, CASE WHEN reason IS NULL THEN 'loaded' ELSE 'rejected' END AS status, reason FROM {reasoned} "
