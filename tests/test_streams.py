@@ -101,9 +101,12 @@ def test_effective_time_of_each_micro_batch(spark):
     chain = [(r.CITY, str(r.effective_date)[:7], str(r.end_date)[:7]) for r in table.read().orderBy("version").collect()]
     assert chain == [("a", "2024-01", "2024-02"), ("b", "2024-02", "2024-03"), ("c", "2024-03", "None")]
     assert spark.read.parquet(loads.quarantine_folder(table.data)).count() == 3
-    with pytest.raises(ValueError, match="before"):
-        table.load(prepare(spark.createDataFrame([(1, "d", "r")], "TERMINAL_ID BIGINT, CITY STRING, REGION STRING"),
-                           "terminals", "late", AT), "late", "2023-01-01 00:00:00")
+    # A micro-batch of older rows stops nothing: its version goes into the middle of the chain.
+    spark.createDataFrame([(1, "d", "r", datetime(2024, 2, 15))], schema).write.parquet(f"{base}/in3")
+    loads.merge_dimension(runs.read_folder(spark, f"{base}/in3", schema), table, f"{base}/cp3", "s", loads.latest_time("changed"), ["CITY", "REGION"])
+    chain = [(r.CITY, r.version, str(r.effective_date)[:10], str(r.end_date)[:10]) for r in table.read().orderBy("version").collect()]
+    assert chain == [("a", 1, "2024-01-01", "2024-02-01"), ("b", 2, "2024-02-01", "2024-02-15"), ("d", 3, "2024-02-15", "2024-03-01"),
+                     ("c", 4, "2024-03-01", "None")]
 
 
 def test_repeats_are_dropped_across_batches(spark, landed):

@@ -1,11 +1,12 @@
 """Stored tables: repeated loads, interrupted loads, catalog definitions."""
 
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from txlake.operators import facts
+from txlake.operators import facts, scd2
 from txlake.operators.prepare import prepare
 from txlake.plans.session import workspace
 from txlake.sources import tables
@@ -61,11 +62,12 @@ def files_of(table):
     return sum(name.endswith(".parquet") for _, _, names in os.walk(folder) for name in names)
 
 
-def test_a_load_rewrites_the_buckets_it_changes(spark, table):
+def test_a_load_rewrites_the_buckets_it_changes(spark, table, monkeypatch):
+    monkeypatch.setattr(tables, "ROWS_PER_BUCKET", 13)
     many = [(i, "a", "r") for i in range(200)]
     table.load(batch(spark, many, "b1", DAY1), "b1", DAY1)
     before = files_of(table)
-    assert before == tables.DIMENSION_BUCKETS
+    assert before == 16
     assert table.load(batch(spark, many, "b2", DAY2), "b2", DAY2, COMPARE) == (0, "no_changes")
     assert files_of(table) == before
     assert table.load(batch(spark, [(5, "b", "r")], "b3", DAY2), "b3", DAY2, COMPARE) == (2, "success")
@@ -74,6 +76,63 @@ def test_a_load_rewrites_the_buckets_it_changes(spark, table):
     assert table.current().count() == 200 and table.history().count() == 1
 
 
+DAYS = [f"2024-0{m}-01 00:00:00" for m in range(1, 8)]
+
+
+def chains(table):
+    """Per key the versions in order: city, number, start, end, whether current."""
+    out = {}
+    for r in table.read().orderBy("TERMINAL_ID", "version").collect():
+        out.setdefault(r.TERMINAL_ID, []).append((r.CITY, r.version, str(r.effective_date), str(r.end_date or "")[:19], r.is_current))
+    return out
+
+
+@pytest.mark.parametrize("buckets", [1, 3])
+def test_older_deliveries_go_into_the_chain(spark, buckets):
+    """Two deliveries in reverse order give the table of the order; repeated, changed and new keys, one key delivered once only."""
+    first = [(1, "a", "r"), (2, "a", "r"), (3, "a", "r"), (4, "a", "r")]
+    second = [(1, "b", "r"), (2, "a", "r"), (3, "b", "r"), (5, "e", "r")]
+    third = [(1, "b", "r"), (2, "c", "r"), (3, "c", "r"), (5, "e", "r")]
+    found = []
+    for order in ([0, 1, 2], [0, 2, 1], [2, 1, 0], [1, 0, 2]):
+        table = DimensionTable(spark, "terminals", workspace(spark, "late"), buckets)
+        for i in order:
+            rows = batch(spark, [first, second, third][i], f"b{i}", DAYS[i])
+            assert table.load(rows, f"b{i}", DAYS[i], COMPARE)[1] == "success"
+            assert table.load(rows, f"b{i}", DAYS[i], COMPARE)[1] == "already_loaded"
+        found.append(chains(table))
+        assert {r.defects for r in scd2.integrity(table.read(), "terminals").collect()} == {0}
+    assert found[0] == found[1] == found[2] == found[3]
+    assert found[0][1] == [("a", 1, DAYS[0], DAYS[1], False), ("b", 2, DAYS[1], "", True)]
+    assert found[0][3] == [("a", 1, DAYS[0], DAYS[1], False), ("b", 2, DAYS[1], DAYS[2], False), ("c", 3, DAYS[2], "", True)]
+
+
+def test_deliveries_of_any_age_against_plain_python(spark):
+    """Every delivery is put into its key's chain; what says the same as the version before it changes nothing, what the next one says too absorbs that."""
+    rnd = random.Random(8)
+    table, expected = DimensionTable(spark, "terminals", workspace(spark, "late"), 2), {}
+    days = [f"2024-01-{d:02d} 00:00:00" for d in range(1, 29)]
+    order = rnd.sample(range(28), 9)
+    for n, day in enumerate(order):
+        rows = [(k, rnd.choice("ab"), "r") for k in range(6) if rnd.random() < 0.7]
+        status = table.load(batch(spark, rows, f"b{n}", days[day]), f"b{n}", days[day], COMPARE)
+        changed = 0
+        for key, city, _ in rows:
+            chain = expected.setdefault(key, [])
+            i = sum(start <= day for start, _ in chain)
+            if i and chain[i - 1][1] == city:
+                continue
+            changed += 1
+            if i < len(chain) and chain[i][1] == city:
+                chain.pop(i)
+            chain.insert(i, (day, city))
+        assert (status[1] == "success") == (changed > 0)
+    ends = {k: [*(days[d] for d, _ in c[1:]), ""] for k, c in expected.items()}
+    assert chains(table) == {
+        k: [(city, i + 1, days[d], ends[k][i], i + 1 == len(c)) for i, (d, city) in enumerate(c)] for k, c in expected.items()
+    }
+
+
 def test_batch_ids_may_hold_any_text(spark, table):
     for i, name in enumerate(("2024/03:01 x", "a%b=c")):
         rows = batch(spark, [(1, f"c{i}", "r")], name, DAY1)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txlake.operators.prepare import time_literal
+from txlake.operators.skew import spread_join
 from txlake.registry import DOUBLE, Entity, entity
 
 def one_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -210,6 +211,59 @@ def merge(
     return history.unionByName(merge_current(incoming, existing.filter("is_current"), e, at, compare))
 
 
+def splices(
+    incoming: DataFrame, table: DataFrame, kind: str | Entity, at: str, compare: list[str] | None = None
+) -> DataFrame:
+    """What a delivery of any age changes, one row per key: `version_row` to insert, the numbers of the version before it and of the
+    next one, and whether that one is absorbed, because it says the same.
+
+    The delivered row is valid from `at` to the start of the key's next version. Where the version valid at `at` says the same, nothing
+    changes. A delivery that changed nothing left no version, so a still older one that comes after it holds until the next version. Both
+    neighbours come from one aggregation per delivered key, combined on the map side.
+    """
+    e = entity(kind)
+    keys, names = list(e.history_key), _compared(e, incoming, table, compare)
+    delivered = latest_delivered(incoming, e)
+    moment = time_literal(at)
+    row, place = F.struct(*[F.col(c) for c in table.columns]), F.struct("effective_date", "version")
+    begun = F.col("effective_date") <= moment
+    around = table.join(_distinct_keys(delivered, keys), keys, "left_semi").groupBy(*keys).agg(
+        F.max_by(F.when(begun, row), F.when(begun, place)).alias("prev"), F.min_by(F.when(~begun, row), F.when(~begun, place)).alias("nxt"),
+    )
+    doubles = {f.name for f in delivered.schema if f.dataType == DOUBLE}
+
+    def says(side: str) -> Column:
+        # NaN counts as null, as in `_paired`.
+        pairs = [(f"nanvl(inc.{c}, NULL)", f"nanvl({side}.{c}, NULL)") if c in doubles else (f"inc.{c}", f"{side}.{c}") for c in names]
+        same = " AND ".join(f"({a} <=> {b})" for a, b in pairs) or "true"
+        return F.expr(f"{side} IS NOT NULL AND {same}")
+
+    met = delivered.select(*keys, F.struct(*[F.col(c) for c in delivered.columns]).alias("inc")).join(around, keys, "left")
+    met = met.filter(~says("prev")).withColumn("absorbed", says("nxt"))
+    version = _row(e, delivered.columns, "inc", {
+        "version": "coalesce(prev.version + 1, nxt.version, 1)", "effective_date": f"TIMESTAMP_NTZ '{at}'",
+        "end_date": "if(absorbed, nxt.end_date, nxt.effective_date)", "is_current": "nxt IS NULL OR (absorbed AND nxt.is_current)",
+    })
+    return met.select(*keys, version.alias("version_row"), F.col("prev.version").alias("before"), F.col("nxt.version").alias("behind"), "absorbed")
+
+
+def splice(table: DataFrame, changes: DataFrame, kind: str | Entity, at: str) -> DataFrame:
+    """The whole table after `splices` of it: the version before is closed, an absorbed one leaves, later ones are renumbered."""
+    e = entity(kind)
+    keys, moment = list(e.history_key), time_literal(at)
+    marks = changes.select(*keys, F.col("before").alias("__before"), F.col("behind").alias("__behind"), F.col("absorbed").alias("__absorbed"))
+    rows = spread_join(table.select(*e.columns), marks, keys)
+    closed = F.coalesce(F.col("version") == F.col("__before"), F.lit(False))
+    gone = F.coalesce(F.col("__absorbed") & (F.col("version") == F.col("__behind")), F.lit(False))
+    later = F.coalesce(~F.col("__absorbed") & (F.col("effective_date") > moment), F.lit(False))
+    kept = rows.filter(~gone).withColumns({
+        "end_date": F.when(closed, moment).otherwise(F.col("end_date")),
+        "is_current": F.when(closed, F.lit(False)).otherwise(F.col("is_current")),
+        "version": F.col("version") + F.when(later, 1).otherwise(0),
+    })
+    return kept.select(*[F.col(n).cast(t).alias(n) for n, t in e.fields]).unionByName(changes.select("version_row.*"))
+
+
 # Versions of a key that one window takes together.
 VERSION_SLICE = 1000
 

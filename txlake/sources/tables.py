@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+from datetime import datetime
+from functools import reduce
 from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from txlake.operators import scd2
-from txlake.operators.prepare import time_literal
 from txlake.registry import ENTITIES, PROFILE_BUCKETS, Entity, entity
 
 STATUS_SCHEMA = "entity STRING, records BIGINT, status STRING"
-COMMIT_SCHEMA = "batch_id STRING, seq BIGINT, key_bucket INT"
-# Parts of a dimension that are rewritten on their own. Fixed for the life of a table.
-DIMENSION_BUCKETS = 16
+COMMIT_SCHEMA = "batch_id STRING, seq BIGINT, key_bucket INT, buckets INT, newest TIMESTAMP_NTZ, whole BOOLEAN"
+# Rows of the first load for each part of a dimension that is rewritten on its own. The number of parts is fixed for the life of a table.
+ROWS_PER_BUCKET = 500_000
 
 
 # ---- Catalog ----
@@ -94,18 +96,31 @@ def read_appended(spark: SparkSession, kind: str | Entity, root: str) -> DataFra
 # ---- Dimensions ----
 
 
+@dataclass
+class Commits:
+    """What the commits say: number of the last batch, number of buckets, the newest start of each bucket, and whether a batch is among them."""
+
+    seq: int = 0
+    buckets: int = 0
+    newest: dict[int, datetime] = field(default_factory=dict)
+    repeated: bool = False
+
+
 class DimensionTable:
     """A type 2 dimension as snapshots of its current rows and an ever-growing history, both by a bucket of the key.
 
     `data/loaded_by=<batch>/key_bucket=<n>/is_current=true` holds all current rows of a bucket after a batch that
-    changed it, `.../is_current=false` the rows it closed. `commits` names the buckets of finished batches and is written
+    changed it, `.../is_current=false` the rows it closed, or, after a batch of older rows, all closed rows of the bucket.
+    `commits` names the buckets of finished batches and is written
     last: a load that died leaves files nobody reads, and its retry overwrites them. One batch rewrites the current
     rows of the buckets it changes, and nothing where it changes nothing. One writer per table.
     """
 
-    def __init__(self, spark: SparkSession, kind: str | Entity, root: str):
+    def __init__(self, spark: SparkSession, kind: str | Entity, root: str, buckets: int | None = None):
+        """`buckets` counts for a table that is not there yet; without it, the size of the first load decides."""
         self.spark = spark
         self.entity = entity(kind)
+        self.buckets = buckets
         self.data = f"{root}/{self.entity.table}/data"
         self.log = f"{root}/{self.entity.table}/commits"
         # Creates the empty log; nothing happens where there is one.
@@ -114,16 +129,26 @@ class DimensionTable:
     def commits(self) -> DataFrame:
         return self.spark.read.schema(COMMIT_SCHEMA).parquet(self.log)
 
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.entity.history_key), F.lit(DIMENSION_BUCKETS)).cast("int")
+    def _known(self, batch_id: str) -> Commits:
+        """One row per bucket comes to the driver."""
+        per_bucket = self.commits().groupBy("key_bucket").agg(
+            F.max("seq").alias("seq"), F.max("buckets").alias("buckets"), F.max("newest").alias("newest"),
+            F.bool_or(F.col("batch_id") == batch_id).alias("repeated"),
+        ).collect()
+        return Commits(
+            max((r["seq"] for r in per_bucket), default=0), max((r["buckets"] for r in per_bucket), default=0),
+            {r["key_bucket"]: r["newest"] for r in per_bucket}, any(r["repeated"] for r in per_bucket),
+        )
+
+    def _bucket(self, buckets: int) -> Column:
+        return F.pmod(F.xxhash64(*self.entity.history_key), F.lit(buckets)).cast("int")
 
     def _files(self) -> DataFrame:
         fields = ", ".join(f"{n} {t.simpleString()}" for n, t in self.entity.fields)
         return self.spark.read.schema(f"{fields}, loaded_by STRING, key_bucket INT, effective_day DATE").parquet(self.data)
 
-    def _started(self) -> int:
-        """Number of the last finished batch, 0 before the first."""
-        return self.commits().agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
+    def _started(self) -> bool:
+        return not self.commits().isEmpty()
 
     def _live(self, buckets: list[int] | None = None) -> DataFrame:
         rows = self._files().filter("is_current")
@@ -133,34 +158,31 @@ class DimensionTable:
         last = self.commits().groupBy("key_bucket").agg(F.max_by("batch_id", "seq").alias("loaded_by"))
         return rows.join(F.broadcast(last), ["loaded_by", "key_bucket"], "left_semi").select(*self.entity.columns)
 
+    def _closed(self, buckets: list[int] | None = None) -> DataFrame:
+        rows = self._files().filter(~F.col("is_current"))
+        if buckets is not None:
+            rows = rows.filter(F.col("key_bucket").isin(buckets))
+        # From the last batch on that wrote all closed rows of a bucket.
+        since = self.commits().groupBy("key_bucket").agg(F.coalesce(F.max(F.when(F.col("whole"), F.col("seq"))), F.lit(0)).alias("since"))
+        finished = self.commits().join(F.broadcast(since), "key_bucket").filter(F.col("seq") >= F.col("since"))
+        finished = finished.select(F.col("batch_id").alias("loaded_by"), "key_bucket").distinct()
+        return rows.join(finished, ["loaded_by", "key_bucket"], "left_semi").select(*self.entity.columns)
+
     def current(self) -> DataFrame | None:
         """Current rows after the last finished batch; null table before the first."""
         return self._live() if self._started() else None
 
     def history(self) -> DataFrame | None:
         """Rows closed by finished batches."""
-        if not self._started():
-            return None
-        finished = self.commits().select(F.col("batch_id").alias("loaded_by"), "key_bucket").distinct()
-        closed = self._files().filter(~F.col("is_current")).join(finished, ["loaded_by", "key_bucket"], "left_semi")
-        return closed.select(*self.entity.columns)
+        return self._closed() if self._started() else None
 
     def read(self) -> DataFrame | None:
-        current = self.current()
-        return None if current is None else current.unionByName(self.history())
-
-    def _changed(self, incoming: DataFrame, current: DataFrame, compare: list[str] | None) -> tuple[int | None, list[int]]:
-        """Rows that a delivery causes (None for an empty one) and the buckets they belong to: one row per bucket and
-        kind of change comes to the driver."""
-        kinds = scd2.classify(incoming, current, self.entity, compare).groupBy(self._bucket().alias("b"), "change_type")
-        found = kinds.agg(F.count("*").alias("n")).collect()
-        rows = sum({"new": 1, "changed": 2}.get(r["change_type"], 0) * r["n"] for r in found)
-        return (rows if found else None), sorted({r["b"] for r in found if r["change_type"] != "unchanged"})
-
-    def _write(self, rows: DataFrame, batch_id: str) -> None:
+        return self._live().unionByName(self._closed()) if self._started() else None
+
+    def _write(self, rows: DataFrame, batch_id: str, buckets: int) -> None:
         parts = ["key_bucket", "is_current", "effective_day"]
         (
-            rows.withColumns({"key_bucket": self._bucket(), "effective_day": F.to_date("effective_date")})
+            rows.withColumns({"key_bucket": self._bucket(buckets), "effective_day": F.to_date("effective_date")})
             .hint("rebalance", *[F.col(p) for p in parts])
             .write.mode("overwrite")
             # Everything a died attempt left in the folder of this batch has to go.
@@ -170,30 +192,58 @@ class DimensionTable:
             .parquet(f"{self.data}/loaded_by={quote(batch_id, safe='')}")
         )
 
+    def _commit(self, batch_id: str, known: Commits, newest: dict[int, datetime], whole: list[int]) -> None:
+        rows = [(batch_id, known.seq + 1, b, known.buckets, t, b in whole) for b, t in sorted(newest.items())]
+        self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(self.log)
+
     def load(self, incoming: DataFrame, batch_id: str, at: str, compare: list[str] | None = None) -> tuple[int, str]:
-        """Merge a prepared delivery; returns rows written and a status. A finished batch is not repeated."""
-        seq = self._started()
-        if seq and not self.commits().filter(F.col("batch_id") == batch_id).isEmpty():
+        """Merge a prepared delivery of any age; returns rows written and a status. A finished batch is not repeated.
+
+        Buckets whose newest version starts behind `at` take the delivered rows into the middle of their keys' chains (`scd2.splice`)
+        and are written whole, history included. The others get new current rows and the versions they close.
+        """
+        known = self._known(batch_id)
+        if known.repeated:
             return 0, "already_loaded"
-        if seq:
-            current = self._live()
-            newest = current.agg(F.max("effective_date").cast("string").alias("t"), F.max("effective_date") > time_literal(at)).first()
-            if newest[1]:
-                raise ValueError(f"load time {at} lies before the stored start {newest.t}")
-            written, buckets = self._changed(incoming, current, compare)
-            if not written:
-                return 0, "empty" if written is None else "no_changes"
-            delivered = incoming.filter(self._bucket().isin(buckets))
-            self._write(scd2.merge_current(delivered, self._live(buckets), self.entity, at, compare), batch_id)
-        else:
-            seen, buckets = Observation(), list(range(DIMENSION_BUCKETS))
-            rows = scd2.first_load(incoming, self.entity, at)
-            self._write(rows.observe(seen, F.count(F.lit(1)).alias("n")), batch_id)
-            written = seen.get["n"]
-            if not written:
-                return 0, "empty"
-        commit = self.spark.createDataFrame([(batch_id, seq + 1, b) for b in buckets], COMMIT_SCHEMA)
-        commit.coalesce(1).write.mode("append").parquet(self.log)
+        if not known.seq:
+            return self._first(incoming, batch_id, at)
+        moment = datetime.fromisoformat(at)
+        late = sorted(b for b, t in known.newest.items() if t > moment)
+        usual = sorted(set(range(known.buckets)) - set(late))
+        bucket = self._bucket(known.buckets)
+        delivered = {True: incoming.filter(bucket.isin(late)), False: incoming.filter(bucket.isin(usual))} if late else {False: incoming}
+        kinds = scd2.classify(delivered[False], self._live(usual if late else None), self.entity, compare).groupBy(bucket.alias("b"), "change_type")
+        found = [tuple(r) for r in kinds.agg(F.count("*").alias("n")).collect()]
+        if late:
+            # Small, as it holds changed keys only, and used twice.
+            changes = scd2.splices(delivered[True], self._live(late).unionByName(self._closed(late)), self.entity, at, compare).checkpoint()
+            kinds = changes.groupBy(bucket.alias("b"), F.when(F.col("before").isNull(), F.lit("new")).otherwise(F.lit("changed")))
+            found += [tuple(r) for r in kinds.agg(F.count("*").alias("n")).collect()]
+        written = sum({"new": 1, "changed": 2}.get(kind, 0) * n for _, kind, n in found)
+        if not written:
+            return 0, "no_changes" if found or (late and not delivered[True].isEmpty()) else "empty"
+        changed = {b for b, kind, _ in found if kind != "unchanged"}
+        usual, late = sorted(changed & set(usual)), sorted(changed & set(late))
+        parts = []
+        if usual:
+            parts.append(scd2.merge_current(incoming.filter(bucket.isin(usual)), self._live(usual), self.entity, at, compare))
+        if late:
+            mine = changes.filter(bucket.isin(late))
+            parts.append(scd2.splice(self._live(late).unionByName(self._closed(late)), mine, self.entity, at))
+        self._write(reduce(DataFrame.unionByName, parts), batch_id, known.buckets)
+        self._commit(batch_id, known, {b: max(moment, known.newest.get(b, moment)) for b in changed}, late)
+        return written, "success"
+
+    def _first(self, incoming: DataFrame, batch_id: str, at: str) -> tuple[int, str]:
+        seen, buckets = Observation(), self.buckets or max(1, -(-incoming.count() // ROWS_PER_BUCKET))
+        rows = scd2.first_load(incoming, self.entity, at)
+        self._write(rows.observe(seen, F.count(F.lit(1)).alias("n")), batch_id, buckets)
+        written = seen.get["n"]
+        if not written:
+            return 0, "empty"
+        starts = self._files().filter(F.col("loaded_by") == batch_id).groupBy("key_bucket").agg(F.max("effective_date").alias("t")).collect()
+        newest = dict.fromkeys(range(buckets), datetime.fromisoformat(at)) | {r["key_bucket"]: r["t"] for r in starts}
+        self._commit(batch_id, Commits(0, buckets), newest, [])
         return written, "success"
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from txlake import jobs
 from txlake.operators import ingest, quality
-from txlake.operators.prepare import prepare
+from txlake.operators.prepare import prepare, time_literal
 from txlake.plans.session import workspace
 from txlake.registry import ENTITIES, TRANSACTIONS
 from txlake.sources import csv_files, ledger, manifest, tables
@@ -171,6 +171,17 @@ def _(fx):
     return table.read()
 
 
+@query("dimension_late_delivery", "SELECT * FROM {merged_c}")
+def _(fx):
+    """The second batch is loaded first; the older one goes into the chains and gives the table of the usual order."""
+    table = tables.DimensionTable(fx.spark, "customers", workspace(fx.spark, "late"))
+    # As a merge would, and a first load would not, number and date the rows by the load.
+    second = delivered(fx, "customers").withColumns({"version": F.lit(1).cast("bigint"), "effective_date": time_literal(AS_OF)})
+    table.load(second, BATCH, AS_OF)
+    table.load(stored(fx, "customers"), FIRST_BATCH, LOADED, source_columns(fx, "customers"))
+    return table.read()
+
+
 @query(
     "table_catalog_columns",
     " UNION ALL ".join(
