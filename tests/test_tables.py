@@ -10,6 +10,7 @@ from txlake.operators import facts, scd2
 from txlake.operators.prepare import prepare
 from txlake.plans.session import workspace
 from txlake.sources import tables
+from txlake.sources.id_index import IdIndex
 from txlake.sources.tables import DimensionTable
 
 DAY1, DAY2, DAY3 = "2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00"
@@ -200,3 +201,27 @@ def test_dispatch(spark):
     assert tables.upsert(rows, "terminals", root, "b1", DAY1) == ("terminals", 1, "success")
     assert tables.upsert(rows, "merchants", root, "b1", DAY1) == ("merchants", 0, "failed")
     assert tables.upsert(rows.limit(0), "terminals", root, "b2", DAY1) == ("terminals", 0, "empty")
+
+
+def test_a_delivery_reads_the_id_buckets_it_falls_in(spark):
+    """Files of the index that few ids open, out of many; claims of the same owner do not count, those of others do."""
+    folder = workspace(spark, "ids")
+    index = IdIndex(spark, folder, "ID", "bigint", buckets=64)
+    index.claim(spark.range(0, 100_000).toDF("ID"), "b1")
+    index.claim(spark.range(100_000, 101_000).toDF("ID"), "b2")
+
+    def opened(delivered):
+        held = index.held(delivered, "b3")
+        return held, {r[0] for r in held.select(F.input_file_name()).distinct().collect()}
+
+    _, every = opened(spark.range(0, 100_000).toDF("ID"))
+    few = spark.createDataFrame([(5,), (5,), (100_500,), (999_999,), (None,)], "ID long")
+    held, files = opened(few)
+    assert len(every) == 128 and len(files) <= 6
+    assert {r.ID for r in few.dropna().join(held, "ID", "left_anti").collect()} == {999_999}
+    assert {r.ID for r in few.dropna().join(index.held(few, "b2"), "ID", "left_anti").collect()} == {100_500, 999_999}
+    # Claimed again, the owner's ids are replaced, without those of others; the number of buckets stays.
+    mine = index.claim(spark.range(99_000, 101_000).toDF("ID"), "b2")
+    assert {r.ID for r in mine.collect()} == set(range(100_000, 101_000))
+    again = IdIndex(spark, folder, "ID", "bigint", buckets=7)
+    assert again.held(spark.range(0, 200_000).toDF("ID"), "b3").count() == 101_000

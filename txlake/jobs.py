@@ -14,6 +14,7 @@ from txlake.operators.prepare import FAULT, REJECT, conform
 from txlake.plans.session import configure, shared_folder
 from txlake.registry import ENRICHMENT_COLUMNS, ENTITIES, TRANSACTIONS, Entity
 from txlake.sources import csv_files, ledger, manifest, staging, tables
+from txlake.sources.id_index import IdIndex
 
 log = logging.getLogger(__name__)
 
@@ -37,11 +38,8 @@ def judged_files(listed: DataFrame, found: DataFrame) -> DataFrame:
     return judged.withColumn("reason", F.coalesce(missing, "reason", "file_fault"))
 
 
-def stored_transactions(spark: SparkSession, lake: str) -> DataFrame:
-    """Fact table, created empty where it is missing."""
-    rows, parts = tables.with_layout(spark.createDataFrame([], TRANSACTIONS.schema), TRANSACTIONS)
-    rows.write.mode("ignore").partitionBy(*parts).parquet(f"{lake}/{TRANSACTIONS.table}")
-    return tables.read_appended(spark, TRANSACTIONS, lake)
+def transaction_ids(spark: SparkSession, lake: str) -> IdIndex:
+    return IdIndex(spark, f"{lake}/{TRANSACTIONS.table}_ids", "TRANSACTION_ID")
 
 
 def counts(staged: DataFrame, e: Entity) -> DataFrame:
@@ -80,11 +78,12 @@ def load_entity(
     writer.option("partitionOverwriteMode", "dynamic").partitionBy("load_id").parquet(f"{lake}/quarantine/{e.table}")
 
     rows = staged.filter(F.col(REJECT).isNull()).drop(REJECT)
-    if e is TRANSACTIONS:
-        # An id is stored once, whatever time it comes with: all stored ids are read, as one column.
-        held = stored_transactions(spark, lake).filter(F.col("BATCH_ID") != batch_id)
-        rows = facts.unseen(rows, held).select(*e.columns)
-    return tables.upsert(rows, e.name, lake, load_id, at, [c for c in e.compared if c in present]), seen
+    if e is not TRANSACTIONS:
+        return tables.upsert(rows, e.name, lake, load_id, at, [c for c in e.compared if c in present]), seen
+    # An id is stored once, whatever time it comes with.
+    claimed = transaction_ids(spark, lake).claim(rows, batch_id)
+    fresh = facts.dedup(rows).join(claimed, "TRANSACTION_ID", "left_semi").select(*e.columns)
+    return tables.upsert(fresh, e.name, lake, load_id, at), seen
 
 
 def report(spark: SparkSession, lake: str, batch_id: str | None = None) -> DataFrame:

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from txlake.operators.facts import unseen
+from txlake.operators.facts import dedup
 from txlake.operators.prepare import REJECT, conform
+from txlake.sources.id_index import IdIndex
 from txlake.sources.tables import DimensionTable, with_day
 from txlake.streaming.object_events import file_events
 from txlake.streaming.runs import Step, each_batch, write_epoch
@@ -44,20 +44,16 @@ def append_transactions(stream: DataFrame, target: str, checkpoint: str, batch_i
 def append_unseen(stream: DataFrame, target: str, checkpoint: str, key: str, time: str) -> None:
     """Append each id once, however late its copies come and whatever their time; no row is dropped for its age.
 
-    A micro-batch looks for its ids among all stored ids, which are read as one column. Rows without id go to
-    the quarantine.
+    A micro-batch looks for its ids in an index beside the target, of which it reads the buckets they fall in. What an earlier attempt of
+    the micro-batch claimed and wrote is claimed and written again, in its place. Rows without id go to the quarantine.
     """
     spark = stream.sparkSession
-    added = [T.StructField("day", T.DateType()), T.StructField("stream", T.StringType()), T.StructField("epoch", T.LongType())]
-    fields = T.StructType([*stream.schema, *added])
     others = [c for c in stream.columns if c != key]
-    spark.createDataFrame([], fields).write.mode("ignore").partitionBy("stream", "epoch", "day").parquet(target)
+    index = IdIndex(spark, f"{target.rstrip('/')}_ids", key, stream.schema[key].dataType.simpleString())
 
     def append(batch: DataFrame, stream_id: str, epoch: int) -> None:
-        stored = batch.sparkSession.read.schema(fields).parquet(target)
-        # What an earlier attempt of this micro-batch wrote is written again, in its place.
-        others_wrote = stored.filter((F.col("stream") != stream_id) | (F.col("epoch") != epoch))
-        fresh = unseen(batch, others_wrote, key, others).withColumn("day", F.to_date(time))
+        claimed = index.claim(batch, f"{stream_id}-{epoch}")
+        fresh = dedup(batch, key, others).join(claimed, key, "left_semi").withColumn("day", F.to_date(time))
         write_epoch(target, ("day",))(fresh, stream_id, epoch)
 
     checked = stream.withColumn(REJECT, F.when(F.col(key).isNull(), F.lit(key)))
