@@ -13,6 +13,7 @@ from tests.llm.conftest import fold_ascii
 from txlake.llm import bag_minhash, components, exact_dedup, line_dedup, sentence_spans
 from txlake.llm.batches import text_blocks
 from txlake.llm.queries import ORACLES, QUERIES
+from txlake.llm.text import documents
 
 NATIVE = ["op4_line_dedup", "op6_exact_dedup"]
 
@@ -165,40 +166,30 @@ def test_components_of_a_path_a_star_and_nothing(spark):
     assert components.components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
-def _sentences(text):
-    out, fresh, at = [], True, 0
-    for m in re.finditer("[^\x20\x09-\x0d]+", text):
-        if not out or fresh or "\n" in text[at : m.start()]:
-            out.append((m.start(), []))
-        out[-1][1].append(fold_ascii(m.group()))
-        fresh, at = m.group()[-1] in ".!?", m.end()
-    return out
-
-
-def _without_spans(texts):
-    seen, result = set(), {}
+def _without_spans(texts, size=51, stride=8):
+    seen, result = {}, {}
     for i, text in sorted(texts.items()):
         text = text or ""
-        found = _sentences(text)
-        n, size = len(found), [len(w) for _, w in found]
-
-        def enough(a, b, size=size):
-            return (b - a >= 3 and sum(size[a:b]) >= 25) or sum(size[a:b]) >= 50
-
-        runs = set()
-        for a in range(n):
-            runs |= {(a, b) for b in [next((b for b in range(a + 1, n + 1) if enough(a, b)), 0)] if b}
-            runs |= {(s, a + 1) for s in [next((s for s in range(a, -1, -1) if enough(s, a + 1)), -1)] if s >= 0}
+        placed = [(m.start(), m.end()) for m in re.finditer("[^\x20\x09-\x0d]+", text)]
+        words = [fold_ascii(text[a:z]) for a, z in placed]
+        n, edges, last = len(words), [], 0
+        for k in range(n + 1):
+            if k in (0, n) or words[k - 1][-1] in ".!?,;:" or k - last == stride:
+                edges.append(k)
+                last = k
         gone = set()
-        for a, b in sorted(runs):
-            words = tuple(w for _, part in found[a:b] for w in part)
-            if words in seen:
-                gone |= set(range(a, b))
-            seen.add(words)
-        ends = [s for s, _ in found[1:]] + [len(text)]
-        left = text[: found[0][0]] if found else text
-        left += "".join(text[s:e] for k, ((s, _), e) in enumerate(zip(found, ends, strict=True)) if k not in gone)
-        result[i] = (n, len(gone), left)
+        for a in sorted({a for e in edges for a in (e, e - size) if a >= 0 and a + size <= n}):
+            span = tuple(words[a : a + size])
+            if seen.setdefault(span, i) != i:
+                gone |= set(range(a, a + size))
+        sentence, of_word = -1, []
+        for k in range(n):
+            sentence += k == 0 or words[k - 1][-1] in ".!?" or "\n" in text[placed[k - 1][1] : placed[k][0]]
+            of_word.append(sentence)
+        ends = [a for a, _ in placed[1:]] + [len(text)]
+        left = text[: placed[0][0]] if placed else text
+        left += "".join(text[a:e] for k, ((a, _), e) in enumerate(zip(placed, ends, strict=True)) if k not in gone)
+        result[i] = (sentence + 1, len({of_word[k] for k in gone}), left)
     return result
 
 
@@ -207,6 +198,22 @@ def test_sentence_spans_equal_brute_force(spark, sf_dir, texts):
     assert found == _without_spans(texts)
 
 
+def test_repeats_of_51_words_are_caught_and_others_left(spark):
+    """Against all stretches of 51 words, wherever they begin: documents that repeat one of an earlier document, and all others."""
+    folder = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text for r in documents(spark, folder).select("doc_id", "text").collect()}
+    seen, repeats = {}, set()
+    for i, text in sorted(texts.items()):
+        words = re.findall("[^\x20\x09-\x0d]+", fold_ascii(text or ""))
+        for k in range(len(words) - 50):
+            if seen.setdefault(tuple(words[k : k + 51]), i) != i:
+                repeats.add(i)
+    found = {r.doc_id for r in QUERIES["op8_sentence_spans"](spark, folder).filter("n_removed > 0").collect()}
+    own = {i for i in found if i not in repeats}
+    assert len(found & repeats) >= 0.95 * len(repeats) > 50
+    assert len(own) <= 0.02 * (len(texts) - len(repeats))
+
+
 def test_a_repeated_passage_goes_and_clean_texts_stay(spark):
     passage = " ".join(f"Word{i} goes with word{i + 1} and so on." for i in range(10))
     rows = [(1, f"Own beginning one. {passage}\nOwn end one."), (2, f"Other start.\n{passage} Other end."), (3, "Own text. Of no other.")]
@@ -215,6 +222,24 @@ def test_a_repeated_passage_goes_and_clean_texts_stay(spark):
     assert found[2].text == "Other start.\nOther end." and found[2].removed_words == 70
 
 
+def test_passages_whatever_stands_around_them(spark):
+    """Outer sentences that merge with other words, one long sentence, lines wrapped otherwise; a passage of 50 words stays."""
+    inner = [f"w{i}" for i in range(60)]
+    merged = " ".join(inner[:20]) + ", " + " ".join(inner[20:40]) + ". " + " ".join(inner[40:])
+    wrapped = " ".join(f"v{i}" + (". " if i % 9 == 8 else "") for i in range(70))
+    short = " ".join(f"s{i}" + ("," if i % 7 == 0 else "") for i in range(50))
+    rows = [
+        (1, f"one two {merged} three. {wrapped} {short}"), (2, f"Another start with {merged} and goes on."),
+        (3, "x y z. " + wrapped.replace(" v3", "\nv3").replace(" v5", "\n\nv5")), (4, f"a b {short} c d"),
+        (5, "again " * 300), (6, "Again " * 100),
+    ]
+    found = {r.doc_id: r for r in sentence_spans.remove_repeated_spans(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert found[1].n_removed == 0 and found[4].n_removed == 0
+    assert found[2].removed_words >= 51 and found[3].removed_words >= 60
+    # What a text repeats of itself is no passage of another.
+    assert found[5].n_removed == 0 and found[6].text == ""
+
+
 def test_spans_of_odd_rows(odd, odd_rows, nothing):
     found = sentence_spans.remove_repeated_spans(odd).collect()
     assert Counter((r.doc_id, r.text) for r in found if r.doc_id != 6) == Counter((i, t or "") for i, t in odd_rows if i != 6)
