@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txlake.llm.text import WHITE, lower_ascii, whole_text
+from txlake.operators.skew import spread_join
 
 
 def line_key(line: Column) -> Column:
@@ -38,7 +39,7 @@ def drop_shared_lines(
     the line. Other columns of the input are not read, whatever their names.
 
     A document sends each of its keys once; counts are combined before the shuffle. Lines and counts meet in
-    a plain join, which the adaptive plan splits at hot keys. Texts are shuffled once, with the positions
+    a join that the adaptive plan splits at hot keys (`spread_join`). Texts are shuffled once, with the positions
     to drop, and put together from the stretches between them.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text"))
@@ -58,7 +59,7 @@ def drop_shared_lines(
         F.col("n") >= min_documents
     ).select("key", "owner")
     drops = (
-        lines.join(shared, "key")
+        spread_join(lines, shared, "key", "inner")
         .filter(~F.col("doc_id").eqNullSafe(F.col("owner")))
         # Repeated rows name each of their positions once.
         .groupBy("doc_id", "row").agg(F.sort_array(F.collect_set("at")).alias("dropped"))
