@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txlake.llm.text import whole_text, without_white
-from txlake.plans.session import shared_folder
+from txlake.operators.skew import spread_join
+from txlake.plans.session import shared_folder, workspace
 
 # Code points of the content that a splitter holds; longer common beginnings are told apart by a hash.
 PREFIX = 48
@@ -116,7 +117,7 @@ def duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
         F.count("*").alias("group_size"), F.min(F.struct("__bucket", "__at", "doc_id")).alias("__first")
     )
     place = F.struct("__bucket", "__at")
-    return numbered.join(groups, "__group").select(
+    return spread_join(numbered, groups, "__group", "inner").select(
         "doc_id",
         F.col("__first.doc_id").alias("keep_id"),
         "group_size",
@@ -128,9 +129,12 @@ def duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 def drop_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, with all their columns. Rules as in `duplicate_groups`; names beginning with two
     underscores are reserved."""
-    runs = content_runs(docs, doc_id, text)
-    edges = F.broadcast(_offsets(runs, F.sha2("__content", 256)))
-    first = runs.filter(F.col("__start") == 1).join(edges, "__bucket").filter(
-        ~(F.col("__continues") & (F.col("__run") == 1))
-    )
+    found = content_runs(docs, doc_id, text).filter(F.col("__start") == 1)
+    # The first rows of the runs, with their texts, are written once: both what lies at the bucket borders and the result are read from them.
+    folder = workspace(docs.sparkSession, "content-runs")
+    kept = [*[F.col(f"`{c}`") for c in docs.columns], "__bucket", "__at", "__run"]
+    found.select(*kept, F.sha2("__content", 256).alias("__digest")).write.parquet(folder)
+    runs = docs.sparkSession.read.parquet(folder)
+    edges = F.broadcast(_offsets(runs, F.col("__digest")))
+    first = runs.join(edges, "__bucket").filter(~(F.col("__continues") & (F.col("__run") == 1)))
     return first.select(*[F.col(f"`{c}`") for c in docs.columns])
