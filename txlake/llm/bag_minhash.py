@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from txlake.llm.batches import mix, text_blocks, words
 from txlake.llm.components import components
+from txlake.operators.skew import spread_join
 from txlake.plans.session import shared_folder
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -296,7 +297,7 @@ def near_duplicate_classes(
     ).select("doc_id", "row", F.coalesce("component", "bag", alone).alias("class"))
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     classes = placed.groupBy("class").agg(F.count("*").alias("class_size"), F.min(first).alias("first"))
-    return placed.join(classes, "class").select(
+    return spread_join(placed, classes, "class", "inner").select(
         "doc_id", F.col("first.doc_id").alias("class_id"), "class_size",
         (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("row") == F.col("first.row"))).alias("kept"),
         "row",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txlake.operators.skew import spread_join
 from txlake.plans.session import shared_folder
 
 
@@ -20,7 +21,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternating star contraction: every node passes its smallest neighbour to its larger neighbours, then to
     its smaller ones, until nothing changes; the number of rounds grows with the logarithm of the longest path.
-    A node with very many edges is only joined to its own minimum, a join that Spark splits, and minima are combined
+    A node with very many edges is only joined to its own minimum, a join that Spark can split (`spread_join`), and minima are combined
     before the shuffle. Each round is written to the checkpoint folder. No edges give no rows.
     """
     shared_folder(edges.sparkSession)
@@ -35,10 +36,10 @@ def components(edges: DataFrame) -> DataFrame:
         state = (seen.n, seen.s)
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = spread_join(both, least, "u", "inner").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.distinct()
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lowest, "u").select(
+        small = spread_join(large, lowest, "u", "inner").select(
             F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")
         ).select("e.u", "e.v")
         now = _ordered(small).checkpoint()
