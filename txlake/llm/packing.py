@@ -189,7 +189,8 @@ def pack_documents(
         word, row, count = word[shared], row[shared], count[shared]
         order = np.argsort(row, kind="stable")
         edges = np.searchsorted(row[order], np.arange(rows + 1))
-        hashes = found.hashes[word[order]].astype("<u8")
+        # 40 bits tell the words of a shard apart; the rest would only fill the shuffle.
+        hashes = (found.hashes[word[order]] & np.uint64((1 << 40) - 1)).astype("<u8")
         count, held = count[order].astype("<u4"), holders[word[order]].astype("<u4")
         # Occurrences stand in the order of rows.
         size = np.bincount(found.rows, length[found.number], minlength=rows).astype(np.int64)
