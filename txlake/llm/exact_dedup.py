@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from txlake.llm.text import whole_text, without_white
 from txlake.operators.skew import spread_join
-from txlake.plans.session import shared_folder, workspace
+from txlake.plans.session import shared_folder
 
 # Code points of the content that a splitter holds; longer common beginnings are told apart by a hash.
 PREFIX = 48
@@ -129,12 +129,11 @@ def duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 def drop_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, with all their columns. Rules as in `duplicate_groups`; names beginning with two
     underscores are reserved."""
+    shared_folder(docs.sparkSession)
     found = content_runs(docs, doc_id, text).filter(F.col("__start") == 1)
-    # The first rows of the runs, with their texts, are written once: both what lies at the bucket borders and the result are read from them.
-    folder = workspace(docs.sparkSession, "content-runs")
+    # The first rows of the runs, with their texts, are kept once: both what lies at the bucket borders and the result are read from them.
     kept = [*[F.col(f"`{c}`") for c in docs.columns], "__bucket", "__at", "__run"]
-    found.select(*kept, F.sha2("__content", 256).alias("__digest")).write.parquet(folder)
-    runs = docs.sparkSession.read.parquet(folder)
+    runs = found.select(*kept, F.sha2("__content", 256).alias("__digest")).checkpoint()
     edges = F.broadcast(_offsets(runs, F.col("__digest")))
     first = runs.join(edges, "__bucket").filter(~(F.col("__continues") & (F.col("__run") == 1)))
     return first.select(*[F.col(f"`{c}`") for c in docs.columns])
