@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txlake.registry import STATS_INTERVAL
@@ -65,22 +65,34 @@ def session_counts(stream: DataFrame, key: str, gap: str = "30 minutes", delay:
     )
 
 
-def late_rows(df: DataFrame, batch: str, time: str, delay_seconds: int, group: int = 1000) -> DataFrame:
-    """Marks rows older than the greatest time of all earlier micro-batches less the delay. No row is dropped; a row
-    without a micro-batch is not late.
+# Micro-batch numbers lie between minus and plus half of two to this power.
+_LEVELS = 42
+
 
-    The running maximum needs one value per micro-batch. It is taken in two steps, inside groups of
-    batches and over the groups, so neither step orders all batches in one task.
+def earlier_max(tops: DataFrame, index: str, value: str) -> DataFrame:
+    """index and `seen`, the greatest value of all smaller indexes, for each index that has any; one row per index comes in.
+
+    What lies before an index is one aligned block of a power of two for each bit that is set in it. Maxima of all blocks are combined on the map
+    side, and an index asks for its blocks by an equi-join: no window, no task that sees all indexes.
     """
-    tops = df.groupBy(batch).agg(F.max(time).alias("top")).withColumn("__g", F.floor(F.col(batch) / F.lit(group)))
-    group_tops = tops.groupBy("__g").agg(F.max("top").alias("top"))
-    before = Window.unboundedPreceding, -1
-    over_groups = group_tops.select("__g", F.max("top").over(Window.orderBy("__g").rowsBetween(*before)).alias("__before"))
-    inside = F.max("top").over(Window.partitionBy("__g").orderBy(batch).rowsBetween(*before))
-    limits = tops.withColumn("__inside", inside).join(over_groups, "__g").select(
-        batch, F.greatest("__inside", "__before").alias("__seen")
+    placed = tops.select(index, value, (F.col(index).cast("bigint") + F.lit(1 << (_LEVELS - 1))).alias("__u")).filter("__u IS NOT NULL")
+    levels = F.sequence(F.lit(0), F.lit(_LEVELS - 1))
+    maxima = (
+        placed.select(F.col(value).alias("__top"), "__u", F.explode(levels).alias("__level"))
+        .groupBy("__level", F.expr("shiftright(__u, __level)").alias("__block")).agg(F.max("__top").alias("__top"))
     )
+    asked = placed.select(index, "__u", F.explode(levels).alias("__level")).filter("shiftright(__u, __level) % 2 = 1")
+    asked = asked.select(index, "__level", F.expr("shiftright(__u, __level) - 1").alias("__block"))
+    return asked.join(maxima, ["__level", "__block"]).groupBy(index).agg(F.max("__top").alias("seen"))
+
+
+def late_rows(df: DataFrame, batch: str, time: str, delay_seconds: int) -> DataFrame:
+    """Marks rows older than the greatest time of all earlier micro-batches less the delay. No row is dropped; a row
+    without a micro-batch is not late. The running maximum needs one value per micro-batch (`earlier_max`).
+    """
+    tops = df.groupBy(batch).agg(F.max(time).alias("__time"))
+    seen = earlier_max(tops, batch, "__time").withColumnRenamed("seen", "__seen")
     limit = F.col("__seen") - F.make_dt_interval(secs=F.lit(delay_seconds))
-    return df.join(limits, batch, "left").select(
+    return df.join(seen, batch, "left").select(
         *df.columns, F.coalesce(F.col(time) < limit, F.lit(False)).alias("is_late")
     )
