@@ -297,32 +297,87 @@ def test_scores(spark, sf_dir, texts):
     assert held[1] > held[0]
 
 
-def test_probabilities_of_all_words_add_up_to_one(spark, monkeypatch):
-    """After a known word, every known word and one unknown word together; the difference of two scores is one word's."""
-    monkeypatch.setattr(hpylm, "HOT_SHARE", 1 / 4)
-    rows = [(i, "a b a c a b d", True) for i in range(30)] + [(100, "e a f", True)]
-    known = ["a", "b", "c", "d", "e", "f"]
-    rows += [(200 + i, f"x {w} x", False) for i, w in enumerate(known)] + [(300, "x y x", False), (301, "x", False), (302, "y", False)]
-    rows += [(400 + i, w, False) for i, w in enumerate(known)]
+@pytest.mark.parametrize("hot_share", [1 / 4, 1 / 64])
+def test_probabilities_of_all_texts_add_up_to_one(spark, monkeypatch, hot_share):
+    """With P(v w) and P(w) of all texts of one and two words, every longer one follows: P = B' M' M' ..., M'(v, w) = P(v w) / P(w) scaled
+    by the ends. All of them and the empty text add up to 1 only if the words after each word do."""
+    monkeypatch.setattr(hpylm, "HOT_SHARE", hot_share)
+    rows = [(i, "a b a c a b d a a", True) for i in range(30)] + [(100, "e a f", True), (101, "", True), (102, "b b", True)]
+    known = ["a", "b", "c", "d", "e", "f", "unknown"]
+    one = {w: 1000 + i for i, w in enumerate(known)}
+    two = {(v, w): 2000 + 10 * i + j for i, v in enumerate(known) for j, w in enumerate(known)}
+    rows += [(i, w, False) for w, i in one.items()] + [(i, f"{v} {w}", False) for (v, w), i in two.items()] + [(3000, "", False)]
     df = spark.createDataFrame(rows, "doc_id int, text string, t boolean")
-    got = {r.doc_id: r for r in hpylm.score(df, F.col("t")).collect()}
-    # x is unknown: in its context the root speaks. p(x at the beginning) p(w | x) p(x | w) p(end | x)
-    assert got[301].score < 0 and got[200].n_known == 2
-    # p(w | begin) p(end | w), and the end alone.
-    first = spark.createDataFrame([(1, "a b", False), (2, "a", False)], "doc_id int, text string, t boolean")
-    again = {r.doc_id: r for r in hpylm.score(df.union(first), F.col("t")).collect()}
-    assert again[1].score != again[2].score
+    p = {r.doc_id: 10**r.score for r in hpylm.score(df, F.col("t")).collect()}
+    first = np.array([p[one[w]] for w in known])
+    after = np.array([[p[two[v, w]] / p[one[v]] for w in known] for v in known])
+    assert p[3000] + first @ np.linalg.solve(np.eye(len(known)) - after, np.ones(len(known))) == pytest.approx(1, abs=1e-6)
+
+
+def _exact_tables(n, p, discount, strength):
+    """Mean number of tables of a context's only dish, and log weights of 1..n tables, by the recursion over customers."""
+    weights = np.full(n + 2, -np.inf)
+    weights[1] = 0
+    for k in range(1, n):
+        with np.errstate(divide="ignore"):
+            join = weights + np.log(np.maximum(k - discount * np.arange(n + 2), 0))
+        weights[1:] = np.logaddexp(join[1:], weights[:-1])
+    t = np.arange(1, n + 1)
+    seatings = weights[1 : n + 1]
+    full = seatings + t * math.log(discount * p) + np.array([math.lgamma(strength / discount + i) for i in t])
+    full = np.exp(full - full.max())
+    return (full * t).sum() / full.sum(), seatings
+
+
+@pytest.mark.parametrize(("n", "p"), [(2, 0.4), (20, 0.3), (63, 0.05), (200, 0.5), (256, 0.01), (257, 0.01), (1500, 0.5), (1500, 0.02)])
+def test_seating_against_the_exact_posterior(n, p):
+    """Contexts of one dish; each retained sample on its own has the exact mean."""
+    contexts = 3000
+    tables, total = hpylm.seat(np.full(contexts, n), np.full(contexts, p), np.arange(contexts), np.ones(contexts), 0.8, 10.0, 7, 3)
+    assert tables.shape == (3, contexts) and (tables == total).all() and tables.min() >= 1 and tables.max() <= n
+    assert np.allclose(tables.mean(axis=1), _exact_tables(n, p, 0.8, 10.0)[0], rtol=0.04)
+
+
+def test_seating_against_single_customers():
+    """Three dishes of one context, against a Gibbs sampler that takes single customers up and seats them again."""
+    counts, parents, discount, strength = [7, 4, 12], [0.2, 0.05, 0.4], 0.8, 10.0
+    rnd = random.Random(3)
+    sizes = [[1] * c for c in counts]
+    sums, sweeps = [0, 0, 0], 6000
+    for _ in range(sweeps):
+        for dish, count in enumerate(counts):
+            for _ in range(count):
+                at = rnd.choices(range(len(sizes[dish])), sizes[dish])[0]
+                sizes[dish][at] -= 1
+                sizes[dish] = [s for s in sizes[dish] if s]
+                new = (strength + discount * sum(map(len, sizes))) * parents[dish]
+                at = rnd.choices(range(len(sizes[dish]) + 1), [s - discount for s in sizes[dish]] + [new])[0]
+                sizes[dish] = sizes[dish] + [1] if at == len(sizes[dish]) else [s + (i == at) for i, s in enumerate(sizes[dish])]
+            sums[dish] += len(sizes[dish])
+    contexts = 5000
+    tables, _ = hpylm.seat(
+        np.tile(counts, contexts), np.tile(parents, contexts), np.repeat(np.arange(contexts), 3), np.ones(contexts), discount, strength, 2
+    )
+    assert np.allclose(tables.reshape(contexts, 3).mean(axis=0), np.array(sums) / sweeps, rtol=0.04)
+
+
+@pytest.mark.parametrize("discount", [hpylm.DISCOUNT, hpylm.ROOT_DISCOUNT])
+def test_weights_of_many_customers(discount):
+    n = 1200
+    t = np.arange(1, n + 1.0)
+    error = np.abs(hpylm.log_seatings(np.full(n, float(n)), t, discount) - _exact_tables(n, 0.5, discount, 10.0)[1])
+    assert error.max() < 0.09 and error[: n // 2].max() < 0.01
 
 
-def test_seating():
+def test_seating_of_many_dishes():
     rng = np.random.default_rng(5)
     count = rng.integers(1, 400, 500)
     context = np.sort(rng.integers(0, 20, 500))
-    tables, total = hpylm.seat(count, np.full(500, 1e-3), context, np.ones(20), 0.8, 10.0, 1)
-    assert (tables >= 1).all() and (tables <= count).all() and (tables[count == 1] == 1).all()
-    assert np.allclose(np.bincount(context, tables, minlength=20), total)
+    tables, total = hpylm.seat(count, np.full(500, 1e-3), context, np.ones(20), 0.8, 10.0, 1, 2)
+    assert (tables >= 1).all() and (tables <= count).all() and (tables[:, count == 1] == 1).all()
+    assert all((np.bincount(context, t, minlength=20) == s).all() for t, s in zip(tables, total, strict=True))
     often, _ = hpylm.seat(count, np.full(500, 0.5), context, np.ones(20), 0.8, 10.0, 1)
-    assert often.sum() > 1.5 * tables.sum()
+    assert often.sum() > 1.5 * tables[0].sum()
 
 
 def test_scores_of_odd_rows(spark, odd, odd_rows, nothing):
