@@ -194,6 +194,34 @@ def test_notifications(spark):
     assert (counts["processed"], counts["created"], counts["errors"]) == (7, 2, 1)
 
 
+def test_listener_counts_what_it_saw(spark):
+    """Over two runs of one stream, a repeated micro-batch and a late message; nulls in time and payload."""
+    base = workspace(spark, "listener")
+    target, checkpoint = f"{base}/out", f"{base}/checkpoint"
+    fields = "event_id BIGINT, ts TIMESTAMP_NTZ, payload STRING"
+    t0 = datetime(2024, 1, 1)
+    rows = [(i, t0 + timedelta(seconds=100 * i), m) for i, m in enumerate(MESSAGES)] + [(90, None, "broken"), (91, t0, None)]
+    late = [(92, t0 - timedelta(days=3), "broken"), (93, t0 + timedelta(seconds=299), MESSAGES[-1])]
+    for part in (rows, late):
+        spark.createDataFrame(part, fields).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        loads.listen(runs.read_folder(spark, f"{base}/in", fields), target, checkpoint)
+    everything = spark.createDataFrame(rows + late, fields)
+    got = loads.read_counters(spark, target)
+    same(got, object_events.pane_counters(everything))
+    whole = object_events.counters(everything).first()
+    assert [sum(r[c] for r in got.collect()) for c in whole.asDict()] == list(whole)
+    assert got.filter("window_start IS NULL").first()["errors"] == 1
+    assert {r["window_start"].second for r in got.dropna().collect()} == {0}
+    rejected = runs.read_written(spark, loads.quarantine_folder(target), f"{fields}, reject_reason STRING")
+    assert {r["event_id"] for r in rejected.collect()} == {len(MESSAGES) - 1, 90, 91, 92, 93}
+    same(runs.read_written(spark, target, object_events.file_events(everything).schema), object_events.file_events(everything))
+    # The same stream and epoch again.
+    stream_id, epoch = spark.read.parquet(loads.counters_folder(target)).select("stream", "epoch").filter("epoch = 1").first()
+    again = object_events.pane_counters(spark.createDataFrame(late, fields))
+    runs.write_epoch(loads.counters_folder(target))(again, stream_id, epoch)
+    same(loads.read_counters(spark, target), object_events.pane_counters(everything))
+
+
 def test_late_rows_across_groups(spark):
     """The running maximum must not depend on where the numbers of the batches begin."""
     t0 = datetime(2024, 1, 1)

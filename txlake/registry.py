@@ -158,7 +158,8 @@ RAW_BUCKET = "raw-data"
 PROFILE_BUCKETS = 16
 EARTH_RADIUS_KM = 6371.0
 CREATED_EVENT_PREFIX = "s3:ObjectCreated:"
-STATS_INTERVAL = "300 seconds"
+STATS_SECONDS = 300
+STATS_INTERVAL = f"{STATS_SECONDS} seconds"
 ROWS_PER_BATCH_FILE = 5000
 ENRICHMENT_COLUMNS = ("TERMINAL_CITY", "TERMINAL_REGION", "CUSTOMER_TRAVEL_REGIONS")
 # Words that the usual CSV readers take for a missing value.

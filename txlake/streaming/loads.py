@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txlake.operators.facts import dedup
 from txlake.operators.prepare import REJECT, conform
 from txlake.sources.id_index import IdIndex
 from txlake.sources.tables import DimensionTable, with_day
-from txlake.streaming.object_events import file_events
-from txlake.streaming.runs import Step, each_batch, write_epoch
+from txlake.streaming.object_events import broken, file_events, pane_counters
+from txlake.streaming.runs import Step, each_batch, read_written, write_epoch
 
 
 def quarantine_folder(target: str) -> str:
@@ -65,6 +65,39 @@ def queue_files(messages: DataFrame, target: str, checkpoint: str) -> None:
     each_batch(file_events(messages).withColumn("status", F.lit("queued")), write_epoch(target), checkpoint)
 
 
+def counters_folder(target: str) -> str:
+    """Where `listen` puts its counts."""
+    return f"{target.rstrip('/')}_counters"
+
+
+def listen(messages: DataFrame, target: str, checkpoint: str) -> None:
+    """Loader records of a stream of notifications, with what the stream itself saw.
+
+    Of each micro-batch, its records go to `target`, messages that are no JSON to the quarantine, and the messages processed, files accepted and
+    errors of each interval beside it. These counts are the micro-batch's own, and add up over micro-batches and streams
+    (`read_counters`). So there is no state to hold, a late message counts in its interval, and a repeated micro-batch
+    replaces records, rejects and counts alike.
+    """
+
+    def step(batch: DataFrame, stream: str, epoch: int) -> None:
+        held = batch.persist()
+        try:
+            write_epoch(quarantine_folder(target))(broken(held), stream, epoch)
+            write_epoch(counters_folder(target))(pane_counters(held), stream, epoch)
+            write_epoch(target)(file_events(held), stream, epoch)
+        finally:
+            held.unpersist()
+
+    each_batch(messages, step, checkpoint)
+
+
+def read_counters(spark: SparkSession, target: str) -> DataFrame:
+    """window_start, processed, created, errors: what all streams into `target` have counted so far."""
+    fields = "window_start TIMESTAMP_NTZ, processed BIGINT, created BIGINT, errors BIGINT"
+    rows = read_written(spark, counters_folder(target), fields)
+    return rows.groupBy("window_start").agg(*[F.sum(c).alias(c) for c in ("processed", "created", "errors")])
+
+
 def merge_dimension(
     stream: DataFrame, table: DimensionTable, checkpoint: str, name: str, at: str | Callable[[DataFrame], str],
     compare: list[str] | None = None, quarantine: str | None = None,

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txlake.functions.keys import decode_key, drop_bucket_prefix, entity_of_csv_key, object_uri
-from txlake.registry import CREATED_EVENT_PREFIX, RAW_BUCKET
+from txlake.registry import CREATED_EVENT_PREFIX, RAW_BUCKET, STATS_SECONDS
 
 # Field names of a notification and constants of the derived record.
 NOTIFICATION_SCHEMA = (
@@ -16,6 +16,8 @@ NOTIFICATION_SCHEMA = (
 SOURCE = "minio_kafka_notification"
 DATASET_FOLDER = "creditcard_files"
 
+NOT_JSON = "not JSON"
+
 
 def is_json(payload: Column) -> Column:
     return F.get_json_object(payload, "$").isNotNull()
@@ -87,16 +89,36 @@ def file_events(messages: DataFrame) -> DataFrame:
     return metadata(keyed(records(kept)), F.col("ts"))
 
 
-def counters(messages: DataFrame) -> DataFrame:
-    """Messages processed, files accepted, texts that failed to parse."""
-    p = parse(messages)
+def broken(messages: DataFrame, payload: str = "payload") -> DataFrame:
+    """Messages whose payload is no JSON, or null, with the reason."""
+    return messages.filter(~is_json(F.col(payload))).withColumn("reject_reason", F.lit(NOT_JSON))
+
+
+def _tallied(messages: DataFrame) -> DataFrame:
+    """Adds `accepted`, the number of a message's files that are handed to the loader."""
     created = F.col("event_name").startswith(CREATED_EVENT_PREFIX)
-    accepted = F.size(F.filter("records", _routes_to_entity))
-    return p.agg(
+    accepted = F.when(created, F.size(F.filter("records", _routes_to_entity))).otherwise(F.lit(0))
+    return parse(messages).withColumn("accepted", accepted)
+
+
+def _totals() -> list[Column]:
+    return [
         F.count_if("is_json").alias("processed"),
-        F.coalesce(F.sum(F.when(created, accepted).otherwise(F.lit(0))), F.lit(0)).cast("bigint").alias("created"),
+        F.coalesce(F.sum("accepted"), F.lit(0)).cast("bigint").alias("created"),
         F.count_if(~F.col("is_json")).alias("errors"),
-    )
+    ]
+
+
+def counters(messages: DataFrame) -> DataFrame:
+    """Messages processed, files accepted, texts that failed to parse."""
+    return _tallied(messages).agg(*_totals())
+
+
+def pane_counters(messages: DataFrame, seconds: int = STATS_SECONDS) -> DataFrame:
+    """`counters` for every interval of the messages' time; messages without a time count in an interval of null."""
+    at = F.unix_seconds(F.col("ts").cast("timestamp"))
+    start = F.timestamp_seconds(at - F.pmod(at, F.lit(seconds))).cast("timestamp_ntz")
+    return _tallied(messages).groupBy(start.alias("window_start")).agg(*_totals())
 
 
 def _routes_to_entity(record: Column) -> Column:

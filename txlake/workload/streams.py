@@ -80,6 +80,31 @@ def _(fx):
     return runs.read_written(fx.spark, target, "event_id BIGINT, file_key STRING, file_type STRING, status STRING")
 
 
+def _listened(fx):
+    """Folder that two streams, each with a checkpoint of its own, fill from notifications."""
+    target, checkpoint = runs.folders(fx.spark, "listener")
+    for part in (0, 1):
+        loads.listen(_stream_of(fx, "notifications").filter(F.col("event_id") % 2 == part), target, f"{checkpoint}-{part}")
+    return target
+
+
+@query(
+    "stream_event_counters",
+    """
+SELECT time_bucket(INTERVAL 5 MINUTE, n.ts) AS window_start, count(*) FILTER (WHERE n.is_json) AS processed,
+       count(l.event_id) AS created, count(*) FILTER (WHERE NOT n.is_json) AS errors
+FROM {notes} n LEFT JOIN {loader_records} l ON n.event_id = l.event_id GROUP BY 1""",
+)
+def _(fx):
+    return loads.read_counters(fx.spark, _listened(fx))
+
+
+@query("stream_event_quarantine", "SELECT event_id, ts, 'not JSON' AS reject_reason FROM {notes} WHERE NOT is_json")
+def _(fx):
+    fields = "event_id BIGINT, ts TIMESTAMP_NTZ, reject_reason STRING"
+    return runs.read_written(fx.spark, loads.quarantine_folder(_listened(fx)), fields)
+
+
 @query("stream_dedup", "SELECT event_id, ts, user_id, event_type FROM {events}")
 def _(fx):
     """Every event arrives twice."""
