@@ -128,9 +128,9 @@ def _saddle(n: np.ndarray, t: np.ndarray, discount: float) -> np.ndarray:
 
 def log_seatings(n: np.ndarray, t: np.ndarray, discount: float) -> np.ndarray:
     """`seatings` for n > LIGHT, of arrays of one shape: the series where it hardly cancels, the saddle point beyond, where some
-    64 large tables share the customers: its relative error is below 1 in 100, and rises to 1 in 12 where nearly every table has one customer."""
+    13 / (1 - d) large tables share the customers: its relative error is below 1 in 100, and rises to 1 in 12 where nearly every table has one customer."""
     out = np.empty(t.shape)
-    few = t < 64 ** (1 - discount) * n**discount
+    few = t < (13 / (1 - discount)) ** (1 - discount) * n**discount
     for part, way in ((few, _series), (~few, _saddle)):
         if part.any():
             out[part] = way(n[part], t[part], discount)
@@ -140,7 +140,7 @@ def log_seatings(n: np.ndarray, t: np.ndarray, discount: float) -> np.ndarray:
 def _centre(n: np.ndarray, rate: np.ndarray, discount: float) -> tuple[np.ndarray, np.ndarray]:
     """About the mean and deviation of the number of tables of n customers, each table weighing discount * rate."""
     low, high = np.full(n.shape, -41.0), np.full(n.shape, -1e-9)
-    for _ in range(24):
+    for _ in range(16):
         middle = (low + high) / 2
         many = discount * rate * -np.expm1(middle) * np.exp((discount - 1) * middle) > n
         low, high = np.where(many, middle, low), np.where(many, high, middle)
@@ -204,15 +204,15 @@ def seat(
         before, total = total, singles + np.bincount(of, mean, minlength=len(slices))
         open_ &= np.abs(total - before) > 1e-3 * total
     classes = []
-    order = np.argsort(n, kind="stable")
-    for places in np.split(order, np.flatnonzero(np.diff(n[order])) + 1):
-        size = int(n[places[0]])
-        if size > LIGHT:
-            break
-        numbers = np.arange(1, size + 1)
-        weights = seatings(discount)[size, 1 : size + 1] + log_p[places, None] * numbers
-        one = np.ones((len(places), 1), dtype=np.int64)
-        classes.append(Dishes(places, one, one, weights, n[places]))
+    size = 2
+    while size <= LIGHT:
+        places = np.flatnonzero((n <= size) & (n > size // 2 if size > 2 else n > 1))
+        if len(places):
+            numbers = np.arange(1, size + 1)
+            weights = seatings(discount)[n[places], 1 : size + 1] + log_p[places, None] * numbers
+            one = np.ones((len(places), 1), dtype=np.int64)
+            classes.append(Dishes(places, one, one, weights, n[places]))
+        size *= 2
     heavy = np.flatnonzero(n > LIGHT)
     for places in np.split(heavy, np.arange(512, len(heavy), 512)) if len(heavy) else []:
         step = np.maximum(1, np.ceil(deviation[places] / 8)).astype(np.int64)[:, None]
