@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from txlake import jobs
+from txlake.operators import ingest
 from txlake.registry import ENRICHMENT_COLUMNS
 from txlake.sources import ledger, tables
 from txlake.sources.tables import DimensionTable
@@ -172,3 +173,25 @@ def test_text_is_read_once(spark, folders, monkeypatch):
     jobs.load_batch(spark, landing, lake, "b1", DAY1)
     # Only the file that was not found is still open; its entity is looked at again.
     assert all(k.startswith("customers/") for k in scans[1])
+
+
+def test_required_columns_from_a_file(spark, folders):
+    """Terminals without key columns are taken, customers need a column that one file lacks, transactions are not named."""
+    landing, lake = folders
+    told = {"terminals": {}, "customers": {"required_columns": ["CUSTOMER_ID", "mean_amount"]}}
+    land(landing, "required.json", json.dumps(told, indent=1))
+    required = ingest.read_required(spark, f"{landing}/required.json")
+    assert required == {"terminals": [], "customers": ["CUSTOMER_ID", "mean_amount"]}
+    got = statuses(jobs.load_batch(spark, landing, lake, "b1", DAY1, required))
+    assert "transactions" not in str(got) and "customers" in str(got)
+    reasons = {r["file_key"]: r["reason"] for r in ledger.read(spark, lake).collect()}
+    assert reasons["customers/c1.csv"] is None and reasons["customers/c2.csv"] == "missing columns"
+    assert reasons["transactions/t 1+x.csv"] == "no required columns known"
+    assert reasons["terminals/bad.csv"] is None and reasons["misc/m.csv"] == "unknown type"
+
+
+@pytest.mark.parametrize("text", ["", "{", "[1]", '{"customers": ["CUSTOMER_ID"]}', '{"customers": {"required_columns": [1]}}'])
+def test_unusable_file_of_required_columns(spark, tmp_path, text):
+    land(str(tmp_path), "required.json", text)
+    with pytest.raises(ValueError, match="required"):
+        ingest.read_required(spark, str(tmp_path / "required.json"))

@@ -30,9 +30,9 @@ def file_key(landing: str) -> Column:
     return F.substring(path, F.locate(root, path) + len(root), F.length(path))
 
 
-def judged_files(listed: DataFrame, found: DataFrame) -> DataFrame:
+def judged_files(listed: DataFrame, found: DataFrame, required: ingest.Required | None = None) -> DataFrame:
     """Listed files with entity, header and reason to reject; `found` has what is known of the files that were read."""
-    judged = ingest.judge(listed.join(found.withColumnRenamed("file_path", "file_key"), "file_key", "left"))
+    judged = ingest.judge(listed.join(found.withColumnRenamed("file_path", "file_key"), "file_key", "left"), required)
     expected = F.col("entity").isNotNull() & F.col("is_csv")
     missing = F.when(expected & F.col("header").isNull(), F.lit(ledger.NOT_FOUND))
     return judged.withColumn("reason", F.coalesce(missing, "reason", "file_fault"))
@@ -94,13 +94,15 @@ def report(spark: SparkSession, lake: str, batch_id: str | None = None) -> DataF
     return rows if batch_id is None else rows.filter(F.col("batch_id") == batch_id)
 
 
-def load_batch(spark: SparkSession, landing: str, lake: str, batch_id: str, at: str) -> DataFrame:
+def load_batch(
+    spark: SparkSession, landing: str, lake: str, batch_id: str, at: str, required: ingest.Required | None = None
+) -> DataFrame:
     """Load what the manifests list for a batch; returns one status row per entity.
 
     An entity is loaded when the ledger lacks one of its files, and then from all of its files in the
     batch: its rows replace those of an earlier run. The text of these files is read once, for all entities together. An entity that fails,
     for whatever reason, does not stop the others and is taken up again by the next run; `report` tells the reason and the quality
-    counts. The ledger is written last. File names of the batch go through the driver, where Spark's file index keeps them too.
+    counts. The ledger is written last. `required` (`ingest.read_required`) replaces the columns that a header must carry. File names of the batch go through the driver, where Spark's file index keeps them too.
     """
     configure(spark)
     shared_folder(spark)
@@ -117,7 +119,7 @@ def load_batch(spark: SparkSession, landing: str, lake: str, batch_id: str, at:
     key = file_key(landing)
     lines = csv_files.stage_lines(spark, landing, folder, keys, key, entity_of_key(key))
     cut = csv_files.ranges(lines).checkpoint()
-    judged = judged_files(taken.select("file_key"), csv_files.files_of(lines, cut)).checkpoint()
+    judged = judged_files(taken.select("file_key"), csv_files.files_of(lines, cut), required).checkpoint()
     accepted = judged.filter(F.col("reason").isNull())
     waiting = {r["entity"] for r in ingest.unprocessed(accepted, done).select("entity").distinct().collect()}
     statuses, told = [], []

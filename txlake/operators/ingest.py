@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txlake.functions.keys import archive_path, batch_file_name, entity_of_key, is_csv_key, object_uri, staging_path
@@ -32,38 +35,63 @@ def header_names(header: Column) -> Column:
     return F.split(clean_header(header), ",")
 
 
-def required_of(entity: Column) -> Column:
-    """Required columns of the entity named in a column; null for an unknown one."""
-    known = [x for e in ENTITIES.values() for x in (F.lit(e.name), F.array(*[F.lit(c) for c in sorted(e.required_columns)]))]
-    return F.element_at(F.create_map(*known), entity)
+Required = Mapping[str, Sequence[str]]
+
+
+def read_required(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Required columns per entity from a JSON file, `{"customers": {"required_columns": ["CUSTOMER_ID", ...]}, ...}`.
+
+    An entity without the list requires nothing. A file that cannot be read so is an error, since taking it for empty would
+    let every header pass or none.
+    """
+    text = spark.read.text(path, wholetext=True).first()
+    try:
+        found = {name: list(told.get("required_columns") or []) for name, told in json.loads(text[0] if text else "").items()}
+    except (ValueError, AttributeError, TypeError) as error:
+        raise ValueError(f"{path} does not map entities to required columns: {error}") from error
+    unusable = [name for name, columns in found.items() if not all(isinstance(c, str) for c in columns)]
+    if unusable:
+        raise ValueError(f"{path} has required columns that are no text: {', '.join(unusable)}")
+    return found
 
 
-def missing_columns(entity: Column, header: Column) -> Column:
+def required_of(entity: Column, required: Required | None = None) -> Column:
+    """Required columns of the entity named in a column, by default the registry's; null for an unknown one."""
+    of = {e.name: e.required_columns for e in ENTITIES.values()} if required is None else required
+    known = [x for name, columns in of.items() for x in (F.lit(name), F.array(*[F.lit(c) for c in sorted(columns)]).cast("array<string>"))]
+    return F.element_at(F.create_map(*known).cast("map<string,array<string>>"), entity)
+
+
+def missing_columns(entity: Column, header: Column, required: Required | None = None) -> Column:
     """Comma list, sorted, of required columns a header lacks; null for an unknown entity.
 
     A file without a readable header lacks everything. Both inputs are named once, because a filter on
     the result repeats their computation as often as they are named.
     """
     names = header_names(F.coalesce(header, F.lit("")))
-    return F.array_join(F.array_except(required_of(entity), names), ",")
+    return F.array_join(F.array_except(required_of(entity, required), names), ",")
 
 
-def validate_headers(files: DataFrame) -> DataFrame:
-    """Required columns a file lacks, and whether it is valid: known entity, csv, nothing missing."""
-    checked = route(files).withColumn("missing_columns", missing_columns(F.col("entity"), F.col("header")))
+def validate_headers(files: DataFrame, required: Required | None = None) -> DataFrame:
+    """Required columns a file lacks, and whether it is valid: known entity, csv, nothing missing.
+
+    `required`, as `read_required` gives it, takes the place of the registry's columns; an entity it does not name is never valid.
+    """
+    checked = route(files).withColumn("missing_columns", missing_columns(F.col("entity"), F.col("header"), required))
     return checked.withColumn(
         "is_valid", F.col("is_csv_any_case") & F.coalesce(F.col("missing_columns") == "", F.lit(False))
     )
 
 
-def judge(files: DataFrame) -> DataFrame:
+def judge(files: DataFrame, required: Required | None = None) -> DataFrame:
     """Reason to quarantine a file, null for a file to load."""
     reason = (
         F.when(F.col("entity").isNull(), F.lit("unknown type"))
         .when(~F.col("is_csv"), F.lit("wrong extension"))
+        .when(F.col("missing_columns").isNull(), F.lit("no required columns known"))
         .when(F.col("missing_columns") != "", F.lit("missing columns"))
     )
-    return validate_headers(files).withColumn("reason", reason)
+    return validate_headers(files, required).withColumn("reason", reason)
 
 
 def accepted(files: DataFrame) -> DataFrame:

@@ -72,6 +72,32 @@ def _(fx):
     return ingest.validate_headers(fx["landing_files"]).select("file_key", "entity", "missing_columns", "is_valid")
 
 
+# Terminals need more than by default, customers less, transactions nothing, travel profiles are not named.
+CONFIGURED = (
+    '{"customers": {"required_columns": ["CUSTOMER_ID"]}, "terminals": {"required_columns": ["TERMINAL_ID", "CAPACITY", "CITY"]}, '
+    '"transactions": {}}'
+)
+
+
+@query(
+    "header_validation_configured",
+    """
+SELECT file_key, missing_columns, CASE WHEN entity IS NULL THEN 'unknown type' WHEN NOT is_csv THEN 'wrong extension'
+            WHEN missing_columns IS NULL THEN 'no required columns known' WHEN missing_columns <> '' THEN 'missing columns' END AS reason
+FROM (SELECT * REPLACE (CASE entity
+        WHEN 'customers' THEN CASE WHEN list_contains(string_split(header, ','), 'CUSTOMER_ID') THEN '' ELSE 'CUSTOMER_ID' END
+        WHEN 'terminals' THEN concat_ws(',', 'CAPACITY', CASE WHEN NOT list_contains(string_split(header, ','), 'CITY') THEN 'CITY' END,
+             CASE WHEN NOT list_contains(string_split(header, ','), 'TERMINAL_ID') THEN 'TERMINAL_ID' END)
+        WHEN 'transactions' THEN '' END AS missing_columns) FROM {judged})""",
+)
+def _(fx):
+    """Headers judged by the required columns of a file."""
+    path = f"{workspace(fx.spark, 'required')}/required"
+    fx.spark.createDataFrame([(CONFIGURED,)], "value STRING").coalesce(1).write.text(path)
+    required = ingest.read_required(fx.spark, path)
+    return ingest.judge(fx["landing_files"], required).select("file_key", "missing_columns", "reason")
+
+
 @query("quarantine_split", "SELECT coalesce(reason, 'valid') AS verdict, file_key, batch_id FROM {reasoned}")
 def _(fx):
     files = fx["landing_files"]
