@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -13,70 +13,93 @@ from txlake.llm import blocks
 from txlake.llm.batches import mix, placed_words, run_hashes, text_blocks
 
 BLOCK_BYTES = 8 << 20
-# Words of a span, and how many words may pass before a place counts as an edge though no mark stands there.
-SPAN, STRIDE = 51, 8
-_ENDS, _MARKS = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
+# Words of a span.
+SPAN = 51
+_ENDS = np.zeros(256, dtype=bool)
 _ENDS[list(b".!?")] = True
-_MARKS[list(b".!?,;:")] = True
 _ASKED = ["u8", "u8", "i8"]
 _SECOND = np.uint64(0xD1B54A32D192ED03)
 
 
 @dataclass
 class Runs:
-    """Words of a block of texts and the spans of them that are compared."""
+    """Words of a block of texts and the spans of them, one for every word with which a span can begin."""
 
     row: np.ndarray  # of a word
     begin: np.ndarray  # byte at which it begins
     sentence: np.ndarray  # number of its sentence
+    hashes: np.ndarray  # of a word
     first: np.ndarray  # word with which a span begins
-    last: np.ndarray  # word behind it
-    a: np.ndarray  # 128 bits of hash of a span's words
-    b: np.ndarray
+    mark: np.ndarray  # smallest hash of the parts of a span, each half its words long
+    words: int  # of a span
 
+    def hash(self, seed: np.uint64 = np.uint64(0)) -> np.ndarray:
+        values = mix(self.hashes ^ seed) if seed else self.hashes
+        return run_hashes(values, self.first, self.first + self.words)
 
-def edges(marked: np.ndarray, stride: int) -> np.ndarray:
-    """Words with which a stretch begins: the marked ones, and behind each every `stride` words up to the next."""
-    at = np.flatnonzero(marked)
-    more = (np.diff(np.append(at, len(marked))) - 1) // stride
-    step = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more) + 1
-    return np.sort(np.concatenate([at, np.repeat(at, more) + stride * step]))
+    def only(self, chosen: np.ndarray) -> Runs:
+        return replace(self, first=self.first[chosen], mark=self.mark[chosen])
 
 
-def find_runs(block: np.ndarray, starts: np.ndarray, words: int, stride: int) -> Runs:
-    """Spans of exactly `words` words over consecutive sentences that begin or end at an edge.
+def least(values: np.ndarray, width: int) -> np.ndarray:
+    """The smallest of each `width` consecutive values."""
+    done = 1
+    while 2 * done <= width:
+        values = np.minimum(values[:-done], values[done:])
+        done *= 2
+    return np.minimum(values[: len(values) - (width - done)], values[width - done :])
 
-    A sentence ends behind a word that ends with . ! or ?, and at a line break. Edges are the beginning and end of a text, places behind
-    a word that ends with one of . ! ? , ; : and, where there is none for long, every `stride` words behind the last: so a passage of
-    more words than a span holds one unless its first mark comes late, wherever its lines break and whatever stands around it.
+
+def find_runs(block: np.ndarray, starts: np.ndarray, words: int) -> Runs:
+    """All spans of exactly `words` words of a text, wherever they begin.
+
+    A sentence ends behind a word that ends with . ! or ?, and at a line break. Equal spans have equal marks, and
+    neighbouring spans often the same: a text has about four different marks for as many words as a span has.
     """
     hashes, rows, begin, end = placed_words(block, starts)
     n = len(hashes)
-    if not n:
-        none, zero = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64)
-        return Runs(none, none, none, none, none, zero, zero)
-    breaks = np.cumsum(block == 10)
-    new, marked = np.ones(n, dtype=bool), np.ones(n, dtype=bool)
-    fresh = rows[1:] != rows[:-1]
-    new[1:] = fresh | _ENDS[block[end[:-1] - 1]] | (breaks[begin[1:]] > breaks[end[:-1] - 1])
-    marked[1:] = fresh | _MARKS[block[end[:-1] - 1]]
-    at = edges(marked, stride)
-    bounds = np.searchsorted(rows, np.arange(len(starts)))
-    ahead = at[at + words <= bounds[rows[at] + 1]]
-    behind = np.append(at[1:], n) - words
-    # An edge ends the text of the word before it.
-    behind = behind[behind >= bounds[rows[behind + words - 1]]]
-    first = np.unique(np.concatenate([ahead, behind]))
-    last = first + words
-    a = run_hashes(hashes, first, last)
-    b = run_hashes(mix(hashes ^ _SECOND), first, last)
-    return Runs(rows, begin, np.cumsum(new) - 1, first, last, a, b)
+    new = np.ones(n, dtype=bool)
+    if n:
+        breaks = np.cumsum(block == 10)
+        new[1:] = (rows[1:] != rows[:-1]) | _ENDS[block[end[:-1] - 1]] | (breaks[begin[1:]] > breaks[end[:-1] - 1])
+    first, mark = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64)
+    if n >= words:
+        part = words - words // 2
+        at = np.arange(n - part + 1)
+        mark = least(run_hashes(hashes, at, at + part), words // 2 + 1)
+        first = np.flatnonzero(rows[: n - words + 1] == rows[words - 1 :])
+    return Runs(rows, begin, np.cumsum(new) - 1, hashes, first, mark[first], words)
+
+
+def _marks(runs: list[Runs]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct marks of a block in order, and whether several of its texts have them."""
+    pairs, before = [[np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)]], 0
+    for r in runs:
+        row = r.row[r.first] + before
+        fresh = np.ones(len(row), dtype=bool)
+        fresh[1:] = (r.mark[1:] != r.mark[:-1]) | (row[1:] != row[:-1])
+        pairs.append([r.mark[fresh], row[fresh]])
+        before = before + int(r.row.max(initial=-1)) + 1
+    mark, row = (np.concatenate(c) for c in zip(*pairs, strict=True))
+    by = np.lexsort((row, mark))
+    mark, row = mark[by], row[by]
+    new = np.ones(len(mark), dtype=bool)
+    new[1:] = mark[1:] != mark[:-1]
+    other = np.zeros(len(mark), dtype=bool)
+    other[1:] = ~new[1:] & (row[1:] != row[:-1])
+    return mark[new], np.bincount(np.cumsum(new) - 1, other, minlength=int(new.sum())) > 0
+
+
+def _several(mark: np.ndarray, asking: np.ndarray) -> list[np.ndarray]:
+    """1 for marks that several blocks name."""
+    _, number, count = np.unique(mark, return_inverse=True, return_counts=True)
+    return [(count[number] > 1).astype(np.uint8)]
 
 
 def _keys(runs: list[Runs], order: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct hashes (a, b) of all spans, the smallest document among those holding each, the number of the key of
     every span, and the first span of every key, numbered over all parts."""
-    a, b = np.concatenate([r.a for r in runs]), np.concatenate([r.b for r in runs])
+    a, b = np.concatenate([r.hash() for r in runs]), np.concatenate([r.hash(_SECOND) for r in runs])
     doc = np.concatenate([o[r.row[r.first]] for r, o in zip(runs, order, strict=True)])
     by = np.lexsort((np.arange(len(a)), doc, b, a))
     new = np.ones(len(a), dtype=bool)
@@ -97,10 +120,10 @@ def _first_holder(a: np.ndarray, b: np.ndarray, doc: np.ndarray, asking: np.ndar
     return [first]
 
 
-def remove_repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SPAN, stride: int = STRIDE) -> DataFrame:
+def remove_repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SPAN) -> DataFrame:
     """doc_id, n_sentences, n_removed, removed_words, text (what is left) for every row.
 
-    Spans of `words` words (see `find_runs`) that occur in several documents, words compared with A-Z as a-z
+    Spans of `words` words, wherever they begin, that occur in several documents, words compared with A-Z as a-z
     and any white space between them, stay only in the document with the smallest id, however often that repeats them. In the
     others all words they cover go, with the white space behind them; n_removed counts the sentences that lose words. So nothing goes that does not stand,
     `words` words long, in an earlier document; what a text repeats of itself is left to `periodic_runs`.
@@ -109,7 +132,8 @@ def remove_repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     own, the one in the block of the smaller number (a hash of id and text) counting as first. A null or empty text has no sentences and
     stays empty. Other columns are not read, whatever their names.
 
-    Texts are shuffled once, into blocks of bounded size; of the spans only hashes are shuffled, each once per block.
+    Texts are shuffled once, into blocks of bounded size. Blocks first ask which marks of spans (see `find_runs`) other texts have
+    too; then, of the spans with such marks only, which block holds the first. Both as hashes, each once per block.
     """
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = plain.schema["doc_id"].dataType.simpleString()
@@ -121,13 +145,31 @@ def remove_repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "
         parts, order = [], []
         numbers = table.column("number").to_numpy()
         for first, block, starts in text_blocks(table.column("text").combine_chunks()):
-            parts.append((first, block, starts, find_runs(block, starts, words, stride)))
+            parts.append((first, block, starts, find_runs(block, starts, words)))
             order.append(numbers[first : first + len(starts) - 1])
+        return parts, order
+
+    def bucket(hashes: np.ndarray) -> np.ndarray:
+        return (hashes % np.uint64(n)).astype(np.int64)
+
+    def ask_marks(table: pa.Table) -> pa.Table:
+        mark, _ = _marks([p[3] for p in read(table)[0]])
+        return blocks.pack(table.column("block")[0].as_py(), bucket(mark), [mark], n)
+
+    def shared(table: pa.Table, answers: pa.Table):
+        """The parts of a block with the spans whose marks other texts have too, and their keys."""
+        parts, order = read(table)
+        mark, own = _marks([p[3] for p in parts])
+        (others,) = blocks.replies(answers, bucket(mark), ["u1"])
+        chosen = own | (others == 1)
+        parts = [(*p, r.only(chosen[np.searchsorted(mark, r.mark)])) for *p, r in parts]
         return parts, _keys([p[3] for p in parts], order)
 
-    def ask(table: pa.Table) -> pa.Table:
-        _, (a, b, doc, _, _) = read(table)
-        return blocks.pack(table.column("block")[0].as_py(), (a % np.uint64(n)).astype(np.int64), [a, b, doc], n)
+    def ask_spans(table: pa.Table, answers: pa.Table) -> pa.Table:
+        if not len(table):
+            return pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("body", pa.binary())]).empty_table()
+        _, (a, b, doc, _, _) = shared(table, answers)
+        return blocks.pack(table.column("block")[0].as_py(), bucket(a), [a, b, doc], n)
 
     out_schema = pa.schema([
         ("doc_id", pa.null()), ("n_sentences", pa.int64()), ("n_removed", pa.int64()), ("removed_words", pa.int64()),
@@ -138,8 +180,9 @@ def remove_repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "
         schema = out_schema.set(0, table.schema.field("doc_id"))
         if not len(table):
             return schema.empty_table()
-        parts, (a, _, _, key, heads) = read(table)
-        (first_here,) = blocks.replies(answers, (a % np.uint64(n)).astype(np.int64), ["u1"])
+        of_marks = np.asarray(answers.column("of_marks"))
+        parts, (a, _, _, key, heads) = shared(table, answers.filter(pa.array(of_marks)))
+        (first_here,) = blocks.replies(answers.filter(pa.array(~of_marks)), bucket(a), ["u1"])
         done, at = [], 0
         for first, block, starts, runs in parts:
             rows, count, size = len(starts) - 1, len(runs.row), len(runs.first)
@@ -152,7 +195,7 @@ def remove_repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "
             at += size
             cover = np.zeros(count + 1, dtype=np.int64)
             np.add.at(cover, runs.first[lost], 1)
-            np.add.at(cover, runs.last[lost], -1)
+            np.add.at(cover, runs.first[lost] + words, -1)
             covered = np.cumsum(cover[:-1]) > 0
             # A word reaches to the next one of its text.
             reach = np.append(runs.begin[1:], len(block))
@@ -177,7 +220,10 @@ def remove_repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "
             }, schema=schema))
         return pa.concat_tables(done)
 
-    answers = blocks.answer(dealt.groupBy("block").applyInArrow(ask, blocks.PACKED), _ASKED, _first_holder)
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+    by_block = dealt.groupBy("block")
+    marks = blocks.answer(by_block.applyInArrow(ask_marks, blocks.PACKED), ["u8"], _several)
+    spans = blocks.answer(by_block.cogroup(marks.groupBy("block")).applyInArrow(ask_spans, blocks.PACKED), _ASKED, _first_holder)
+    answers = marks.withColumn("of_marks", F.lit(True)).unionByName(spans.withColumn("of_marks", F.lit(False)))
+    return by_block.cogroup(answers.groupBy("block")).applyInArrow(
         remove, f"doc_id {kind}, n_sentences bigint, n_removed bigint, removed_words bigint, text string"
     )
