@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.conftest import fold_ascii
-from txlake.llm import hpylm, language_id, packing, secret_scan, sentencepiece_lattice
+from txlake.llm import blocks, hpylm, language_id, packing, secret_scan, sentencepiece_lattice, vocabulary
 from txlake.llm.queries import QUERIES
 from txlake.llm.text import documents, fold
 
@@ -243,6 +243,29 @@ def test_neighbours_of_many_shards_meet(spark, monkeypatch):
     assert max(Counter(shards.values()).values()) < 300
 
 
+def test_bodies_tell_words_apart_and_are_smaller_than_texts(texts):
+    """Words with the same ids, words without any, the same word again; documents as they go to the shards."""
+    tokenizer = Tokenizer.from_file(WORD_BPE)
+    odd = ["École école ÉCOLE école", "\u00a0 \u3000 x \u00a0", "", " \n", "again again Again b", "x"]
+    for rows in (odd, [t or "" for t in texts.values()]):
+        found = vocabulary.BlockWords.read(pa.chunked_array([pa.array(rows, pa.string())]), True)
+        words = found.spelled(np.arange(len(found.hashes))).decode().split(" ")
+        of_word = [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)]
+        length = np.array([len(x) for x in of_word], dtype=np.int64)
+        holders, ids = np.arange(len(words), dtype=np.uint32) % 70000 + 1, np.array(sum(of_word, []), dtype="<u4")
+        n_words, places, bodies = packing.write_bodies(found, len(rows), holders, ids, np.cumsum(length) - length, length, apart=False)
+        word, row, count, held, n_ids, flat = packing.read_bodies([blocks.unsqueeze(b) for b in bodies], n_words, places)
+        by, of_row, times = found.postings(len(rows))
+        assert Counter(zip(of_row.tolist(), holders[by].tolist(), times.tolist(), strict=True)) == Counter(
+            zip(row.tolist(), held[word].tolist(), count.tolist(), strict=True))
+        ends = np.cumsum(n_ids).tolist()
+        assert [flat[a:z].tolist() for a, z in zip([0, *ends], ends, strict=False)] == [
+            e.ids for e in tokenizer.encode_batch(rows, add_special_tokens=False)]
+        assert n_words.tolist() == np.bincount(of_row, minlength=len(rows)).tolist()
+    _, _, bodies = packing.write_bodies(found, len(rows), holders, ids, np.cumsum(length) - length, length, apart=True)
+    assert sum(map(len, bodies)) < sum(len(t.encode()) for t in rows)
+
+
 def _index(texts):
     """Index of texts as one shard, and the words of each."""
     words = [Counter(t.split()) for t in texts]

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PACKED = "bucket int, block int, body binary"
@@ -41,6 +41,35 @@ def unsqueeze(body: bytes) -> bytes:
     return pa.decompress(body[4:], int.from_bytes(body[:4], "little"), "zstd").to_pybytes()
 
 
+def squeeze_texts(texts: Column) -> Column:
+    """Texts compressed one by one, for the shuffle; with their sizes, `texts` reads them."""
+
+    @F.arrow_udf("binary")
+    def squeezed(column: pa.Array) -> pa.Array:
+        codec = pa.Codec("zstd", compression_level=1)
+        return pa.array([codec.compress(t.as_buffer(), asbytes=True) if t.is_valid else b"" for t in column], pa.binary())
+
+    return squeezed(texts)
+
+
+def texts(squeezed: pa.ChunkedArray, sizes: list[int]) -> list[bytes]:
+    return [
+        pa.decompress(t.as_buffer(), size, "zstd").to_pybytes() if size else b""
+        for t, size in zip(squeezed, sizes, strict=True)
+    ]
+
+
+def planes(numbers: np.ndarray) -> bytes:
+    """The lowest bytes of all numbers, then the next ones, so that high bytes compress to nothing."""
+    return np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
+
+
+def whole(body: bytes, kind: str, begin: int, n: int) -> np.ndarray:
+    """`n` numbers written by `planes`, the first of them at byte `begin`."""
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(body, np.uint8, n * size, begin).reshape(size, n).T).view(kind).ravel()
+
+
 def pack(block: int, bucket_of: np.ndarray, columns: list[np.ndarray], buckets: int) -> pa.Table:
     """One row per bucket that has keys; a body holds the columns one after the other, in the given order of keys."""
     order = np.argsort(bucket_of, kind="stable")

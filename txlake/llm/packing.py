@@ -5,13 +5,13 @@ from __future__ import annotations
 import os
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txlake.llm import blocks, vocabulary
-from txlake.llm.batches import distinct, mix
+from txlake.llm.batches import distinct, mix, run_hashes
 
 BLOCK_BYTES = 4 << 20
 K1, B = 1.2, 0.75
@@ -70,9 +70,12 @@ def shard_of(
     idf = np.log1p((total - held + 0.5) / (held + 0.5))
     early = -np.log((hashes.astype(np.float64) + 1) / 2.0**64) / idf
     rank = np.where(held < 2, np.inf, np.where(held <= most, early, 1e9 + held))[word]
-    order = np.lexsort((hashes[word], rank, row))
-    first = order[np.flatnonzero(np.diff(row[order], prepend=-1))]
-    first = first[np.isfinite(rank[first])]
+    best = np.full(len(seed), np.inf)
+    np.minimum.at(best, row, rank)
+    first = np.flatnonzero(np.isfinite(rank) & (rank == best[row]))
+    least = np.full(len(seed), np.iinfo(np.uint64).max, dtype=np.uint64)
+    np.minimum.at(least, row[first], hashes[word[first]])
+    first = first[hashes[word[first]] == least[row[first]]]
     place = seed.astype(np.int64).view(np.uint64).copy()
     own, key = row[first], word[first]
     parts = np.ceil(held[key] / most).astype(np.uint64)
@@ -80,14 +83,56 @@ def shard_of(
     return (mix(place) % np.uint64(n)).astype(np.int32)
 
 
-def _planes(numbers: np.ndarray) -> bytes:
-    """The lowest bytes of all numbers, then the next ones, so that high bytes compress to nothing."""
-    return numbers.view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
-
-
-def _whole(body: bytes, kind: str, begin: int, n: int) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(body, np.uint8, n * size, begin).reshape(size, n).T).view(kind).ravel()
+def terms(ids: np.ndarray, length: np.ndarray, tags: np.ndarray) -> np.ndarray:
+    """Numbers of words, given by the ids of all of them one behind the other and a tag each: equal ones have the same."""
+    end = np.cumsum(length, dtype=np.int64)
+    hashes = run_hashes(mix(ids.astype(np.uint64) + np.uint64(1)), end - length, end)
+    return distinct(mix(hashes + tags.astype(np.uint64)))[1]
+
+
+def write_bodies(
+    found: vocabulary.BlockWords, rows: int, holders: np.ndarray, ids: np.ndarray, begin: np.ndarray, length: np.ndarray, apart: bool
+) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Different words, words, and a body for each row: holders of the different words in the order of their first places, tag and
+    number of ids of every word, and the ids."""
+    tags = (found.hashes & np.uint64(0xFF if apart else 0xFFFFFFFF)).astype("<u4")
+    if apart and len(tags):
+        spelled = np.frombuffer(found.spelled(np.arange(len(tags))), np.uint8)
+        tags[np.maximum.reduceat(spelled, np.cumsum(found.length + 1) - found.length - 1) < 128] = 0
+    term = terms(vocabulary.gather(ids, begin, length), length, tags) if len(tags) else tags
+    # Occurrences stand in the order of rows, and so do the first ones.
+    _, pairs = pd.factorize(found.rows * max(1, len(term)) + term[found.number])
+    of_term = np.zeros(len(term), dtype="<u4")
+    of_term[term] = holders
+    pair_row, pair_term = np.divmod(pairs, max(1, len(term)))
+    held, tag, size = of_term[pair_term], tags[found.number], length[found.number].astype("<u4")
+    edges = np.searchsorted(pair_row, np.arange(rows + 1))
+    places = np.searchsorted(found.rows, np.arange(rows + 1))
+    ends = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+    flat = np.empty(int(ends[-1]), dtype="<u4")
+    vocabulary.gather_into(flat, ids, begin[found.number], length[found.number])
+    bodies = [
+        blocks.squeeze(b"".join(map(blocks.planes, (held[a:z], tag[i:j], size[i:j], flat[k:m]))))
+        for a, z, i, j, k, m in zip(*(x.tolist() for e in (edges, places, ends[places]) for x in (e[:-1], e[1:])), strict=True)
+    ]
+    return np.diff(edges), np.diff(places), bodies
+
+
+def read_bodies(bodies: list[bytes], words: np.ndarray, places: np.ndarray):
+    """(word, row, count) for each different word of a row, by row; holders of each word, ids of each row, all ids."""
+    n_ids = np.array([len(b) for b in bodies], dtype=np.int64) // 4 - words - 2 * places
+    parts: list[list[np.ndarray]] = [[], [], [], []]
+    for b, k, m, n in zip(bodies, words.tolist(), places.tolist(), n_ids.tolist(), strict=True):
+        for part, at, size in zip(parts, (0, k, k + m, k + 2 * m), (k, m, m, n), strict=True):
+            part.append(blocks.whole(b, "<u4", 4 * at, size))
+    held, tags, length, flat = (np.concatenate(p) for p in parts)
+    term = terms(flat, length, tags) if len(tags) else tags
+    many = int(term.max(initial=0)) + 1
+    number, pairs = pd.factorize(np.repeat(np.arange(len(bodies)), places) * many + term)
+    row, word = np.divmod(pairs, many)
+    holders = np.ones(many)
+    holders[word] = held
+    return word, row, np.bincount(number, minlength=len(pairs)), holders, n_ids, flat
 
 
 def fill_windows(index: Index, sizes: np.ndarray, window: int) -> list[tuple[int, int, int, int, int]]:
@@ -129,7 +174,7 @@ def fill_windows(index: Index, sizes: np.ndarray, window: int) -> list[tuple[int
 
 def pack_documents(
     docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", window: int = 2048, end_id: int = 1,
-    fold: bool = True,
+    fold: bool = True, apart: bool = True,
 ) -> DataFrame:
     """doc_id, start, length, ids (the piece's ids as little-endian unsigned 32-bit numbers), doc_tokens, sequence_id,
     offset: the pieces into which documents are cut, and their places in sequences of `window` ids.
@@ -139,21 +184,28 @@ def pack_documents(
     Other columns are not read, whatever their names. An empty table gives no rows.
 
     `tokenizer` is a file of the tokenizers library, the same on all executors, whose pre-tokenizer never joins words across
-    white space; with `fold` it must treat A-Z as a-z. Distinct words are encoded once for the corpus, asked for by blocks of
-    about BLOCK_BYTES. Then documents, as ids and the words that others hold too, are dealt to as many shards by one of these words
-    (`shard_of`), and neighbours are looked for in the index of the shard; those in other shards are not found.
+    white space; with `fold` it must treat A-Z as a-z, with `apart` it must give different words of ASCII characters different ids,
+    as byte-level ones do. Distinct words are encoded once for the corpus, asked for by blocks of about BLOCK_BYTES. Then documents,
+    as ids and how many documents hold each word, are dealt to as many shards by one of their words that others hold too
+    (`shard_of`), and neighbours are looked for in the index of the shard; those in other shards are not found. A shard knows a word
+    by its ids and a tag: 32 bits of its hash, with `apart` 8 bits of those of words with other characters only.
     """
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = plain.schema["doc_id"].dataType.simpleString()
     n, total, size = blocks.count_blocks(plain, BLOCK_BYTES)
     mean = size / max(1, total)
     # The order of seeds does not depend on the order in which rows arrive, so a task that runs again packs alike.
-    dealt = plain.withColumn("seed", F.xxhash64("doc_id", F.xxhash64("text"))).withColumn(
-        "block", F.pmod("seed", F.lit(n)).cast("int")
+    dealt = plain.withColumn("seed", F.xxhash64("doc_id", F.xxhash64("text"))).select(
+        "doc_id", "seed", F.pmod("seed", F.lit(n)).cast("int").alias("block"),
+        F.octet_length("text").cast("bigint").alias("octets"), blocks.squeeze_texts(F.col("text")).alias("packed"),
     )
 
+    def read(table: pa.Table) -> vocabulary.BlockWords:
+        texts = blocks.texts(table.column("packed"), table.column("octets").to_pylist())
+        return vocabulary.BlockWords.read(pa.chunked_array([pa.array(texts, pa.binary()).view(pa.string())]), fold)
+
     def ask(table: pa.Table) -> pa.Table:
-        found = vocabulary.BlockWords.read(table.column("text"), fold)
+        found = read(table)
         word, _, _ = found.postings(len(table))
         return vocabulary.ask(table.column("block")[0].as_py(), found, np.bincount(word, minlength=len(found.hashes)), n)
 
@@ -168,43 +220,27 @@ def pack_documents(
             loaded.append(Tokenizer.from_file(tokenizer))
         return [
             e.ids for i in range(0, len(words), 1024)
-            for e in loaded[0].encode_batch(words[i : i + 1024], add_special_tokens=False)
+            for e in loaded[0].encode_batch_fast(words[i : i + 1024], add_special_tokens=False)
         ]
 
     def place(table: pa.Table, replies: pa.Table) -> pa.Table:
-        """Documents with their shards; a body holds the words that other documents hold too, and the ids."""
+        """Documents with their shards; a body has the holders of the different words, tag and number of ids of every word, and the ids."""
         schema = pa.schema([
             table.schema.field("doc_id"), ("seed", pa.int64()), ("octets", pa.int64()), ("shard", pa.int32()),
-            ("n_words", pa.int32()), ("body", pa.binary()),
+            ("n_words", pa.int32()), ("n_places", pa.int32()), ("body", pa.binary()),
         ])
         if not len(table):
             return schema.empty_table()
         rows = len(table)
-        found = vocabulary.BlockWords.read(table.column("text"), fold)
+        found = read(table)
         holders, ids, begin, length = vocabulary.answers(replies, found, n)
-        word, row, count = found.postings(rows)
+        word, row, _ = found.postings(rows)
         seed = table.column("seed").to_numpy()
         shard = shard_of(word, row, found.hashes, holders, seed, total, n)
-        shared = holders[word] >= 2
-        word, row, count = word[shared], row[shared], count[shared]
-        order = np.argsort(row, kind="stable")
-        edges = np.searchsorted(row[order], np.arange(rows + 1))
-        # 40 bits tell the words of a shard apart; the rest would only fill the shuffle.
-        hashes = (found.hashes[word[order]] & np.uint64((1 << 40) - 1)).astype("<u8")
-        count, held = count[order].astype("<u4"), holders[word[order]].astype("<u4")
-        # Occurrences stand in the order of rows.
-        size = np.bincount(found.rows, length[found.number], minlength=rows).astype(np.int64)
-        ends = np.concatenate([[0], np.cumsum(size)])
-        flat = np.empty(int(ends[-1]), dtype="<u4")
-        vocabulary.gather_into(flat, ids, begin[found.number], length[found.number])
-        bodies = [
-            blocks.squeeze(b"".join(map(_planes, (hashes[a:z], count[a:z], held[a:z], flat[i:j]))))
-            for a, z, i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True)
-        ]
+        words, places, bodies = write_bodies(found, rows, holders, ids, begin, length, apart)
         return pa.table({
-            "doc_id": table.column("doc_id"), "seed": seed,
-            "octets": pa.compute.binary_length(table.column("text")).cast(pa.int64()), "shard": shard,
-            "n_words": np.diff(edges).astype(np.int32), "body": pa.array(bodies, pa.binary()),
+            "doc_id": table.column("doc_id"), "seed": seed, "octets": table.column("octets"), "shard": shard,
+            "n_words": words.astype(np.int32), "n_places": places.astype(np.int32), "body": pa.array(bodies, pa.binary()),
         }, schema=schema)
 
     def pack(table: pa.Table) -> pa.Table:
@@ -215,27 +251,16 @@ def pack_documents(
         table = table.sort_by("seed")
         rows = len(table)
         bodies = [blocks.unsqueeze(b) for b in table.column("body").to_pylist()]
-        words = table.column("n_words").to_pylist()
-
-        def column(kind: str, before: int) -> np.ndarray:
-            return np.concatenate([_whole(b, kind, before * k, k) for b, k in zip(bodies, words, strict=True)])
-
-        hashes, count, held = column("<u8", 0), column("<u4", 8), column("<u4", 12)
-        known, word = distinct(hashes)
-        holders = np.empty(len(known))
-        holders[word] = held
-        row = np.repeat(np.arange(rows), words)
-        order = np.lexsort((row, word))
+        word, row, count, holders, n_ids, flat = read_bodies(bodies, table.column("n_words").to_numpy(), table.column("n_places").to_numpy())
+        del bodies
+        order = np.flatnonzero(holders[word] >= 2)
+        order = order[np.argsort(word[order], kind="stable")]
         octets = table.column("octets").to_numpy().astype(np.float64)
         index = Index(word[order], row[order], count[order].astype(np.float64), holders, total, octets, mean)
         # Ids of all documents one behind the other, each with its end.
-        end = np.array([end_id], "<u4")
-        sizes = np.array([(len(b) - 16 * k) // 4 + 1 for b, k in zip(bodies, words, strict=True)], dtype=np.int64)
+        sizes = n_ids + 1
         first = np.cumsum(sizes) - sizes
-        flat = np.concatenate([
-            x for b, k, size in zip(bodies, words, sizes.tolist(), strict=True) for x in (_whole(b, "<u4", 16 * k, size - 1), end)
-        ])
-        del bodies
+        flat = np.insert(flat, np.cumsum(n_ids), np.uint32(end_id)).astype("<u4", copy=False)
         pieces = np.array(fill_windows(index, sizes, window), dtype=np.int64)
         at = first[pieces[:, 0]] + pieces[:, 1]
         shard = int(table.column("shard")[0].as_py())
@@ -249,7 +274,7 @@ def pack_documents(
     asked = dealt.groupBy("block").applyInArrow(ask, blocks.PACKED)
     replies = vocabulary.encode_words(asked, encode, fold)
     placed = dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
-        place, f"doc_id {kind}, seed bigint, octets bigint, shard int, n_words int, body binary"
+        place, f"doc_id {kind}, seed bigint, octets bigint, shard int, n_words int, n_places int, body binary"
     )
     return placed.groupBy("shard").applyInArrow(
         pack,

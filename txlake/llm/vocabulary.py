@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame
 from txlake.llm import blocks
 from txlake.llm.batches import distinct, placed_words, text_blocks
 
+# Texts are read so many bytes at a time, since a byte takes some 50 while its words are hashed.
+READ_BYTES = 512 << 10
+
 
 @dataclass
 class BlockWords:
@@ -29,7 +32,7 @@ class BlockWords:
     def read(cls, texts: pa.ChunkedArray, fold: bool) -> BlockWords:
         parts = [[np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.uint8)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]]
         shift = 0
-        for first, block, starts in text_blocks(texts.combine_chunks()):
+        for first, block, starts in text_blocks(texts.combine_chunks(), READ_BYTES):
             found, row, begin, end = placed_words(block, starts, fold)
             for part, more in zip(parts, (found, row + first, block, begin + shift, end - begin), strict=True):
                 part.append(more)
@@ -63,11 +66,13 @@ def ask(block: int, found: BlockWords, holders: np.ndarray, n: int) -> pa.Table:
     order = np.argsort(bucket, kind="stable")
     edges = np.searchsorted(bucket[order], np.arange(n + 1))
     used = np.flatnonzero(np.diff(edges))
+    spelled = found.spelled(order)
+    ends = np.concatenate([[0], np.cumsum(found.length[order] + 1)])
     bodies = []
     for b in used:
-        mine = order[edges[b] : edges[b + 1]]
-        head = np.array([len(mine), *holders[mine]], dtype=np.uint32).tobytes()
-        bodies.append(blocks.squeeze(head + found.spelled(mine)))
+        a, z = int(edges[b]), int(edges[b + 1])
+        head = np.array([z - a], dtype=np.uint32).tobytes() + blocks.planes(holders[order[a:z]].astype("<u4"))
+        bodies.append(blocks.squeeze(head + spelled[ends[a] : ends[z] - 1]))
     return pa.table({
         "bucket": pa.array(used, pa.int32()), "block": pa.array(np.full(len(used), block), pa.int32()),
         "body": pa.array(bodies, pa.binary()),
@@ -80,26 +85,24 @@ def encode_words(questions: DataFrame, encode: Callable[[list[str]], list[list[i
     def of_bucket(table: pa.Table) -> pa.Table:
         bodies = [blocks.unsqueeze(body) for body in table.column("body").to_pylist()]
         sizes = [int(np.frombuffer(body, np.uint32, 1)[0]) for body in bodies]
-        spelled = b" ".join(body[4 * n + 4 :] for body, n in zip(bodies, sizes, strict=True)) + b" "
-        data = np.frombuffer(spelled, np.uint8)
+        spelled = pa.array([body[4 * n + 4 :] for body, n in zip(bodies, sizes, strict=True)], pa.binary()).view(pa.string())
         # Words that differ in the case of A-Z only have the same ids and one count.
-        hashes, _, begin, end = placed_words(data, np.array([0, len(data)]), fold)
-        known, number = distinct(hashes)
-        one = np.empty(len(known), dtype=np.int64)
-        one[number] = np.arange(len(number))
-        asking = np.concatenate([np.frombuffer(body, np.uint32, n, 4) for body, n in zip(bodies, sizes, strict=True)])
+        found = BlockWords.read(pa.chunked_array([spelled]), fold)
+        known, number = found.hashes, found.number
+        asking = np.concatenate([blocks.whole(body, "<u4", 4, n) for body, n in zip(bodies, sizes, strict=True)])
         holders = np.bincount(number, asking.astype(np.float64), minlength=len(known))
-        words = [spelled[a:z] for a, z in zip(begin[one].tolist(), end[one].tolist(), strict=True)]
+        words = found.spelled(np.arange(len(known))).decode().split(" ")
         asked = np.split(number, np.cumsum(sizes)[:-1])
-        ids = encode([w.decode() for w in words])
+        ids = encode(words)
         length = np.array([len(x) for x in ids], dtype=np.int64)
         flat = np.array([i for x in ids for i in x], dtype=np.uint32)
         first = np.cumsum(length) - length
         count = holders.clip(max=0xFFFFFFFF).astype(np.uint32)
         out = []
         for numbers in asked:
-            body = [np.array([len(numbers)], np.uint32), count[numbers], length[numbers].astype(np.uint32)]
-            out.append(blocks.squeeze(b"".join(x.tobytes() for x in body) + gather(flat, first[numbers], length[numbers]).tobytes()))
+            of_words = gather(flat, first[numbers], length[numbers])
+            body = [count[numbers], length[numbers].astype("<u4"), of_words.astype("<u4")]
+            out.append(blocks.squeeze(np.array([len(numbers)], np.uint32).tobytes() + b"".join(map(blocks.planes, body))))
         return pa.table({
             "bucket": table.column("bucket"), "block": table.column("block"), "body": pa.array(out, pa.binary()),
         })
@@ -129,11 +132,11 @@ def answers(table: pa.Table, found: BlockWords, n: int) -> tuple[np.ndarray, np.
     bodies = dict(zip(table.column("bucket").to_pylist(), table.column("body").to_pylist(), strict=True))
     holders, lengths, ids = [], [], []
     for bucket in sorted(bodies):
-        body = np.frombuffer(blocks.unsqueeze(bodies[bucket]), np.uint32)
-        k = int(body[0])
-        holders.append(body[1 : 1 + k])
-        lengths.append(body[1 + k : 1 + 2 * k])
-        ids.append(body[1 + 2 * k :])
+        body = blocks.unsqueeze(bodies[bucket])
+        k = int(np.frombuffer(body, np.uint32, 1)[0])
+        holders.append(blocks.whole(body, "<u4", 4, k))
+        lengths.append(blocks.whole(body, "<u4", 4 + 4 * k, k))
+        ids.append(blocks.whole(body, "<u4", 4 + 8 * k, len(body) // 4 - 1 - 2 * k))
     if not bodies:
         none = np.empty(0, dtype=np.int64)
         return none, none, none, none
