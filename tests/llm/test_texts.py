@@ -174,6 +174,22 @@ def test_long_words_equal_folded_ones(spark, monkeypatch):
             assert r.ids == expected or kind == "unigram" and sum(map(scores.get, r.ids)) == sum(map(scores.get, expected))
 
 
+@pytest.mark.parametrize("kind", ["bpe", "unigram"])
+def test_lattice_of_many_words_equals_words_one_by_one(texts, kind):
+    """Words of the corpus, repeated letters, characters without piece, words around the longest that are cut together."""
+    rnd = random.Random(5)
+    words = {"▁" + w for t in texts.values() for w in (t or "").split()[:4]}
+    words |= {"".join(rnd.choice("abeéthing▁") for _ in range(rnd.randrange(1, 60))) for _ in range(100)}
+    words |= {"a" * k for k in range(1, 120)} | {"\n", "▁", "▁▁▁", "\x00", "漢字\U0001f600", "ẍ̣", "▁" * 70}
+    words = sorted(words)
+    model = sentencepiece_lattice.load(PIECE_BPE)
+    model.kind = kind
+    ids, length = sentencepiece_lattice.Lattice(model)(words)
+    found = np.split(ids, np.cumsum(length)[:-1])
+    one = sentencepiece_lattice.LongWords(model)
+    assert [x.tolist() for x in found] == [one(w) for w in words]
+
+
 def test_pieces_of_odd_rows(odd, odd_rows, nothing):
     model = sentencepiece_lattice.load(PIECE_BPE)
     found = sentencepiece_lattice.encode(odd, model)

@@ -7,7 +7,7 @@ often it occurs in a block, and a frequent key is one entry per block.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +33,8 @@ def deal(docs: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
     return docs.withColumn("block", block), n
 
 
-def squeeze(body: bytes) -> bytes:
-    return len(body).to_bytes(4, "little") + pa.Codec("zstd", compression_level=1).compress(body, asbytes=True)
+def squeeze(body: bytes, level: int = 1) -> bytes:
+    return len(body).to_bytes(4, "little") + pa.Codec("zstd", compression_level=level).compress(body, asbytes=True)
 
 
 def unsqueeze(body: bytes) -> bytes:
@@ -52,11 +52,9 @@ def squeeze_texts(texts: Column) -> Column:
     return squeezed(texts)
 
 
-def texts(squeezed: pa.ChunkedArray, sizes: list[int]) -> list[bytes]:
-    return [
-        pa.decompress(t.as_buffer(), size, "zstd").to_pybytes() if size else b""
-        for t, size in zip(squeezed, sizes, strict=True)
-    ]
+def texts(squeezed: pa.ChunkedArray, sizes: list[int]) -> Iterator[bytes]:
+    for t, size in zip(squeezed, sizes, strict=True):
+        yield pa.decompress(t.as_buffer(), size, "zstd").to_pybytes() if size else b""
 
 
 def planes(numbers: np.ndarray) -> bytes:

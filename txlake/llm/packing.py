@@ -201,7 +201,7 @@ def pack_documents(
     )
 
     def read(table: pa.Table) -> vocabulary.BlockWords:
-        texts = blocks.texts(table.column("packed"), table.column("octets").to_pylist())
+        texts = list(blocks.texts(table.column("packed"), table.column("octets").to_pylist()))
         return vocabulary.BlockWords.read(pa.chunked_array([pa.array(texts, pa.binary()).view(pa.string())]), fold)
 
     def ask(table: pa.Table) -> pa.Table:

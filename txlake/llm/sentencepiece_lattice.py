@@ -12,13 +12,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txlake.llm import blocks
-from txlake.llm.vocabulary import gather
+from txlake.llm.batches import mix, run_hashes
+from txlake.llm.vocabulary import gather, gather_into
 
 SPACE = "▁"
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 5 << 20
 MOST_PIECES = 1 << 20
-# Longer words are merged in the task instead of as rows: a word without white space may be a whole text.
+# Longer words are merged one by one, with a heap: a word without white space may be a whole text.
 LONG = 48
+BATCH = 16384
 _UNSEEN = 1 << 30
 
 
@@ -56,7 +58,7 @@ def load(path: str, kind: str | None = None) -> PieceModel:
     if any(re.search(f"[^{SPACE}]{SPACE}|\n", p) for p, _, _ in pieces):
         raise ValueError("a piece crosses the border of a word")
     if len(pieces) > MOST_PIECES:
-        raise ValueError("the piece table is too large for a broadcast")
+        raise ValueError("the piece table is too large for a task")
     bytes_of = {int(p.piece[1:-1], 16): i for i, p in enumerate(model.pieces) if p.type == byte}
     spelled = [
         bytes([int(p.piece[1:-1], 16)]) if p.type == byte
@@ -70,133 +72,168 @@ def load(path: str, kind: str | None = None) -> PieceModel:
     )
 
 
-def _let(value: Column, use) -> Column:
-    """use(value) with the value computed once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
+class Lattice:
+    """Encodes many words at once, all arrays running over the characters or pieces of a batch of words.
 
+    The lattice is a table of edges, a substring that is a piece each: substrings one character longer at a time are joined to the
+    beginnings of pieces, and those that begin no piece go no further. Merging models fold merges over it, others its best path.
+    """
 
-def _merge(edges: Column, n: Column, longest: int) -> Column:
-    """Borders of pieces after merging, again and again, the two neighbours that make the best piece, the leftmost of
-    equally good ones."""
-    width = longest + 1
-
-    def rank(borders: Column, i: Column) -> Column:
-        start = F.element_at(borders, i)
-        length = F.get(borders, i + 1) - start
-        return F.when(length <= longest, F.coalesce(F.element_at(edges, start * width + length)["rank"], F.lit(_UNSEEN))).otherwise(_UNSEEN)
-
-    def at(state: Column) -> Column:
-        """The state with the best rank and its first place; ranks are those of neighbours that a border divides."""
-        best = F.array_min(state["ranks"])
-        return F.struct(state.alias("s"), best.alias("best"), F.array_position(state["ranks"], best).cast("int").alias("at"))
-
-    def joined(borders: Column, ranks: Column, i: Column) -> Column:
-        # Only the two ranks beside the joined pieces change.
-        left = F.when(i > 1, F.array(rank(borders, i - 1))).otherwise(F.array().cast("array<int>"))
-        right = F.when(i < F.size(ranks), F.array(rank(borders, i))).otherwise(F.array().cast("array<int>"))
-        kept = F.slice(ranks, F.lit(1), F.greatest(i - 2, F.lit(0))), F.slice(ranks, i + 2, F.size(ranks))
-        return F.struct(borders.alias("borders"), F.concat(kept[0], left, right, kept[1]).alias("ranks"))
-
-    def merge(found: Column) -> Column:
-        borders, i = found["s"]["borders"], found["at"]
-        fewer = F.concat(F.slice(borders, F.lit(1), i), F.slice(borders, i + 2, F.size(borders)))
-        merged = _let(fewer, lambda borders: joined(borders, found["s"]["ranks"], i))
-        return F.when(found["best"] < _UNSEEN, merged).otherwise(found["s"])
-
-    def begin(borders: Column) -> Column:
-        ranks = F.when(n < 2, F.array().cast("array<int>")).otherwise(
-            F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: rank(borders, i))
-        )
-        return F.struct(borders.alias("borders"), ranks.alias("ranks"))
-
-    first = _let(F.sequence(F.lit(1), n + 1), begin)
-    steps = F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1)))
-    return F.aggregate(steps, first, lambda state, _: _let(at(state), merge), lambda state: state["borders"])
-
-
-def _viterbi(edges: Column, n: Column, longest: int, unseen: float) -> Column:
-    """Borders of pieces on the path with the largest sum of scores; a character without piece counts `unseen`."""
-    width = longest + 1
-
-    def step(state: Column, end: Column) -> Column:
-        def reach(length: Column) -> Column:
-            start = end - length + 1
-            score = F.element_at(edges, start * width + length)["score"]
-            score = F.coalesce(score, F.when(length == 1, F.lit(unseen)))
-            return F.struct((F.element_at(state["score"], start) + score).alias("score"), length.alias("length"))
-
-        ways = F.transform(F.sequence(F.lit(1), F.least(end, F.lit(longest))), reach)
-        return _let(F.array_max(F.filter(ways, lambda w: w["score"].isNotNull())), lambda best: F.struct(
-            F.concat(state["score"], F.array(best["score"])).alias("score"),
-            F.concat(state["length"], F.array(best["length"])).alias("length"),
-        ))
-
-    first = F.struct(F.array(F.lit(0.0)).alias("score"), F.array().cast("array<int>").alias("length"))
-    lengths = F.aggregate(F.sequence(F.lit(1), n), first, step, lambda state: state["length"])
-
-    def back(borders: Column, _: Column) -> Column:
-        head = F.element_at(borders, 1)
-        return F.when(head == 1, borders).otherwise(F.concat(F.array(head - F.element_at(lengths, F.greatest(head - 1, F.lit(1)))), borders))
-
-    return F.aggregate(F.sequence(F.lit(1), n), F.array(n + 1), back)
+    def __init__(self, model: PieceModel) -> None:
+        self.kind, self.longest = model.kind, model.longest
+        beginnings = dict.fromkeys(p[:k] for p, _, _ in model.pieces for k in range(1, len(p) + 1))
+        number = {p: k for k, (p, _, _) in enumerate(model.pieces)}
+        values, size = _characters(list(beginnings))
+        keys = run_hashes(_hashed(values), np.cumsum(size) - size, np.cumsum(size))
+        order = np.argsort(keys)
+        self.keys, self.piece = keys[order], np.array([number.get(b, -1) for b in beginnings], np.int32)[order]
+        ranks = model.ranks()
+        self.rank = np.array([ranks[p][0] for p, _, _ in model.pieces], np.int64)
+        self.id = np.array([ranks[p][1] for p, _, _ in model.pieces], np.uint32)
+        self.score = np.array([s for _, _, s in model.pieces], np.float64)
+        self.byte_ids, self.unknown = model.byte_ids, model.unknown
+        self.long = LongWords(model)
+
+    def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words one behind the other, and how many each has; no word is empty."""
+        out, counts, at = [np.empty(0, np.uint32)], [np.empty(0, np.int64)], 0
+        while at < len(words):
+            if len(words[at]) > LONG:
+                ids = np.array(self.long(words[at]), np.uint32)
+                found, at = (ids, np.array([len(ids)], np.int64)), at + 1
+            else:
+                end = at + 1
+                while end < len(words) and end < at + BATCH and len(words[end]) <= LONG:
+                    end += 1
+                found, at = self._encode(words[at:end]), end
+            out.append(found[0])
+            counts.append(found[1])
+        return np.concatenate(out), np.concatenate(counts)
+
+    def _edges(self, values: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Number of the piece by length and first character, -1 for none; `stop` is the end of a character's word."""
+        edges = np.full((self.longest + 1, len(values)), -1, np.int32)
+        hashed, at = _hashed(values), np.arange(len(values))
+        for length in range(1, self.longest + 1):
+            at = at[at + length <= stop[at]]
+            if not len(at):
+                break
+            keys = run_hashes(hashed, at, at + length)
+            found = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            hit = self.keys[found] == keys
+            at, found = at[hit], found[hit]
+            edges[length, at] = self.piece[found]
+        return edges
+
+    def _merge(self, edges: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First characters and ends of the pieces after merging, again and again, the two neighbours in each word that make
+        the best piece, the leftmost of equally good ones."""
+        start = np.arange(len(word))
+        stop = start + 1
+
+        def ranked(i: np.ndarray) -> np.ndarray:
+            """Ranks of pieces i joined to their next ones."""
+            out = np.full(len(i), _UNSEEN, np.int64)
+            k = np.flatnonzero(i + 1 < len(start))
+            k = k[word[i[k]] == word[i[k] + 1]]
+            length = stop[i[k] + 1] - start[i[k]]
+            k, length = k[length <= self.longest], length[length <= self.longest]
+            piece = edges[length, start[i[k]]]
+            out[k[piece >= 0]] = self.rank[piece[piece >= 0]]
+            return out
+
+        done, rank = [], ranked(start)
+        while len(start):
+            head = np.flatnonzero(np.diff(word, prepend=-1))
+            best = np.minimum.reduceat((rank << 32) | np.arange(len(rank)), head)
+            live = best >> 32 < _UNSEEN
+            stays = np.repeat(live, np.diff(np.append(head, len(word))))
+            done.append((start[~stays], stop[~stays]))
+            i = best[live] & 0xFFFFFFFF
+            stop[i] = stop[i + 1]
+            stays[i + 1] = False
+            i = np.cumsum(stays)[i] - 1
+            start, stop, word, rank = start[stays], stop[stays], word[stays], rank[stays]
+            rank[i] = ranked(i)
+            left = i[i > 0] - 1
+            rank[left] = ranked(left)
+        start, stop = (np.concatenate(x) for x in zip(*done, strict=True))
+        order = np.argsort(start)
+        return start[order], stop[order]
+
+    def _best(self, edges: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First characters and ends of the pieces on the path with the largest sum of scores; a character without piece counts less than any."""
+        unseen = self.score.min() - 10
+        score = np.full((len(size), size.max() + 1), -np.inf)
+        back = np.zeros(score.shape, np.int64)
+        score[:, 0] = 0
+        for end in range(1, score.shape[1]):
+            row = np.flatnonzero(size >= end)
+            for length in range(1, min(end, self.longest) + 1):
+                piece = edges[length, begin[row] + end - length]
+                step = np.where(piece >= 0, self.score[piece], unseen if length == 1 else -np.inf)
+                way = score[row, end - length] + step
+                better = way >= score[row, end]
+                score[row[better], end], back[row[better], end] = way[better], length
+        row, end, found = np.arange(len(size)), size.copy(), []
+        while len(row):
+            length = back[row, end]
+            found.append((begin[row] + end - length, begin[row] + end))
+            end = end - length
+            row, end = row[end > 0], end[end > 0]
+        start, stop = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(start)
+        return start[order], stop[order]
+
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        values, size = _characters(words)
+        begin = np.cumsum(size) - size
+        word = np.repeat(np.arange(len(size)), size)
+        edges = self._edges(values, (begin + size)[word])
+        start, stop = self._merge(edges, word) if self.kind == "bpe" else self._best(edges, begin, size)
+        piece = edges[stop - start, start]
+        # What is no piece is one character, written as its bytes or as unknown.
+        other, number = np.unique(values[start[piece < 0]], return_inverse=True)
+        spelled = [[self.byte_ids[b] for b in chr(c).encode()] if self.byte_ids else [self.unknown] for c in other.tolist()]
+        flat = np.concatenate([self.id, np.array([i for x in spelled for i in x], np.uint32)])
+        count, first = np.ones(len(piece), np.int64), piece.astype(np.int64)
+        length = np.array([len(x) for x in spelled], np.int64)
+        count[piece < 0] = length[number]
+        first[piece < 0] = (len(self.id) + np.cumsum(length) - length)[number]
+        return gather(flat, first, count), np.bincount(word[start], count, minlength=len(size)).astype(np.int64)
+
+
+def _characters(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer("".join(words).encode("utf-32-le"), np.uint32), np.array([len(w) for w in words], np.int64)
+
+
+def _hashed(characters: np.ndarray) -> np.ndarray:
+    return mix(characters.astype(np.uint64) + np.uint64(1))
 
 
 def encode_words(spark: SparkSession, words: DataFrame, model: PieceModel, partitions: int | None = None) -> DataFrame:
-    """(wid, ids) of words (wid, word): wid unique, word neither null nor empty, spaces written as SPACE, at most LONG characters.
+    """(wid, ids) of words (wid, word): word neither null nor empty, spaces written as SPACE."""
+    lattice = Lattice(model)
+
+    def cut(batches):
+        for batch in batches:
+            ids, count = lattice(batch.column("word").to_pylist())
+            ends = np.concatenate([[0], np.cumsum(count)])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column("wid"), lists], ["wid", "ids"])
 
-    The lattice is a table: every substring that is no longer than the longest piece is joined to the piece table, whose
-    size is checked; the edges of a word come together, without another shuffle, and are folded. `partitions` should leave
-    some ten thousand words to each, whose edges then fit into a task's memory.
-    """
-    ranks = model.ranks()
-    table = pa.table({
-        "piece": [p for p, _, _ in model.pieces], "rank": pa.array([ranks[p][0] for p, _, _ in model.pieces], pa.int32()),
-        "id": pa.array([i for _, i, _ in model.pieces], pa.int32()), "score": [s for _, _, s in model.pieces],
-    })
-    pieces = F.broadcast(spark.createDataFrame(table))
-    longest, width = model.longest, model.longest + 1
     tasks = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    starts = words.repartition(tasks, "wid").select(
-        "wid", "word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("start")
-    )
-    room = F.least(F.lit(longest), F.length("word") - F.col("start") + 1)
-    parts = starts.select("wid", "word", "start", F.explode(F.sequence(F.lit(1), room)).alias("length")).select(
-        "wid", "word", "start", "length", F.expr("substring(word, start, length)").alias("piece")
-    )
-    edges = parts.join(pieces, "piece", "left").filter(F.col("id").isNotNull() | (F.col("length") == 1))
-    lattice = edges.groupBy("wid").agg(F.first("word").alias("word"), F.collect_list(F.struct(
-        (F.col("start") * width + F.col("length")).alias("at"), F.struct("rank", "id", "score").alias("edge")
-    )).alias("edges")).select("wid", "word", F.map_from_entries("edges").alias("edges"))
-    n = F.length("word")
-    if model.kind == "bpe":
-        borders = _merge(F.col("edges"), n, longest)
-    else:
-        borders = _viterbi(F.col("edges"), n, longest, min(s for _, _, s in model.pieces) - 10)
-    byte_ids = F.array(*[F.lit(i) for i in model.byte_ids])
-
-    def spelled(start: Column) -> Column:
-        if not model.byte_ids:
-            return F.array(F.lit(model.unknown))
-        digits = F.hex(F.encode(F.substring("word", start, F.lit(1)), "utf-8"))
-        return F.transform(F.sequence(F.lit(1), F.length(digits), F.lit(2)), lambda k: F.element_at(
-            byte_ids, F.conv(F.substring(digits, k, F.lit(2)), 16, 10).cast("int") + 1
-        ))
-
-    def ids(i: Column) -> Column:
-        start = F.element_at("borders", i)
-        found = F.element_at("edges", start * width + F.element_at("borders", i + 1) - start)["id"]
-        return F.when(found.isNotNull(), F.array(found)).otherwise(spelled(start))
-
-    cut = lattice.withColumn("borders", borders)
-    return cut.select("wid", F.flatten(F.transform(F.sequence(F.lit(1), F.size("borders") - 1), ids)).alias("ids"))
+    kind = words.schema["wid"].dataType.simpleString()
+    return words.select("wid", "word").repartition(tasks, "wid").mapInArrow(cut, f"wid {kind}, ids array<int>")
 
 
 class LongWords:
-    """Encodes a word of any length in the task: merges by a heap, or one Viterbi pass."""
+    """Encodes a word of any length: merges by a heap, or one Viterbi pass."""
 
     def __init__(self, model: PieceModel) -> None:
         self.model, self.ranks = model, model.ranks()
         self.scores = {p: s for p, _, s in model.pieces}
+        self.longest, self.unseen = model.longest, min(self.scores.values()) - 10
 
     def _merged(self, word: str) -> list[str]:
         import heapq
@@ -221,12 +258,11 @@ class LongWords:
         return [p for p in parts if p is not None]
 
     def _best(self, word: str) -> list[str]:
-        unseen = min(self.scores.values()) - 10
         best, back = [0.0], [0]
         for end in range(1, len(word) + 1):
             ways = [
-                (best[end - k] + s, k) for k in range(1, min(end, self.model.longest) + 1)
-                if (s := self.scores.get(word[end - k : end], unseen if k == 1 else None)) is not None
+                (best[end - k] + s, k) for k in range(1, min(end, self.longest) + 1)
+                if (s := self.scores.get(word[end - k : end], self.unseen if k == 1 else None)) is not None
             ]
             score, k = max(ways)
             best.append(score)
@@ -255,8 +291,8 @@ def _read(table: pa.Table) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Distinct words of the compressed texts, the number of each occurrence's word, occurrences per text."""
     known: dict[str, int] = {}
     numbers, counts = [], []
-    for packed, size in zip(table.column("packed"), table.column("size").to_pylist(), strict=True):
-        text = pa.decompress(packed.as_buffer(), size, "zstd").to_pybytes().decode() if size else ""
+    for body in blocks.texts(table.column("packed"), table.column("size").to_pylist()):
+        text = body.decode()
         found = _WORD.findall(SPACE + text.replace(" ", SPACE)) if text else []
         counts.append(len(found))
         numbers.append(np.fromiter((known.setdefault(w, len(known)) for w in found), np.uint32, len(found)))
@@ -265,9 +301,10 @@ def _read(table: pa.Table) -> tuple[list[str], np.ndarray, np.ndarray]:
 
 
 def _by_bucket(words: list[str], n: int) -> dict[int, list[int]]:
+    """Words by bucket in alphabetical order, which does not depend on the order in which the rows of a block arrive."""
     out: dict[int, list[int]] = {}
-    for i, word in enumerate(words):
-        out.setdefault(zlib.crc32(word.encode()) % n, []).append(i)
+    for i in sorted(range(len(words)), key=words.__getitem__):
+        out.setdefault(zlib.crc32(words[i].encode()) % n, []).append(i)
     return out
 
 
@@ -277,21 +314,13 @@ def encode(docs: DataFrame, model: PieceModel, doc_id: str = "doc_id", text: str
     The ids are those of the model on the whole text, with its leading space; an empty text, or null, has none. Every row is a
     document; ids may be null or repeat. Other columns are not read, whatever their names.
 
-    Blocks of texts, compressed, ask for their distinct words; each word of the corpus is cut once. Merging models
-    (BPE) fold merges over the lattice, others its best path.
+    Blocks of texts, compressed, ask hash buckets for their distinct words; each word of the corpus is cut once, in its bucket (`Lattice`).
     """
-    spark = docs.sparkSession
-
-    @F.arrow_udf("binary")
-    def compress(texts: pa.Array) -> pa.Array:
-        codec = pa.Codec("zstd", compression_level=1)
-        return pa.array([codec.compress(t.as_buffer(), asbytes=True) if t.is_valid else b"" for t in texts], pa.binary())
-
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = plain.schema["doc_id"].dataType.simpleString()
     dealt, n = blocks.deal(plain, BLOCK_BYTES)
-    dealt = dealt.select("doc_id", "block", F.octet_length("text").alias("size"), compress("text").alias("packed"))
-    long_words = LongWords(model)
+    dealt = dealt.select("doc_id", "block", F.octet_length("text").alias("size"), blocks.squeeze_texts(F.col("text")).alias("packed"))
+    lattice = Lattice(model)
 
     def ask(table: pa.Table) -> pa.Table:
         words, _, _ = _read(table)
@@ -299,35 +328,19 @@ def encode(docs: DataFrame, model: PieceModel, doc_id: str = "doc_id", text: str
         return pa.table({
             "bucket": pa.array(sorted(by), pa.int32()),
             "block": pa.array([table.column("block")[0].as_py()] * len(by), pa.int32()),
-            "body": pa.array([blocks.squeeze(" ".join(words[i] for i in by[b]).encode()) for b in sorted(by)], pa.binary()),
-        })
-
-    def distinct(table: pa.Table) -> list[str]:
-        return sorted({w for body in table.column("body").to_pylist() for w in blocks.unsqueeze(body).decode().split(" ")})
-
-    def list_words(table: pa.Table) -> pa.Table:
-        words = distinct(table)
-        short = [i for i, w in enumerate(words) if len(w) <= LONG]
-        bucket = int(table.column("bucket")[0].as_py())
-        return pa.table({
-            "wid": pa.array([(bucket << 32) + i for i in short], pa.int64()), "word": pa.array([words[i] for i in short], pa.string()),
+            "body": pa.array([blocks.squeeze(" ".join(words[i] for i in by[b]).encode(), 3) for b in sorted(by)], pa.binary()),
         })
 
-    def reply(table: pa.Table, encoded: pa.Table) -> pa.Table:
-        words = distinct(table)
-        ids: list = [None] * len(words)
-        for wid, found in zip(encoded.column("wid").to_pylist(), encoded.column("ids").to_pylist(), strict=True):
-            ids[wid & 0xFFFFFFFF] = found
-        ids = [long_words(w) if found is None else found for w, found in zip(words, ids, strict=True)]
-        at = {w: i for i, w in enumerate(words)}
-        length = np.array([len(x) for x in ids], dtype=np.int64)
-        flat = np.array([i for x in ids for i in x], dtype=np.uint32)
+    def reply(table: pa.Table) -> pa.Table:
+        asked = [blocks.unsqueeze(body).decode().split(" ") for body in table.column("body").to_pylist()]
+        at = {w: i for i, w in enumerate(dict.fromkeys(w for words in asked for w in words))}
+        flat, length = lattice(list(at))
         first = np.cumsum(length) - length
         bodies = []
-        for body in table.column("body").to_pylist():
-            mine = np.array([at[w] for w in blocks.unsqueeze(body).decode().split(" ")], dtype=np.int64)
-            head = np.array([len(mine)], np.uint32).tobytes() + length[mine].astype(np.uint32).tobytes()
-            bodies.append(blocks.squeeze(head + gather(flat, first[mine], length[mine]).tobytes()))
+        for words in asked:
+            mine = np.array([at[w] for w in words], dtype=np.int64)
+            body = length[mine].astype("<u4"), gather(flat, first[mine], length[mine]).astype("<u4")
+            bodies.append(blocks.squeeze(np.array([len(mine)], np.uint32).tobytes() + b"".join(map(blocks.planes, body))))
         return pa.table({"bucket": table.column("bucket"), "block": table.column("block"), "body": pa.array(bodies, pa.binary())})
 
     def assemble(table: pa.Table, replies: pa.Table) -> pa.Table:
@@ -339,31 +352,26 @@ def encode(docs: DataFrame, model: PieceModel, doc_id: str = "doc_id", text: str
         length, flat, base = np.zeros(len(words), np.int64), [], 0
         first = np.zeros(len(words), np.int64)
         for bucket, mine in _by_bucket(words, n).items():
-            body = np.frombuffer(blocks.unsqueeze(bodies[bucket]), np.uint32)
-            own = body[1 : 1 + len(mine)].astype(np.int64)
+            body = blocks.unsqueeze(bodies[bucket])
+            own = blocks.whole(body, "<u4", 4, len(mine)).astype(np.int64)
             length[mine] = own
             first[mine] = base + np.cumsum(own) - own
-            flat.append(body[1 + len(mine) :])
+            flat.append(blocks.whole(body, "<u4", 4 + 4 * len(mine), len(body) // 4 - 1 - len(mine)))
             base += int(own.sum())
-        ids = gather(np.concatenate(flat) if flat else np.empty(0, np.uint32), first[number], length[number]).astype("<u4")
+        del words, bodies
         ends = np.concatenate([[0], np.cumsum(counts)])
         cut = np.concatenate([[0], np.cumsum(length[number])])[ends]
-        texts = [
-            pa.decompress(p.as_buffer(), s, "zstd").to_pybytes().decode() if s else ""
-            for p, s in zip(table.column("packed"), table.column("size").to_pylist(), strict=True)
-        ]
+        ids = np.empty(int(cut[-1]), dtype="<u4")
+        gather_into(ids, np.concatenate(flat) if flat else ids, first[number], length[number])
+        texts = pa.array(list(blocks.texts(table.column("packed"), table.column("size").to_pylist())), pa.binary()).view(pa.string())
         return pa.table({
             "doc_id": table.column("doc_id"),
             "ids": pa.array([ids[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()),
-            "n_ids": np.diff(cut), "text": pa.array(texts, pa.string()),
+            "n_ids": np.diff(cut), "text": texts,
         }, schema=schema)
 
     asked = dealt.groupBy("block").applyInArrow(ask, blocks.PACKED)
-    words = asked.groupBy("bucket").applyInArrow(list_words, "wid bigint, word string")
-    # A bucket has the distinct words of about as much text as a block.
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    encoded = encode_words(spark, words, model, max(least, 4 * n)).withColumn("bucket", F.shiftright("wid", 32).cast("int"))
-    answers = asked.groupBy("bucket").cogroup(encoded.groupBy("bucket")).applyInArrow(reply, blocks.PACKED)
+    answers = asked.groupBy("bucket").applyInArrow(reply, blocks.PACKED)
     return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         assemble, f"doc_id {kind}, ids binary, n_ids bigint, text string"
     )
