@@ -83,10 +83,16 @@ def shard_of(
     return (mix(place) % np.uint64(n)).astype(np.int32)
 
 
-def terms(ids: np.ndarray, length: np.ndarray, tags: np.ndarray) -> np.ndarray:
-    """Numbers of words, given by the ids of all of them one behind the other and a tag each: equal ones have the same."""
+def terms(ids: np.ndarray, length: np.ndarray, tags: np.ndarray, step: int = 1 << 16) -> np.ndarray:
+    """Numbers of words, given by the ids of all of them one behind the other and a tag each: equal ones have the same.
+    Some words at a time, so that their hashing needs little memory."""
     end = np.cumsum(length, dtype=np.int64)
-    hashes = run_hashes(mix(ids.astype(np.uint64) + np.uint64(1)), end - length, end)
+    hashes = np.empty(len(length), dtype=np.uint64)
+    for i in range(0, len(length), step):
+        part = slice(i, i + step)
+        begin = end[part] - length[part]
+        values = mix(ids[begin[0] : end[part][-1]].astype(np.uint64) + np.uint64(1))
+        hashes[part] = run_hashes(values, begin - begin[0], end[part] - begin[0])
     return distinct(mix(hashes + tags.astype(np.uint64)))[1]
 
 
