@@ -4,6 +4,8 @@ import hashlib
 import math
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -427,3 +429,20 @@ def test_scores_of_odd_rows(spark, odd, odd_rows, nothing):
     assert all(r.n_known == 0 and r.train_tokens == 0 and not r.train and math.isfinite(r.score) for r in untrained)
     assert hpylm.score(nothing, F.lit(True)).count() == 0
     assert hpylm.perplexity(hpylm.score(odd, fold() != 1)).count() >= 1
+
+
+def test_cutting_pieces_leaves_pandas_alone():
+    """Four workers of an executor hold what the module imports while blocks are put together."""
+    code = "import sys, txlake.llm.sentencepiece_lattice; sys.exit('pandas' in sys.modules)"
+    assert subprocess.run([sys.executable, "-c", code], check=False).returncode == 0
+
+
+def test_texts_are_joined_and_unpacked(spark):
+    rows = [(1, "ä b"), (2, None), (3, ""), (4, "x" * 5000), (5, "\n")]
+    df = spark.createDataFrame(rows, "doc_id int, text string").coalesce(1)
+    packed = df.select("doc_id", blocks.squeeze_texts(F.col("text")).alias("p"), F.octet_length("text").alias("n"))
+    back = packed.select("doc_id", blocks.unsqueeze_texts(F.col("p"), F.col("n")).alias("text"))
+    assert sorted(map(tuple, back.collect())) == rows
+    table = packed.filter("n is not null").toArrow()
+    assert blocks.joined_texts(table.column("p"), table.column("n").to_pylist()).to_pylist() == ["ä b", "", "x" * 5000, "\n"]
+    assert blocks.joined_texts(table.column("p").slice(0, 0), []).to_pylist() == []

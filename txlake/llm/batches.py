@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 
 from txlake.llm.text import WHITE
@@ -93,6 +92,9 @@ def words(block: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct values in order, and the number of each value's: np.unique by a hash table."""
+    # Tasks that do not come here need not hold pandas in memory.
+    import pandas as pd
+
     code, found = pd.factorize(values)
     order = np.argsort(found)
     rank = np.empty(len(order), dtype=np.int64)

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,11 +53,31 @@ def squeeze_texts(texts: Column) -> Column:
     return squeezed(texts)
 
 
-def texts(squeezed: pa.ChunkedArray, sizes: list[int]) -> Iterator[bytes]:
+def unsqueeze_texts(squeezed: Column, sizes: Column) -> Column:
+    """The texts that `squeeze_texts` compressed; null where the size, in bytes, is null."""
+
+    @F.arrow_udf("string")
+    def plain(packed: pa.Array, sizes: pa.Array) -> pa.Array:
+        whole = joined_texts(packed, sizes.fill_null(0).to_pylist())
+        return pc.if_else(sizes.is_valid(), whole, pa.scalar(None, pa.string()))
+
+    return plain(squeezed, sizes)
+
+
+def texts(squeezed: pa.Array | pa.ChunkedArray, sizes: list[int]) -> Iterator[bytes]:
     for t, size in zip(squeezed, sizes, strict=True):
         yield pa.decompress(t.as_buffer(), size, "zstd").to_pybytes() if size else b""
 
 
+def joined_texts(squeezed: pa.Array | pa.ChunkedArray, sizes: list[int]) -> pa.Array:
+    """The texts as a column."""
+    ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    data = np.empty(int(ends[-1]), np.uint8)
+    for i, text in enumerate(texts(squeezed, sizes)):
+        data[ends[i] : ends[i + 1]] = np.frombuffer(text, np.uint8)
+    return pa.Array.from_buffers(pa.large_string(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(data)]).cast(pa.string())
+
+
 def planes(numbers: np.ndarray) -> bytes:
     """The lowest bytes of all numbers, then the next ones, so that high bytes compress to nothing."""
     return np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()

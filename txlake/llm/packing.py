@@ -116,7 +116,7 @@ def write_bodies(
     places = np.searchsorted(found.rows, np.arange(rows + 1))
     ends = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
     flat = np.empty(int(ends[-1]), dtype="<u4")
-    vocabulary.gather_into(flat, ids, begin[found.number], length[found.number])
+    vocabulary.gather_into(flat, ids, begin, length, found.number)
     bodies = [
         blocks.squeeze(b"".join(map(blocks.planes, (held[a:z], tag[i:j], size[i:j], flat[k:m]))))
         for a, z, i, j, k, m in zip(*(x.tolist() for e in (edges, places, ends[places]) for x in (e[:-1], e[1:])), strict=True)

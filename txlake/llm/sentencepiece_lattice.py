@@ -300,12 +300,14 @@ def _read(table: pa.Table) -> tuple[list[str], np.ndarray, np.ndarray]:
     return list(known), number, np.array(counts, dtype=np.int64)
 
 
-def _by_bucket(words: list[str], n: int) -> dict[int, list[int]]:
+def _by_bucket(words: list[str], n: int) -> dict[int, np.ndarray]:
     """Words by bucket in alphabetical order, which does not depend on the order in which the rows of a block arrive."""
-    out: dict[int, list[int]] = {}
-    for i in sorted(range(len(words)), key=words.__getitem__):
-        out.setdefault(zlib.crc32(words[i].encode()) % n, []).append(i)
-    return out
+    order = np.array(sorted(range(len(words)), key=words.__getitem__), np.uint32)
+    bucket = np.fromiter((zlib.crc32(words[i].encode()) % n for i in order), np.uint32, len(order))
+    kept = np.argsort(bucket, kind="stable")
+    order, bucket = order[kept], bucket[kept]
+    first = np.flatnonzero(np.diff(bucket, prepend=np.uint32(n)))
+    return dict(zip(bucket[first].tolist(), np.split(order, first[1:]), strict=True)) if len(first) else {}
 
 
 def encode(docs: DataFrame, model: PieceModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -332,13 +334,19 @@ def encode(docs: DataFrame, model: PieceModel, doc_id: str = "doc_id", text: str
         })
 
     def reply(table: pa.Table) -> pa.Table:
-        asked = [blocks.unsqueeze(body).decode().split(" ") for body in table.column("body").to_pylist()]
-        at = {w: i for i, w in enumerate(dict.fromkeys(w for words in asked for w in words))}
-        flat, length = lattice(list(at))
+        # Of the words that many blocks ask for, one copy is kept.
+        at: dict[str, int] = {}
+        asked = []
+        for body in table.column("body"):
+            words = blocks.unsqueeze(body.as_py()).decode().split(" ")
+            asked.append(np.fromiter((at.setdefault(w, len(at)) for w in words), np.uint32, len(words)))
+        words = list(at)
+        del at
+        flat, length = lattice(words)
+        del words
         first = np.cumsum(length) - length
         bodies = []
-        for words in asked:
-            mine = np.array([at[w] for w in words], dtype=np.int64)
+        for mine in asked:
             body = length[mine].astype("<u4"), gather(flat, first[mine], length[mine]).astype("<u4")
             bodies.append(blocks.squeeze(np.array([len(mine)], np.uint32).tobytes() + b"".join(map(blocks.planes, body))))
         return pa.table({"bucket": table.column("bucket"), "block": table.column("block"), "body": pa.array(bodies, pa.binary())})
@@ -348,26 +356,28 @@ def encode(docs: DataFrame, model: PieceModel, doc_id: str = "doc_id", text: str
         if not len(table):
             return schema.empty_table()
         words, number, counts = _read(table)
-        bodies = dict(zip(replies.column("bucket").to_pylist(), replies.column("body").to_pylist(), strict=True))
+        by = _by_bucket(words, n)
         length, flat, base = np.zeros(len(words), np.int64), [], 0
         first = np.zeros(len(words), np.int64)
-        for bucket, mine in _by_bucket(words, n).items():
-            body = blocks.unsqueeze(bodies[bucket])
+        del words
+        bodies = dict(zip(replies.column("bucket").to_pylist(), replies.column("body"), strict=True))
+        for bucket, mine in by.items():
+            body = blocks.unsqueeze(bodies[bucket].as_py())
             own = blocks.whole(body, "<u4", 4, len(mine)).astype(np.int64)
             length[mine] = own
             first[mine] = base + np.cumsum(own) - own
             flat.append(blocks.whole(body, "<u4", 4 + 4 * len(mine), len(body) // 4 - 1 - len(mine)))
             base += int(own.sum())
-        del words, bodies
+        del by, bodies
         ends = np.concatenate([[0], np.cumsum(counts)])
         cut = np.concatenate([[0], np.cumsum(length[number])])[ends]
         ids = np.empty(int(cut[-1]), dtype="<u4")
-        gather_into(ids, np.concatenate(flat) if flat else ids, first[number], length[number])
-        texts = pa.array(list(blocks.texts(table.column("packed"), table.column("size").to_pylist())), pa.binary()).view(pa.string())
+        gather_into(ids, np.concatenate(flat) if flat else ids, first, length, number)
+        del flat, number
         return pa.table({
             "doc_id": table.column("doc_id"),
-            "ids": pa.array([ids[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()),
-            "n_ids": np.diff(cut), "text": texts,
+            "ids": pa.Array.from_buffers(pa.large_binary(), len(table), [None, pa.py_buffer(4 * cut), pa.py_buffer(ids)]).cast(pa.binary()),
+            "n_ids": np.diff(cut), "text": blocks.joined_texts(table.column("packed"), table.column("size").to_pylist()),
         }, schema=schema)
 
     asked = dealt.groupBy("block").applyInArrow(ask, blocks.PACKED)

@@ -117,11 +117,14 @@ def gather(flat: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarra
     return flat[shift + np.arange(total)]
 
 
-def gather_into(out: np.ndarray, flat: np.ndarray, begin: np.ndarray, length: np.ndarray, step: int = 1 << 17) -> None:
-    """`gather` into an array, some pairs at a time, so that the places need little memory."""
+def gather_into(
+    out: np.ndarray, flat: np.ndarray, begin: np.ndarray, length: np.ndarray, number: np.ndarray, step: int = 1 << 17
+) -> None:
+    """`gather` into an array of the pairs with these numbers, some at a time, so that the places need little memory."""
     at = 0
-    for i in range(0, len(begin), step):
-        part = gather(flat, begin[i : i + step], length[i : i + step])
+    for i in range(0, len(number), step):
+        some = number[i : i + step]
+        part = gather(flat, begin[some], length[some])
         out[at : at + len(part)] = part
         at += len(part)
 
