@@ -7,10 +7,11 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import DataFrame
 
 from tests.compare import difference
 from tests.llm.conftest import fold_ascii
-from txlake.llm import bag_minhash, components, exact_dedup, line_dedup, sentence_spans
+from txlake.llm import bag_minhash, blocks, components, exact_dedup, line_dedup, sentence_spans
 from txlake.llm.batches import text_blocks
 from txlake.llm.queries import ORACLES, QUERIES
 from txlake.llm.text import documents
@@ -259,3 +260,19 @@ def test_empty_tables(nothing):
     assert exact_dedup.drop_duplicates(nothing).count() == 0
     assert bag_minhash.near_duplicate_classes(nothing).count() == 0
     assert bag_minhash.drop_near_duplicates(nothing).count() == 0
+
+
+def test_compared_texts_are_shuffled_compressed(spark, monkeypatch):
+    """Bags are read from compressed texts, and no band carries the row that stands for its bag."""
+    monkeypatch.setattr(bag_minhash, "UNPACKED_ROWS", 3)
+    seen, joined = [], DataFrame.join
+    monkeypatch.setattr(DataFrame, "join", lambda df, other, *a, **k: seen.append(df.columns) or joined(df, other, *a, **k))
+    rows = [(i, " ".join(f"w{(i // 2) * 31 + k}" for k in range(60)) + (" end" if i % 2 else "")) for i in range(40)] + [(41, None), (42, "")]
+    df = spark.createDataFrame(rows, "doc_id int, text string").coalesce(1)
+    found = {r.doc_id: r.class_id for r in bag_minhash.near_duplicate_classes(df).collect()}
+    assert found == {i: i // 2 * 2 if i < 40 else i for i, _ in rows}
+    assert not any("text" in columns or ("at" in columns and "bucket" in columns) for columns in seen)
+    whole = pa.record_batch({"doc_id": [1, 2], "row": [5, 6], "text": ["ab " * 500, ""]})
+    packed = pa.Table.from_batches(bag_minhash._packed(iter([whole])))
+    assert blocks.joined_texts(packed.column("packed"), packed.column("octets").to_pylist()).to_pylist() == ["ab " * 500, ""]
+    assert len(packed.column("packed")[0].as_py()) < 100

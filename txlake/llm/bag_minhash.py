@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txlake.llm import blocks
 from txlake.llm.batches import mix, text_blocks, words
 from txlake.llm.components import components
 from txlake.operators.skew import spread_join
@@ -18,6 +19,8 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SECOND = np.uint64(0xD1B54A32D192ED03)
 # Bags and shingles of a block of bags that are compared with each other.
 TASK_BAGS, TASK_UNITS = 600, 400_000
+# Texts of a batch that are packed or unpacked at once.
+UNPACKED_ROWS = 512
 
 
 def _multiple(x: np.uint64, n: int) -> np.uint64:
@@ -137,18 +140,34 @@ def _signed(batches: Iterator[pa.RecordBatch], size: int, bands: int, width: int
             })
 
 
-def _bags(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for first, block, starts in text_blocks(batch.column("text")):
-            n = len(starts) - 1
-            unit_row, unit = units(*shingle_counts(block, starts, size))
-            ends = np.concatenate([[0], np.cumsum(np.bincount(unit_row, minlength=n))])
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed for the shuffle, few at a time."""
+    codec = pa.Codec("zstd", compression_level=1)
+    for whole in batches:
+        for at in range(0, len(whole), UNPACKED_ROWS):
+            batch = whole.slice(at, UNPACKED_ROWS)
+            bodies = [t.as_buffer() for t in batch.column("text")]
             yield pa.record_batch({
-                "bag": batch.column("bag").slice(first, n),
-                "units": pa.ListArray.from_arrays(ends.astype(np.int32), unit.astype(np.int64)),
+                "doc_id": batch.column("doc_id"), "row": batch.column("row"), "octets": pa.array([b.size for b in bodies], pa.int32()),
+                "packed": pa.array([codec.compress(b, asbytes=True) for b in bodies], pa.binary()),
             })
 
 
+def _bags(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for at in range(0, len(whole), UNPACKED_ROWS):
+            batch = whole.slice(at, UNPACKED_ROWS)
+            texts = blocks.joined_texts(batch.column("packed"), batch.column("octets").to_pylist())
+            for first, block, starts in text_blocks(texts):
+                n = len(starts) - 1
+                unit_row, unit = units(*shingle_counts(block, starts, size))
+                ends = np.concatenate([[0], np.cumsum(np.bincount(unit_row, minlength=n))])
+                yield pa.record_batch({
+                    "bag": batch.column("bag").slice(first, n),
+                    "units": pa.ListArray.from_arrays(ends.astype(np.int32), unit.astype(np.int64)),
+                })
+
+
 def _verified(pairs: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
     """The pairs (u, v) whose multisets of shingles overlap enough."""
     u = bags.select(F.col("bag").alias("u"), F.col("units").alias("units_u"))
@@ -210,16 +229,20 @@ def similar_bags(signed: DataFrame, texts: DataFrame, size: int, similarity: flo
     tasks of bounded size: one for each block of the group and each pair of blocks. No bucket is cut off.
     """
     apart = signed.filter(F.col("bag").isNotNull()).groupBy("bag").agg(
-        F.min(F.struct("doc_id", "row")).alias("at"), F.first("size").alias("size"), F.first("bands").alias("bands")
-    ).select("bag", "at", "size", F.explode("bands").alias("bucket"))
+        F.first("size").alias("size"), F.first("bands").alias("bands")
+    ).select("bag", "size", F.explode("bands").alias("bucket"))
     full = apart.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
     members = apart.join(full, "bucket").checkpoint()
-    rank = members.groupBy("bag").agg(F.sum("n").alias("rank"), F.first("at").alias("at"))
-    chosen = rank.select("bag", F.col("at.doc_id").alias("doc_id"), F.col("at.row").alias("row"))
-    # Of rows that repeat id and text, each gives the same bag.
+    rank = members.groupBy("bag").agg(F.sum("n").alias("rank")).checkpoint()
+    # The row that stands for a bag is looked up for the bags that are compared only, not carried along with each band.
+    at = signed.filter(F.col("bag").isNotNull()).groupBy("bag").agg(F.min(F.struct("doc_id", "row")).alias("at"))
+    chosen = at.join(rank, "bag").select("bag", F.col("at.doc_id").alias("doc_id"), F.col("at.row").alias("row"))
+    # Texts are compressed for the shuffle. Of rows that repeat id and text, each gives the same bag.
+    id_type = texts.schema["doc_id"].dataType.simpleString()
+    packed = texts.mapInArrow(_packed, f"doc_id {id_type}, row bigint, octets int, packed binary")
     bags = (
-        texts.join(chosen, texts.doc_id.eqNullSafe(chosen.doc_id) & (texts.row == chosen.row))
-        .select("bag", "text")
+        packed.join(chosen, packed.doc_id.eqNullSafe(chosen.doc_id) & (packed.row == chosen.row))
+        .select("bag", "octets", "packed")
         .mapInArrow(lambda b: _bags(b, size), "bag binary, units array<bigint>")
         .dropDuplicates(["bag"])
         .checkpoint()
