@@ -437,12 +437,55 @@ def test_cutting_pieces_leaves_pandas_alone():
     assert subprocess.run([sys.executable, "-c", code], check=False).returncode == 0
 
 
-def test_texts_are_joined_and_unpacked(spark):
-    rows = [(1, "ä b"), (2, None), (3, ""), (4, "x" * 5000), (5, "\n")]
+def test_texts_are_joined(spark):
+    rows = [(1, "ä b"), (3, ""), (4, "x" * 5000), (5, "\n")]
     df = spark.createDataFrame(rows, "doc_id int, text string").coalesce(1)
-    packed = df.select("doc_id", blocks.squeeze_texts(F.col("text")).alias("p"), F.octet_length("text").alias("n"))
-    back = packed.select("doc_id", blocks.unsqueeze_texts(F.col("p"), F.col("n")).alias("text"))
-    assert sorted(map(tuple, back.collect())) == rows
-    table = packed.filter("n is not null").toArrow()
-    assert blocks.joined_texts(table.column("p"), table.column("n").to_pylist()).to_pylist() == ["ä b", "", "x" * 5000, "\n"]
+    table = df.select(blocks.squeeze_texts(F.col("text")).alias("p"), F.octet_length("text").alias("n")).toArrow()
+    assert blocks.joined_texts(table.column("p"), table.column("n").to_pylist()).to_pylist() == [t for _, t in rows]
     assert blocks.joined_texts(table.column("p").slice(0, 0), []).to_pylist() == []
+
+
+def test_words_are_encoded_together(spark, monkeypatch):
+    """A call of the library for many words, and one for words that hold the mark between them."""
+    calls = []
+
+    class Counting:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def encode_batch_fast(self, texts, **options):
+            calls.append(len(texts))
+            return self.inner.encode_batch_fast(texts, **options)
+
+    plain = Tokenizer.from_file(WORD_BPE)
+
+    class Library:
+        from_file = staticmethod(lambda _: Counting(plain))
+
+    monkeypatch.setattr("tokenizers.Tokenizer", Library)
+    got = []
+    monkeypatch.setattr(vocabulary, "encode_words", lambda asked, encode, fold: got.append(encode) or asked)
+    packing.pack_documents(spark.createDataFrame([(1, "a")], "doc_id int, text string"), WORD_BPE)
+    for words in (["one", "don't", "ελ", "日本語", "<|endoftext|>", "\u00a0", "x" * 3000], ["a", packing.MARK, f"b{packing.MARK}c", "d"], ["z"], []):
+        calls.clear()
+        flat, length = got[0](words)
+        expected = [plain.encode(w, add_special_tokens=False).ids for w in words]
+        assert length.tolist() == [len(x) for x in expected] and flat.tolist() == [i for x in expected for i in x]
+        assert calls == [1] + [1] * bool(words) + [len(words)] * any(packing.MARK in w for w in words)
+
+
+def test_nearest_first_is_a_whole_sort():
+    rng = np.random.default_rng(5)
+    rows, n_words = 400, 60
+    pairs = np.unique(rng.integers(0, rows * n_words, 6000))
+    word, row = np.divmod(pairs, rows)
+    index = packing.Index(word, row, np.ones(len(word)), np.bincount(word, minlength=n_words).astype(float), rows, np.full(rows, 9.0), 9.0)
+    unused = rng.random(rows) < 0.9
+    for i in range(0, rows, 40):
+        own = set(word[row == i].tolist())
+        score = np.zeros(rows)
+        for w, r, x in zip(word, row, index.weight, strict=True):
+            score[r] += x * (w in own)
+        found = index.neighbours(i, unused)
+        assert set(found.tolist()) == set(np.flatnonzero(unused & (score > 0)).tolist())
+        assert (np.diff(score[found]) <= 1e-9).all() and len(set(found.tolist())) == len(found) > 4 * packing.FIRST

@@ -11,7 +11,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,17 +52,6 @@ def squeeze_texts(texts: Column) -> Column:
     return squeezed(texts)
 
 
-def unsqueeze_texts(squeezed: Column, sizes: Column) -> Column:
-    """The texts that `squeeze_texts` compressed; null where the size, in bytes, is null."""
-
-    @F.arrow_udf("string")
-    def plain(packed: pa.Array, sizes: pa.Array) -> pa.Array:
-        whole = joined_texts(packed, sizes.fill_null(0).to_pylist())
-        return pc.if_else(sizes.is_valid(), whole, pa.scalar(None, pa.string()))
-
-    return plain(squeezed, sizes)
-
-
 def texts(squeezed: pa.Array | pa.ChunkedArray, sizes: list[int]) -> Iterator[bytes]:
     for t, size in zip(squeezed, sizes, strict=True):
         yield pa.decompress(t.as_buffer(), size, "zstd").to_pybytes() if size else b""

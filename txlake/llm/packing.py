@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import os
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ from txlake.llm.batches import distinct, mix, run_hashes
 
 BLOCK_BYTES = 4 << 20
 K1, B = 1.2, 0.75
+MARK = "\x01"  # stands between words that are encoded together
+FIRST = 32  # so many neighbours are sorted at first
 PARTS = 4  # so many groups of documents under one key fill a shard
 
 
@@ -45,6 +48,10 @@ class Index:
 
     def neighbours(self, row: int, unused: np.ndarray) -> np.ndarray:
         """Unused rows that share a word with a row, the best first; all its words count."""
+        return np.fromiter(self.nearest(row, unused), np.int64)
+
+    def nearest(self, row: int, unused: np.ndarray) -> Iterator[int]:
+        """`neighbours` one by one, of the rows that are unused at the first."""
         words = self.seldom[row]
         score = self.wide[self.often[row]].sum(axis=0)
         if len(words):
@@ -53,7 +60,13 @@ class Index:
             rows = vocabulary.gather(self.row, begin, length)
             score += np.bincount(rows, vocabulary.gather(self.weight, begin, length), minlength=self.rows)
         found = np.flatnonzero(unused & (score > 0))
-        return found[np.argsort(-score[found], kind="stable")]
+        # Few neighbours fill a window; what is left is sorted when they do not.
+        if len(found) > 4 * FIRST:
+            least = np.partition(score[found], len(found) - FIRST)[len(found) - FIRST]
+            best = score[found] >= least
+            near, found = found[best], found[~best]
+            yield from near[np.argsort(-score[near], kind="stable")].tolist()
+        yield from found[np.argsort(-score[found], kind="stable")].tolist()
 
 
 def shard_of(
@@ -99,15 +112,15 @@ def terms(ids: np.ndarray, length: np.ndarray, tags: np.ndarray, step: int = 1 <
 def write_bodies(
     found: vocabulary.BlockWords, rows: int, holders: np.ndarray, ids: np.ndarray, begin: np.ndarray, length: np.ndarray, apart: bool
 ) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Different words, words, and a body for each row: holders of the different words in the order of their first places, tag and
+    """Different words, words, and a body for each row: holders of the different words in the order of their `terms`, tag and
     number of ids of every word, and the ids."""
     tags = (found.hashes & np.uint64(0xFF if apart else 0xFFFFFFFF)).astype("<u4")
     if apart and len(tags):
         spelled = np.frombuffer(found.spelled(np.arange(len(tags))), np.uint8)
         tags[np.maximum.reduceat(spelled, np.cumsum(found.length + 1) - found.length - 1) < 128] = 0
     term = terms(vocabulary.gather(ids, begin, length), length, tags) if len(tags) else tags
-    # Occurrences stand in the order of rows, and so do the first ones.
-    _, pairs = pd.factorize(found.rows * max(1, len(term)) + term[found.number])
+    pairs = np.sort(found.rows * max(1, len(term)) + term[found.number])
+    pairs = pairs[np.diff(pairs, prepend=-1) > 0]
     of_term = np.zeros(len(term), dtype="<u4")
     of_term[term] = holders
     pair_row, pair_term = np.divmod(pairs, max(1, len(term)))
@@ -117,8 +130,10 @@ def write_bodies(
     ends = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
     flat = np.empty(int(ends[-1]), dtype="<u4")
     vocabulary.gather_into(flat, ids, begin, length, found.number)
+    held, tag, size, flat = (np.ascontiguousarray(x.astype("<u4", copy=False).view(np.uint8).reshape(-1, 4).T) for x in (held, tag, size, flat))
+    held, tag, size, flat = ([memoryview(p) for p in x] for x in (held, tag, size, flat))
     bodies = [
-        blocks.squeeze(b"".join(map(blocks.planes, (held[a:z], tag[i:j], size[i:j], flat[k:m]))))
+        blocks.squeeze(b"".join([p[b:e] for x, b, e in ((held, a, z), (tag, i, j), (size, i, j), (flat, k, m)) for p in x]))
         for a, z, i, j, k, m in zip(*(x.tolist() for e in (edges, places, ends[places]) for x in (e[:-1], e[1:])), strict=True)
     ]
     return np.diff(edges), np.diff(places), bodies
@@ -127,18 +142,25 @@ def write_bodies(
 def read_bodies(bodies: list[bytes], words: np.ndarray, places: np.ndarray):
     """(word, row, count) for each different word of a row, by row; holders of each word, ids of each row, all ids."""
     n_ids = np.array([len(b) for b in bodies], dtype=np.int64) // 4 - words - 2 * places
-    parts: list[list[np.ndarray]] = [[], [], [], []]
-    for b, k, m, n in zip(bodies, words.tolist(), places.tolist(), n_ids.tolist(), strict=True):
-        for part, at, size in zip(parts, (0, k, k + m, k + 2 * m), (k, m, m, n), strict=True):
-            part.append(blocks.whole(b, "<u4", 4 * at, size))
-    held, tags, length, flat = (np.concatenate(p) for p in parts)
+    # The planes of all rows are put one behind the other before numbers are made of them.
+    parts: list[list[list[memoryview]]] = [[[], [], [], []] for _ in range(4)]
+    for b, k, m, n in zip(map(memoryview, bodies), words.tolist(), places.tolist(), n_ids.tolist(), strict=True):
+        at = 0
+        for part, size in zip(parts, (k, m, m, n), strict=True):
+            for plane in part:
+                plane.append(b[at : at + size])
+                at += size
+    held, tags, length, flat = (
+        blocks.whole(b"".join(x for plane in part for x in plane), "<u4", 0, int(n.sum()))
+        for part, n in zip(parts, (words, places, places, n_ids), strict=True)
+    )
     term = terms(flat, length, tags) if len(tags) else tags
     many = int(term.max(initial=0)) + 1
-    number, pairs = pd.factorize(np.repeat(np.arange(len(bodies)), places) * many + term)
+    pairs, count = np.unique(np.repeat(np.arange(len(bodies)), places) * many + term, return_counts=True)
     row, word = np.divmod(pairs, many)
     holders = np.ones(many)
     holders[word] = held
-    return word, row, np.bincount(number, minlength=len(pairs)), holders, n_ids, flat
+    return word, row, count, holders, n_ids, flat
 
 
 def fill_windows(index: Index, sizes: np.ndarray, window: int) -> list[tuple[int, int, int, int, int]]:
@@ -167,7 +189,7 @@ def fill_windows(index: Index, sizes: np.ndarray, window: int) -> list[tuple[int
         place(seed)
         while used < window:
             cut = False
-            for row in index.neighbours(seed, unused).tolist():
+            for row in index.nearest(seed, unused):
                 unused[row] = False
                 cut = place(row)
                 if cut or used == window:
@@ -217,17 +239,29 @@ def pack_documents(
 
     loaded = []
 
-    def encode(words: list[str]) -> list[list[int]]:
+    def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words one behind the other, and how many each has."""
         # Spark runs one task per core; threads of the library's own would only cost memory.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         if not loaded:
             loaded.append(Tokenizer.from_file(tokenizer))
-        return [
-            e.ids for i in range(0, len(words), 1024)
-            for e in loaded[0].encode_batch_fast(words[i : i + 1024], add_special_tokens=False)
-        ]
+        fast = functools.partial(loaded[0].encode_batch_fast, add_special_tokens=False)
+        mark = fast([MARK])[0].ids
+        flat, length = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+        for i in range(0, len(words), 1024):
+            some = words[i : i + 1024]
+            ids = np.array(fast([f" {MARK} ".join(some)])[0].ids, np.uint32)
+            ends = np.flatnonzero(ids == mark[0]) if len(mark) == 1 else np.empty(0, np.int64)
+            if len(ends) == len(some) - 1:
+                flat.append(np.delete(ids, ends))
+                length.append(np.diff(ends, prepend=-1, append=len(ids)) - 1)
+            else:  # a word holds the mark's id, or the mark has none of its own
+                single = [e.ids for e in fast(some)]
+                flat.append(np.array([i for x in single for i in x], np.uint32))
+                length.append(np.array([len(x) for x in single], np.int64))
+        return np.concatenate(flat), np.concatenate(length)
 
     def place(table: pa.Table, replies: pa.Table) -> pa.Table:
         """Documents with their shards; a body has the holders of the different words, tag and number of ids of every word, and the ids."""

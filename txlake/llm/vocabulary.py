@@ -79,8 +79,9 @@ def ask(block: int, found: BlockWords, holders: np.ndarray, n: int) -> pa.Table:
     })
 
 
-def encode_words(questions: DataFrame, encode: Callable[[list[str]], list[list[int]]], fold: bool) -> DataFrame:
-    """Answers for each word: rows of the corpus that hold it, and its ids."""
+def encode_words(questions: DataFrame, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], fold: bool) -> DataFrame:
+    """Answers for each word: rows of the corpus that hold it, and its ids. `encode` gives the ids of all words one behind the other, and
+    how many each has."""
 
     def of_bucket(table: pa.Table) -> pa.Table:
         bodies = [blocks.unsqueeze(body) for body in table.column("body").to_pylist()]
@@ -93,9 +94,7 @@ def encode_words(questions: DataFrame, encode: Callable[[list[str]], list[list[i
         holders = np.bincount(number, asking.astype(np.float64), minlength=len(known))
         words = found.spelled(np.arange(len(known))).decode().split(" ")
         asked = np.split(number, np.cumsum(sizes)[:-1])
-        ids = encode(words)
-        length = np.array([len(x) for x in ids], dtype=np.int64)
-        flat = np.array([i for x in ids for i in x], dtype=np.uint32)
+        flat, length = encode(words)
         first = np.cumsum(length) - length
         count = holders.clip(max=0xFFFFFFFF).astype(np.uint32)
         out = []
