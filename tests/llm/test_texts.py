@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.conftest import fold_ascii
-from txlake.llm import blocks, hpylm, language_id, packing, secret_scan, sentencepiece_lattice, vocabulary
+from txlake.llm import batches, blocks, hpylm, language_id, packing, secret_scan, sentencepiece_lattice, vocabulary
 from txlake.llm.queries import QUERIES
 from txlake.llm.text import documents, fold
 
@@ -474,6 +474,89 @@ def test_words_are_encoded_together(spark, monkeypatch):
         assert calls == [1] + [1] * bool(words) + [len(words)] * any(packing.MARK in w for w in words)
 
 
+def _encoder(spark, monkeypatch, calls=None, **options):
+    """How `pack_documents` encodes words; calls gets the texts that the library is given."""
+    got = []
+    with monkeypatch.context() as patch:
+        patch.setattr(vocabulary, "encode_words", lambda asked, encode, fold: got.append(encode) or asked)
+        packing.pack_documents(spark.createDataFrame([(1, "a")], "doc_id int, text string"), WORD_BPE, **options)
+
+    class Recording:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def encode_batch_fast(self, texts, **options):
+            if calls is not None:
+                calls.extend(texts)
+            return self.inner.encode_batch_fast(texts, **options)
+
+    class Library:
+        from_file = staticmethod(lambda path: Recording(Tokenizer.from_file(path)))
+
+    monkeypatch.setattr("tokenizers.Tokenizer", Library)
+    return got[0]
+
+
+def test_words_without_their_tails_are_encoded_once(spark, monkeypatch):
+    """A word that differs from others by punctuation at its end goes to the library once, and letters without marks between them."""
+    calls = []
+    encode = _encoder(spark, monkeypatch, calls)
+    words = [w + tail for w in ("hello", "caféé", "route66") for tail in ("", ",", "...", "!?")]
+    flat, length = encode(words)
+    expected = [Tokenizer.from_file(WORD_BPE).encode(w, add_special_tokens=False).ids for w in words]
+    assert length.tolist() == [len(x) for x in expected] and flat.tolist() == sum(expected, [])
+    sent = " ".join(calls)
+    assert sent.count("hello") == sent.count("caféé") == sent.count("route66") == 1
+    assert sent.count(packing.MARK) == 5  # the mark itself; after a word with digits and three tails
+
+
+def test_parts_of_odd_words_have_the_ids_of_words(spark, monkeypatch):
+    rnd = random.Random(3)
+    signs = "abzé09ßÀ×÷²İı.,'!$-…\u0301漢Ωσς\U0001f600\u0338<=_#|>\u00a0\u0307st"
+    words = ["".join(rnd.choice(signs) for _ in range(rnd.randrange(1, 8))) for _ in range(20000)]
+    words += ["it's", "it's,", "we'll.", "'s", "İ,", "×,", "<|endoftext|", "...", "é…,"]
+    plain = Tokenizer.from_file(WORD_BPE)
+    expected = [e.ids for e in plain.encode_batch(words, add_special_tokens=False)]
+    for options in ({}, {"tails": False}):
+        flat, length = _encoder(spark, monkeypatch, **options)(words)
+        assert length.tolist() == [len(x) for x in expected] and flat.tolist() == [i for x in expected for i in x]
+    # A token that was added to the model stays whole.
+    flat, length = _encoder(spark, monkeypatch)(["a<|endoftext|>,", "b,"])
+    assert flat.tolist() == sum([plain.encode(w, add_special_tokens=False).ids for w in ("a<|endoftext|>,", "b,")], [])
+
+
+def test_words_with_one_core_share_a_bucket():
+    words = ["core", "core,", "CORE...", "other!", "other", "?!", "...", "é", "é,"]
+    found = vocabulary.BlockWords.read(pa.chunked_array([pa.array([" ".join(words), None, " \t", "core other "], pa.string())]), True)
+    of = dict(zip(found.spelled(np.arange(len(found.hashes))).decode().split(" "), found.buckets(10**9).tolist(), strict=True))
+    assert of["core"] == of["core,"] == of["core..."] and of["other!"] == of["other"] and of["é"] == of["é,"]
+    assert len(set(of.values())) == 5
+    assert found.rows.tolist() == [0] * len(words) + [3, 3] and (np.diff(found.hashes.astype(object)) > 0).all()
+    block = "core, other É".encode() + b"\xff"
+    hashes, _, begin, end = batches.placed_words(np.frombuffer(block, np.uint8), np.array([0, len(block)]))
+    again = batches.byte_hashes(np.frombuffer(block.lower(), np.uint8), begin, end)
+    assert hashes.tolist() == again.tolist()
+
+
+def test_index_without_used_rows_finds_the_same():
+    rng = np.random.default_rng(6)
+    rows, n_words = 300, 80
+    pairs = np.unique(rng.integers(0, rows * n_words, 5000))
+    word, row = np.divmod(pairs, rows)
+
+    def make():
+        count = np.bincount(word, minlength=n_words).astype(float)
+        return packing.Index(word, row, np.ones(len(word)), count, rows, np.full(rows, 9.0), 9.0)
+
+    unused, whole, index = np.ones(rows, dtype=bool), make(), make()
+    while unused.any():
+        unused[rng.choice(np.flatnonzero(unused), min(40, int(unused.sum())), replace=False)] = False
+        index.keep(unused)
+        assert len(index.kept) == index.wide.shape[1] == unused.sum() and len(index.row) == index.edges[-1]
+        for i in range(0, rows, 25):
+            assert index.neighbours(i, unused).tolist() == whole.neighbours(i, unused).tolist()
+
+
 def test_nearest_first_is_a_whole_sort():
     rng = np.random.default_rng(5)
     rows, n_words = 400, 60

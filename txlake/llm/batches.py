@@ -91,6 +91,11 @@ def placed_words(
     return mix(hashes + (end - begin).astype(np.uint64) * _BASE), rows, begin, end
 
 
+def byte_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the bytes data[begin:end] of each pair, that of `placed_words` for a word."""
+    return run_hashes(data.astype(np.uint64) + np.uint64(1), begin, end)
+
+
 def words(block: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash, row) of every word of the block in order; A-Z count as a-z."""
     return placed_words(block, starts)[:2]

@@ -7,6 +7,7 @@ often it occurs in a block, and a frequent key is one entry per block.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -33,12 +34,17 @@ def deal(docs: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
     return docs.withColumn("block", block), n
 
 
+@functools.cache
+def _zstd(level: int) -> pa.Codec:
+    return pa.Codec("zstd", compression_level=level)
+
+
 def squeeze(body: bytes, level: int = 1) -> bytes:
-    return len(body).to_bytes(4, "little") + pa.Codec("zstd", compression_level=level).compress(body, asbytes=True)
+    return len(body).to_bytes(4, "little") + _zstd(level).compress(body, asbytes=True)
 
 
 def unsqueeze(body: bytes) -> bytes:
-    return pa.decompress(body[4:], int.from_bytes(body[:4], "little"), "zstd").to_pybytes()
+    return _zstd(1).decompress(memoryview(body)[4:], int.from_bytes(body[:4], "little"), asbytes=True)
 
 
 def squeeze_texts(texts: Column) -> Column:
@@ -53,8 +59,9 @@ def squeeze_texts(texts: Column) -> Column:
 
 
 def texts(squeezed: pa.Array | pa.ChunkedArray, sizes: list[int]) -> Iterator[bytes]:
-    for t, size in zip(squeezed, sizes, strict=True):
-        yield pa.decompress(t.as_buffer(), size, "zstd").to_pybytes() if size else b""
+    codec = pa.Codec("zstd")
+    for t, size in zip(squeezed.to_pylist(), sizes, strict=True):
+        yield codec.decompress(t, size, asbytes=True) if size else b""
 
 
 def joined_texts(squeezed: pa.Array | pa.ChunkedArray, sizes: list[int]) -> pa.Array:
